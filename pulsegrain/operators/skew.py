@@ -1,0 +1,47 @@
+"""Equi-join that spreads hot keys over several tasks."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_TASK = 5_000_000
+# The hot-key list is broadcast; this bounds its size. Any key beyond it holds
+# less than 1/MAX_HOT_KEYS of the rows, and is joined like any other key.
+MAX_HOT_KEYS = 1000
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The keys with the most rows, and into how many parts to split each."""
+    counted = (df.where(F.col(key).isNotNull()).groupBy(key)
+               .agg(F.count(F.lit(1)).alias("__rows")))
+    return (counted.where(F.col("__rows") > rows_per_task)
+            .orderBy(F.desc("__rows"), key).limit(MAX_HOT_KEYS)
+            .select(key, F.ceil(F.col("__rows") / F.lit(rows_per_task)).cast("int")
+                    .alias("__parts")))
+
+
+def join_spreading_hot_keys(many: DataFrame, few: DataFrame, key: str,
+                            spread_by: Sequence[str],
+                            rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
+    """Inner join on ``key`` where one key may hold a large share of ``many``.
+
+    Rows of a hot key get a part number from a hash of ``spread_by``; the
+    matching rows of ``few`` are repeated once per part. The part is a function
+    of the row, so a recomputed task gives the same rows. Apart from ``key``
+    the two sides share no column name. ``rows_per_task=None`` leaves skew to
+    adaptive execution and saves the counting pass.
+    """
+    if rows_per_task is None:
+        return many.join(few, key)
+    hot = F.broadcast(hot_keys(many, key, rows_per_task))
+    parts = F.coalesce(F.col("__parts"), F.lit(1))
+    left = (many.join(hot, key, "left")
+            .withColumn("__part", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
+            .drop("__parts"))
+    right = (few.join(hot, key, "left")
+             .withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
+             .drop("__parts"))
+    return left.join(right, [key, "__part"]).drop("__part")

@@ -1,0 +1,6 @@
+"""Intentionally empty: the feeds are batch shards and no stream exists.
+
+Late data is reprocessed in batch: a trailing window of days is recomputed and
+only those partitions are overwritten. See ``pulsegrain.windows`` and
+``pulsegrain.sources.tables``.
+"""
