@@ -41,3 +41,5 @@ RUN_DATE = dt.date(2024, 2, 5)
 WHOLE = Run(SETTINGS, RUN_DATE, incremental=False)
 # A run in the middle of the data: the last days only.
 TRAILING = Run(SETTINGS, dt.date(2024, 1, 20), incremental=True)
+# A run whose window starts on the second day, when most users install.
+FIRST_WEEK = Run(SETTINGS, dt.date(2024, 1, 7), incremental=True)

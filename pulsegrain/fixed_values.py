@@ -93,7 +93,10 @@ BUILTIN_USER_PROPERTIES = (
     {"key_name": "ob_ui_dark_mode", "data_type": "string", "rollup_type": "dimension"},
     {"key_name": "ob_ui_font_size", "data_type": "string", "rollup_type": "dimension"},
 )
-UI_TEXT = "LOWER(TRIM(##))"
+# Text of the interface loses white space of any kind at both ends.
+WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+UI_TEXT = f"LOWER(TRIM(BOTH '{WHITE_SPACE}' FROM ##))"
 BUILTIN_EVENT_PARAMETERS = (
     {"key_name": "view_name", "data_type": "string", "rollup_type": "dimension",
      "event_name_filter": UI_EVENTS, "extract_transformation": UI_TEXT},

@@ -44,8 +44,12 @@ def raw_reconciliation(events_raw: DataFrame, export: DataFrame, run: Run) -> Da
     return counts.where(F.col("kept_cnt") != F.col("source_cnt"))
 
 
-def install_counts(installs_raw: DataFrame, run: Run) -> DataFrame:
-    first_day = dt.date.fromisoformat(fv.FIRST_UNIQUE_INSTALL_DATE)
+UNIQUE_SINCE = dt.date.fromisoformat(fv.FIRST_UNIQUE_INSTALL_DATE)
+
+
+def install_counts(installs_raw: DataFrame, run: Run,
+                   first_day: dt.date = UNIQUE_SINCE) -> DataFrame:
+    """Users and rows in the checked days from ``first_day`` on."""
     rows = installs_raw.where(
         run.checking().analytics(extend=2).has_date(F.col("event_date"))
         & (F.col("event_date") >= F.lit(first_day))
@@ -54,9 +58,10 @@ def install_counts(installs_raw: DataFrame, run: Run) -> DataFrame:
                     F.count(F.lit(1)).alias("cnt"))
 
 
-def install_uniqueness(installs_raw: DataFrame, run: Run) -> DataFrame:
+def install_uniqueness(installs_raw: DataFrame, run: Run,
+                       first_day: dt.date = UNIQUE_SINCE) -> DataFrame:
     """One row if some user has more than one install."""
-    return install_counts(installs_raw, run).where(F.col("dist_cnt") < F.col("cnt"))
+    return install_counts(installs_raw, run, first_day).where(F.col("dist_cnt") < F.col("cnt"))
 
 
 PROFILED = ("event_dates", "install_dates",

@@ -88,9 +88,11 @@ def _read(spark: SparkSession, paths: str, stem: str, schema: T.StructType,
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema.add("table_suffix", "string"))
+        return spark.createDataFrame([], T.StructType([
+            *schema.fields, T.StructField("table_suffix", T.StringType())]))
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return rows.withColumn("table_suffix", F.substr(folder, F.lit(len(stem) + 1)))
+    return rows.select(*schema.names,
+                       F.substr(folder, F.lit(len(stem) + 1)).alias("table_suffix"))
 
 
 def date_shards(root: str, stem: str, window: DateWindow) -> str:
