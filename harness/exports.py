@@ -7,8 +7,9 @@ counterpart start from the same rows. ``{events}`` is the input table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from pulsegrain.functions.sqltext import struct
+from pulsegrain.operators.dims import expressions
 from pulsegrain.operators.lookups import Lookups
 from pulsegrain.sources.seeds import COUNTRY, LANGUAGE
 
@@ -143,8 +144,9 @@ LANGUAGES = [
 
 
 def lookups(spark: SparkSession) -> Lookups:
-    return Lookups.checked(spark.createDataFrame(COUNTRIES, COUNTRY),
-                           spark.createDataFrame(LANGUAGES, LANGUAGE))
+    # Fixed lists above, so there is nothing to check.
+    return Lookups(spark.createDataFrame(COUNTRIES, COUNTRY).coalesce(1),
+                   spark.createDataFrame(LANGUAGES, LANGUAGE).coalesce(1))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,100 +163,99 @@ def crash_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CRASH_FLAT, events=events(spark, sf_dir))
 
 
-def _micros(column: str):
-    return F.unix_micros(F.col(column).cast("timestamp"))
-
-
-def _entry(key: str, **values: str):
+def _entry(key: str, kind: str, column: str) -> str:
     """A key/value entry, or NULL if its value is."""
     kinds = {"string_value": "string", "int_value": "bigint", "double_value": "double"}
-    (column,) = values.values()
-    value = F.struct(*[(F.col(values[f]) if f in values else F.lit(None)).cast(t).alias(f)
-                       for f, t in kinds.items()])
-    return F.when(F.col(column).isNotNull(),
-                  F.struct(F.lit(key).alias("key"), value.alias("value")))
+    value = struct({f: f"CAST({column if f == kind else 'NULL'} AS {t})"
+                    for f, t in kinds.items()})
+    return f"if({column} IS NOT NULL, {struct({'key': repr(key), 'value': value})}, NULL)"
+
+
+def _entries(*entries: str) -> str:
+    return f"array_compact(array({', '.join(entries)}))"
 
 
-def _entries(*entries):
-    return F.array_compact(F.array(*entries))
+def _crash_key(key: str, column: str) -> str:
+    return f"if({column} IS NOT NULL, {struct({'key': repr(key), 'value': column})}, NULL)"
+
+
+TEXT, LONG = "CAST(NULL AS string)", "CAST(NULL AS bigint)"
+ANALYTICS_NESTED = {
+    "event_timestamp": "unix_micros(timestamp(event_ts))",
+    "user_first_touch_timestamp": "unix_micros(timestamp(install_ts))",
+    "event_previous_timestamp": "unix_micros(timestamp(previous_ts))",
+    "event_bundle_sequence_id": "event_bundle_sequence_id",
+    "event_name": "event_name",
+    "platform": "platform",
+    "user_pseudo_id": "user_pseudo_id",
+    "user_id": "user_id",
+    "stream_id": "upper(concat('stream-', platform))",
+    "app_info": struct({"id": "app_id", "version": "app_version",
+                        "install_source": "install_source",
+                        "firebase_app_id": "concat('1:', upper(app_id))"}),
+    "device": struct({
+        "category": "device_type", "mobile_brand_name": "device_brand",
+        "mobile_model_name": "device_os_model", "mobile_marketing_name": TEXT,
+        "mobile_os_hardware_model": "device_os_model", "operating_system": "os_name",
+        "operating_system_version": "os_version", "language": "language",
+        "advertising_id": "advertising_id", "time_zone_offset_seconds": "bigint(tz_offset_s)"}),
+    "geo": struct({"city": "city", "country": "country", "continent": "'Europe'",
+                   "sub_continent": TEXT, "region": TEXT, "metro": TEXT}),
+    "traffic_source": struct({"name": TEXT, "medium": "traffic_medium", "source": TEXT}),
+    "user_ltv": struct({"revenue": "price", "currency": "'EUR'"}),
+    "event_params": _entries(_entry("view_name", "string_value", "view_name"),
+                             _entry("view_type", "string_value", "view_type"),
+                             _entry("status_code", "int_value", "status_code"),
+                             _entry("quantity", "int_value", "quantity"),
+                             _entry("price", "double_value", "price")),
+    "user_properties": _entries(_entry("ob_ui_dark_mode", "string_value", "dark_mode")),
+    "table_suffix": "table_suffix",
+}
+NO_LIST = "CAST(array() AS array<string>)"
+CRASH_NESTED = {
+    "event_timestamp": "timestamp(event_ts)",
+    "received_timestamp": "timestamp(received_ts)",
+    "installation_uuid": "installation_uuid",
+    "event_id": "event_id",
+    "variant_id": "variant_id",
+    "bundle_identifier": "app_id",
+    "issue_id": "concat('issue', variant_id)",
+    "issue_title": TEXT,
+    "issue_subtitle": TEXT,
+    "error_type": "error_type",
+    "process_state": "process_state",
+    "app_orientation": "'PORTRAIT'",
+    "device_orientation": TEXT,
+    "crashlytics_sdk_version": "'18.2'",
+    "application": struct({"display_version": "app_version", "build_version": "variant_id"}),
+    "operating_system": struct({"display_version": "os_version", "name": TEXT,
+                                "modification_state": "'UNMODIFIED'",
+                                "device_type": "device_type"}),
+    "device": struct({"manufacturer": "device_brand", "model": "device_os_model",
+                      "architecture": "'arm64'"}),
+    "memory": struct({"used": "source_id", "free": "7L"}),
+    "storage": struct({"used": "source_id", "free": "9L"}),
+    "user": struct({"id": "report_user_id", "name": TEXT, "email": TEXT}),
+    "custom_keys": _entries(_crash_key("fb_user_pseudo_id", "key_pseudo_id"),
+                            _crash_key("app_user_id", "key_user_id"),
+                            _crash_key("call_state", "call_state")),
+    "logs": NO_LIST,
+    "breadcrumbs": NO_LIST,
+    "blame_frame": TEXT,
+    "exceptions": NO_LIST,
+    "errors": NO_LIST,
+    "threads": NO_LIST,
+    "unity_metadata": struct({c: c for c in ("unity_version", "processor_count",
+                                             "processor_frequency_mhz")}),
+    "table_suffix": "table_suffix",
+}
 
 
 def analytics_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested analytics feed, with the shard each row came from."""
-    null = F.lit(None).cast("string")
-    return analytics_flat(spark, sf_dir).select(
-        _micros("event_ts").alias("event_timestamp"),
-        _micros("install_ts").alias("user_first_touch_timestamp"),
-        _micros("previous_ts").alias("event_previous_timestamp"),
-        "event_bundle_sequence_id", "event_name", "platform", "user_pseudo_id", "user_id",
-        F.upper(F.concat(F.lit("stream-"), "platform")).alias("stream_id"),
-        F.struct(F.col("app_id").alias("id"), F.col("app_version").alias("version"),
-                 F.col("install_source"),
-                 F.concat(F.lit("1:"), F.upper("app_id")).alias("firebase_app_id"))
-        .alias("app_info"),
-        F.struct(F.col("device_type").alias("category"),
-                 F.col("device_brand").alias("mobile_brand_name"),
-                 F.col("device_os_model").alias("mobile_model_name"),
-                 null.alias("mobile_marketing_name"),
-                 F.col("device_os_model").alias("mobile_os_hardware_model"),
-                 F.col("os_name").alias("operating_system"),
-                 F.col("os_version").alias("operating_system_version"),
-                 F.col("language"), F.col("advertising_id"),
-                 F.col("tz_offset_s").cast("bigint").alias("time_zone_offset_seconds"))
-        .alias("device"),
-        F.struct(F.col("city"), F.col("country"), F.lit("Europe").alias("continent"),
-                 null.alias("sub_continent"), null.alias("region"), null.alias("metro"))
-        .alias("geo"),
-        F.struct(null.alias("name"), F.col("traffic_medium").alias("medium"),
-                 null.alias("source")).alias("traffic_source"),
-        F.struct(F.col("price").alias("revenue"), F.lit("EUR").alias("currency"))
-        .alias("user_ltv"),
-        _entries(_entry("view_name", string_value="view_name"),
-                 _entry("view_type", string_value="view_type"),
-                 _entry("status_code", int_value="status_code"),
-                 _entry("quantity", int_value="quantity"),
-                 _entry("price", double_value="price")).alias("event_params"),
-        _entries(_entry("ob_ui_dark_mode", string_value="dark_mode")).alias("user_properties"),
-        "table_suffix")
+    return analytics_flat(spark, sf_dir).selectExpr(*expressions(ANALYTICS_NESTED))
 
 
 def crash_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested crash feed, with the shard each row came from."""
-    null = F.lit(None).cast("string")
-
-    def key(name: str, column: str):
-        return F.when(F.col(column).isNotNull(),
-                      F.struct(F.lit(name).alias("key"), F.col(column).alias("value")))
-
-    nothing = F.array().cast("array<string>")
-    return crash_flat(spark, sf_dir).select(
-        F.col("event_ts").cast("timestamp").alias("event_timestamp"),
-        F.col("received_ts").cast("timestamp").alias("received_timestamp"),
-        "installation_uuid", "event_id", "variant_id",
-        F.col("app_id").alias("bundle_identifier"),
-        F.concat(F.lit("issue"), "variant_id").alias("issue_id"),
-        null.alias("issue_title"), null.alias("issue_subtitle"),
-        "error_type", "process_state",
-        F.lit("PORTRAIT").alias("app_orientation"), null.alias("device_orientation"),
-        F.lit("18.2").alias("crashlytics_sdk_version"),
-        F.struct(F.col("app_version").alias("display_version"),
-                 F.col("variant_id").alias("build_version")).alias("application"),
-        F.struct(F.col("os_version").alias("display_version"), null.alias("name"),
-                 F.lit("UNMODIFIED").alias("modification_state"), F.col("device_type"))
-        .alias("operating_system"),
-        F.struct(F.col("device_brand").alias("manufacturer"),
-                 F.col("device_os_model").alias("model"), F.lit("arm64").alias("architecture"))
-        .alias("device"),
-        F.struct(F.col("source_id").alias("used"), F.lit(7).cast("bigint").alias("free"))
-        .alias("memory"),
-        F.struct(F.col("source_id").alias("used"), F.lit(9).cast("bigint").alias("free"))
-        .alias("storage"),
-        F.struct(F.col("report_user_id").alias("id"), null.alias("name"), null.alias("email"))
-        .alias("user"),
-        _entries(key("fb_user_pseudo_id", "key_pseudo_id"), key("app_user_id", "key_user_id"),
-                 key("call_state", "call_state")).alias("custom_keys"),
-        nothing.alias("logs"), nothing.alias("breadcrumbs"), null.alias("blame_frame"),
-        nothing.alias("exceptions"), nothing.alias("errors"), nothing.alias("threads"),
-        F.struct("unity_version", "processor_count", "processor_frequency_mhz")
-        .alias("unity_metadata"),
-        "table_suffix")
+    return crash_flat(spark, sf_dir).selectExpr(*expressions(CRASH_NESTED))

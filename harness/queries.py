@@ -18,7 +18,8 @@ from pulsegrain.config import ANALYTICS_TYPES, CRASH_TYPES
 from pulsegrain.functions import text, times, versions
 from pulsegrain.functions.params import key_value, with_parameter_struct
 from pulsegrain.operators.dedup import keep_one_copy
-from pulsegrain.operators.dims import aligned_struct, dimension_columns, flat_columns, pack
+from pulsegrain.operators.dims import (
+    aligned_struct, dimension_columns, expressions, flat_columns, pack)
 from pulsegrain.operators.lookups import with_country, with_language
 from pulsegrain.plans import app_health, checks, crash_raw, usage
 from pulsegrain.plans import events_raw as raw_plan
@@ -36,19 +37,22 @@ NAMES = ("first_open", "user_engagement", "LIKE 'error_%'", "like 'ui_view%'")
 
 def plain(df: DataFrame) -> DataFrame:
     """Flat scalar columns only: days as text, instants as microseconds."""
-    flat = df.select(*flat_columns(T.StructType([
-        f for f in df.schema.fields if not isinstance(f.dataType, T.ArrayType)])))
-    converted = []
-    for field in flat.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DateType):
-            column = column.cast("string")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = F.unix_micros(column)
-        elif isinstance(field.dataType, T.TimestampNTZType):
-            column = F.unix_micros(column.cast("timestamp"))
-        converted.append(column.alias(field.name))
-    return flat.select(*converted)
+    types = {}
+    for field in df.schema.fields:
+        inner = field.dataType
+        if isinstance(inner, T.StructType):
+            types.update({f"{field.name}_{f.name}": f.dataType for f in inner.fields})
+        else:
+            types[field.name] = inner
+    columns = {}
+    for column, value in flat_columns(df.schema).items():
+        if isinstance(types[column], T.DateType):
+            value = f"string({value})"
+        elif isinstance(types[column], T.TimestampType):
+            value = f"unix_micros({value})"
+        if not isinstance(types[column], T.ArrayType):
+            columns[column] = value
+    return df.selectExpr(*expressions(columns))
 
 
 def registered(query: Query) -> Query:
@@ -82,104 +86,98 @@ def stored(spark, df: DataFrame, name: str) -> DataFrame:
     return read_days(spark, path, WHOLE.analytics().start, WHOLE.analytics().end)
 
 
-def identified(df: DataFrame, *columns) -> DataFrame:
-    return df.select("event_id", "copy_no", *columns)
+def identified(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr("event_id", "copy_no", *expressions(columns))
+
+
+def timed(spark, sf_dir) -> DataFrame:
+    return exports.analytics_export(spark, sf_dir).selectExpr(
+        "event_bundle_sequence_id", "table_suffix",
+        "timestamp_micros(event_timestamp) AS event_ts",
+        "timestamp_micros(user_first_touch_timestamp) AS install_ts")
 
 
 # Expressions.
 
 @registered
 def version_parts(spark, sf_dir):
-    rows = exports.analytics_flat(spark, sf_dir)
-    bare = versions.version_without_os(F.col("os_version"), F.col("os_name"))
-    rows = rows.withColumns({"bare": bare, "app_clean": versions.clean_version(
-        F.col("app_version")), "os_clean": versions.clean_version(bare)})
-    return identified(
-        rows,
-        versions.version_struct(F.col("app_version"), F.col("app_version"), F.col("app_clean"))
-        .alias("app"),
-        versions.version_struct(F.col("os_version"), F.col("bare"), F.col("os_clean"))
-        .alias("os"))
+    rows = exports.analytics_flat(spark, sf_dir).selectExpr(
+        "*", f"{versions.clean_version('app_version')} AS app_clean",
+        f"{versions.version_without_os('os_version', 'os_name')} AS bare")
+    rows = rows.selectExpr("*", f"{versions.clean_version('bare')} AS os_clean")
+    return identified(rows, {
+        "app": versions.version_struct("app_version", "app_version", "app_clean"),
+        "os": versions.version_struct("os_version", "bare", "os_clean")})
 
 
 @registered
 def version_record(spark, sf_dir):
     rows = exports.analytics_flat(spark, sf_dir)
-    joined = versions.join_value(versions.clean_version(F.col("app_version")),
-                                 F.col("app_version"))
-    rows = rows.withColumn("join_value", joined)
-    return identified(rows, "join_value",
-                      versions.version_from_normalized(F.col("join_value")).alias("version"))
+    joined = versions.join_value(versions.clean_version("app_version"), "app_version")
+    rows = rows.selectExpr("*", f"{joined} AS join_value")
+    return identified(rows, {"join_value": "join_value",
+                             "version": versions.version_from_normalized("join_value")})
 
 
 @registered
 def install_age(spark, sf_dir):
-    rows = exports.analytics_export(spark, sf_dir).select(
-        "event_bundle_sequence_id", "table_suffix",
-        F.timestamp_micros("event_timestamp").alias("event_ts"),
-        F.timestamp_micros("user_first_touch_timestamp").alias("install_ts"))
-    return rows.withColumn("install_age", times.age_in_days(F.col("event_ts"),
-                                                            F.col("install_ts")))
+    age = times.age_in_days("event_ts", "install_ts")
+    return timed(spark, sf_dir).selectExpr("*", f"{age} AS install_age")
 
 
 @registered
 def age_groups(spark, sf_dir):
     ages = QUERIES["install_age"](spark, sf_dir)
-    return (ages.groupBy(times.age_group(F.col("install_age")).alias("install_age_group"))
+    return (ages.groupBy(F.expr(times.age_group("install_age")).alias("install_age_group"))
             .agg(F.count(F.lit(1)).alias("cnt"), F.min("install_age").alias("youngest"),
                  F.max("install_age").alias("oldest")))
 
 
 @registered
 def wall_clock_age(spark, sf_dir):
-    rows = exports.analytics_export(spark, sf_dir)
-    event_ts = F.timestamp_micros("event_timestamp")
-    install_ts = F.timestamp_micros("user_first_touch_timestamp")
-    return rows.select("event_bundle_sequence_id", "table_suffix",
-                       times.wall_clock_age(event_ts, install_ts).alias("age"),
-                       times.zone_ages(event_ts, install_ts).alias("ages"))
+    age = times.wall_clock_age("event_ts", "install_ts")
+    rows = timed(spark, sf_dir).selectExpr("*", f"{age} AS age")
+    return rows.selectExpr("*", f"{times.zone_ages('age')} AS ages").drop("event_ts",
+                                                                         "install_ts")
 
 
 @registered
 def tz_dates(spark, sf_dir):
-    rows = exports.analytics_export(spark, sf_dir)
-    return rows.select("event_bundle_sequence_id", "table_suffix",
-                       times.zone_dates(F.timestamp_micros("event_timestamp")).alias("on"))
+    rows = timed(spark, sf_dir).selectExpr("*", f"{times.hour_number('event_ts')} AS hour")
+    return rows.selectExpr("event_bundle_sequence_id", "table_suffix",
+                           f"{times.zone_dates('hour')} AS on")
 
 
 @registered
 def tz_offset(spark, sf_dir):
-    rows = exports.analytics_flat(spark, sf_dir)
-    return identified(rows, "tz_offset_s", times.offset_text(F.col("tz_offset_s"))
-                      .alias("device_time_zone_offset"))
+    return identified(exports.analytics_flat(spark, sf_dir), {
+        "tz_offset_s": "tz_offset_s",
+        "device_time_zone_offset": times.offset_text("tz_offset_s")})
 
 
 @registered
 def reverse_id(spark, sf_dir):
-    rows = exports.analytics_flat(spark, sf_dir)
-    return identified(rows, "app_id", text.reverse_dotted(F.col("app_id"))
-                      .alias("reverse_app_id"))
+    return identified(exports.analytics_flat(spark, sf_dir), {
+        "app_id": "app_id", "reverse_app_id": text.reverse_dotted("app_id")})
 
 
 @registered
 def null_if_empty(spark, sf_dir):
-    rows = exports.analytics_flat(spark, sf_dir)
-    return identified(rows, F.lower(text.null_if_empty(F.col("advertising_id")))
-                      .alias("advertising_id"))
+    return identified(exports.analytics_flat(spark, sf_dir), {
+        "advertising_id": f"lower({text.null_if_empty('advertising_id')})"})
 
 
 @registered
 def platform_from_suffix(spark, sf_dir):
-    rows = exports.crash_flat(spark, sf_dir)
-    return identified(rows, "table_suffix", text.platform_of_shard(F.col("table_suffix"))
-                      .alias("platform"))
+    return identified(exports.crash_flat(spark, sf_dir), {
+        "table_suffix": "table_suffix", "platform": text.platform_of_shard("table_suffix")})
 
 
 @registered
 def name_list_filter(spark, sf_dir):
     rows = exports.analytics_flat(spark, sf_dir)
-    listed = text.in_name_list(F.col("event_name"), NAMES)
-    anything = text.in_name_list(F.col("event_name"), [])
+    listed = F.expr(text.in_name_list("event_name", NAMES))
+    anything = F.expr(text.in_name_list("event_name", []))
     return (rows.groupBy("event_name")
             .agg(F.count_if(listed).alias("listed"), F.count_if(anything).alias("all_rows")))
 
@@ -200,14 +198,12 @@ def kv_extract(spark, sf_dir):
 
 @registered
 def kv_extract_crash(spark, sf_dir):
-    rows = exports.crash_export(spark, sf_dir)
-    known = rows.select(
-        "event_id", "received_timestamp", "user.id",
-        key_value("custom_keys", fv.CRASH_ANALYTICS_USER_KEY).alias("pseudo_id"),
-        F.coalesce(F.col("user.id"), key_value("custom_keys", fv.CRASH_APP_USER_KEY))
-        .alias("user_id"),
-        F.col("custom_keys").alias("keys"))
-    with_keys = with_parameter_struct(known, "custom_keys", "keys", SETTINGS.crash_keys,
+    analytics_user = key_value("custom_keys", fv.CRASH_ANALYTICS_USER_KEY)
+    app_user = key_value("custom_keys", fv.CRASH_APP_USER_KEY)
+    rows = exports.crash_export(spark, sf_dir).selectExpr(
+        "event_id", "received_timestamp", "user.id", f"{analytics_user} AS pseudo_id",
+        f"coalesce(user.id, {app_user}) AS user_id", "custom_keys AS keys")
+    with_keys = with_parameter_struct(rows, "custom_keys", "keys", SETTINGS.crash_keys,
                                       CRASH_TYPES)
     return with_parameter_struct(with_keys, "no_keys", "keys", (), CRASH_TYPES).drop("keys")
 
@@ -217,18 +213,19 @@ def struct_pack_unpack(spark, sf_dir):
     raw = events_raw_of(spark, sf_dir)
     wanted = ["app_id", "app_version", "geo", "device_hardware"]
     ignored = SETTINGS.fields_left_out_of_rollups
-    flat = raw.select("event_ts", *flat_columns(raw.schema, wanted, ignored,
-                                                {"device_hardware.type"}, prefix="x_"))
-    packed = flat.select("event_ts", *pack(flat, raw.schema, wanted, ignored, "x_"))
-    return packed.select("event_ts", *dimension_columns(packed.schema, wanted))
+    flat = raw.selectExpr("event_ts", *expressions(flat_columns(
+        raw.schema, wanted, ignored, {"device_hardware.type"}, prefix="x_")))
+    packed = flat.selectExpr("event_ts", *expressions(
+        pack(raw.schema, wanted, ignored, "x_")))
+    return packed.selectExpr("event_ts", *expressions(
+        dimension_columns(packed.schema, wanted)))
 
 
 @registered
 def schema_align(spark, sf_dir):
     rows = exports.crash_export(spark, sf_dir)
-    return rows.select("event_id", "received_timestamp",
-                       aligned_struct(rows.schema, "unity_metadata", fv.UNITY_METADATA)
-                       .alias("unity"))
+    unity = aligned_struct(rows.schema, "unity_metadata", fv.UNITY_METADATA)
+    return rows.selectExpr("event_id", "received_timestamp", f"{unity} AS unity")
 
 
 # Lookups.
@@ -236,15 +233,16 @@ def schema_align(spark, sf_dir):
 @registered
 def geo_lookup(spark, sf_dir):
     rows = exports.analytics_flat(spark, sf_dir)
-    return identified(with_country(rows, exports.lookups(spark), "country"), "country",
-                      "iso_country_name", "iso_country_alpha_2")
+    return with_country(rows, exports.lookups(spark), "country").select(
+        "event_id", "copy_no", "country", "iso_country_name", "iso_country_alpha_2")
 
 
 @registered
 def language_lookup(spark, sf_dir):
     rows = exports.analytics_flat(spark, sf_dir)
-    return identified(with_language(rows, exports.lookups(spark), "language"), "language",
-                      "iso_language_alpha_2", "iso_language_country_alpha_2")
+    return with_language(rows, exports.lookups(spark), "language").select(
+        "event_id", "copy_no", "language", "iso_language_alpha_2",
+        "iso_language_country_alpha_2")
 
 
 # Copies.
@@ -267,19 +265,19 @@ def dedup_crashes(spark, sf_dir):
 
 @registered
 def window_filter(spark, sf_dir):
-    rows = exports.analytics_export(spark, sf_dir)
     window = TRAILING.analytics()
-    ts = F.timestamp_micros("event_timestamp")
-    rows = rows.where(window.has_day_of_micros(F.col("event_timestamp")))
-    return rows.select("event_bundle_sequence_id", "table_suffix",
-                       times.utc_date(ts).alias("event_date"),
-                       window.has_instant(ts).alias("in_instants"))
+    rows = exports.analytics_export(spark, sf_dir)
+    rows = rows.where(window.has_day_of_micros("event_timestamp"))
+    ts = "timestamp_micros(event_timestamp)"
+    return rows.selectExpr("event_bundle_sequence_id", "table_suffix",
+                           f"{times.utc_date(ts)} AS event_date",
+                           f"{window.has_instant(ts)} AS in_instants")
 
 
 @registered
 def shard_filter(spark, sf_dir):
     rows = exports.analytics_export(spark, sf_dir)
-    return (rows.where(TRAILING.shards().has_shard(F.col("table_suffix")))
+    return (rows.where(TRAILING.shards().has_shard("table_suffix"))
             .groupBy("table_suffix").agg(F.count(F.lit(1)).alias("cnt")))
 
 
@@ -306,7 +304,7 @@ def incremental_overwrite(spark, sf_dir):
     path = scratch_path(spark, "daily")
     write_days(daily.withColumn("written_by", F.lit("first")), path, ["platform"],
                full_refresh=True)
-    again = daily.where(TRAILING.analytics().has_date(F.col("event_date")))
+    again = daily.where(TRAILING.analytics().has_date("event_date"))
     write_days(again.withColumn("written_by", F.lit("second")), path, ["platform"])
     return read_days(spark, path, WHOLE.analytics().start, WHOLE.analytics().end)
 

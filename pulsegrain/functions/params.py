@@ -9,66 +9,66 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import ParamSpec
+from pulsegrain.functions.sqltext import aliased, literal, name, struct
 from pulsegrain.functions.text import in_name_list
 
 
-def key_position(entries: str, key: str, on_duplicate: str = "error") -> Column:
+def key_position(entries: str, key: str, on_duplicate: str = "error") -> str:
     """1-based position of the key's entry, 0 if there is none.
 
     A key that occurs twice has no single value, which is an error unless
     ``on_duplicate`` is ``"first"``.
     """
-    keys = F.col(f"{entries}.key")
-    position = F.coalesce(F.array_position(keys, key), F.lit(0))
+    keys, wanted = name(entries, "key"), literal(key)
+    position = f"coalesce(array_position({keys}, {wanted}), 0)"
     if on_duplicate == "first":
         return position
     # One cheap test per row first; counting this key's entries only if it fails.
-    repeats = F.size(F.array_distinct(keys)) < F.size(keys)
-    occurs = F.size(keys) - F.size(F.array_remove(keys, key))
-    message = F.lit(f"key {key!r} occurs more than once in {entries}")
-    return (F.when(repeats & (occurs > 1), F.raise_error(message).cast("bigint"))
-            .otherwise(position))
+    repeats = f"size(array_distinct({keys})) < size({keys})"
+    occurs = f"size({keys}) - size(array_remove({keys}, {wanted}))"
+    message = literal(f"key {key!r} occurs more than once in {entries}")
+    return (f"if({repeats} AND {occurs} > 1, bigint(raise_error({message})), {position})")
 
 
-def value_at(entries: str, position: Column, value_field: str | None) -> Column:
-    path = f"{entries}.value" if value_field is None else f"{entries}.value.{value_field}"
-    return F.get(F.col(path), (position - 1).cast("int"))
+def value_at(entries: str, position: str, value_field: str | None) -> str:
+    path = (entries, "value") if value_field is None else (entries, "value", value_field)
+    return f"get({name(*path)}, int({position} - 1))"
 
 
 def key_value(entries: str, key: str, value_field: str | None = None,
-              on_duplicate: str = "error") -> Column:
+              on_duplicate: str = "error") -> str:
     """The value of one key, NULL when absent."""
     return value_at(entries, key_position(entries, key, on_duplicate), value_field)
 
 
-def with_parameter_struct(df: DataFrame, name: str, entries: str, specs: Sequence[ParamSpec],
+def with_parameter_struct(df: DataFrame, field: str, entries: str, specs: Sequence[ParamSpec],
                           types: Mapping[str, tuple[str | None, str]],
                           on_duplicate: str = "error") -> DataFrame:
-    """Add struct ``name`` with one field per parameter found in ``entries``."""
+    """Add struct ``field`` with one field per parameter found in ``entries``."""
     if not specs:
-        return df.withColumn(name, F.struct(F.lit(fv.NO_CUSTOM_KEYS).alias("empty")))
-    positions = {key: f"__{name}_at_{i}"
+        return df.selectExpr("*", aliased(struct({"empty": literal(fv.NO_CUSTOM_KEYS)}), field))
+    positions = {key: f"__{field}_at_{i}"
                  for i, key in enumerate(dict.fromkeys(p.key_name for p in specs))}
-    values = {pair: f"__{name}_value_{i}" for i, pair in enumerate(
+    values = {pair: f"__{field}_value_{i}" for i, pair in enumerate(
         dict.fromkeys((p.key_name, p.value_field(types)) for p in specs))}
-    staged = df.withColumns({column: key_position(entries, key, on_duplicate)
-                             for key, column in positions.items()})
-    staged = staged.withColumns({column: value_at(entries, F.col(positions[key]), value_field)
-                                 for (key, value_field), column in values.items()})
-    fields = []
+    staged = df.selectExpr("*", *[
+        aliased(key_position(entries, key, on_duplicate), column)
+        for key, column in positions.items()])
+    staged = staged.selectExpr("*", *[
+        aliased(value_at(entries, name(positions[key]), value_field), column)
+        for (key, value_field), column in values.items()])
+    fields = {}
     for spec in specs:
-        value = f"`{values[spec.key_name, spec.value_field(types)]}`"
-        extracted = F.expr(spec.extract_transformation.replace("##", value))
+        value = name(values[spec.key_name, spec.value_field(types)])
+        extracted = spec.extract_transformation.replace("##", value)
         # Without an entry there is no value, whatever the template makes of NULL.
-        present = F.col(positions[spec.key_name]) > 0
+        present = f"{name(positions[spec.key_name])} > 0"
         if spec.event_name_filter:
-            present = present & in_name_list(F.col("event_name"), spec.event_name_filter)
-        fields.append(F.when(present, extracted.cast(spec.spark_type(types)))
-                      .alias(spec.struct_field_name))
-    return (staged.withColumn(name, F.struct(*fields))
-            .drop(*positions.values(), *values.values()))
+            present += f" AND {in_name_list('event_name', spec.event_name_filter)}"
+        fields[spec.struct_field_name] = (
+            f"if({present}, CAST({extracted} AS {spec.spark_type(types)}), NULL)")
+    return staged.selectExpr(*[name(c) for c in df.columns], aliased(struct(fields), field))

@@ -4,57 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pulsegrain.functions.sqltext import literal
 
 
-def reverse_dotted(name: Column) -> Column:
+def reverse_dotted(dotted: str) -> str:
     """``com.example.app`` -> ``app.example.com``."""
-    return F.array_join(F.reverse(F.split(name, "[.]")), ".")
+    return f"array_join(reverse(split({dotted}, '[.]')), '.')"
 
 
-def null_if_empty(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+def null_if_empty(text: str) -> str:
+    return f"nullif({text}, '')"
 
 
-def first_tag_part(tag: Column) -> Column:
-    return F.get(F.split(tag, "-"), 0)
+def first_tag_part(tag: str) -> str:
+    return f"get(split({tag}, '-'), 0)"
 
 
-def last_tag_part(tag: Column) -> Column:
+def last_tag_part(tag: str) -> str:
     """Last part of a language tag; of a one-part tag that is the whole tag."""
-    return F.try_element_at(F.split(tag, "-"), F.lit(-1))
+    return f"try_element_at(split({tag}, '-'), -1)"
 
 
-def platform_of_shard(suffix: Column) -> Column:
-    return (F.when(suffix.like("%ANDROID%"), F.lit("ANDROID"))
-            .when(suffix.like("%IOS%"), F.lit("IOS"))
-            .otherwise(F.lit("UNKNOWN")))
+def platform_of_shard(suffix: str) -> str:
+    return (f"CASE WHEN {suffix} LIKE '%ANDROID%' THEN 'ANDROID' "
+            f"WHEN {suffix} LIKE '%IOS%' THEN 'IOS' ELSE 'UNKNOWN' END")
 
 
-def matches_any(column: Column, like_patterns: Iterable[str]) -> Column:
-    tests = [column.like(pattern) for pattern in like_patterns]
-    result = tests[0]
-    for test in tests[1:]:
-        result = result | test
-    return result
-
-
-def in_name_list(column: Column, names: Iterable[str]) -> Column:
+def in_name_list(column: str, names: Iterable[str]) -> str:
     """True for the listed names; an entry ``LIKE '<pattern>'`` is a pattern.
 
     An empty list accepts every row.
     """
-    exact, patterns = [], []
-    for name in names:
-        if name.lower().startswith("like "):
-            patterns.append(name[len("like "):].strip().strip("'\""))
-        else:
-            exact.append(name)
-    if not exact and not patterns:
-        return F.lit(True)
-    if not patterns:
-        return column.isin(exact)
-    if not exact:
-        return matches_any(column, patterns)
-    return column.isin(exact) | matches_any(column, patterns)
+    names = list(names)
+    tests = [f"{column} {n}" for n in names if n.lower().startswith("like ")]
+    exact = [literal(n) for n in names if not n.lower().startswith("like ")]
+    if exact:
+        tests.insert(0, f"{column} IN ({', '.join(exact)})")
+    return f"({' OR '.join(tests)})" if tests else "true"

@@ -2,43 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Mapping
 
 from pulsegrain import fixed_values as fv
+from pulsegrain.functions.sqltext import literal, struct
 
 
-def clean_version(version: Column) -> Column:
+def clean_version(version: str) -> str:
     """Leading one to three numeric parts; NULL when there are none."""
-    return F.nullif(F.regexp_extract(version, fv.VERSION_PATTERN, 1), F.lit(""))
+    return f"nullif(regexp_extract({version}, {literal(fv.VERSION_PATTERN)}, 1), '')"
 
 
-def part(cleaned: Column, index: int) -> Column:
-    return F.get(F.split(cleaned, "[.]"), index).try_cast("bigint")
+def part(cleaned: str, index: int) -> str:
+    return f"try_cast(get(split({cleaned}, '[.]'), {index}) AS bigint)"
 
 
-def major_minor(cleaned: Column) -> Column:
+def major_minor(cleaned: str) -> str:
     """As a decimal number, so 17.1 and 17.10 are the same."""
-    minor = F.coalesce(part(cleaned, 1), F.lit(0))
-    return F.concat(part(cleaned, 0).cast("string"), F.lit("."),
-                    minor.cast("string")).try_cast("double")
+    return (f"try_cast(concat(string({part(cleaned, 0)}), '.', "
+            f"string(coalesce({part(cleaned, 1)}, 0))) AS double)")
 
 
-def _six_digits(number: Column) -> Column:
-    # lpad would cut a longer part, so pad only what is short.
-    text = F.coalesce(number, F.lit(0)).cast("string")
-    width = fv.VERSION_PART_DIGITS
-    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+def _six_digits(number: str) -> str:
+    # lpad would cut a longer part, so pad only as far as it is short.
+    text = f"string(coalesce({number}, 0))"
+    return f"lpad({text}, greatest({fv.VERSION_PART_DIGITS}, length({text})), '0')"
 
 
-def normalized(cleaned: Column) -> Column:
+def normalized(cleaned: str) -> str:
     """Sortable integer, six digits per part; NULL if it does not fit."""
-    digits = F.concat(*[_six_digits(part(cleaned, n)) for n in range(3)])
-    return F.when(cleaned.isNotNull(), digits.try_cast("bigint"))
+    digits = ", ".join(_six_digits(part(cleaned, n)) for n in range(3))
+    return f"if({cleaned} IS NOT NULL, try_cast(concat({digits}) AS bigint), NULL)"
 
 
-def join_value(cleaned: Column, version: Column) -> Column:
-    return F.coalesce(normalized(cleaned).cast("string"), version)
+def join_value(cleaned: str, version: str) -> str:
+    return f"coalesce(string({normalized(cleaned)}), {version})"
 
 
 KINDS = {
@@ -51,56 +49,55 @@ KINDS = {
 }
 
 
-def version_as(version: Column, kind: str) -> Column:
+def version_as(version: str, kind: str) -> str:
     if kind not in KINDS:
         raise ValueError(f"unknown version kind {kind!r}; one of {tuple(KINDS)}")
     return KINDS[kind](clean_version(version))
 
 
-def version_struct(original: Column, version: Column, cleaned: Column,
-                   **extra: Column) -> Column:
+def version_struct(original: str, version: str, cleaned: str,
+                   extra: Mapping[str, str] | None = None) -> str:
     """The version record.
 
     ``version`` is ``original`` without any OS name and ``cleaned`` is its
     cleaned form, passed in so that a caller can compute it once per row.
     """
-    return F.struct(
-        original.alias("firebase_value"),
-        *[value.alias(name) for name, value in extra.items()],
-        part(cleaned, 0).alias("major"),
-        part(cleaned, 1).alias("minor"),
-        part(cleaned, 2).alias("bugfix"),
-        major_minor(cleaned).alias("major_minor"),
-        cleaned.alias("major_minor_bugfix"),
-        normalized(cleaned).alias("normalized"),
-        join_value(cleaned, version).alias("join_value"),
-    )
+    return struct({
+        "firebase_value": original,
+        **(extra or {}),
+        "major": part(cleaned, 0),
+        "minor": part(cleaned, 1),
+        "bugfix": part(cleaned, 2),
+        "major_minor": major_minor(cleaned),
+        "major_minor_bugfix": cleaned,
+        "normalized": normalized(cleaned),
+        "join_value": join_value(cleaned, version),
+    })
 
 
-def version_without_os(os_version: Column, os_name: Column) -> Column:
-    return F.replace(os_version, F.concat(os_name, F.lit(" ")), F.lit(""))
+def version_without_os(os_version: str, os_name: str) -> str:
+    return f"replace({os_version}, concat({os_name}, ' '), '')"
 
 
-def version_from_normalized(text: Column) -> Column:
+def version_from_normalized(text: str) -> str:
     """Version record from a join value.
 
     The digits are read from the right. Text that is no number, or too short
     (which includes every version with major 0), gives a record of NULLs.
     """
-    number = text.try_cast("bigint")
-    usable = number.isNotNull() & (F.length(text) >= fv.VERSION_RECORD_MIN_LENGTH)
+    number = f"try_cast({text} AS bigint)"
     width = fv.VERSION_PART_DIGITS
-    major = F.substring(text, F.lit(1), F.length(text) - 2 * width).try_cast("bigint")
-    minor = F.substring(text, -2 * width, width).try_cast("bigint")
-    bugfix = F.substring(text, -width, width).try_cast("bigint")
-    dot = F.lit(".")
-    short = F.concat(major.cast("string"), dot, minor.cast("string"))
+    usable = f"{number} IS NOT NULL AND length({text}) >= {fv.VERSION_RECORD_MIN_LENGTH}"
+    major = f"try_cast(substring({text}, 1, length({text}) - {2 * width}) AS bigint)"
+    minor = f"try_cast(substring({text}, {-2 * width}, {width}) AS bigint)"
+    bugfix = f"try_cast(substring({text}, {-width}, {width}) AS bigint)"
+    short = f"concat(string({major}), '.', string({minor}))"
     values = {
         "major": major,
         "minor": minor,
         "bugfix": bugfix,
-        "major_minor": short.try_cast("double"),
-        "major_minor_bugfix": F.concat(short, dot, bugfix.cast("string")),
+        "major_minor": f"try_cast({short} AS double)",
+        "major_minor_bugfix": f"concat({short}, '.', string({bugfix}))",
         "normalized": number,
     }
-    return F.struct(*[F.when(usable, value).alias(name) for name, value in values.items()])
+    return struct({field: f"if({usable}, {value}, NULL)" for field, value in values.items()})

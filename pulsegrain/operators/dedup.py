@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsegrain.functions.sqltext import aliased, name
+
 COUNT_COLUMN = "duplicates_cnt"
 
 
@@ -37,6 +39,6 @@ def keep_one_copy(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()
         survivor = F.min_by(row, F.struct(*order))
     grouped = df.groupBy(*keys).agg(survivor.alias("__row"),
                                     F.count(F.lit(1)).alias(count_column))
-    return grouped.select(
-        *[F.col(c) if c in keys else F.col(f"__row.`{c}`") for c in df.columns],
-        count_column)
+    return grouped.selectExpr(
+        *[name(c) if c in keys else aliased(name("__row", c), c) for c in df.columns],
+        name(count_column))

@@ -1,14 +1,16 @@
-"""Dimension columns: selection by schema, dropped fields, sentinels, flat form."""
+"""Dimension columns: selection by schema, dropped fields, sentinels, flat form.
+
+All of these return SQL expressions for ``selectExpr``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrain import fixed_values as fv
+from pulsegrain.functions.sqltext import aliased, literal, name, struct
 
 
 def _fields(field: T.StructField, ignored: Collection[str]) -> list[T.StructField]:
@@ -18,14 +20,13 @@ def _fields(field: T.StructField, ignored: Collection[str]) -> list[T.StructFiel
     return [f for f in field.dataType.fields if f"{field.name}.{f.name}" not in ignored]
 
 
-def _value(field: T.StructField, inner: T.StructField, sentinel: Collection[str],
-           table: str) -> Column:
+def _value(field: T.StructField, inner: T.StructField, sentinel: Collection[str]) -> str:
     path = f"{field.name}.{inner.name}"
-    if path in sentinel:
-        if not isinstance(inner.dataType, T.StringType):
-            raise ValueError(f"{path} is no string, it cannot hold the sentinel")
-        return F.lit(fv.SENTINEL)
-    return F.col(f"{table}`{field.name}`.`{inner.name}`")
+    if path not in sentinel:
+        return name(field.name, inner.name)
+    if not isinstance(inner.dataType, T.StringType):
+        raise ValueError(f"{path} is no string, it cannot hold the sentinel")
+    return literal(fv.SENTINEL)
 
 
 def selected(schema: T.StructType, wanted: Collection[str] | str,
@@ -37,60 +38,59 @@ def selected(schema: T.StructType, wanted: Collection[str] | str,
 
 def dimension_columns(schema: T.StructType, wanted: Collection[str] | str,
                       ignored: Collection[str] = (), sentinel: Collection[str] = (),
-                      table: str = "", prefix: str = "") -> list[Column]:
-    """Grouping columns, structs rebuilt from the fields that remain.
+                      prefix: str = "") -> dict[str, str]:
+    """Grouping columns by name, structs rebuilt from the fields that remain.
 
     A struct that loses every field is left out. Only the remaining fields are
     referenced, so the scan reads no others.
     """
-    columns = []
+    columns = {}
     for field in selected(schema, wanted, ignored):
-        name = prefix + field.name
         if not isinstance(field.dataType, T.StructType):
-            columns.append(F.col(f"{table}`{field.name}`").alias(name))
+            columns[prefix + field.name] = name(field.name)
             continue
         kept = _fields(field, ignored)
         if kept:
-            columns.append(F.struct(*[
-                _value(field, inner, sentinel, table).alias(inner.name) for inner in kept
-            ]).alias(name))
+            columns[prefix + field.name] = struct(
+                {inner.name: _value(field, inner, sentinel) for inner in kept})
     return columns
 
 
 def flat_columns(schema: T.StructType, wanted: Collection[str] | str = "*",
                  ignored: Collection[str] = (), sentinel: Collection[str] = (),
-                 table: str = "", prefix: str = "") -> list[Column]:
+                 prefix: str = "") -> dict[str, str]:
     """The same dimensions with every struct field as its own column ``struct_field``."""
-    columns = []
+    columns = {}
     for field in selected(schema, wanted, ignored):
         if not isinstance(field.dataType, T.StructType):
-            columns.append(F.col(f"{table}`{field.name}`").alias(prefix + field.name))
+            columns[prefix + field.name] = name(field.name)
             continue
-        columns += [_value(field, inner, sentinel, table)
-                    .alias(f"{prefix}{field.name}_{inner.name}")
-                    for inner in _fields(field, ignored)]
+        for inner in _fields(field, ignored):
+            columns[f"{prefix}{field.name}_{inner.name}"] = _value(field, inner, sentinel)
     return columns
 
 
-def pack(df: DataFrame, schema: T.StructType, wanted: Collection[str] | str = "*",
-         ignored: Collection[str] = (), flat_prefix: str = "",
-         prefix: str = "") -> list[Column]:
+def pack(schema: T.StructType, wanted: Collection[str] | str = "*",
+         ignored: Collection[str] = (), flat_prefix: str = "", prefix: str = "") -> dict[str, str]:
     """Inverse of :func:`flat_columns`: structs shaped as in ``schema``."""
-    columns = []
+    columns = {}
     for field in selected(schema, wanted, ignored):
         if not isinstance(field.dataType, T.StructType):
-            columns.append(df[flat_prefix + field.name].alias(prefix + field.name))
+            columns[prefix + field.name] = name(flat_prefix + field.name)
             continue
         kept = _fields(field, ignored)
         if kept:
-            columns.append(F.struct(*[
-                df[f"{flat_prefix}{field.name}_{inner.name}"].alias(inner.name)
-                for inner in kept]).alias(prefix + field.name))
+            columns[prefix + field.name] = struct(
+                {inner.name: name(f"{flat_prefix}{field.name}_{inner.name}") for inner in kept})
     return columns
 
 
+def expressions(columns: dict[str, str]) -> list[str]:
+    return [aliased(value, column) for column, value in columns.items()]
+
+
 def aligned_struct(schema: T.StructType, column: str,
-                   wanted: Collection[tuple[str, str, bool]]) -> Column:
+                   wanted: Collection[tuple[str, str, bool]]) -> str:
     """Struct of exactly the wanted ``(name, type, filled)`` fields.
 
     A field that is not filled, or that ``column`` does not have, is NULL.
@@ -98,7 +98,7 @@ def aligned_struct(schema: T.StructType, column: str,
     present: set[str] = set()
     if column in schema.names and isinstance(schema[column].dataType, T.StructType):
         present = set(schema[column].dataType.names)
-    return F.struct(*[
-        (F.col(f"`{column}`.`{name}`") if filled and name in present else F.lit(None))
-        .cast(data_type).alias(name)
-        for name, data_type, filled in wanted])
+    return struct({
+        field: f"CAST({name(column, field) if filled and field in present else 'NULL'} "
+               f"AS {data_type})"
+        for field, data_type, filled in wanted})

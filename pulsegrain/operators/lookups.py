@@ -43,11 +43,10 @@ class Lookups:
 def with_country(df: DataFrame, lookups: Lookups, country: str) -> DataFrame:
     """Add ``iso_country_name`` and ``iso_country_alpha_2`` by country name."""
     # Countries without an exported name match nothing, not even an empty name.
-    seed = lookups.country.where(F.col("firebase_name") != "").select(
-        F.lower("firebase_name").alias("__country_key"),
-        F.col("name").alias("iso_country_name"),
-        F.col("alpha_2").alias("iso_country_alpha_2"))
-    return (df.join(F.broadcast(seed), F.lower(F.col(country)) == F.col("__country_key"), "left")
+    seed = lookups.country.where("firebase_name != ''").selectExpr(
+        "lower(firebase_name) AS __country_key", "name AS iso_country_name",
+        "alpha_2 AS iso_country_alpha_2")
+    return (df.join(F.broadcast(seed), F.expr(f"lower({country}) = __country_key"), "left")
             .drop("__country_key"))
 
 
@@ -57,9 +56,9 @@ def with_language(df: DataFrame, lookups: Lookups, tag: str) -> DataFrame:
     The country is the *last* part, so that three-part tags work. A one-part
     tag is therefore also read as a country.
     """
-    language = lookups.language.select(F.col("alpha_2").alias("iso_language_alpha_2"))
-    region = lookups.country.select(F.col("alpha_2").alias("iso_language_country_alpha_2"))
-    spoken = F.lower(first_tag_part(F.col(tag)))
-    place = F.lower(last_tag_part(F.col(tag)))
-    return (df.join(F.broadcast(language), spoken == F.col("iso_language_alpha_2"), "left")
-            .join(F.broadcast(region), place == F.col("iso_language_country_alpha_2"), "left"))
+    language = lookups.language.selectExpr("alpha_2 AS iso_language_alpha_2")
+    region = lookups.country.selectExpr("alpha_2 AS iso_language_country_alpha_2")
+    spoken = F.expr(f"lower({first_tag_part(tag)}) = iso_language_alpha_2")
+    place = F.expr(f"lower({last_tag_part(tag)}) = iso_language_country_alpha_2")
+    return (df.join(F.broadcast(language), spoken, "left")
+            .join(F.broadcast(region), place, "left"))

@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain.config import ParamSpec
+from pulsegrain.functions.sqltext import aliased, name, struct
+from pulsegrain.operators.dims import expressions
 
+METRIC_INPUT = "__metric_input"
 
-def metric_aggregates(metrics: Sequence[ParamSpec],
-                      struct: str = "event_parameters") -> list[Column]:
-    return [F.expr(m.metric_sql(struct)).alias(m.rollup_struct_field_name) for m in metrics]
 
+def metric_input(metrics: Sequence[ParamSpec]) -> list[str]:
+    """The struct that metric templates read, with just the fields they need."""
+    fields = dict.fromkeys(m.struct_field_name for m in metrics)
+    if not fields:
+        return []
+    return [aliased(struct({f: name("event_parameters", f) for f in fields}), METRIC_INPUT)]
 
-def rollup(df: DataFrame, keys: Sequence[Column], user: str,
-           metrics: Sequence[ParamSpec] = ()) -> DataFrame:
-    """Group by ``keys``: rows, distinct users, configured metrics.
+
+def aggregate(df: DataFrame, keys: Sequence[str], user: str,
+              metrics: Sequence[ParamSpec] = ()) -> DataFrame:
+    """Group by columns: rows, distinct users, configured metrics.
 
     Spark plans the distinct count as an aggregate by keys and user followed by
     one by keys, both with a partial step, so neither a hot user nor a hot
@@ -26,4 +33,12 @@ def rollup(df: DataFrame, keys: Sequence[Column], user: str,
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cnt"),
         F.countDistinct(F.col(user)).alias("users"),
-        *metric_aggregates(metrics))
+        *[F.expr(m.metric_sql(METRIC_INPUT)).alias(m.rollup_struct_field_name)
+          for m in metrics])
+
+
+def rollup(df: DataFrame, keys: Mapping[str, str], user: str,
+           metrics: Sequence[ParamSpec] = ()) -> DataFrame:
+    """:func:`aggregate` by the given expressions."""
+    rows = df.selectExpr(*expressions({**keys, "__user": name(user)}), *metric_input(metrics))
+    return aggregate(rows, list(keys), "__user", metrics)

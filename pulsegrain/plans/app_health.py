@@ -5,13 +5,15 @@ from __future__ import annotations
 import warnings
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import MeasureSpec
+from pulsegrain.functions.sqltext import aliased, name, struct
 from pulsegrain.functions.text import in_name_list
 from pulsegrain.functions.versions import version_from_normalized
+from pulsegrain.operators.dims import expressions
 from pulsegrain.windows import Run
 
 KEYS = tuple(fv.HEALTH_DIMENSIONS)
@@ -20,7 +22,8 @@ SOURCES = ("analytics", "analytics_forced_nulls", "installs", "crashlytics")
 
 
 def measures_of(measures: tuple[MeasureSpec, ...], model: str) -> dict[str, str]:
-    return {name: sql for m in measures if m.model == model for name, sql in m.columns().items()}
+    return {column: sql for m in measures if m.model == model
+            for column, sql in m.columns().items()}
 
 
 def _event_names(measures: tuple[MeasureSpec, ...], model: str) -> list[str]:
@@ -29,11 +32,12 @@ def _event_names(measures: tuple[MeasureSpec, ...], model: str) -> list[str]:
 
 
 def by_health_keys(rows: DataFrame, aggregates: dict[str, str]) -> DataFrame:
-    keys = [F.col(path).alias(name) for name, path in fv.HEALTH_DIMENSIONS.items()]
-    aggs = [F.expr(sql).alias(name) for name, sql in aggregates.items()]
-    if not aggs:
-        return rows.select(*keys).distinct()
-    return rows.groupBy(*keys).agg(*aggs)
+    """Group a rollup to the health grain; aggregates may use any of its columns."""
+    if not aggregates:
+        return rows.selectExpr(*expressions(fv.HEALTH_DIMENSIONS)).distinct()
+    keys = [F.expr(path).alias(key) for key, path in fv.HEALTH_DIMENSIONS.items()]
+    return rows.groupBy(*keys).agg(*[F.expr(sql).alias(measure)
+                                     for measure, sql in aggregates.items()])
 
 
 def health_inputs(events: DataFrame, events_forced_nulls: DataFrame, installs: DataFrame,
@@ -44,17 +48,15 @@ def health_inputs(events: DataFrame, events_forced_nulls: DataFrame, installs: D
         if m.ignores_filter:
             warnings.warn(f"measure {m.name!r}: additional_filter has no effect together "
                           "with a LIKE event name", stacklevel=3)
-    day = F.col("event_date")
-    usage_days, crash_days = run.analytics().has_date(day), run.crash().has_date(day)
+    usage_days = run.analytics().has_date("event_date")
     forced_names = _event_names(measures, "analytics_forced_nulls")
-    forced_rows = (in_name_list(F.col("event_name"), forced_names) if forced_names
-                   else F.lit(False))
     rows = {
-        "analytics": events.where(usage_days & in_name_list(
-            F.col("event_name"), _event_names(measures, "analytics"))),
-        "analytics_forced_nulls": events_forced_nulls.where(usage_days & forced_rows),
+        "analytics": events.where(usage_days).where(
+            in_name_list("event_name", _event_names(measures, "analytics"))),
+        "analytics_forced_nulls": events_forced_nulls.where(usage_days).where(
+            in_name_list("event_name", forced_names) if forced_names else "false"),
         "installs": installs.where(usage_days),
-        "crashlytics": crash_events.where(crash_days),
+        "crashlytics": crash_events.where(run.crash().has_date("event_date")),
     }
     return {source: by_health_keys(df, {"installs": "SUM(users)"} if source == "installs"
                                    else measures_of(measures, source))
@@ -73,28 +75,25 @@ def combine(inputs: dict[str, DataFrame], merge_keys: bool = False) -> DataFrame
     spread like all others instead of meeting in one NULL group.
     """
     columns = {source: [c for c in df.columns if c not in KEYS] for source, df in inputs.items()}
-    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in KEYS])
+    measures = [c for names in columns.values() for c in names]
     stacked = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [df.withColumn("__source", F.lit(source)) for source, df in inputs.items()])
+        [df.selectExpr("*", f"'{source}' AS __source") for source, df in inputs.items()])
+    # A measure is filled by its own input alone, which has each key once.
     merged = stacked.groupBy(*KEYS).agg(
-        *[F.max(F.col("__source") == source).alias(f"__has_{source}") for source in inputs],
-        *[F.first(F.when(F.col("__source") == source, F.col(c)), ignorenulls=True).alias(c)
-          for source, names in columns.items() for c in names])
-    measures = [c for names in columns.values() for c in names]
+        *[F.expr(f"bool_or(__source = '{source}')").alias(f"__has_{source}")
+          for source in inputs],
+        *[F.expr(f"first({name(c)}, true)").alias(c) for c in measures])
     if merge_keys:
         return merged.select(*KEYS, *measures)
 
-    lead = SOURCES[0]
-    present = F.array_compact(F.array(*[F.when(F.col(f"__has_{s}"), F.lit(s)) for s in inputs]))
-    joined = F.col(f"__has_{lead}") & ~has_null
-    rows = merged.withColumn("__row", F.explode(
-        F.when(joined, F.array(F.lit("all"))).otherwise(present)))
-
-    def shown(source: str, name: str) -> Column:
-        return F.when(F.col("__row").isin("all", source), F.col(name)).alias(name)
-
-    return rows.select(*KEYS, *[shown(s, c) for s, names in columns.items() for c in names])
+    complete = " AND ".join(f"{key} IS NOT NULL" for key in KEYS)
+    alone = ", ".join(f"if(__has_{source}, '{source}', NULL)" for source in inputs)
+    rows = merged.selectExpr("*", f"""explode(if(__has_{SOURCES[0]} AND {complete},
+        array('all'), array_compact(array({alone})))) AS __row""")
+    return rows.selectExpr(*KEYS, *[
+        aliased(f"if(__row IN ('all', '{source}'), {name(c)}, NULL)", c)
+        for source, names in columns.items() for c in names])
 
 
 def build_app_health(events: DataFrame, events_forced_nulls: DataFrame, installs: DataFrame,
@@ -105,14 +104,12 @@ def build_app_health(events: DataFrame, events_forced_nulls: DataFrame, installs
     count a person once per group.
     """
     inputs = health_inputs(events, events_forced_nulls, installs, crash_events, run)
-    combined = combine(inputs, merge_keys)
-    names = [name for m in run.settings.measures for name in m.columns()]
-    return combined.select(
+    return combine(inputs, merge_keys).selectExpr(
         "event_date", "platform", "app_id", "reverse_app_id",
-        version_from_normalized(F.col("app_version_join_value")).alias("app_version"),
-        version_from_normalized(F.col("platform_version_join_value")).alias("platform_version"),
-        F.struct(F.col("device_hardware_type").alias("type"),
-                 F.col("device_hardware_manufacturer").alias("manufacturer"),
-                 F.col("device_hardware_os_model").alias("os_model")).alias("device_hardware"),
+        aliased(version_from_normalized("app_version_join_value"), "app_version"),
+        aliased(version_from_normalized("platform_version_join_value"), "platform_version"),
+        aliased(struct({"type": "device_hardware_type",
+                        "manufacturer": "device_hardware_manufacturer",
+                        "os_model": "device_hardware_os_model"}), "device_hardware"),
         "installs",
-        *names)
+        *[name(c) for m in run.settings.measures for c in m.columns()])

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain import fixed_values as fv
-from pulsegrain.functions.times import utc_date
-from pulsegrain.operators.dims import flat_columns
+from pulsegrain.functions.sqltext import aliased, literal, name
+from pulsegrain.functions.times import offset_name, utc_date
 from pulsegrain.operators.dedup import COUNT_COLUMN
+from pulsegrain.operators.dims import expressions, flat_columns
 from pulsegrain.windows import Run
 
 
@@ -21,17 +22,15 @@ def raw_counts(events_raw: DataFrame, export: DataFrame, run: Run) -> DataFrame:
     """
     check = run.checking()
     window = check.analytics(extend=2)
-    settled = F.lit(run.run_date - dt.timedelta(days=fv.SETTLING_DAYS))
-    day = F.col("event_date")
-    kept = (events_raw.where(window.has_date(day) & (day <= settled)).groupBy("event_date")
-            .agg(F.sum(COUNT_COLUMN).alias("kept_cnt")))
-    micros = F.col("event_timestamp")
-    source = export.where(window.has_day_of_micros(micros))
+    settled = f"event_date <= DATE '{run.run_date - dt.timedelta(days=fv.SETTLING_DAYS)}'"
+    kept = (events_raw.where(window.has_date("event_date")).where(settled)
+            .groupBy("event_date").agg(F.sum(COUNT_COLUMN).alias("kept_cnt")))
+    source = export.where(window.has_day_of_micros("event_timestamp"))
     if "table_suffix" in export.columns:
-        source = source.where(check.shards(extend=3).has_shard(F.col("table_suffix")))
-    source = (source.select(utc_date(F.timestamp_micros(micros)).alias("event_date"))
-              .where(day <= settled).groupBy("event_date")
-              .agg(F.count(F.lit(1)).alias("source_cnt")))
+        source = source.where(check.shards(extend=3).has_shard("table_suffix"))
+    source = (source.selectExpr(
+        aliased(utc_date("timestamp_micros(event_timestamp)"), "event_date"))
+        .where(settled).groupBy("event_date").agg(F.count(F.lit(1)).alias("source_cnt")))
     return kept.join(source, "event_date", "left")
 
 
@@ -40,8 +39,7 @@ def raw_reconciliation(events_raw: DataFrame, export: DataFrame, run: Run) -> Da
 
     A day missing from the source has no count to compare and passes.
     """
-    counts = raw_counts(events_raw, export, run)
-    return counts.where(F.col("kept_cnt") != F.col("source_cnt"))
+    return raw_counts(events_raw, export, run).where("kept_cnt != source_cnt")
 
 
 UNIQUE_SINCE = dt.date.fromisoformat(fv.FIRST_UNIQUE_INSTALL_DATE)
@@ -50,10 +48,8 @@ UNIQUE_SINCE = dt.date.fromisoformat(fv.FIRST_UNIQUE_INSTALL_DATE)
 def install_counts(installs_raw: DataFrame, run: Run,
                    first_day: dt.date = UNIQUE_SINCE) -> DataFrame:
     """Users and rows in the checked days from ``first_day`` on."""
-    rows = installs_raw.where(
-        run.checking().analytics(extend=2).has_date(F.col("event_date"))
-        & (F.col("event_date") >= F.lit(first_day))
-        & F.col("user_pseudo_id").isNotNull())
+    rows = (installs_raw.where(run.checking().analytics(extend=2).has_date("event_date"))
+            .where(f"event_date >= DATE '{first_day}'").where("user_pseudo_id IS NOT NULL"))
     return rows.agg(F.countDistinct("user_pseudo_id").alias("dist_cnt"),
                     F.count(F.lit(1)).alias("cnt"))
 
@@ -61,7 +57,7 @@ def install_counts(installs_raw: DataFrame, run: Run,
 def install_uniqueness(installs_raw: DataFrame, run: Run,
                        first_day: dt.date = UNIQUE_SINCE) -> DataFrame:
     """One row if some user has more than one install."""
-    return install_counts(installs_raw, run, first_day).where(F.col("dist_cnt") < F.col("cnt"))
+    return install_counts(installs_raw, run, first_day).where("dist_cnt < cnt")
 
 
 PROFILED = ("event_dates", "install_dates",
@@ -75,17 +71,17 @@ def dimension_cardinality(events_raw: DataFrame, run: Run, day: dt.date) -> Data
     distinct count per column: that would repeat whole rows per dimension. Of
     the date-per-offset structs only the outermost offsets are profiled.
     """
-    inner = [f"{s}.{'minus' if n < 0 else 'plus'}_{abs(n)}"
-             for s in ("event_dates", "install_dates") for n in fv.ZONE_OFFSETS[1:-1]]
+    inner = [f"{s}.{offset_name(n)}" for s in ("event_dates", "install_dates")
+             for n in fv.ZONE_OFFSETS[1:-1]]
     ignored = {*run.settings.fields_left_out_of_rollups, *inner}
-    rows = events_raw.where(F.col("event_date") == F.lit(day))
-    flat = rows.select(*flat_columns(rows.schema, PROFILED, ignored))
-    pairs = F.array(*[F.struct(F.lit(c).alias("dim_name"),
-                               F.col(f"`{c}`").cast("string").alias("value"))
-                      for c in flat.columns])
+    columns = flat_columns(events_raw.schema, PROFILED, ignored)
+    pairs = ", ".join(f"struct({literal(c)} AS dim_name, string({name(c)}) AS value)"
+                      for c in columns)
+    values = (events_raw.where(f"event_date = DATE '{day}'").selectExpr(*expressions(columns))
+              .selectExpr(f"inline(array({pairs}))"))
     # One NULL per dimension, so that a day without values still has all lines.
-    names = rows.sparkSession.createDataFrame(
-        [(c, None) for c in flat.columns], "dim_name string, value string")
-    values = flat.select(F.inline(pairs)).unionByName(names)
-    return (values.distinct().groupBy("dim_name").agg(F.count("value").alias("dist_cnt"))
+    names = events_raw.sparkSession.createDataFrame(
+        [(c, None) for c in columns], "dim_name string, value string")
+    return (values.unionByName(names).distinct()
+            .groupBy("dim_name").agg(F.count("value").alias("dist_cnt"))
             .orderBy(F.desc("dist_cnt"), "dim_name"))

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import CRASH_TYPES
 from pulsegrain.functions.params import key_value, with_parameter_struct
+from pulsegrain.functions.sqltext import aliased, struct
 from pulsegrain.functions.text import platform_of_shard, reverse_dotted
 from pulsegrain.functions.times import utc_date
 from pulsegrain.functions.versions import clean_version, version_struct
 from pulsegrain.operators.dedup import COUNT_COLUMN, keep_one_copy
-from pulsegrain.operators.dims import aligned_struct, dimension_columns
+from pulsegrain.operators.dims import aligned_struct, dimension_columns, expressions
 from pulsegrain.operators.rollup import rollup
 from pulsegrain.windows import DateWindow, Run
 
@@ -54,22 +54,56 @@ SOURCE = {
 }
 
 
-def _named(**columns: str) -> Column:
-    return F.struct(*[F.col(column).alias(name) for name, column in columns.items()])
-
-
 def deduplicated(export: DataFrame, run: Run) -> DataFrame:
     """One row per crash, the one received first, with aligned engine metadata."""
-    slim = export.where(run.crash().has_instant(F.col("event_timestamp"))).select(
-        *fv.CRASH_COPY_KEYS,
-        F.col("received_timestamp").alias("received_ts"),
-        "table_suffix",
-        *[F.col(path).alias(name) for name, path in SOURCE.items()],
-        aligned_struct(export.schema, "unity_metadata", fv.UNITY_METADATA)
-        .alias("unity_metadata"))
+    slim = export.where(run.crash().has_instant("event_timestamp")).selectExpr(
+        *fv.CRASH_COPY_KEYS, "received_timestamp AS received_ts", "table_suffix",
+        *[aliased(path, column) for column, path in SOURCE.items()],
+        aliased(aligned_struct(export.schema, "unity_metadata", fv.UNITY_METADATA),
+                "unity_metadata"))
     return keep_one_copy(slim, fv.CRASH_COPY_KEYS, ["received_ts", "table_suffix"])
 
 
+def _columns(on_duplicate: str) -> dict[str, str]:
+    def key(wanted: str) -> str:
+        return key_value("custom_keys_raw", wanted, on_duplicate=on_duplicate)
+
+    return {
+        "event_ts": "event_ts",
+        "event_date": utc_date("event_ts"),
+        "received_ts": "received_ts",
+        "crashlytics_user_pseudo_id": "installation_uuid",
+        "firebase_analytics_user_pseudo_id": key(fv.CRASH_ANALYTICS_USER_KEY),
+        "user_id": f"coalesce(src_user_id, {key(fv.CRASH_APP_USER_KEY)})",
+        "app_id": "src_bundle",
+        "reverse_app_id": reverse_dotted("src_bundle"),
+        "event_id": "event_id",
+        "platform": platform_of_shard("table_suffix"),
+        "issue": struct({"id": "src_issue_id", "title": "src_issue_title",
+                         "subtitle": "src_issue_subtitle", "variant_id": "variant_id"}),
+        "error_type": "error_type",
+        "process_state": "process_state",
+        "orientation": struct({"app": "src_app_orientation",
+                               "device": "src_device_orientation"}),
+        "app_version": version_struct("src_app_version", "src_app_version", "__app_clean",
+                                      {"build_no": "src_app_build"}),
+        "platform_version": version_struct("src_os_version", "src_os_version", "__os_clean",
+                                           {"name": "src_os_name"}),
+        "jailbroken_state": "src_os_state",
+        "device_hardware": struct({
+            "type": "lower(src_os_device_type)", "manufacturer": "lower(src_device_maker)",
+            "os_model": "lower(src_device_model)", "architecture": "src_device_arch"}),
+        "custom_keys": "custom_keys",
+        "custom_keys_raw": "custom_keys_raw",
+        "memory": struct({"used_bytes": "src_memory_used", "free_bytes": "src_memory_free"}),
+        "storage": struct({"used_bytes": "src_storage_used", "free_bytes": "src_storage_free"}),
+        "user": struct({"name": "src_user_name", "email": "src_user_email"}),
+        "crashlytics_sdk_version_string": "src_sdk_version",
+        **{c: c for c in ("logs", "breadcrumbs", "blame_frame", "android_exceptions",
+                          "ios_non_fatal", "threads", "unity_metadata", COUNT_COLUMN)},
+    }
+
+
 def build_crash_events_raw(export: DataFrame, run: Run) -> DataFrame:
     """The ``crash_events_raw`` table. ``export`` has ``table_suffix``, which
     names the platform."""
@@ -77,57 +111,14 @@ def build_crash_events_raw(export: DataFrame, run: Run) -> DataFrame:
     rows = deduplicated(export, run)
     rows = with_parameter_struct(rows, "custom_keys", "custom_keys_raw", settings.crash_keys,
                                  CRASH_TYPES, settings.duplicate_keys)
-    rows = rows.withColumns({"__app_clean": clean_version(F.col("src_app_version")),
-                             "__os_clean": clean_version(F.col("src_os_version"))})
-
-    def key(name: str) -> Column:
-        return key_value("custom_keys_raw", name, on_duplicate=settings.duplicate_keys)
-
-    return rows.select(
-        "event_ts",
-        utc_date(F.col("event_ts")).alias("event_date"),
-        "received_ts",
-        F.col("installation_uuid").alias("crashlytics_user_pseudo_id"),
-        key(fv.CRASH_ANALYTICS_USER_KEY).alias("firebase_analytics_user_pseudo_id"),
-        F.coalesce(F.col("src_user_id"), key(fv.CRASH_APP_USER_KEY)).alias("user_id"),
-        F.col("src_bundle").alias("app_id"),
-        reverse_dotted(F.col("src_bundle")).alias("reverse_app_id"),
-        "event_id",
-        platform_of_shard(F.col("table_suffix")).alias("platform"),
-        _named(id="src_issue_id", title="src_issue_title", subtitle="src_issue_subtitle",
-               variant_id="variant_id").alias("issue"),
-        "error_type",
-        "process_state",
-        _named(app="src_app_orientation", device="src_device_orientation").alias("orientation"),
-        version_struct(F.col("src_app_version"), F.col("src_app_version"), F.col("__app_clean"),
-                       build_no=F.col("src_app_build")).alias("app_version"),
-        version_struct(F.col("src_os_version"), F.col("src_os_version"), F.col("__os_clean"),
-                       name=F.col("src_os_name")).alias("platform_version"),
-        F.col("src_os_state").alias("jailbroken_state"),
-        F.struct(F.lower("src_os_device_type").alias("type"),
-                 F.lower("src_device_maker").alias("manufacturer"),
-                 F.lower("src_device_model").alias("os_model"),
-                 F.col("src_device_arch").alias("architecture")).alias("device_hardware"),
-        "custom_keys",
-        "custom_keys_raw",
-        _named(used_bytes="src_memory_used", free_bytes="src_memory_free").alias("memory"),
-        _named(used_bytes="src_storage_used", free_bytes="src_storage_free").alias("storage"),
-        _named(name="src_user_name", email="src_user_email").alias("user"),
-        F.col("src_sdk_version").alias("crashlytics_sdk_version_string"),
-        "logs",
-        "breadcrumbs",
-        "blame_frame",
-        "android_exceptions",
-        "ios_non_fatal",
-        "threads",
-        "unity_metadata",
-        COUNT_COLUMN,
-    )
+    rows = rows.selectExpr("*", aliased(clean_version("src_app_version"), "__app_clean"),
+                           aliased(clean_version("src_os_version"), "__os_clean"))
+    return rows.selectExpr(*expressions(_columns(settings.duplicate_keys)))
 
 
 def build_crash_events(crash_events_raw: DataFrame, run: Run,
                        window: DateWindow | None = None) -> DataFrame:
     """The ``crash_events`` rollup. Every custom key is a dimension, whatever its role."""
-    rows = crash_events_raw.where((window or run.crash()).has_date(F.col("event_date")))
-    keys = [F.col("event_date"), *dimension_columns(rows.schema, fv.CRASH_DIMENSIONS)]
+    rows = crash_events_raw.where((window or run.crash()).has_date("event_date"))
+    keys = {"event_date": "event_date", **dimension_columns(rows.schema, fv.CRASH_DIMENSIONS)}
     return rollup(rows, keys, "crashlytics_user_pseudo_id")

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import ANALYTICS_TYPES
 from pulsegrain.functions.params import with_parameter_struct
+from pulsegrain.functions.sqltext import aliased, struct
 from pulsegrain.functions.text import null_if_empty, reverse_dotted
-from pulsegrain.functions.times import age_in_days, offset_text, utc_date, zone_dates
+from pulsegrain.functions.times import (
+    age_in_days, hour_number, offset_text, utc_date, zone_dates)
 from pulsegrain.functions.versions import clean_version, version_struct, version_without_os
 from pulsegrain.operators.dedup import COUNT_COLUMN, keep_one_copy
+from pulsegrain.operators.dims import expressions
 from pulsegrain.operators.lookups import Lookups, with_country, with_language
 from pulsegrain.windows import Run
 
@@ -50,16 +52,12 @@ SOURCE = {
 }
 
 
-def _named(**columns: Column) -> Column:
-    return F.struct(*[column.alias(name) for name, column in columns.items()])
-
-
 def in_run(export: DataFrame, run: Run) -> DataFrame:
     """Rows of the run's days, as a range on the stored column so that it
     reaches the scan; and of the run's shards where the shard is known."""
-    rows = export.where(run.analytics().has_day_of_micros(F.col("event_timestamp")))
+    rows = export.where(run.analytics().has_day_of_micros("event_timestamp"))
     if "table_suffix" in export.columns:
-        rows = rows.where(run.shards().has_shard(F.col("table_suffix")))
+        rows = rows.where(run.shards().has_shard("table_suffix"))
     return rows
 
 
@@ -70,14 +68,57 @@ def deduplicated(export: DataFrame, run: Run) -> DataFrame:
     wins over an intraday shard.
     """
     prefer = ["table_suffix"] if "table_suffix" in export.columns else []
-    slim = in_run(export, run).select(
-        *fv.EVENT_COPY_KEYS,
-        *prefer,
-        F.expr(run.settings.platform_expr).alias("src_platform"),
-        *[F.col(path).alias(name) for name, path in SOURCE.items()])
+    slim = in_run(export, run).selectExpr(
+        *fv.EVENT_COPY_KEYS, *prefer,
+        aliased(run.settings.platform_expr, "src_platform"),
+        *[aliased(path, column) for column, path in SOURCE.items()])
     return keep_one_copy(slim, fv.EVENT_COPY_KEYS, prefer).drop(*prefer)
 
 
+# The table, column by column, from the stages below.
+COLUMNS = {
+    "event_ts": "event_ts",
+    "event_date": utc_date("event_ts"),
+    "install_ts": "install_ts",
+    "install_age": age_in_days("event_ts", "install_ts"),
+    "user_pseudo_id": "lower(user_pseudo_id)",
+    "user_id": "lower(user_id)",
+    "app_id": "src_app_id",
+    "reverse_app_id": reverse_dotted("src_app_id"),
+    "event_name": "event_name",
+    "platform": "src_platform",
+    "appstore": "src_install_source",
+    "app_version": version_struct("src_app_version", "src_app_version", "__app_clean"),
+    "platform_version": version_struct("src_os_version", "__os_version", "__os_clean"),
+    "user_properties": "user_properties",
+    "event_parameters": "event_parameters",
+    "user_properties_raw": "user_properties_raw",
+    "event_parameters_raw": "event_parameters_raw",
+    "geo": struct({
+        "city": "src_city", "country_firebase_value": "src_country",
+        "iso_country_name": "iso_country_name", "iso_country_alpha_2": "iso_country_alpha_2",
+        "continent": "src_continent", "subcontinent": "src_subcontinent",
+        "region": "src_region", "metro": "src_metro"}),
+    "device_hardware": struct({
+        "type": "lower(src_device_category)", "manufacturer": "lower(src_device_brand)",
+        "model_name": "src_device_model", "marketing_name": "src_device_marketing",
+        "os_model": "lower(src_device_os_model)"}),
+    "device_language": struct({
+        "firebase_value": "src_language", "iso_language_alpha_2": "iso_language_alpha_2",
+        "iso_country_alpha_2": "iso_language_country_alpha_2"}),
+    "device_time_zone_offset": offset_text("src_offset_seconds"),
+    "traffic_source": struct({"name": "src_source_name", "medium": "src_source_medium",
+                              "source": "src_source_source"}),
+    "users_ltv": struct({"revenue": "src_revenue", "currency": "src_currency"}),
+    "other_ids": struct({
+        "firebase_app_id": "lower(src_firebase_app_id)", "stream_id": "lower(stream_id)",
+        "advertising_id": f"lower({null_if_empty('src_advertising_id')})"}),
+    "event_dates": zone_dates("__event_hour"),
+    "install_dates": zone_dates("__install_hour"),
+    COUNT_COLUMN: COUNT_COLUMN,
+}
+
+
 def build_events_raw(export: DataFrame, lookups: Lookups, run: Run) -> DataFrame:
     """The ``events_raw`` table.
 
@@ -94,58 +135,16 @@ def build_events_raw(export: DataFrame, lookups: Lookups, run: Run) -> DataFrame
     rows = with_parameter_struct(rows, "event_parameters", "event_parameters_raw",
                                  settings.extracted_event_parameters, ANALYTICS_TYPES,
                                  settings.duplicate_keys)
-    # Computed once per row, used several times below.
-    os_version = version_without_os(F.col("src_os_version"), F.col("src_os_name"))
-    rows = rows.withColumns({
-        "event_ts": F.timestamp_micros("event_timestamp"),
-        "install_ts": F.timestamp_micros("user_first_touch_timestamp"),
-        "__app_clean": clean_version(F.col("src_app_version")),
-        "__os_version": os_version,
-        "__os_clean": clean_version(os_version),
-    })
-    event_ts, install_ts = F.col("event_ts"), F.col("install_ts")
-    return rows.select(
-        event_ts,
-        utc_date(event_ts).alias("event_date"),
-        install_ts,
-        age_in_days(event_ts, install_ts).alias("install_age"),
-        F.lower("user_pseudo_id").alias("user_pseudo_id"),
-        F.lower("user_id").alias("user_id"),
-        F.col("src_app_id").alias("app_id"),
-        reverse_dotted(F.col("src_app_id")).alias("reverse_app_id"),
-        "event_name",
-        F.col("src_platform").alias("platform"),
-        F.col("src_install_source").alias("appstore"),
-        version_struct(F.col("src_app_version"), F.col("src_app_version"),
-                       F.col("__app_clean")).alias("app_version"),
-        version_struct(F.col("src_os_version"), F.col("__os_version"),
-                       F.col("__os_clean")).alias("platform_version"),
-        "user_properties",
-        "event_parameters",
-        "user_properties_raw",
-        "event_parameters_raw",
-        _named(city=F.col("src_city"), country_firebase_value=F.col("src_country"),
-               iso_country_name=F.col("iso_country_name"),
-               iso_country_alpha_2=F.col("iso_country_alpha_2"),
-               continent=F.col("src_continent"), subcontinent=F.col("src_subcontinent"),
-               region=F.col("src_region"), metro=F.col("src_metro")).alias("geo"),
-        _named(type=F.lower("src_device_category"), manufacturer=F.lower("src_device_brand"),
-               model_name=F.col("src_device_model"),
-               marketing_name=F.col("src_device_marketing"),
-               os_model=F.lower("src_device_os_model")).alias("device_hardware"),
-        _named(firebase_value=F.col("src_language"),
-               iso_language_alpha_2=F.col("iso_language_alpha_2"),
-               iso_country_alpha_2=F.col("iso_language_country_alpha_2"))
-        .alias("device_language"),
-        offset_text(F.col("src_offset_seconds")).alias("device_time_zone_offset"),
-        _named(name=F.col("src_source_name"), medium=F.col("src_source_medium"),
-               source=F.col("src_source_source")).alias("traffic_source"),
-        _named(revenue=F.col("src_revenue"), currency=F.col("src_currency"))
-        .alias("users_ltv"),
-        _named(firebase_app_id=F.lower("src_firebase_app_id"), stream_id=F.lower("stream_id"),
-               advertising_id=F.lower(null_if_empty(F.col("src_advertising_id"))))
-        .alias("other_ids"),
-        zone_dates(event_ts).alias("event_dates"),
-        zone_dates(install_ts).alias("install_dates"),
-        COUNT_COLUMN,
-    )
+    # Computed once per row, used several times after.
+    rows = rows.selectExpr(
+        "*",
+        "timestamp_micros(event_timestamp) AS event_ts",
+        "timestamp_micros(user_first_touch_timestamp) AS install_ts",
+        aliased(clean_version("src_app_version"), "__app_clean"),
+        aliased(version_without_os("src_os_version", "src_os_name"), "__os_version"))
+    rows = rows.selectExpr(
+        "*",
+        aliased(clean_version("__os_version"), "__os_clean"),
+        aliased(hour_number("event_ts"), "__event_hour"),
+        aliased(hour_number("install_ts"), "__install_hour"))
+    return rows.selectExpr(*expressions(COLUMNS))

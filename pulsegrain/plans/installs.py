@@ -2,55 +2,56 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrain import fixed_values as fv
+from pulsegrain.functions.sqltext import aliased, literal, name, struct
 from pulsegrain.functions.text import in_name_list, reverse_dotted
 from pulsegrain.functions.times import (
-    age_group, age_in_days, utc_date, within_a_day_after, zone_dates)
+    age_in_days, hour_number, utc_date, within_a_day_after, zone_dates)
 from pulsegrain.operators.dedup import COUNT_COLUMN
-from pulsegrain.operators.dims import dimension_columns
-from pulsegrain.operators.rollup import rollup
+from pulsegrain.operators.dims import dimension_columns, expressions
+from pulsegrain.operators.rollup import aggregate, metric_input
 from pulsegrain.operators.skew import ROWS_PER_TASK, join_spreading_hot_keys
 from pulsegrain.windows import Run
 
 # Functions of carried columns: cheaper to compute again than to shuffle.
 DERIVED = {
-    "event_date": lambda: utc_date(F.col("event_ts")),
-    "install_age": lambda: age_in_days(F.col("event_ts"), F.col("install_ts")),
-    "reverse_app_id": lambda: reverse_dotted(F.col("app_id")),
-    "event_dates": lambda: zone_dates(F.col("event_ts")),
-    "install_dates": lambda: zone_dates(F.col("install_ts")),
+    "event_date": utc_date("event_ts"),
+    "install_age": age_in_days("event_ts", "install_ts"),
+    "reverse_app_id": reverse_dotted("app_id"),
+    "event_dates": zone_dates("__event_hour"),
+    "install_dates": zone_dates("__install_hour"),
 }
 
 
 def _candidates(events_raw: DataFrame, run: Run, carried: list[str]) -> DataFrame:
     """Per user the earliest row of each kind, as structs that start with ``event_ts``."""
-    wide = events_raw.where(
-        run.analytics(extend=fv.INSTALL_LOOKBACK_DAYS).has_date(F.col("event_date")))
-    near_install = within_a_day_after(F.col("event_ts"), F.col("install_ts"))
+    wide = run.analytics(extend=fv.INSTALL_LOOKBACK_DAYS)
+    near_install = within_a_day_after("event_ts", "install_ts")
+    row = struct({c: name(c) for c in ("event_ts", *carried)})
+    known = struct({c: c for c in ("event_ts", "user_id")})
     # Rows that only tell the user id travel without the other columns.
-    rows = wide.where(near_install | F.col("user_id").isNotNull()).select(
-        "user_pseudo_id", "event_name",
-        F.when(near_install, F.struct("event_ts", *carried)).alias("row"),
-        F.when(F.col("user_id").isNotNull(), F.struct("event_ts", "user_id")).alias("known"))
+    rows = (events_raw.where(wide.has_date("event_date"))
+            .where(f"{near_install} OR user_id IS NOT NULL")
+            .selectExpr("user_pseudo_id", "event_name",
+                        f"if({near_install}, {row}, NULL) AS row",
+                        f"if(user_id IS NOT NULL, {known}, NULL) AS known"))
 
     def earliest(event_name: str | None) -> Column:
         if event_name is None:
-            return F.min("row")
-        return F.min(F.when(F.col("event_name") == event_name, F.col("row")))
+            return F.expr("min(row)")
+        return F.expr(f"min(if(event_name = {literal(event_name)}, row, NULL))")
 
     kinds = {"sdk": fv.SDK_INSTALL_EVENT, "first": fv.DEFAULT_INSTALL_EVENT, "any": None}
     if run.settings.custom_install_event:
         kinds = {"custom": run.settings.custom_install_event, **kinds}
     return (rows.groupBy("user_pseudo_id")
-            .agg(*[earliest(name).alias(kind) for kind, name in kinds.items()],
+            .agg(*[earliest(event).alias(kind) for kind, event in kinds.items()],
                  F.min("known").alias("known"))
-            .where(F.col("any").isNotNull()))
+            .where("any IS NOT NULL"))
 
 
 def build_installs_raw(events_raw: DataFrame, run: Run) -> DataFrame:
@@ -68,29 +69,32 @@ def build_installs_raw(events_raw: DataFrame, run: Run) -> DataFrame:
 
     # Rows without a user are no one's: they never combine, and the earliest
     # one inside the window stands for all of them.
-    anonymous = F.col("user_pseudo_id").isNull()
-
-    def inside(kind: str) -> Column:
-        return F.when(window.has_date(utc_date(F.col(f"{kind}.event_ts"))), F.col(kind))
-
-    alone = F.coalesce(inside("any"), F.array_min(F.array(*[inside(k) for k in kinds])))
-    users = users.withColumns({
-        "any": F.when(anonymous, alone).otherwise(F.col("any")),
-        **{k: F.when(~anonymous, F.col(k)) for k in kinds if k != "any"},
-        "user_id": F.when(~anonymous, F.col("known.user_id")),
-    }).withColumn("best", F.coalesce(*kinds))
-
-    def value(name: str) -> Column:
-        if isinstance(events_raw.schema[name].dataType, (T.StructType, T.ArrayType)):
-            return F.col(f"best.`{name}`").alias(name)
-        return F.coalesce(*[F.col(f"{k}.`{name}`") for k in kinds]).alias(name)
-
-    picked = (users.where(window.has_date(utc_date(F.col("best.event_ts"))))
-              .select("user_pseudo_id", "user_id", value("event_ts"),
-                      *[value(c) for c in carried]))
-    return picked.select(*[
-        DERIVED[c]().alias(c) if c in DERIVED else F.col(c)
-        for c in events_raw.columns if c != COUNT_COLUMN])
+    def inside(kind: str) -> str:
+        day = utc_date(f"{kind}.event_ts")
+        return f"if({window.has_date(day)}, {kind}, NULL)"
+
+    alone = (f"coalesce({inside('any')}, "
+             f"array_min(array({', '.join(inside(k) for k in kinds)})))")
+    identified = "user_pseudo_id IS NOT NULL"
+    users = users.selectExpr(
+        "user_pseudo_id",
+        f"if({identified}, known.user_id, NULL) AS user_id",
+        f"if({identified}, any, {alone}) AS any",
+        *[f"if({identified}, {k}, NULL) AS {k}" for k in kinds if k != "any"])
+    users = users.selectExpr("*", f"coalesce({', '.join(kinds)}) AS best")
+
+    def value(column: str) -> str:
+        if isinstance(events_raw.schema[column].dataType, (T.StructType, T.ArrayType)):
+            return aliased(name("best", column), column)
+        return aliased(f"coalesce({', '.join(name(k, column) for k in kinds)})", column)
+
+    picked = (users.where(window.has_date(utc_date("best.event_ts")))
+              .selectExpr("user_pseudo_id", "user_id", value("event_ts"),
+                          *[value(c) for c in carried]))
+    picked = picked.selectExpr("*", aliased(hour_number("event_ts"), "__event_hour"),
+                               aliased(hour_number("install_ts"), "__install_hour"))
+    return picked.selectExpr(*[aliased(DERIVED.get(c, name(c)), c)
+                               for c in events_raw.columns if c != COUNT_COLUMN])
 
 
 def build_cohorts(events_raw: DataFrame, installs_raw: DataFrame, run: Run,
@@ -105,42 +109,26 @@ def build_cohorts(events_raw: DataFrame, installs_raw: DataFrame, run: Run,
     settings = run.settings
     left_out = settings.fields_left_out_of_rollups
     sentinel = settings.sentinel_fields if forced_nulls else frozenset()
-    wanted = run.analytics().has_date(F.col("event_date"))
+    events = events_raw.where(run.analytics().has_date("event_date"))
     if forced_nulls:
-        wanted = wanted & in_name_list(F.col("event_name"), settings.sentinel_events)
-    events = events_raw.where(wanted)
-    first_day = dt.date.fromisoformat(fv.FIRST_COHORT_DATE)
-    installed = installs_raw.where(F.col("event_date") >= F.lit(first_day))
+        events = events.where(in_name_list("event_name", settings.sentinel_events))
+    installed = installs_raw.where(f"event_date >= DATE '{fv.FIRST_COHORT_DATE}'")
 
     # Group columns are built before the join: less to shuffle, and the two
     # sides share no name but the user's.
-    metric_fields = dict.fromkeys(m.struct_field_name for m in settings.metrics)
-    metric_input = [F.struct(*[F.col(f"event_parameters.`{f}`").alias(f) for f in metric_fields])
-                    .alias("event_parameters")] if metric_fields else []
-    event_dims = dimension_columns(events.schema, fv.EVENT_DIMENSIONS, left_out, sentinel,
-                                   prefix="event_")
+    event_dims = dimension_columns(events.schema, fv.EVENT_DIMENSIONS, left_out, sentinel)
     install_dims = dimension_columns(installed.schema, fv.EVENT_DIMENSIONS, left_out, sentinel,
                                      prefix="install_")
-    left = events.select("user_pseudo_id", "event_ts", "event_date", "install_age",
-                         *event_dims, *metric_input)
-    right = installed.select("user_pseudo_id",
-                             utc_date(F.col("install_ts")).alias("install_date"), *install_dims)
-    joined = join_spreading_hot_keys(left, right, "user_pseudo_id",
-                                     ["event_ts", "event_event_name"], rows_per_task)
-
-    event_names = [c for c in left.columns if c.startswith("event_")
-                   and c not in ("event_ts", "event_date", "event_parameters")]
-    install_names = [c for c in right.columns if c not in ("user_pseudo_id", "install_date")]
-    # The age group follows from the age and adds no rows.
-    keys = ["event_date", *event_names, "install_date", "install_age", *install_names]
-    grouped = rollup(joined.withColumn("install_age_group", age_group(F.col("install_age"))),
-                     [F.col(k) for k in (*keys, "install_age_group")],
-                     "user_pseudo_id", settings.metrics)
-    return grouped.select(
-        "event_date",
-        *[F.col(c).alias(c.removeprefix("event_")) for c in event_names],
-        "install_age", "install_date", *install_names, "cnt", "users",
-        *[m.rollup_struct_field_name for m in settings.metrics])
+    left = events.selectExpr("user_pseudo_id", "event_ts", "event_date", "install_age",
+                             *expressions(event_dims), *metric_input(settings.metrics))
+    right = installed.selectExpr("user_pseudo_id",
+                                 aliased(utc_date("install_ts"), "install_date"),
+                                 *expressions(install_dims))
+    joined = join_spreading_hot_keys(left, right, "user_pseudo_id", ["event_ts", "event_name"],
+                                     rows_per_task)
+    # An age group would follow from the age and add no rows, so it is no key.
+    keys = ["event_date", *event_dims, "install_age", "install_date", *install_dims]
+    return aggregate(joined, keys, "user_pseudo_id", settings.metrics)
 
 
 def build_events_wid(events_raw, installs_raw, run, rows_per_task=ROWS_PER_TASK) -> DataFrame:

@@ -36,4 +36,4 @@ def read_days(spark: SparkSession, path: str, start: dt.date | None, end: dt.dat
     if start is None or end is None:
         raise ValueError("reading a table needs a first and a last day")
     return (spark.read.format(table_format).load(path)
-            .where(DateWindow(start, end).has_date(F.col(DAY))))
+            .where(DateWindow(start, end).has_date(DAY)))

@@ -5,9 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import Settings
 
@@ -26,24 +23,23 @@ class DateWindow:
     start: dt.date
     end: dt.date
 
-    def has_date(self, day: Column) -> Column:
-        return day.between(F.lit(self.start), F.lit(self.end))
+    def has_date(self, day: str) -> str:
+        return f"{day} BETWEEN DATE '{self.start}' AND DATE '{self.end}'"
 
-    def has_day_of_micros(self, micros: Column) -> Column:
+    def has_day_of_micros(self, micros: str) -> str:
         """The same on epoch microseconds; a plain range, so it reaches the scan."""
-        return ((micros >= F.lit(micros_at_midnight(self.start)))
-                & (micros < F.lit(micros_at_midnight(self.end + dt.timedelta(days=1)))))
+        after = micros_at_midnight(self.end + dt.timedelta(days=1))
+        return f"({micros} >= {micros_at_midnight(self.start)} AND {micros} < {after})"
 
-    def has_instant(self, ts: Column) -> Column:
+    def has_instant(self, ts: str) -> str:
         """Between midnight of ``start`` and midnight of ``end``: of the last day
         only its first instant."""
-        return F.unix_micros(ts).between(F.lit(micros_at_midnight(self.start)),
-                                         F.lit(micros_at_midnight(self.end)))
+        return (f"unix_micros({ts}) BETWEEN {micros_at_midnight(self.start)} "
+                f"AND {micros_at_midnight(self.end)}")
 
-    def has_shard(self, suffix: Column) -> Column:
-        day = F.replace(suffix, F.lit(fv.INTRADAY_PREFIX), F.lit(""))
-        return day.between(self.start.strftime(fv.SHARD_DATE_FORMAT),
-                           self.end.strftime(fv.SHARD_DATE_FORMAT))
+    def has_shard(self, suffix: str) -> str:
+        first, last = (d.strftime(fv.SHARD_DATE_FORMAT) for d in (self.start, self.end))
+        return f"replace({suffix}, '{fv.INTRADAY_PREFIX}', '') BETWEEN '{first}' AND '{last}'"
 
     def days(self) -> list[dt.date]:
         return [self.start + dt.timedelta(days=n) for n in range((self.end - self.start).days + 1)]
