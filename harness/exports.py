@@ -6,12 +6,12 @@ counterpart start from the same rows. ``{events}`` is the input table.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrain.functions.sqltext import struct
-from pulsegrain.operators.dims import expressions
+from pulsegrain.functions.sqltext import expressions, struct
 from pulsegrain.operators.lookups import Lookups
-from pulsegrain.sources.seeds import COUNTRY, LANGUAGE
+from pulsegrain.session import tune
 
 ANALYTICS_FLAT = """
 WITH base AS (
@@ -145,13 +145,17 @@ LANGUAGES = [
 
 def lookups(spark: SparkSession) -> Lookups:
     # Fixed lists above, so there is nothing to check.
-    return Lookups(spark.createDataFrame(COUNTRIES, COUNTRY).coalesce(1),
-                   spark.createDataFrame(LANGUAGES, LANGUAGE).coalesce(1))
+    def table(rows, columns):
+        return spark.createDataFrame(pa.Table.from_pylist(
+            [dict(zip(columns, row)) for row in rows]))
+
+    return Lookups(table(COUNTRIES, ("firebase_name", "name", "alpha_2", "alpha_3", "numeric")),
+                   table(LANGUAGES, ("name", "alpha_2", "alpha_3")))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The event times carry no zone and are read as UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    tune(spark)
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 

@@ -17,9 +17,10 @@ from pulsegrain import fixed_values as fv
 from pulsegrain.config import ANALYTICS_TYPES, CRASH_TYPES
 from pulsegrain.functions import text, times, versions
 from pulsegrain.functions.params import key_value, with_parameter_struct
+from pulsegrain.functions.sqltext import expressions
 from pulsegrain.operators.dedup import keep_one_copy
 from pulsegrain.operators.dims import (
-    aligned_struct, dimension_columns, expressions, flat_columns, pack)
+    aligned_struct, dimension_columns, flat_columns, pack)
 from pulsegrain.operators.lookups import with_country, with_language
 from pulsegrain.plans import app_health, checks, crash_raw, usage
 from pulsegrain.plans import events_raw as raw_plan

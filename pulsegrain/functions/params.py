@@ -8,12 +8,13 @@ such as ``filter`` would not.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import ParamSpec
-from pulsegrain.functions.sqltext import aliased, literal, name, struct
+from pulsegrain.functions.sqltext import aliased, expressions, literal, name, struct
 from pulsegrain.functions.text import in_name_list
 
 
@@ -45,30 +46,51 @@ def key_value(entries: str, key: str, value_field: str | None = None,
     return value_at(entries, key_position(entries, key, on_duplicate), value_field)
 
 
-def with_parameter_struct(df: DataFrame, field: str, entries: str, specs: Sequence[ParamSpec],
-                          types: Mapping[str, tuple[str | None, str]],
-                          on_duplicate: str = "error") -> DataFrame:
-    """Add struct ``field`` with one field per parameter found in ``entries``."""
+@dataclass(frozen=True)
+class Extraction:
+    """A parameter struct in three steps, each a set of columns over the one before.
+
+    Positions and values are columns of their own so that parameters with the
+    same key share them. Several extractions can share a step.
+    """
+
+    positions: dict[str, str]
+    values: dict[str, str]
+    struct: str
+
+
+def extraction(field: str, entries: str, specs: Sequence[ParamSpec],
+               types: Mapping[str, tuple[str | None, str]],
+               on_duplicate: str = "error") -> Extraction:
+    """How to build struct ``field`` from the parameters found in ``entries``."""
     if not specs:
-        return df.selectExpr("*", aliased(struct({"empty": literal(fv.NO_CUSTOM_KEYS)}), field))
-    positions = {key: f"__{field}_at_{i}"
-                 for i, key in enumerate(dict.fromkeys(p.key_name for p in specs))}
+        return Extraction({}, {}, struct({"empty": literal(fv.NO_CUSTOM_KEYS)}))
+    at = {key: f"__{field}_at_{i}"
+          for i, key in enumerate(dict.fromkeys(p.key_name for p in specs))}
     values = {pair: f"__{field}_value_{i}" for i, pair in enumerate(
         dict.fromkeys((p.key_name, p.value_field(types)) for p in specs))}
-    staged = df.selectExpr("*", *[
-        aliased(key_position(entries, key, on_duplicate), column)
-        for key, column in positions.items()])
-    staged = staged.selectExpr("*", *[
-        aliased(value_at(entries, name(positions[key]), value_field), column)
-        for (key, value_field), column in values.items()])
     fields = {}
     for spec in specs:
         value = name(values[spec.key_name, spec.value_field(types)])
         extracted = spec.extract_transformation.replace("##", value)
         # Without an entry there is no value, whatever the template makes of NULL.
-        present = f"{name(positions[spec.key_name])} > 0"
+        present = f"{name(at[spec.key_name])} > 0"
         if spec.event_name_filter:
             present += f" AND {in_name_list('event_name', spec.event_name_filter)}"
         fields[spec.struct_field_name] = (
             f"if({present}, CAST({extracted} AS {spec.spark_type(types)}), NULL)")
-    return staged.selectExpr(*[name(c) for c in df.columns], aliased(struct(fields), field))
+    return Extraction(
+        {column: key_position(entries, key, on_duplicate) for key, column in at.items()},
+        {column: value_at(entries, name(at[key]), value_field)
+         for (key, value_field), column in values.items()},
+        struct(fields))
+
+
+def with_parameter_struct(df: DataFrame, field: str, entries: str, specs: Sequence[ParamSpec],
+                          types: Mapping[str, tuple[str | None, str]],
+                          on_duplicate: str = "error") -> DataFrame:
+    """Add struct ``field`` with one field per parameter found in ``entries``."""
+    steps = extraction(field, entries, specs, types, on_duplicate)
+    return (df.selectExpr("*", *expressions(steps.positions))
+            .selectExpr("*", *expressions(steps.values))
+            .selectExpr(*[name(c) for c in df.columns], aliased(steps.struct, field)))

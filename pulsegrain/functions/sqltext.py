@@ -22,3 +22,8 @@ def aliased(expression: str, alias: str) -> str:
 def struct(fields: Mapping[str, str]) -> str:
     return "named_struct(" + ", ".join(
         f"{literal(field)}, {value}" for field, value in fields.items()) + ")"
+
+
+def expressions(columns: Mapping[str, str]) -> list[str]:
+    """Column name -> expression, as arguments of ``selectExpr``."""
+    return [aliased(value, column) for column, value in columns.items()]

@@ -10,7 +10,7 @@ from collections.abc import Collection
 from pyspark.sql import types as T
 
 from pulsegrain import fixed_values as fv
-from pulsegrain.functions.sqltext import aliased, literal, name, struct
+from pulsegrain.functions.sqltext import literal, name, struct
 
 
 def _fields(field: T.StructField, ignored: Collection[str]) -> list[T.StructField]:
@@ -85,10 +85,6 @@ def pack(schema: T.StructType, wanted: Collection[str] | str = "*",
     return columns
 
 
-def expressions(columns: dict[str, str]) -> list[str]:
-    return [aliased(value, column) for column, value in columns.items()]
-
-
 def aligned_struct(schema: T.StructType, column: str,
                    wanted: Collection[tuple[str, str, bool]]) -> str:
     """Struct of exactly the wanted ``(name, type, filled)`` fields.

@@ -14,18 +14,18 @@ MAX_CODES = 26 * 26
 
 
 def checked_codes(df: DataFrame, name: str) -> DataFrame:
-    """A copy of a code table that is proven small and unique in ``alpha_2``."""
-    rows = df.limit(MAX_CODES + 1).collect()
-    if len(rows) > MAX_CODES:
+    """A local copy of a code table that is proven small and unique in ``alpha_2``."""
+    rows = df.limit(MAX_CODES + 1).toArrow()
+    if rows.num_rows > MAX_CODES:
         raise ValueError(f"{name}: more rows than two-letter codes exist")
-    codes = [r["alpha_2"] for r in rows]
+    codes = rows.column("alpha_2").to_pylist()
     if len(set(codes)) != len(codes):
         raise ValueError(f"{name}: alpha_2 is not unique")
     if "firebase_name" in df.columns:
-        names = [r["firebase_name"].lower() for r in rows if r["firebase_name"]]
+        names = [n.lower() for n in rows.column("firebase_name").to_pylist() if n]
         if len(set(names)) != len(names):
             raise ValueError(f"{name}: firebase_name is not unique")
-    return df.sparkSession.createDataFrame(rows, df.schema).coalesce(1)
+    return df.sparkSession.createDataFrame(rows)
 
 
 @dataclass(frozen=True)

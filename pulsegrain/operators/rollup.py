@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain.config import ParamSpec
-from pulsegrain.functions.sqltext import aliased, name, struct
-from pulsegrain.operators.dims import expressions
+from pulsegrain.functions.sqltext import aliased, expressions, name, struct
 
 METRIC_INPUT = "__metric_input"
 

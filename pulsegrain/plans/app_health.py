@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import MeasureSpec
-from pulsegrain.functions.sqltext import aliased, name, struct
+from pulsegrain.functions.sqltext import aliased, expressions, name, struct
 from pulsegrain.functions.text import in_name_list
 from pulsegrain.functions.versions import version_from_normalized
-from pulsegrain.operators.dims import expressions
 from pulsegrain.windows import Run
 
 KEYS = tuple(fv.HEALTH_DIMENSIONS)

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain import fixed_values as fv
-from pulsegrain.functions.sqltext import aliased, literal, name
+from pulsegrain.functions.sqltext import aliased, expressions, literal, name
 from pulsegrain.functions.times import offset_name, utc_date
 from pulsegrain.operators.dedup import COUNT_COLUMN
-from pulsegrain.operators.dims import expressions, flat_columns
+from pulsegrain.operators.dims import flat_columns
 from pulsegrain.windows import Run
 
 

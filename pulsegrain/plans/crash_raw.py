@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import CRASH_TYPES
 from pulsegrain.functions.params import key_value, with_parameter_struct
-from pulsegrain.functions.sqltext import aliased, struct
+from pulsegrain.functions.sqltext import aliased, expressions, struct
 from pulsegrain.functions.text import platform_of_shard, reverse_dotted
 from pulsegrain.functions.times import utc_date
 from pulsegrain.functions.versions import clean_version, version_struct
 from pulsegrain.operators.dedup import COUNT_COLUMN, keep_one_copy
-from pulsegrain.operators.dims import aligned_struct, dimension_columns, expressions
+from pulsegrain.operators.dims import aligned_struct, dimension_columns
 from pulsegrain.operators.rollup import rollup
 from pulsegrain.windows import DateWindow, Run
 

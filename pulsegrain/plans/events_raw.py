@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import ANALYTICS_TYPES
-from pulsegrain.functions.params import with_parameter_struct
-from pulsegrain.functions.sqltext import aliased, struct
+from pulsegrain.functions.params import extraction
+from pulsegrain.functions.sqltext import aliased, expressions, struct
 from pulsegrain.functions.text import null_if_empty, reverse_dotted
 from pulsegrain.functions.times import (
     age_in_days, hour_number, offset_text, utc_date, zone_dates)
 from pulsegrain.functions.versions import clean_version, version_struct, version_without_os
 from pulsegrain.operators.dedup import COUNT_COLUMN, keep_one_copy
-from pulsegrain.operators.dims import expressions
 from pulsegrain.operators.lookups import Lookups, with_country, with_language
 from pulsegrain.windows import Run
 
@@ -90,8 +89,8 @@ COLUMNS = {
     "appstore": "src_install_source",
     "app_version": version_struct("src_app_version", "src_app_version", "__app_clean"),
     "platform_version": version_struct("src_os_version", "__os_version", "__os_clean"),
-    "user_properties": "user_properties",
-    "event_parameters": "event_parameters",
+    "user_properties": "",  # depends on the settings
+    "event_parameters": "",
     "user_properties_raw": "user_properties_raw",
     "event_parameters_raw": "event_parameters_raw",
     "geo": struct({
@@ -126,25 +125,26 @@ def build_events_raw(export: DataFrame, lookups: Lookups, run: Run) -> DataFrame
     derived columns never go through the shuffle.
     """
     settings = run.settings
+    user = extraction("user_properties", "user_properties_raw", settings.user_properties,
+                      ANALYTICS_TYPES, settings.duplicate_keys)
+    event = extraction("event_parameters", "event_parameters_raw",
+                       settings.extracted_event_parameters, ANALYTICS_TYPES,
+                       settings.duplicate_keys)
     rows = deduplicated(export, run)
     rows = with_country(rows, lookups, "src_country")
     rows = with_language(rows, lookups, "src_language")
-    rows = with_parameter_struct(rows, "user_properties", "user_properties_raw",
-                                 settings.user_properties, ANALYTICS_TYPES,
-                                 settings.duplicate_keys)
-    rows = with_parameter_struct(rows, "event_parameters", "event_parameters_raw",
-                                 settings.extracted_event_parameters, ANALYTICS_TYPES,
-                                 settings.duplicate_keys)
-    # Computed once per row, used several times after.
-    rows = rows.selectExpr(
-        "*",
-        "timestamp_micros(event_timestamp) AS event_ts",
-        "timestamp_micros(user_first_touch_timestamp) AS install_ts",
-        aliased(clean_version("src_app_version"), "__app_clean"),
-        aliased(version_without_os("src_os_version", "src_os_name"), "__os_version"))
-    rows = rows.selectExpr(
-        "*",
-        aliased(clean_version("__os_version"), "__os_clean"),
-        aliased(hour_number("event_ts"), "__event_hour"),
-        aliased(hour_number("install_ts"), "__install_hour"))
-    return rows.selectExpr(*expressions(COLUMNS))
+    # What is used several times is computed once per row, in few steps: every
+    # step copies the row.
+    rows = rows.selectExpr("*", *expressions({
+        "event_ts": "timestamp_micros(event_timestamp)",
+        "install_ts": "timestamp_micros(user_first_touch_timestamp)",
+        "__app_clean": clean_version("src_app_version"),
+        "__os_version": version_without_os("src_os_version", "src_os_name"),
+        **user.positions, **event.positions}))
+    rows = rows.selectExpr("*", *expressions({
+        "__os_clean": clean_version("__os_version"),
+        "__event_hour": hour_number("event_ts"),
+        "__install_hour": hour_number("install_ts"),
+        **user.values, **event.values}))
+    return rows.selectExpr(*expressions({
+        **COLUMNS, "user_properties": user.struct, "event_parameters": event.struct}))

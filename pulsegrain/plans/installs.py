@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrain import fixed_values as fv
-from pulsegrain.functions.sqltext import aliased, literal, name, struct
+from pulsegrain.functions.sqltext import aliased, expressions, literal, name, struct
 from pulsegrain.functions.text import in_name_list, reverse_dotted
 from pulsegrain.functions.times import (
     age_in_days, hour_number, utc_date, within_a_day_after, zone_dates)
 from pulsegrain.operators.dedup import COUNT_COLUMN
-from pulsegrain.operators.dims import dimension_columns, expressions
+from pulsegrain.operators.dims import dimension_columns
 from pulsegrain.operators.rollup import aggregate, metric_input
 from pulsegrain.operators.skew import ROWS_PER_TASK, join_spreading_hot_keys
 from pulsegrain.windows import Run

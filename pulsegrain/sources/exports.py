@@ -14,7 +14,7 @@ from pulsegrain.windows import DateWindow, Run
 # a field that some shards lack is NULL there.
 KEY_VALUES = ("array<struct<key:string,value:struct<string_value:string,int_value:bigint,"
               "double_value:double>>>")
-ANALYTICS_EXPORT = T.StructType.fromDDL(f"""
+ANALYTICS_EXPORT = f"""
     event_timestamp bigint,
     user_first_touch_timestamp bigint,
     event_previous_timestamp bigint,
@@ -35,9 +35,9 @@ ANALYTICS_EXPORT = T.StructType.fromDDL(f"""
     user_ltv struct<revenue:double,currency:string>,
     event_params {KEY_VALUES},
     user_properties {KEY_VALUES}
-""")
+"""
 UNITY = ",".join(f"{name}:{kind}" for name, kind, filled in fv.UNITY_METADATA if filled)
-CRASH_EXPORT = T.StructType.fromDDL(f"""
+CRASH_EXPORT = f"""
     event_timestamp timestamp,
     received_timestamp timestamp,
     installation_uuid string,
@@ -71,7 +71,7 @@ CRASH_EXPORT = T.StructType.fromDDL(f"""
     threads array<struct<crashed:boolean,thread_name:string,queue_name:string,title:string,
         subtitle:string,blamed:boolean>>,
     unity_metadata struct<{UNITY}>
-""")
+"""
 
 
 def _stem(shards: str) -> str:
@@ -80,9 +80,11 @@ def _stem(shards: str) -> str:
     return shards[:-1]
 
 
-def _read(spark: SparkSession, paths: str, stem: str, schema: T.StructType,
+def _read(spark: SparkSession, paths: str, stem: str, schema: T.StructType | str,
           source_format: str) -> DataFrame:
     """Read shards and add ``table_suffix``, the part of the folder name after ``stem``."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     try:
         rows = spark.read.format(source_format).schema(schema).load(paths)
     except AnalysisException as error:
@@ -103,7 +105,7 @@ def date_shards(root: str, stem: str, window: DateWindow) -> str:
 
 
 def scan_analytics(spark: SparkSession, run: Run, extend: int = 0,
-                   schema: T.StructType = ANALYTICS_EXPORT,
+                   schema: T.StructType | str = ANALYTICS_EXPORT,
                    source_format: str = "parquet") -> DataFrame:
     """Analytics shards of the run's days; no other folder is listed or opened."""
     settings = run.settings
@@ -112,7 +114,7 @@ def scan_analytics(spark: SparkSession, run: Run, extend: int = 0,
     return _read(spark, pattern, stem, schema, source_format)
 
 
-def scan_crashes(spark: SparkSession, run: Run, schema: T.StructType = CRASH_EXPORT,
+def scan_crashes(spark: SparkSession, run: Run, schema: T.StructType | str = CRASH_EXPORT,
                  source_format: str = "parquet") -> DataFrame:
     """All crash shards. They are cut by platform, so there is nothing to prune."""
     settings = run.settings
