@@ -81,9 +81,15 @@ def crash_raw_of(spark, sf_dir) -> DataFrame:
 
 
 def stored(spark, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table, as later steps of a build find it."""
+    """``df`` as a written table, as later steps of a build find it.
+
+    A write keeps the optimizer from dropping what nobody reads, so columns
+    that no cohort or health query uses are left out here.
+    """
     path = scratch_path(spark, name)
-    write_days(df, path, fv.EVENT_CLUSTER_KEYS)
+    unused = ("user_properties_raw", "event_parameters_raw", "event_dates", "install_dates",
+              "users_ltv", "other_ids")
+    write_days(df.drop(*unused), path, fv.EVENT_CLUSTER_KEYS)
     return read_days(spark, path, WHOLE.analytics().start, WHOLE.analytics().end)
 
 

@@ -13,9 +13,9 @@ from harness.settings import SETTINGS
 from pulsegrain import Run, Settings
 from pulsegrain.plans import checks
 from pulsegrain.plans.build import build_all
-from pulsegrain.plans.installs import (
-    build_cohorts, build_events_wid, build_installs_raw)
-from pulsegrain.plans.usage import build_events, build_events_forced_nulls, build_installs
+from pulsegrain.plans.events_raw import build_events_raw
+from pulsegrain.plans.installs import build_cohorts, build_installs_raw
+from pulsegrain.plans.usage import build_events, build_events_forced_nulls
 from pulsegrain.sources.comments import EVENTS_RAW, comment_table, with_comments
 from pulsegrain.sources.exports import scan_analytics, scan_crashes
 from pulsegrain.sources.seeds import read_lookups
@@ -178,3 +178,39 @@ def test_build_twice_changes_nothing(spark, tmp_path):
     assert w.read("errors").count() >= 0
     with pytest.raises(ValueError, match="mandatory"):
         build_all(spark, root, Run(Settings(), DAY), lookups, analytics, crashes)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path, raw):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        path = str(tmp_path / "raw")
+        write_days(raw, path)
+        stored = read_days(spark, path, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+        forced = plan_of(build_events_forced_nulls(stored, WHOLE))
+        assert "PushedFilters: [In(event_name" in forced
+        assert "PartitionFilters: [isnotnull(event_date" in forced
+        schema = forced[forced.index("ReadSchema"):]
+        assert "event_parameters_raw" not in schema and "city" not in schema
+        assert "event_dates" not in schema
+
+        shard = tmp_path / "export" / "events_20240102"
+        exports.analytics_export(spark, SMALL).drop("table_suffix").limit(5).write.parquet(
+            str(shard))
+        run = Run(Settings(analytics_source=str(tmp_path / "export")), dt.date(2024, 1, 3))
+        export = plan_of(build_events_raw(scan_analytics(spark, run), exports.lookups(spark), run))
+        assert "GreaterThanOrEqual(event_timestamp" in export
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_rollups_and_cohorts_shuffle_as_little_as_possible(raw, spark, tmp_path):
+    path = str(tmp_path / "raw")
+    write_days(raw, path)
+    stored = read_days(spark, path, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    # Exact distinct users: by keys and user, then by keys.
+    assert plan_of(build_events(stored, WHOLE)).count("Exchange hashpartitioning") == 2
+    assert plan_of(build_installs_raw(stored, WHOLE)).count("Exchange hashpartitioning") == 1
