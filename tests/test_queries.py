@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from harness import queries as harness_queries
+from harness.oracle import oracle as harness_oracle
 from tests.compare import connect, differences
 from tests.conftest import SMALL
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = harness_queries.QUERIES, harness_oracle()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,8 @@ def duck():
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("query", QUERIES)
