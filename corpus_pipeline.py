@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pulsegrain.llm.quality import quality_verdicts
+from pulsegrain.llm.quality import filter_quality
 from pulsegrain.llm.shared import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -13,8 +12,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    verdicts = quality_verdicts(docs, list(COLUMNS), carry_text=True)
-    return verdicts.where("kept").select(*COLUMNS)
+    return filter_quality(docs).select(*COLUMNS)
 
 
 STAGES = [("quality", quality)]

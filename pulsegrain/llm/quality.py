@@ -135,24 +135,21 @@ def measure(column: pa.Array) -> dict[str, np.ndarray]:
 
 
 def text_features(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns keep and FEATURES of each row; a null text has no words."""
-    fields = [docs.schema[c] for c in keep]
+    """Columns keep, as kept0, kept1 and so on, and FEATURES of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = measure(batch.column(len(keep)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(keep))] +
-                [pa.array(found[k]) for k in FEATURES],
-                [f"kept{i}" for i in range(len(keep))] + list(FEATURES))
+                [pa.array(found[k]) for k in FEATURES], schema.names)
 
     inner = docs.select(*[F.col(f"`{c}`").alias(f"kept{i}") for i, c in enumerate(keep)],
                         F.col(f"`{text}`").alias("text"))
     schema = inner.drop("text").schema
     for k in FEATURES:
         schema = schema.add(k, "long")
-    out = inner.mapInArrow(run, schema)
-    return out.select(*[F.col(f"kept{i}").alias(f.name) for i, f in enumerate(fields)], *FEATURES)
+    return inner.mapInArrow(run, schema)
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200,
@@ -189,34 +186,62 @@ def posterior(votes: tuple[int, ...], share: float,
     return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
 
 
-def judge(features: DataFrame) -> DataFrame:
-    """Add base_failed, p_good and kept to rows with FEATURES.
+@dataclass(frozen=True)
+class Model:
+    share: float
+    tables: list[dict[int, tuple[float, float]]]
 
-    Only the pattern counts, at most 3 ** len(RULES) rows, reach the driver. Texts that fail
-    the base take no part in the estimate. An empty table gives an empty result.
-    """
-    failed = f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"
-    names = [f"vote_{r.name}" for r in RULES]
-    votes = features.withColumn("base_failed", F.expr(failed)).select(
+
+BASE_FAILED = f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"
+VOTES = [f"vote_{r.name}" for r in RULES]
+
+
+def _votes(features: DataFrame) -> DataFrame:
+    return features.withColumn("base_failed", F.expr(BASE_FAILED)).select(
         "*", *[F.expr(f"CASE WHEN base_failed THEN 0 ELSE {r.vote()} END").alias(n)
-               for r, n in zip(RULES, names, strict=True)])
-    rows = votes.where("NOT base_failed").groupBy(*names).count().collect()
-    patterns = sorted((tuple(row[n] for n in names), row["count"]) for row in rows)
-    share, tables = estimate(patterns)
-    odds = F.lit(math.log(share / (1 - share)))
-    for n, t in zip(names, tables, strict=True):
+               for r, n in zip(RULES, VOTES, strict=True)])
+
+
+def fit(features: DataFrame) -> Model:
+    """Estimate over all texts that pass the base.
+
+    Only the pattern counts, at most 3 ** len(RULES) rows, reach the driver.
+    """
+    rows = _votes(features).where("NOT base_failed").groupBy(*VOTES).count().collect()
+    return Model(*estimate(sorted((tuple(row[n] for n in VOTES), row["count"]) for row in rows)))
+
+
+def judge(features: DataFrame, model: Model) -> DataFrame:
+    """Add base_failed, p_good and kept to rows with FEATURES."""
+    odds = F.lit(math.log(model.share / (1 - model.share)))
+    for n, t in zip(VOTES, model.tables, strict=True):
         weight = {v: math.log(t[v][0] / t[v][1]) for v in t}
-        odds = odds + F.when(F.col(n) == 1, weight[1]).when(F.col(n) == -1, weight[-1]).otherwise(weight[0])
-    p_good = 1 / (1 + F.exp(-odds))
-    return (votes.withColumn("p_good", F.when(F.col("base_failed"), F.lit(0.0)).otherwise(p_good))
+        odds = odds + (F.when(F.col(n) == 1, weight[1]).when(F.col(n) == -1, weight[-1])
+                       .otherwise(weight[0]))
+    p_good = F.when(F.col("base_failed"), F.lit(0.0)).otherwise(1 / (1 + F.exp(-odds)))
+    return (_votes(features).withColumn("p_good", p_good)
             .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= KEEP_FROM))
-            .drop(*names))
+            .drop(*VOTES))
 
 
 def quality_verdicts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Columns keep, FEATURES, base_failed, p_good, kept of each row of docs.
 
     Null and empty texts have no words and fail the base; repeated rows are judged alike and
-    each stays a row; other columns of docs are ignored whatever their names.
+    each stays a row; other columns of docs are ignored whatever their names. An empty table
+    gives no rows.
+    """
+    features = written(text_features(docs, keep, text), "quality")
+    return judge(features, fit(features)).withColumnsRenamed(
+        {f"kept{i}": c for i, c in enumerate(keep)})
+
+
+def filter_quality(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of docs that are kept, with all their columns.
+
+    Texts are measured twice, once for the estimate and once beside the whole rows, which
+    saves a shuffle or a copy of all texts.
     """
-    return judge(written(text_features(docs, keep, text), "quality"))
+    model = fit(text_features(docs, [], text))
+    judged = judge(text_features(docs, docs.columns, text), model).where("kept")
+    return judged.select(*[F.col(f"kept{i}").alias(c) for i, c in enumerate(docs.columns)])
