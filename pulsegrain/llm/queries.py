@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrain.llm.quality import quality_verdicts
 from pulsegrain.llm.shared import table
+from pulsegrain.llm.similar import similar_documents
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +15,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op4_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_similar": op4_similar,
     "op6_quality": op6_quality,
 }
 ORACLE: dict[str, str] = {}
