@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsegrain.llm.mixing import mixed
+from pulsegrain.llm.pieces import encoded
 from pulsegrain.llm.quality import filter_quality
 from pulsegrain.llm.shared import table, written
+from pulsegrain.llm.similar import one_of_each_group
+
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -15,7 +20,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return filter_quality(docs).select(*COLUMNS)
 
 
-STAGES = [("quality", quality)]
+def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies."""
+    return one_of_each_group(docs).select(*COLUMNS)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix, with a document as often as it is taken."""
+    return mixed(docs).select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the mix."""
+    return encoded(docs, MODEL_FILE)
+
+
+STAGES = [("quality", quality), ("similar", similar), ("mixing", mixing), ("tokens", tokens)]
 ORACLE_SQL = None
 
 

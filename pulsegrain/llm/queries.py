@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsegrain.llm.mixing import mix_report
+from pulsegrain.llm.pieces import encoded
 from pulsegrain.llm.quality import quality_verdicts
 from pulsegrain.llm.shared import table
 from pulsegrain.llm.similar import similar_documents
 
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -19,8 +23,18 @@ def op4_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), MODEL_FILE)
+
+
 QUERIES = {
     "op4_similar": op4_similar,
+    "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op7_pieces": op7_pieces,
 }
 ORACLE: dict[str, str] = {}
