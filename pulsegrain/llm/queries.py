@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pulsegrain.llm import toxicity
 from pulsegrain.llm.mixing import mix_report
 from pulsegrain.llm.pieces import encoded
 from pulsegrain.llm.quality import quality_verdicts
@@ -19,6 +21,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", "held_out", "score", "predicted",
+                        F.size("offending").cast("long").alias("n_offending"))
+
+
 def op4_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
@@ -32,6 +41,7 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op4_similar": op4_similar,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
