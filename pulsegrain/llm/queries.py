@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrain.llm import toxicity
+from pulsegrain.llm import toxicity, warc
 from pulsegrain.llm.mixing import mix_report
 from pulsegrain.llm.pieces import encoded
 from pulsegrain.llm.quality import quality_verdicts
@@ -40,11 +40,48 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), MODEL_FILE)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archives = warc.write_archives(pages)
+    found = warc.captures(archives, pages.select(warc.url_key("url").alias("key")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_similar": op4_similar,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_pieces": op7_pieces,
+    "op8_warc": op8_warc,
+}
+ORACLE = {
+    "op4_similar": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 75 * (m.n + n.n - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents d
+LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)""",
+    "op8_warc": """
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+), equal AS (SELECT digest, max(page_id) AS original FROM sized WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to
+FROM sized LEFT JOIN equal USING (digest)""",
 }
-ORACLE: dict[str, str] = {}
