@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrain.llm import toxicity, warc
+from pulsegrain.llm.html_text import main_text
 from pulsegrain.llm.mixing import mix_report
 from pulsegrain.llm.pieces import encoded
 from pulsegrain.llm.quality import quality_verdicts
@@ -21,6 +22,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -48,6 +53,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_html": op2_html,
     "op3_toxicity": op3_toxicity,
     "op4_similar": op4_similar,
     "op5_mixing": op5_mixing,
