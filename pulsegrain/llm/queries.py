@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrain.llm import toxicity, warc
 from pulsegrain.llm.html_text import main_text
 from pulsegrain.llm.mixing import mix_report
+from pulsegrain.llm.neighbours import nearest
 from pulsegrain.llm.pieces import encoded
 from pulsegrain.llm.quality import quality_verdicts
 from pulsegrain.llm.shared import table
@@ -22,6 +23,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
@@ -53,6 +59,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
     "op2_html": op2_html,
     "op3_toxicity": op3_toxicity,
     "op4_similar": op4_similar,
