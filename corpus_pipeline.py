@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrain.llm.mixing import mixed
 from pulsegrain.llm.pieces import encoded
+from pulsegrain.llm.pii import masked
 from pulsegrain.llm.quality import filter_quality
 from pulsegrain.llm.shared import table, written
 from pulsegrain.llm.similar import one_of_each_group
@@ -25,6 +26,11 @@ def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one_of_each_group(docs).select(*COLUMNS)
 
 
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return masked(docs).select(*COLUMNS)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix, with a document as often as it is taken."""
     return mixed(docs).select(*COLUMNS)
@@ -35,7 +41,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded(docs, MODEL_FILE)
 
 
-STAGES = [("quality", quality), ("similar", similar), ("mixing", mixing), ("tokens", tokens)]
+STAGES = [("quality", quality), ("similar", similar), ("private", private), ("mixing", mixing),
+          ("tokens", tokens)]
 ORACLE_SQL = None
 
 

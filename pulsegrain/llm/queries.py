@@ -10,6 +10,7 @@ from pulsegrain.llm.html_text import main_text
 from pulsegrain.llm.mixing import mix_report
 from pulsegrain.llm.neighbours import nearest
 from pulsegrain.llm.pieces import encoded
+from pulsegrain.llm.pii import pii_report
 from pulsegrain.llm.quality import quality_verdicts
 from pulsegrain.llm.shared import table
 from pulsegrain.llm.similar import similar_documents
@@ -58,6 +59,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_html": op2_html,
@@ -67,6 +72,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_pieces": op7_pieces,
     "op8_warc": op8_warc,
+    "op10_pii": op10_pii,
 }
 ORACLE = {
     "op4_similar": """
