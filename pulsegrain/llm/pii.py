@@ -29,7 +29,8 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-CANDIDATE = r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])[A-Za-z0-9_/+-]{8,}+"
+CANDIDATE = (r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9]|A[KS]IA[A-Z]|gh[a-z]_|sk-)"
+             r"[A-Za-z0-9_/+-]{8,}+")
 CONTEXT_CHARS = 24
 THRESHOLD = 0.5
 
@@ -216,7 +217,7 @@ def with_spans(docs: DataFrame, model: Model, keep: list[str], text: str = "text
     rows = rows.withColumns({f"s_{k}": s for k, s in zip(KINDS, base, strict=True)} | {
         "s_c": _spans("m_c", "p_c", model.is_secret, ADDED, len(KINDS))})
     rows = rows.withColumn("base", F.array_sort(F.flatten(F.array(*[f"s_{k}" for k in KINDS]))))
-    apart = F.filter("s_c", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    apart = F.filter("s_c", lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
     return rows.withColumn("added", apart).select(
         *[f"kept{i}" for i in range(len(keep))], "text", "base", "added")
 
@@ -229,7 +230,7 @@ def _joined(spans: Column) -> Column:
 def pii_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, a count of each base kind, base_sha256, spans, n_added of each row of docs.
 
-    Null and empty texts have no spans. Added spans never overlap base ones. Repeated rows are
+    Null and empty texts have no spans. No added span lies in a base one. Repeated rows are
     treated alike; other columns are ignored whatever their names; an empty table gives no rows.
     """
     found = with_spans(docs, fit(docs, text), [doc_id], text)

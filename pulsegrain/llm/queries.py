@@ -14,6 +14,7 @@ from pulsegrain.llm.pii import pii_report
 from pulsegrain.llm.quality import quality_verdicts
 from pulsegrain.llm.shared import table
 from pulsegrain.llm.similar import similar_documents
+from pulsegrain.llm.substrings import without_repeats
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -59,6 +60,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_pieces": op7_pieces,
     "op8_warc": op8_warc,
+    "op9_substrings": op9_substrings,
     "op10_pii": op10_pii,
 }
 ORACLE = {
