@@ -149,7 +149,7 @@ def logistic(rows: list[tuple[tuple[int, ...], float, float]], rounds: int = 500
              penalty: float = 1e-3) -> tuple[float, list[float]]:
     """Bias and weights for (features, count, share of positives) by gradient descent."""
     if not rows:
-        return -1e3, []
+        return -1e3, [0.0] * len(_FEATURE)
     n, total = len(rows[0][0]), sum(c for _, c, _ in rows)
     bias, weights = 0.0, [0.0] * n
     for _ in range(rounds):
