@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain.llm.components import smallest_reachable
+from pulsegrain.llm.packed import binary, by_parts, cut, part_of, runs, schema
 from pulsegrain.llm.shared import partitions, written
 from pulsegrain.llm.textarrays import (
     LOWER_VALUES, gram_hashes,
@@ -30,7 +31,6 @@ from pulsegrain.llm.textarrays import (
 SHINGLE = 5
 PERCENT = 75
 FLUSH_TOKENS = 1 << 21
-KEY_BYTES = 5  # of a token in the first exchange; with its part about 46 bits
 _EMPTY = np.zeros(0, np.uint64)
 
 
@@ -72,47 +72,29 @@ def set_sizes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         run, "doc_id long, n_shingles long, sig long")
 
 
-def _by_part(sets: list[np.ndarray], sigs: list[int], n_parts: int) -> pa.RecordBatch:
-    """Tokens of several sets by hash range: low bytes of the tokens, whose they are, how many."""
+def _tokens_by_part(sets: list[np.ndarray], sigs: list[int], n_parts: int) -> pa.RecordBatch:
+    """Tokens of several sets by hash range: their low bytes, whose they are, how many."""
     tokens = np.concatenate(sets)
-    part = (((tokens >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32)).astype(np.uint32)
-    order = np.argsort(part, kind="stable")
-    part = part[order]
-    low = tokens[order].view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
-    owner = np.repeat(np.arange(len(sets), dtype=np.int64), [len(s) for s in sets])[order]
-    cut = np.flatnonzero(np.diff(part)) + 1
-    bounds = np.concatenate([[0], cut, [len(part)]])
-    sig_of = np.array(sigs, np.int64)
-    parts, keys, whose, counts = [], [], [], []
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        own = owner[a:b]
-        at = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1])
-        parts.append(int(part[a]))
-        keys.append(low[a:b].tobytes())
-        whose.append(sig_of[own[at]].tobytes())
-        counts.append(np.diff(np.append(at, b - a)).astype(np.uint32).tobytes())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(parts, pa.int32()), pa.array(keys, pa.binary()), pa.array(whose, pa.binary()),
-         pa.array(counts, pa.binary())], ["part", "keys", "whose", "counts"])
-
-
-def _shared_in_part(rows: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order, cuts = cut(part_of(tokens, n_parts))
+    low, owner, sig_of = tokens[order].astype(np.uint32), owner[order], np.array(sigs, np.int64)
+    rows = []
+    for part, a, b in cuts:
+        at, lengths = runs(owner[a:b])
+        rows.append((part, low[a:b], sig_of[owner[a:b][at]], lengths.astype(np.uint32)))
+    return binary(rows, ["keys", "whose", "counts"])
+
+
+def _shared_in_part(keys: np.ndarray, whose: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signatures that have tokens of another one, and how many."""
-    keys = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(-1, KEY_BYTES)
-    wide = np.zeros((len(keys), 8), np.uint8)
-    wide[:, :KEY_BYTES] = keys
-    keys = wide.view(np.uint64).ravel()
-    sigs, index = np.unique(np.frombuffer(b"".join(r[1] for r in rows), np.int64),
-                            return_inverse=True)
-    owner = np.repeat(index, np.frombuffer(b"".join(r[2] for r in rows), np.uint32))
+    sigs, index = np.unique(whose, return_inverse=True)
+    owner = np.repeat(index, counts)
     order = np.argsort(keys)
     keys, owner = keys[order], owner[order]
-    starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+    starts, lengths = runs(keys)
     several = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
-    lengths = np.diff(np.append(starts, len(keys)))
-    run = np.repeat(np.arange(len(starts)), lengths)
     mask = np.repeat(several, lengths)
-    pairs = np.unique(run[mask] * len(sigs) + owner[mask])
+    pairs = np.unique(np.repeat(np.arange(len(starts)), lengths)[mask] * len(sigs) + owner[mask])
     shared = np.bincount(pairs % len(sigs), minlength=len(sigs))
     some = np.flatnonzero(shared)
     return sigs[some], shared[some]
@@ -121,8 +103,9 @@ def _shared_in_part(rows: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray,
 def shared_counts(docs: DataFrame, text: str) -> DataFrame:
     """sig, shared: tokens of each set that another set has too.
 
-    Every token goes to the task of its hash range once, packed; a frequent token is one
-    entry for each task and set, and comes back only as counts.
+    Every token goes to the task of its hash range once, packed, four bytes of it: two tokens
+    of a range are taken for one in about 1 of 1,500 cases, which can only keep a set for the
+    exact steps. A frequent token is one entry for each task and set; sums come back packed.
     """
     n_parts = partitions(docs.sparkSession)
 
@@ -138,68 +121,125 @@ def shared_counts(docs: DataFrame, text: str) -> DataFrame:
                 sigs.append(sig)
                 held += len(tokens)
                 if held >= FLUSH_TOKENS:
-                    yield _by_part(sets, sigs, n_parts)
+                    yield _tokens_by_part(sets, sigs, n_parts)
                     sets, sigs, held = [], [], 0
         if sets:
-            yield _by_part(sets, sigs, n_parts)
+            yield _tokens_by_part(sets, sigs, n_parts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
-        for batch in batches:
-            for part, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows.setdefault(part, []).append(tuple(row))
-        for part in list(rows):
-            sigs, shared = _shared_in_part(rows.pop(part))
-            yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(shared.astype(np.int64))],
-                                             ["sig", "shared"])
+        for _, (keys, whose, counts) in by_parts(batches):
+            sigs, shared = _shared_in_part(np.frombuffer(keys, np.uint32), np.frombuffer(whose, np.int64),
+                                           np.frombuffer(counts, np.uint32))
+            order, cuts = cut(part_of(sigs.view(np.uint64), n_parts))
+            sigs, shared = sigs[order], shared[order].astype(np.uint32)
+            yield binary([(part, sigs[a:b], shared[a:b]) for part, a, b in cuts], ["sigs", "shared"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (sigs, shared) in by_parts(batches):
+            sigs, index = np.unique(np.frombuffer(sigs, np.int64), return_inverse=True)
+            total = np.bincount(index, np.frombuffer(shared, np.uint32), len(sigs)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(total)], ["sig", "shared"])
 
     packed = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(
-        split, "part int, keys binary, whose binary, counts binary")
-    found = packed.repartitionById(n_parts, F.col("part")).mapInArrow(
-        count, "sig long, shared long")
-    return found.groupBy("sig").agg(F.sum("shared").alias("shared"))
+        split, schema(["keys", "whose", "counts"]))
+    counted = packed.repartitionById(n_parts, F.col("part")).mapInArrow(
+        count, schema(["sigs", "shared"]))
+    return counted.repartitionById(n_parts, F.col("part")).mapInArrow(add, "sig long, shared long")
 
 
 def live_sets(docs: DataFrame, live: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """node, n, tokens of the sets in live (sig, node, n)."""
+    """node, n, tokens of the sets in live (sig, node)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            want = batch.column(1).to_numpy()
-            rows, found = [], []
-            for i, tokens in enumerate(shingle_sets(batch.column(3))):
-                if len(tokens) and signature(tokens) == want[i]:
-                    rows.append(i)
-                    found.append(tokens)
+            found = list(shingle_sets(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())),
-                 batch.column(2).take(pa.array(rows, pa.int64())),
+                [batch.column(0), pa.array([signature(t) if len(t) else None for t in found], pa.int64()),
+                 pa.array([len(t) for t in found], pa.int64()),
                  pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))],
-                ["node", "n", "tokens"])
+                ["node", "sig", "n", "tokens"])
 
-    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("node"),
-                        F.col(f"`{text}`").alias("text"))
-    joined = texts.join(live, "node").select("node", "sig", "n", "text")
-    sets = written(joined.mapInArrow(run, "node long, n long, tokens array<long>"), "sets")
-    if sets.count() > sets.select("node").distinct().count():  # rows that occur several times
-        sets = written(sets.dropDuplicates(["node"]), "sets")
-    return sets
+    # The ids alone are a small table more often than with the signatures.
+    ids = written(live.select("node"), "live_ids")
+    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("node"), F.col(f"`{text}`").alias("text"))
+    sets = written(texts.join(ids, "node").mapInArrow(
+        run, "node long, sig long, n long, tokens array<long>"), "sets")
+    if sets.count() > ids.count():  # ids that occur in several rows
+        sets = written(sets.join(live.select("node", "sig"), ["node", "sig"]).dropDuplicates(["node"]), "sets")
+    return sets.select("node", "n", "tokens")
 
 
 def rare_prefixes(sets: DataFrame) -> DataFrame:
-    """token, node, n: the prefix of each set under order 1, without tokens of one set only."""
-    tokens = sets.select("node", "n", F.explode("tokens").alias("token"))
-    often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    shared = tokens.join(often, "token")
-    ranked = (shared.groupBy("node", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked")))
-    length = f"n - (({PERCENT} * n + 99) div 100) + 1 - (n - size(ranked))"
-    return (ranked.withColumn("k", F.expr(length)).where("k > 0")
-            .select("node", "n", F.explode(F.expr("slice(ranked, 1, CAST(k AS int))")).alias("r"))
-            .select("r.token", "node", "n"))
+    """token, node, n, single, place: the prefix of each set under order 1.
 
+    single: the tokens that no other set has; they come first in the order and are left out.
+    place: of the token in the order. Tokens are counted in the task of their hash range and
+    go back, with their counts, to the task of their set.
+    """
+    n_parts = partitions(sets.sparkSession)
+    names = ["tokens", "df", "nodes", "sizes", "counts"]
 
-def _sizes_fit(a: str, b: str) -> str:
-    return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            nodes, sizes, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+            tokens = lists.flatten().to_numpy().view(np.uint64)
+            owner = np.repeat(np.arange(len(nodes)), lists.value_lengths().to_numpy())
+            order, cuts = cut(part_of(tokens, n_parts))
+            tokens, owner, rows = tokens[order], owner[order], []
+            for part, a, b in cuts:
+                at, lengths = runs(owner[a:b])
+                own = owner[a:b][at]
+                rows.append((part, tokens[a:b], nodes[own], sizes[own], lengths.astype(np.uint32)))
+            yield binary(rows, ["tokens", "nodes", "sizes", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (tokens, nodes, sizes, counts) in by_parts(batches):
+            tokens, nodes = np.frombuffer(tokens, np.uint64), np.frombuffer(nodes, np.int64)
+            sizes = np.frombuffer(sizes, np.int64)
+            owner = np.repeat(np.arange(len(nodes)), np.frombuffer(counts, np.uint32))
+            _, index, df = np.unique(tokens, return_inverse=True, return_counts=True)
+            df = df[index]
+            several = df > 1
+            tokens, df, owner = tokens[several], df[several].astype(np.uint32), owner[several]
+            home = part_of(mix(nodes.view(np.uint64)), n_parts)
+            order, cuts = cut(home[owner])
+            tokens, df, owner, rows = tokens[order], df[order], owner[order], []
+            for part, a, b in cuts:
+                at, lengths = runs(owner[a:b])
+                own = owner[a:b][at]
+                rows.append((part, tokens[a:b], df[a:b], nodes[own], sizes[own], lengths.astype(np.uint32)))
+            yield binary(rows, names)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (tokens, df, nodes, sizes, counts) in by_parts(batches):
+            tokens, df = np.frombuffer(tokens, np.uint64), np.frombuffer(df, np.uint32)
+            counts = np.frombuffer(counts, np.uint32)
+            node = np.repeat(np.frombuffer(nodes, np.int64), counts)
+            size = np.repeat(np.frombuffer(sizes, np.int64), counts)
+            order = np.lexsort((tokens, df, node))
+            tokens, node, size = tokens[order], node[order], size[order]
+            at, lengths = runs(node)
+            single = size - np.repeat(lengths, lengths)
+            place = single + np.arange(len(node)) - np.repeat(at, lengths)
+            keep = place < size - (PERCENT * size + 99) // 100 + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens[keep].view(np.int64)),
+                 *[pa.array(x[keep].astype(np.int64)) for x in (node, size, single, place)]],
+                ["token", "node", "n", "single", "place"])
+
+    packed = sets.mapInArrow(split, schema(["tokens", "nodes", "sizes", "counts"]))
+    counted = packed.repartitionById(n_parts, F.col("part")).mapInArrow(
+        count, schema(names))
+    return counted.repartitionById(n_parts, F.col("part")).mapInArrow(
+        choose, "token long, node long, n long, single long, place long")
+
+
+def _may_link(a: str, b: str) -> str:
+    """SQL: sizes fit, and what is left behind the common token is enough for the overlap."""
+    need = f"{PERCENT} * ({a}n + {b}n)"  # (100 + PERCENT) times the least overlap
+    return (f"100 * least({a}n, {b}n) >= {PERCENT} * greatest({a}n, {b}n) AND "
+            f"{100 + PERCENT} * least({a}n - {a}place, {b}n - {b}place) >= {need}")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -242,36 +282,53 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
 
-def links_between(sets: DataFrame, pivot_rounds: int = 2) -> DataFrame:
-    """Links (a, b) that connect all sets which links connect; not each link in a component."""
+def links_between(sets: DataFrame, rounds: int = 3) -> DataFrame:
+    """Links (a, b) that connect all sets which links connect; not each link in a component.
+
+    In each round a token's pivot is the set with the fewest tokens of its own, the likely
+    origin of a family, and each component is compared with the pivot that it shares the most
+    tokens with: one comparison a component. Components that still share a token are then
+    paired in full.
+    """
     spark = sets.sparkSession
     prefixes = written(rare_prefixes(sets), "prefixes")
-    links = spark.createDataFrame([], "a long, b long")
-    component = spark.createDataFrame([], "node long, component long")
-    for seed in range(pivot_rounds + 1):
-        open_ = (prefixes.join(component, "node", "left")
-                 .withColumn("component", F.coalesce("component", "node")))
-        if seed:
-            mixed = (open_.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    links = tried = spark.createDataFrame([], "a long, b long")
+    component = None
+    for turn in range(rounds + 1):
+        if component is None:
+            open_ = prefixes.withColumn("component", F.col("node"))
+        else:
+            rows = prefixes.join(component, "node", "left").withColumn(
+                "component", F.coalesce("component", "node"))
+            mixed = (rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                      .where("lo <> hi").select("token"))
-            open_ = written(open_.join(mixed, "token"), "open")
-        if seed < pivot_rounds:
-            order = F.struct(F.xxhash64(F.lit(seed), "node"), "node", "n", "component")
-            pivot = open_.groupBy("token").agg(F.min(order).alias("p")).select(
-                "token", F.col("p.node").alias("q"), F.col("p.n").alias("m"),
-                F.col("p.component").alias("other"))
-            pairs = open_.join(pivot, "token").where("component <> other AND " + _sizes_fit("n", "m"))
-            pairs = pairs.select(F.least("node", "q").alias("a"), F.greatest("node", "q").alias("b"))
+            open_ = written(rows.join(mixed, "token"), "open")
+            if open_.isEmpty():
+                break
+        cols = ("node", "n", "place", "component")
+        if turn < rounds:
+            rank = F.struct((1000 * F.col("single") / F.col("n")).cast("long").alias("own"),
+                            F.xxhash64("node").alias("hash"), *cols)
+            other = open_.groupBy("token").agg(F.min(rank).alias("p")).select(
+                "token", *[F.col("p")[c].alias(f"p_{c}") for c in cols])
         else:
-            other = open_.select("token", F.col("node").alias("q"), F.col("n").alias("m"),
-                                 F.col("component").alias("other"))
-            pairs = open_.join(other, "token").where(
-                "node < q AND component <> other AND " + _sizes_fit("n", "m"))
-            pairs = pairs.select(F.col("node").alias("a"), F.col("q").alias("b"))
-        found = written(verified(pairs.distinct(), sets), "verified")
-        links = links.union(found)
-        if seed < pivot_rounds:
-            component = smallest_reachable(links)
+            other = open_.select("token", *[F.col(c).alias(f"p_{c}") for c in cols])
+        pairs = open_.join(other, "token").where("component <> p_component AND " + _may_link("", "p_"))
+        if turn == rounds:
+            pairs = pairs.where("node < p_node")
+        pairs = pairs.select("component", F.least("node", "p_node").alias("a"),
+                             F.greatest("node", "p_node").alias("b"))
+        if turn:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        if turn < rounds:
+            best = pairs.groupBy("component", "a", "b").count().groupBy("component").agg(
+                F.max(F.struct("count", (-F.col("a")).alias("x"), (-F.col("b")).alias("y"))).alias("m"))
+            pairs = best.select((-F.col("m.x")).alias("a"), (-F.col("m.y")).alias("b"))
+        pairs = written(pairs.select("a", "b").distinct(), "pairs")
+        found = written(verified(pairs, sets), "verified")
+        links, tried = links.union(found), tried.union(pairs)
+        if turn < rounds:
+            component = written(smallest_reachable(links), "component")
     return links
 
 
@@ -286,7 +343,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     nodes = (sizes.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig")
              .agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n")))
     live = written(nodes.join(shared_counts(docs, text), "sig")
-                   .where(f"100 * shared >= {PERCENT} * n").select("sig", "node", "n"), "live")
+                   .where(f"100 * shared >= {PERCENT} * n").select("sig", "node"), "live")
     component = smallest_reachable(links_between(live_sets(docs, live, doc_id, text)))
     of_sig = nodes.join(component, "node", "left").select(
         "sig", F.coalesce("component", "node").alias("component_id"))
