@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, fields
 from typing import Any
 
 from pulsegrain import fixed_values as fv
+from pulsegrain.functions.sqltext import literal
 
 ROLES = ("raw", "dimension", "alsoForceNullDimension", "metric", "metricOnly")
 
@@ -144,7 +146,7 @@ class MeasureSpec:
             return self.additional_filter
         if self.event_name.lower().startswith("like "):
             return f"event_name {self.event_name}"
-        return f"event_name = '{self.event_name}' AND {self.additional_filter}"
+        return f"event_name = {literal(self.event_name)} AND {self.additional_filter}"
 
     @property
     def ignores_filter(self) -> bool:
@@ -164,30 +166,6 @@ def _date(value: dt.date | str | None) -> dt.date | None:
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
 
-# Setting names used by existing project files -> field here. Any "PREFIX:" in
-# front of the name is ignored.
-VARIABLES = {
-    "FIREBASE_PROJECT_ID": "project",
-    "FIREBASE_ANALYTICS_DATASET_ID": "analytics_source",
-    "FIREBASE_ANALYTICS_EVENTS_TABLE_NAME": "analytics_shards",
-    "FIREBASE_CRASHLYTICS_DATASET_ID": "crash_source",
-    "FIREBASE_CRASHLYTICS_EVENTS_TABLE_NAME": "crash_shards",
-    "FIREBASE_ANALYTICS_CUSTOM_INSTALL_EVENT": "custom_install_event",
-    "CUSTOM_PLATFORM_PREPROCESSOR": "platform_expr",
-    "FIREBASE_ANALYTICS_DEFAULT_INCREMENTAL_DAYS": "analytics_incremental_days",
-    "FIREBASE_CRASHLYTICS_DEFAULT_INCREMENTAL_DAYS": "crash_incremental_days",
-    "FIREBASE_ANALYTICS_FULL_REFRESH_START_DATE": "analytics_start",
-    "FIREBASE_ANALYTICS_FULL_REFRESH_END_DATE": "analytics_end",
-    "FIREBASE_CRASHLYTICS_FULL_REFRESH_START_DATE": "crash_start",
-    "FIREBASE_CRASHLYTICS_FULL_REFRESH_END_DATE": "crash_end",
-    "OB_DIMENSION_TO_EXCLUDE_IN_ROLLUPS": "excluded_dimensions",
-    "CUSTOM_USER_PROPERTIES": "custom_user_properties",
-    "CUSTOM_EVENT_PARAMETERS": "custom_event_parameters",
-    "CUSTOM_CRASHLYTICS_KEYS": "custom_crash_keys",
-    "CUSTOM_APP_HEALTH_MEASURES": "custom_measures",
-}
-
-
 @dataclass(frozen=True)
 class Settings:
     """Everything a project can configure.
@@ -238,8 +216,8 @@ class Settings:
                               for m in (*fv.BUILTIN_MEASURES, *self.custom_measures)))
         for spec in self.user_properties:
             if spec.is_metric:
-                raise ValueError(f"{spec.key_name}: a user property cannot be a metric; "
-                                 "only event parameters are aggregated")
+                warnings.warn(f"{spec.key_name}: user properties are not aggregated; the metric "
+                              "stays a raw field", stacklevel=2)
         if self.duplicate_keys not in ("error", "first"):
             raise ValueError("duplicate_keys must be 'error' or 'first'")
 
@@ -256,7 +234,7 @@ class Settings:
         known = {f.name for f in fields(cls) if f.init}
         values = {}
         for name, value in variables.items():
-            key = VARIABLES.get(name.split(":")[-1], name)
+            key = fv.SETTING_NAMES.get(name.split(":")[-1], name)
             if key not in known:
                 raise ValueError(f"unknown setting {name!r}")
             values[key] = value
@@ -291,7 +269,7 @@ class Settings:
         kept_back = [f"event_parameters.{p.struct_field_name}" for p in self.event_parameters
                      if p.rollup_type == "raw" or p.is_metric]
         kept_back += [f"user_properties.{p.struct_field_name}" for p in self.user_properties
-                      if p.rollup_type == "raw"]
+                      if p.rollup_type == "raw" or p.is_metric]
         return frozenset((*kept_back, *self.excluded_dimensions))
 
     @property

@@ -18,18 +18,25 @@ from pulsegrain.functions.sqltext import aliased, expressions, literal, name, st
 from pulsegrain.functions.text import in_name_list
 
 
-def key_position(entries: str, key: str, on_duplicate: str = "error") -> str:
+def has_repeats(entries: str) -> str:
+    """Whether any key occurs twice. Made a column, so that it is found once per row."""
+    keys = name(entries, "key")
+    return f"size(array_distinct({keys})) < size({keys})"
+
+
+def key_position(entries: str, key: str, on_duplicate: str = "error",
+                 repeats: str | None = None) -> str:
     """1-based position of the key's entry, 0 if there is none.
 
     A key that occurs twice has no single value, which is an error unless
-    ``on_duplicate`` is ``"first"``.
+    ``on_duplicate`` is ``"first"``. ``repeats`` is the column of
+    :func:`has_repeats`; entries of this key are counted only where it is true.
     """
     keys, wanted = name(entries, "key"), literal(key)
     position = f"coalesce(array_position({keys}, {wanted}), 0)"
     if on_duplicate == "first":
         return position
-    # One cheap test per row first; counting this key's entries only if it fails.
-    repeats = f"size(array_distinct({keys})) < size({keys})"
+    repeats = repeats or has_repeats(entries)
     occurs = f"size({keys}) - size(array_remove({keys}, {wanted}))"
     message = literal(f"key {key!r} occurs more than once in {entries}")
     return (f"if({repeats} AND {occurs} > 1, bigint(raise_error({message})), {position})")
@@ -48,12 +55,13 @@ def key_value(entries: str, key: str, value_field: str | None = None,
 
 @dataclass(frozen=True)
 class Extraction:
-    """A parameter struct in three steps, each a set of columns over the one before.
+    """A parameter struct in four steps, each a set of columns over the one before.
 
-    Positions and values are columns of their own so that parameters with the
+    The test for repeated keys, positions and values are columns of their own so that parameters with the
     same key share them. Several extractions can share a step.
     """
 
+    flags: dict[str, str]
     positions: dict[str, str]
     values: dict[str, str]
     struct: str
@@ -64,7 +72,7 @@ def extraction(field: str, entries: str, specs: Sequence[ParamSpec],
                on_duplicate: str = "error") -> Extraction:
     """How to build struct ``field`` from the parameters found in ``entries``."""
     if not specs:
-        return Extraction({}, {}, struct({"empty": literal(fv.NO_CUSTOM_KEYS)}))
+        return Extraction({}, {}, {}, struct({"empty": literal(fv.NO_CUSTOM_KEYS)}))
     at = {key: f"__{field}_at_{i}"
           for i, key in enumerate(dict.fromkeys(p.key_name for p in specs))}
     values = {pair: f"__{field}_value_{i}" for i, pair in enumerate(
@@ -79,8 +87,11 @@ def extraction(field: str, entries: str, specs: Sequence[ParamSpec],
             present += f" AND {in_name_list('event_name', spec.event_name_filter)}"
         fields[spec.struct_field_name] = (
             f"if({present}, CAST({extracted} AS {spec.spark_type(types)}), NULL)")
+    repeats = f"__{field}_repeats"
     return Extraction(
-        {column: key_position(entries, key, on_duplicate) for key, column in at.items()},
+        {} if on_duplicate == "first" else {repeats: has_repeats(entries)},
+        {column: key_position(entries, key, on_duplicate, name(repeats))
+         for key, column in at.items()},
         {column: value_at(entries, name(at[key]), value_field)
          for (key, value_field), column in values.items()},
         struct(fields))
@@ -91,6 +102,7 @@ def with_parameter_struct(df: DataFrame, field: str, entries: str, specs: Sequen
                           on_duplicate: str = "error") -> DataFrame:
     """Add struct ``field`` with one field per parameter found in ``entries``."""
     steps = extraction(field, entries, specs, types, on_duplicate)
-    return (df.selectExpr("*", *expressions(steps.positions))
+    return (df.selectExpr("*", *expressions(steps.flags))
+            .selectExpr("*", *expressions(steps.positions))
             .selectExpr("*", *expressions(steps.values))
             .selectExpr(*[name(c) for c in df.columns], aliased(steps.struct, field)))

@@ -13,14 +13,19 @@ def clean_version(version: str) -> str:
     return f"nullif(regexp_extract({version}, {literal(fv.VERSION_PATTERN)}, 1), '')"
 
 
-def part(cleaned: str, index: int) -> str:
-    return f"try_cast(get(split({cleaned}, '[.]'), {index}) AS bigint)"
+def version_parts(cleaned: str) -> str:
+    return f"split({cleaned}, '[.]')"
 
 
-def major_minor(cleaned: str) -> str:
+def part(cleaned: str, index: int, parts: str | None = None) -> str:
+    """``parts`` is a column with the parts, where a caller has made one."""
+    return f"try_cast(get({parts or version_parts(cleaned)}, {index}) AS bigint)"
+
+
+def major_minor(cleaned: str, parts: str | None = None) -> str:
     """As a decimal number, so 17.1 and 17.10 are the same."""
-    return (f"try_cast(concat(string({part(cleaned, 0)}), '.', "
-            f"string(coalesce({part(cleaned, 1)}, 0))) AS double)")
+    return (f"try_cast(concat(string({part(cleaned, 0, parts)}), '.', "
+            f"string(coalesce({part(cleaned, 1, parts)}, 0))) AS double)")
 
 
 def _six_digits(number: str) -> str:
@@ -29,14 +34,14 @@ def _six_digits(number: str) -> str:
     return f"lpad({text}, greatest({fv.VERSION_PART_DIGITS}, length({text})), '0')"
 
 
-def normalized(cleaned: str) -> str:
+def normalized(cleaned: str, parts: str | None = None) -> str:
     """Sortable integer, six digits per part; NULL if it does not fit."""
-    digits = ", ".join(_six_digits(part(cleaned, n)) for n in range(3))
+    digits = ", ".join(_six_digits(part(cleaned, n, parts)) for n in range(3))
     return f"if({cleaned} IS NOT NULL, try_cast(concat({digits}) AS bigint), NULL)"
 
 
-def join_value(cleaned: str, version: str) -> str:
-    return f"coalesce(string({normalized(cleaned)}), {version})"
+def join_value(cleaned: str, version: str, parts: str | None = None) -> str:
+    return f"coalesce(string({normalized(cleaned, parts)}), {version})"
 
 
 KINDS = {
@@ -56,22 +61,23 @@ def version_as(version: str, kind: str) -> str:
 
 
 def version_struct(original: str, version: str, cleaned: str,
-                   extra: Mapping[str, str] | None = None) -> str:
+                   extra: Mapping[str, str] | None = None, parts: str | None = None) -> str:
     """The version record.
 
-    ``version`` is ``original`` without any OS name and ``cleaned`` is its
-    cleaned form, passed in so that a caller can compute it once per row.
+    ``version`` is ``original`` without any OS name, ``cleaned`` is its
+    cleaned form and ``parts`` that form's parts, passed in so that a caller can
+    compute them once per row.
     """
     return struct({
         "firebase_value": original,
         **(extra or {}),
-        "major": part(cleaned, 0),
-        "minor": part(cleaned, 1),
-        "bugfix": part(cleaned, 2),
-        "major_minor": major_minor(cleaned),
+        "major": part(cleaned, 0, parts),
+        "minor": part(cleaned, 1, parts),
+        "bugfix": part(cleaned, 2, parts),
+        "major_minor": major_minor(cleaned, parts),
         "major_minor_bugfix": cleaned,
-        "normalized": normalized(cleaned),
-        "join_value": join_value(cleaned, version),
+        "normalized": normalized(cleaned, parts),
+        "join_value": join_value(cleaned, version, parts),
     })
 
 

@@ -1,4 +1,4 @@
-"""Country and language lookups, broadcast because their size is bounded."""
+"""Country and language lookups; Spark broadcasts the tables where their size allows it."""
 
 from __future__ import annotations
 
@@ -9,23 +9,20 @@ from pyspark.sql import functions as F
 
 from pulsegrain.functions.text import first_tag_part, last_tag_part
 
-# Two-letter codes: there cannot be more than this many.
-MAX_CODES = 26 * 26
-
-
 def checked_codes(df: DataFrame, name: str) -> DataFrame:
-    """A local copy of a code table that is proven small and unique in ``alpha_2``."""
-    rows = df.limit(MAX_CODES + 1).toArrow()
-    if rows.num_rows > MAX_CODES:
-        raise ValueError(f"{name}: more rows than two-letter codes exist")
-    codes = rows.column("alpha_2").to_pylist()
-    if len(set(codes)) != len(codes):
-        raise ValueError(f"{name}: alpha_2 is not unique")
+    """The table, after a check that ``alpha_2`` and the exported names are unique.
+
+    NULL codes and empty names match nothing, so they may repeat.
+    """
+    keys = {"alpha_2": "alpha_2"}
     if "firebase_name" in df.columns:
-        names = [n.lower() for n in rows.column("firebase_name").to_pylist() if n]
-        if len(set(names)) != len(names):
-            raise ValueError(f"{name}: firebase_name is not unique")
-    return df.sparkSession.createDataFrame(rows)
+        keys["firebase_name"] = "nullif(lower(firebase_name), '')"
+    for column, key in keys.items():
+        repeated = (df.selectExpr(f"{key} AS key").where("key IS NOT NULL").groupBy("key").count()
+                    .where("count > 1"))
+        if not repeated.isEmpty():
+            raise ValueError(f"{name}: {column} is not unique")
+    return df
 
 
 @dataclass(frozen=True)
@@ -46,7 +43,7 @@ def with_country(df: DataFrame, lookups: Lookups, country: str) -> DataFrame:
     seed = lookups.country.where("firebase_name != ''").selectExpr(
         "lower(firebase_name) AS __country_key", "name AS iso_country_name",
         "alpha_2 AS iso_country_alpha_2")
-    return (df.join(F.broadcast(seed), F.expr(f"lower({country}) = __country_key"), "left")
+    return (df.join(seed, F.expr(f"lower({country}) = __country_key"), "left")
             .drop("__country_key"))
 
 
@@ -60,5 +57,5 @@ def with_language(df: DataFrame, lookups: Lookups, tag: str) -> DataFrame:
     region = lookups.country.selectExpr("alpha_2 AS iso_language_country_alpha_2")
     spoken = F.expr(f"lower({first_tag_part(tag)}) = iso_language_alpha_2")
     place = F.expr(f"lower({last_tag_part(tag)}) = iso_language_country_alpha_2")
-    return (df.join(F.broadcast(language), spoken, "left")
-            .join(F.broadcast(region), place, "left"))
+    return (df.join(language, spoken, "left")
+            .join(region, place, "left"))

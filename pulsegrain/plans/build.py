@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.operators.lookups import Lookups
@@ -18,6 +19,7 @@ from pulsegrain.plans.installs import (
 from pulsegrain.plans.usage import (
     build_errors, build_events, build_events_count, build_events_forced_nulls, build_installs,
     ui_rows)
+from pulsegrain.session import tune
 from pulsegrain.sources.comments import CRASH_EVENTS_RAW, EVENTS_RAW, with_comments
 from pulsegrain.sources.exports import scan_analytics, scan_crashes
 from pulsegrain.sources.tables import read_days, write_days
@@ -26,35 +28,45 @@ from pulsegrain.windows import DateWindow, Run
 
 @dataclass(frozen=True)
 class Warehouse:
-    """A folder with one subfolder per table."""
+    """A folder with one subfolder per table.
+
+    Schemas of tables written in this run are kept: a table may have no rows.
+    """
 
     spark: SparkSession
     root: str
     run: Run
     table_format: str = "parquet"
+    may_erase: bool = False
+    schemas: dict[str, T.StructType] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read(self, table: str, window: DateWindow | None = None) -> DataFrame:
         days = window or self.run.analytics()
-        return read_days(self.spark, self.path(table), days.start, days.end, self.table_format)
+        return read_days(self.spark, self.path(table), days.start, days.end, self.table_format,
+                         self.schemas.get(table))
 
     def write(self, table: str, df: DataFrame, cluster_by=()) -> None:
         write_days(df, self.path(table), cluster_by, not self.run.incremental,
-                   self.table_format)
+                   self.table_format, self.may_erase)
+        self.schemas[table] = df.schema
 
 
 def build_all(spark: SparkSession, root: str, run: Run, lookups: Lookups,
               analytics: Callable[[SparkSession, Run], DataFrame] = scan_analytics,
-              crashes: Callable[[SparkSession, Run], DataFrame] = scan_crashes) -> Warehouse:
-    """Recompute the run's days of every table.
+              crashes: Callable[[SparkSession, Run], DataFrame] = scan_crashes,
+              may_erase: bool = False) -> Warehouse:
+    """Recompute the run's days of every table, with the session tuned for it.
 
+    A table may turn out empty; a full refresh replaces rows by none only if
+    ``may_erase``.
     Running it again changes nothing. No table is read and written at once:
     each step reads what earlier steps wrote.
     """
     run.settings.require_mandatory()
-    w = Warehouse(spark, root, run)
+    w = Warehouse(tune(spark), root, run, may_erase=may_erase)
     by_event, by_app = fv.EVENT_CLUSTER_KEYS, fv.INSTALL_CLUSTER_KEYS
 
     w.write("events_raw", with_comments(build_events_raw(analytics(spark, run), lookups, run),

@@ -11,7 +11,8 @@ from pulsegrain.functions.sqltext import aliased, expressions, struct
 from pulsegrain.functions.text import null_if_empty, reverse_dotted
 from pulsegrain.functions.times import (
     age_in_days, hour_number, offset_text, utc_date, zone_dates)
-from pulsegrain.functions.versions import clean_version, version_struct, version_without_os
+from pulsegrain.functions.versions import (
+    clean_version, version_parts, version_struct, version_without_os)
 from pulsegrain.operators.dedup import COUNT_COLUMN, keep_one_copy
 from pulsegrain.operators.lookups import Lookups, with_country, with_language
 from pulsegrain.windows import Run
@@ -87,8 +88,10 @@ COLUMNS = {
     "event_name": "event_name",
     "platform": "src_platform",
     "appstore": "src_install_source",
-    "app_version": version_struct("src_app_version", "src_app_version", "__app_clean"),
-    "platform_version": version_struct("src_os_version", "__os_version", "__os_clean"),
+    "app_version": version_struct("src_app_version", "src_app_version", "__app_clean",
+                                  parts="__app_parts"),
+    "platform_version": version_struct("src_os_version", "__os_version", "__os_clean",
+                                       parts="__os_parts"),
     "user_properties": "",  # depends on the settings
     "event_parameters": "",
     "user_properties_raw": "user_properties_raw",
@@ -140,9 +143,13 @@ def build_events_raw(export: DataFrame, lookups: Lookups, run: Run) -> DataFrame
         "install_ts": "timestamp_micros(user_first_touch_timestamp)",
         "__app_clean": clean_version("src_app_version"),
         "__os_version": version_without_os("src_os_version", "src_os_name"),
-        **user.positions, **event.positions}))
+        **user.flags, **event.flags}))
     rows = rows.selectExpr("*", *expressions({
         "__os_clean": clean_version("__os_version"),
+        "__app_parts": version_parts("__app_clean"),
+        **user.positions, **event.positions}))
+    rows = rows.selectExpr("*", *expressions({
+        "__os_parts": version_parts("__os_clean"),
         "__event_hour": hour_number("event_ts"),
         "__install_hour": hour_number("install_ts"),
         **user.values, **event.values}))

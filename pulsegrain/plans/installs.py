@@ -14,7 +14,6 @@ from pulsegrain.functions.times import (
 from pulsegrain.operators.dedup import COUNT_COLUMN
 from pulsegrain.operators.dims import dimension_columns
 from pulsegrain.operators.rollup import aggregate, metric_input
-from pulsegrain.operators.skew import ROWS_PER_TASK, join_spreading_hot_keys
 from pulsegrain.windows import Run
 
 # Functions of carried columns: cheaper to compute again than to shuffle.
@@ -98,13 +97,14 @@ def build_installs_raw(events_raw: DataFrame, run: Run) -> DataFrame:
 
 
 def build_cohorts(events_raw: DataFrame, installs_raw: DataFrame, run: Run,
-                  forced_nulls: bool = False,
-                  rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
+                  forced_nulls: bool = False) -> DataFrame:
     """Events by the dimensions of the event and of the user's install.
 
     ``forced_nulls`` collapses the configured dimensions on both sides and
     keeps the configured events only. Events of users without an install
-    drop out.
+    drop out. A user with very many events is split by adaptive execution,
+    which ``tune`` lets add a shuffle for it; the grouping counts users
+    wherever their rows lie.
     """
     settings = run.settings
     left_out = settings.fields_left_out_of_rollups
@@ -124,19 +124,17 @@ def build_cohorts(events_raw: DataFrame, installs_raw: DataFrame, run: Run,
     right = installed.selectExpr("user_pseudo_id",
                                  aliased(utc_date("install_ts"), "install_date"),
                                  *expressions(install_dims))
-    joined = join_spreading_hot_keys(left, right, "user_pseudo_id", ["event_ts", "event_name"],
-                                     rows_per_task)
+    joined = left.join(right, "user_pseudo_id")
     # An age group would follow from the age and add no rows, so it is no key.
     keys = ["event_date", *event_dims, "install_age", "install_date", *install_dims]
     return aggregate(joined, keys, "user_pseudo_id", settings.metrics)
 
 
-def build_events_wid(events_raw, installs_raw, run, rows_per_task=ROWS_PER_TASK) -> DataFrame:
+def build_events_wid(events_raw, installs_raw, run) -> DataFrame:
     """The cohort table."""
-    return build_cohorts(events_raw, installs_raw, run, False, rows_per_task)
+    return build_cohorts(events_raw, installs_raw, run, False)
 
 
-def build_events_wid_forced_nulls(events_raw, installs_raw, run,
-                                  rows_per_task=ROWS_PER_TASK) -> DataFrame:
+def build_events_wid_forced_nulls(events_raw, installs_raw, run) -> DataFrame:
     """The cohort table with collapsed dimensions."""
-    return build_cohorts(events_raw, installs_raw, run, True, rows_per_task)
+    return build_cohorts(events_raw, installs_raw, run, True)

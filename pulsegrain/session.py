@@ -10,6 +10,9 @@ SETTINGS = {
     # The tables are wide. HotSpot never compiles methods above this size, so a
     # stage that would need one runs faster as separate, split projections.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A join key with very many rows is split even where the grouping after the
+    # join would otherwise use its partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

@@ -80,18 +80,29 @@ def _stem(shards: str) -> str:
     return shards[:-1]
 
 
-def _read(spark: SparkSession, paths: str, stem: str, schema: T.StructType | str,
-          source_format: str) -> DataFrame:
-    """Read shards and add ``table_suffix``, the part of the folder name after ``stem``."""
+def _without_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], T.StructType([
+        *schema.fields, T.StructField("table_suffix", T.StringType())]))
+
+
+def _read(spark: SparkSession, root: str, stem: str, wanted: str | None,
+          schema: T.StructType | str, source_format: str) -> DataFrame:
+    """Read shards and add ``table_suffix``, the part of the folder name after ``stem``.
+
+    ``wanted`` is a path pattern for some shards. None of them may exist, but a
+    root without any shard is an error, not an empty feed.
+    """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
+    reader = spark.read.format(source_format).schema(schema)
+    every = f"{root.rstrip('/')}/{stem}*"
     try:
-        rows = spark.read.format(source_format).schema(schema).load(paths)
+        rows = reader.load(wanted or every)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if wanted is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], T.StructType([
-            *schema.fields, T.StructField("table_suffix", T.StringType())]))
+        reader.load(every)
+        return _without_rows(spark, schema)
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return rows.select(*schema.names,
                        F.substr(folder, F.lit(len(stem) + 1)).alias("table_suffix"))
@@ -111,13 +122,17 @@ def scan_analytics(spark: SparkSession, run: Run, extend: int = 0,
     settings = run.settings
     stem = _stem(settings.analytics_shards)
     pattern = date_shards(settings.analytics_source, stem, run.shards(extend))
-    return _read(spark, pattern, stem, schema, source_format)
+    return _read(spark, settings.analytics_source, stem, pattern, schema, source_format)
 
 
 def scan_crashes(spark: SparkSession, run: Run, schema: T.StructType | str = CRASH_EXPORT,
                  source_format: str = "parquet") -> DataFrame:
-    """All crash shards. They are cut by platform, so there is nothing to prune."""
+    """All crash shards. They are cut by platform, not by day: the filter on the
+    event time is what keeps a run from reading old rows. An app without a
+    crash source has no crashes."""
     settings = run.settings
-    stem = _stem(settings.crash_shards)
-    return _read(spark, f"{settings.crash_source.rstrip('/')}/{stem}*", stem, schema,
+    if not settings.crash_source:
+        return _without_rows(spark, T.StructType.fromDDL(schema) if isinstance(schema, str)
+                             else schema)
+    return _read(spark, settings.crash_source, _stem(settings.crash_shards), None, schema,
                  source_format)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrain.windows import DateWindow
 
@@ -14,15 +16,19 @@ DAY = "event_date"
 
 
 def write_days(df: DataFrame, path: str, cluster_by: Sequence[str] = (),
-               full_refresh: bool = False, table_format: str = "parquet") -> None:
+               full_refresh: bool = False, table_format: str = "parquet",
+               may_erase: bool = False) -> None:
     """Overwrite the days that ``df`` has rows for, or everything.
 
-    A day without new rows stays as it was. Rows are brought together by day
+    A day without new rows stays as it was. A full refresh without any row is an
+    error where the table has some, unless ``may_erase`` allows it. Rows are brought together by day
     and sorted by the cluster keys within each file, so that file statistics
     can skip. ``rebalance`` lets adaptive execution cut a large day into many
     files and join small ones; a plain repartition by day would leave a day to
     one task.
     """
+    if full_refresh and not may_erase and df.isEmpty() and _has_rows(df, path, table_format):
+        raise ValueError(f"a full refresh without rows would erase {path}")
     laid_out = (df.hint("rebalance", F.col(DAY))
                 .sortWithinPartitions(DAY, *[c for c in cluster_by if c != DAY]))
     (laid_out.write.mode("overwrite").format(table_format)
@@ -30,10 +36,25 @@ def write_days(df: DataFrame, path: str, cluster_by: Sequence[str] = (),
      .partitionBy(DAY).save(path))
 
 
+def _has_rows(df: DataFrame, path: str, table_format: str) -> bool:
+    try:
+        return not df.sparkSession.read.format(table_format).schema(df.schema).load(path).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def read_days(spark: SparkSession, path: str, start: dt.date | None, end: dt.date | None,
-              table_format: str = "parquet") -> DataFrame:
-    """Days ``start`` to ``end`` of a table. Both are required."""
+              table_format: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """Days ``start`` to ``end`` of a table. Both are required.
+
+    With its schema given, a table that has no rows yet can be read too.
+    """
     if start is None or end is None:
         raise ValueError("reading a table needs a first and a last day")
-    return (spark.read.format(table_format).load(path)
+    reader = spark.read.format(table_format)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return (reader.load(path)
             .where(DateWindow(start, end).has_date(DAY)))

@@ -33,9 +33,9 @@ class DateWindow:
 
     def has_instant(self, ts: str) -> str:
         """Between midnight of ``start`` and midnight of ``end``: of the last day
-        only its first instant."""
-        return (f"unix_micros({ts}) BETWEEN {micros_at_midnight(self.start)} "
-                f"AND {micros_at_midnight(self.end)}")
+        only its first instant. Compared with literals, so it reaches the scan."""
+        return (f"({ts} >= TIMESTAMP '{self.start} 00:00:00+00:00' "
+                f"AND {ts} <= TIMESTAMP '{self.end} 00:00:00+00:00')")
 
     def has_shard(self, suffix: str) -> str:
         first, last = (d.strftime(fv.SHARD_DATE_FORMAT) for d in (self.start, self.end))

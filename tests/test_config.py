@@ -42,9 +42,10 @@ def test_types_per_feed():
         Settings(custom_event_parameters=[{"key_name": "a", "data_type": "float"}])
     with pytest.raises(ValueError):
         Settings(custom_crash_keys=[{"key_name": "a", "data_type": "int"}])
-    with pytest.raises(ValueError):
-        Settings(custom_user_properties=[
+    with pytest.warns(UserWarning, match="raw field"):
+        settings = Settings(custom_user_properties=[
             {"key_name": "a", "data_type": "int", "rollup_type": "metric"}])
+    assert "user_properties.a_int" in settings.fields_left_out_of_rollups
     assert ParamSpec("a", "string").value_field(CRASH_TYPES) is None
 
 

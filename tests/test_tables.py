@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from harness import exports
@@ -13,6 +14,7 @@ from harness.settings import SETTINGS
 from pulsegrain import Run, Settings
 from pulsegrain.plans import checks
 from pulsegrain.plans.build import build_all
+from pulsegrain.plans.crash_raw import build_crash_events_raw
 from pulsegrain.plans.events_raw import build_events_raw
 from pulsegrain.plans.installs import build_cohorts, build_installs_raw
 from pulsegrain.plans.usage import build_events, build_events_forced_nulls
@@ -49,6 +51,11 @@ def test_scan_reads_only_shards_of_the_window(spark, tmp_path):
     assert scan_analytics(spark, empty).count() == 0
     with pytest.raises(ValueError):
         scan_analytics(spark, Run(Settings(analytics_source="x", analytics_shards="events"), DAY))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        scan_analytics(spark, Run(Settings(analytics_source=str(tmp_path / "typo")), DAY))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        scan_crashes(spark, Run(Settings(crash_source=str(tmp_path / "typo"), crash_shards="a_*"), DAY))
+    assert scan_crashes(spark, Run(Settings(), DAY)).count() == 0
 
 
 def test_scan_crashes_aligns_shards(spark, tmp_path):
@@ -88,6 +95,12 @@ def test_only_the_new_days_are_replaced(spark, tmp_path):
         days._jdf.queryExecution().executedPlan().toString())
     write_days(first.limit(1), path, full_refresh=True)
     assert spark.read.parquet(path).count() == 1
+    with pytest.raises(ValueError, match="erase"):
+        write_days(first.limit(0), path, full_refresh=True)
+    assert spark.read.parquet(path).count() == 1
+    write_days(first.limit(0), path, full_refresh=True, may_erase=True)
+    nothing = read_days(spark, path, dt.date(2024, 1, 2), dt.date(2024, 1, 5), schema=first.schema)
+    assert nothing.count() == 0 and set(nothing.columns) == {"event_date", "v"}
     with pytest.raises(ValueError):
         read_days(spark, path, None, dt.date(2024, 1, 5))
 
@@ -128,12 +141,29 @@ def test_rollup_totals(raw):
     assert forced.count() <= ui.count()
 
 
-def test_cohorts_do_not_depend_on_how_hot_users_are_spread(raw):
-    installs = build_installs_raw(raw, WHOLE)
-    for forced in (False, True):
-        spread = build_cohorts(raw, installs, WHOLE, forced, rows_per_task=5)
-        plain = build_cohorts(raw, installs, WHOLE, forced, rows_per_task=None)
-        assert rows(spread) == rows(plain)
+def test_hot_users_are_split(spark, raw, tmp_path):
+    """One user with most of the events, many of them at the same time."""
+    hot = raw.withColumn("user_pseudo_id", F.expr("if(hash(event_ts) % 4 = 0, user_pseudo_id, 'hot')"))
+    path = str(tmp_path / "hot")
+    write_days(hot, path)
+    stored = read_days(spark, path, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    write_days(build_installs_raw(stored, WHOLE), f"{path}_installs")
+    installs = read_days(spark, f"{path}_installs", dt.date(2023, 12, 1), dt.date(2024, 1, 31))
+    plain = rows(build_cohorts(stored, installs, WHOLE))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        cohorts = build_cohorts(stored, installs, WHOLE)
+        assert rows(cohorts) == plain
+        assert "SortMergeJoin(skew=true)" in plan_of(cohorts)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_checks(raw, spark):
@@ -180,6 +210,22 @@ def test_build_twice_changes_nothing(spark, tmp_path):
         build_all(spark, root, Run(Settings(), DAY), lookups, analytics, crashes)
 
 
+def test_build_of_an_app_without_crashes_views_or_installs(spark, tmp_path):
+    def analytics(session, run):
+        return exports.analytics_export(session, SMALL).where(
+            "event_name = 'user_engagement'").withColumn("user_first_touch_timestamp", F.lit(None).cast("bigint"))
+
+    settings = Settings(project="p", analytics_source="x", analytics_start="2023-12-01", crash_start="2023-12-01")
+    full = Run(settings, dt.date(2024, 2, 5), incremental=False)
+    w = build_all(spark, str(tmp_path / "w"), full, exports.lookups(spark), analytics)
+    assert w.read("events_raw").count() > 0
+    for table in ("crash_events_raw", "installs_raw", "ui", "events_wid"):
+        assert w.read(table).count() == 0
+    assert checks.install_uniqueness(w.read("installs_raw"), full, dt.date(2020, 1, 1)).count() == 0
+    trailing = Run(settings, dt.date(2024, 1, 8))
+    assert build_all(spark, str(tmp_path / "w"), trailing, exports.lookups(spark), analytics)
+
+
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -203,6 +249,14 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, raw):
         run = Run(Settings(analytics_source=str(tmp_path / "export")), dt.date(2024, 1, 3))
         export = plan_of(build_events_raw(scan_analytics(spark, run), exports.lookups(spark), run))
         assert "GreaterThanOrEqual(event_timestamp" in export
+
+        exports.crash_export(spark, SMALL).drop("table_suffix", "logs", "breadcrumbs", "blame_frame", "exceptions",
+                                                "errors", "threads").limit(5).write.parquet(
+            str(tmp_path / "crashes" / "app_IOS"))
+        run = Run(Settings(crash_source=str(tmp_path / "crashes"), crash_shards="app_*"), dt.date(2024, 1, 3))
+        crashes = plan_of(build_crash_events_raw(scan_crashes(spark, run), run))
+        assert "GreaterThanOrEqual(event_timestamp" in crashes
+        assert "LessThanOrEqual(event_timestamp" in crashes
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
 
