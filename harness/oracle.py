@@ -429,7 +429,7 @@ def shard_window() -> str:
 
 
 def oracle() -> dict[str, str]:
-    window, week = TRAILING.analytics(), FIRST_WEEK.analytics()
+    window, week, crash = TRAILING.analytics(), FIRST_WEEK.analytics(), TRAILING.crash()
     exact = ", ".join(f"'{n}'" for n in NAMES if not n.lower().startswith("like "))
     likes = " OR ".join(f"event_name {n}" for n in NAMES if n.lower().startswith("like "))
     rows = "SELECT event_id, copy_no,"
@@ -461,6 +461,23 @@ def oracle() -> dict[str, str]:
         "null_if_empty": with_export(
             f"{rows} lower(CASE WHEN length(advertising_id) > 0 THEN advertising_id END) "
             "AS advertising_id FROM export"),
+        "crash_shard_scan":
+            f"WITH crash_export AS ({CRASHES}) SELECT table_suffix, count(*) AS cnt, "
+            "count(DISTINCT installation_uuid) AS users, epoch_us(max(event_ts)) AS last_crash "
+            "FROM crash_export GROUP BY 1",
+        "crash_trailing_window":
+            f"WITH crash_export AS ({CRASHES}), kept AS (SELECT * FROM crash_export "
+            f"WHERE event_ts BETWEEN DATE '{crash.start}' AND DATE '{crash.end}' "
+            f"QUALIFY row_number() OVER (PARTITION BY {CRASH_KEYS} ORDER BY received_ts) = 1) "
+            "SELECT CAST(CAST(event_ts AS DATE) AS VARCHAR) AS event_date, "
+            f"{CRASH_PLATFORM} AS platform, count(*) AS cnt FROM kept GROUP BY 1, 2",
+        "seed_scan": f"WITH export AS ({EXPORT}), {SEEDS} SELECT event_id, copy_no, "
+            "g.name AS iso_country_name, l.alpha_2 AS iso_language_alpha_2, "
+            f"r.alpha_2 AS iso_language_country_alpha_2 FROM export x {GEO_JOINS}",
+        "platform_expression": f"WITH {RAW} SELECT CASE WHEN app_version LIKE '1%' THEN 'one' "
+            "ELSE lower(platform) END AS platform, count(*) AS cnt FROM survivor GROUP BY 1",
+        "whole_build": f"WITH {RAW} SELECT CAST(event_date AS VARCHAR) AS event_date, platform, "
+            "count(*) AS cnt FROM raw GROUP BY 1, 2",
         "platform_from_suffix":
             f"WITH crash_export AS ({CRASHES}) SELECT event_id, copy_no, table_suffix, "
             f"{CRASH_PLATFORM} AS platform FROM crash_export",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import functools
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +27,10 @@ from pulsegrain.operators.lookups import with_country, with_language
 from pulsegrain.plans import app_health, checks, crash_raw, usage
 from pulsegrain.plans import events_raw as raw_plan
 from pulsegrain.plans import installs as install_plan
-from pulsegrain.sources.exports import ANALYTICS_EXPORT, scan_analytics
+from pulsegrain.plans.build import build_all
+from pulsegrain.sources.exports import ANALYTICS_EXPORT, scan_analytics, scan_crashes
 from pulsegrain.sources.scratch import scratch_path
+from pulsegrain.sources.seeds import COUNTRY, LANGUAGE, read_lookups
 from pulsegrain.sources.tables import read_days, write_days
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,15 +85,9 @@ def crash_raw_of(spark, sf_dir) -> DataFrame:
 
 
 def stored(spark, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table, as later steps of a build find it.
-
-    A write keeps the optimizer from dropping what nobody reads, so columns
-    that no cohort or health query uses are left out here.
-    """
+    """``df`` as a written table with all its columns, as later steps of a build find it."""
     path = scratch_path(spark, name)
-    unused = ("user_properties_raw", "event_parameters_raw", "event_dates", "install_dates",
-              "users_ltv", "other_ids")
-    write_days(df.drop(*unused), path, fv.EVENT_CLUSTER_KEYS)
+    write_days(df, path, fv.EVENT_CLUSTER_KEYS)
     return read_days(spark, path, WHOLE.analytics().start, WHOLE.analytics().end)
 
 
@@ -303,6 +301,40 @@ def shard_scan(spark, sf_dir):
         F.min("event_timestamp").alias("first_event"))
 
 
+@registered
+def crash_shard_scan(spark, sf_dir):
+    """Write the crash feed as one folder per shard, then read all of them."""
+    root = scratch_path(spark, "crash_shards")
+    # Lists that are always empty here have no type to be written with.
+    lists = ("logs", "breadcrumbs", "blame_frame", "exceptions", "errors", "threads")
+    (exports.crash_export(spark, sf_dir).drop(*lists)
+     .withColumnRenamed("table_suffix", "shard").write.partitionBy("shard").parquet(root))
+    run = Run(type(SETTINGS)(crash_source=root, crash_shards="shard=*"), TRAILING.run_date)
+    return scan_crashes(spark, run).groupBy("table_suffix").agg(
+        F.count(F.lit(1)).alias("cnt"), F.countDistinct("installation_uuid").alias("users"),
+        F.max("event_timestamp").alias("last_crash"))
+
+
+@registered
+def crash_trailing_window(spark, sf_dir):
+    """Crashes of the last days only, by the instants of the window."""
+    raw = crash_raw.build_crash_events_raw(exports.crash_export(spark, sf_dir), TRAILING)
+    return raw.groupBy("event_date", "platform").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@registered
+def seed_scan(spark, sf_dir):
+    """Code tables written as CSV and read back: na is a code, an empty name is none."""
+    root = scratch_path(spark, "seeds")
+    country, language = pd.DataFrame(exports.COUNTRIES), pd.DataFrame(exports.LANGUAGES)
+    spark.createDataFrame(country, COUNTRY).coalesce(1).write.option("header", True).csv(f"{root}/country")
+    spark.createDataFrame(language, LANGUAGE).coalesce(1).write.option("header", True).csv(f"{root}/language")
+    codes = read_lookups(spark, f"{root}/country", f"{root}/language")
+    rows = with_language(with_country(exports.analytics_flat(spark, sf_dir), codes, "country"), codes, "language")
+    return rows.select("event_id", "copy_no", "iso_country_name", "iso_language_alpha_2",
+                       "iso_language_country_alpha_2")
+
+
 @registered
 def incremental_overwrite(spark, sf_dir):
     """A full write, then a later run's last days on top of it."""
@@ -323,6 +355,25 @@ def events_raw(spark, sf_dir):
     return events_raw_of(spark, sf_dir)
 
 
+@registered
+def platform_expression(spark, sf_dir):
+    """A platform made from another column of the export."""
+    settings = dataclasses.replace(
+        SETTINGS, platform_expr="if(app_info.version LIKE '1%', 'one', lower(platform))")
+    raw = raw_plan.build_events_raw(exports.analytics_export(spark, sf_dir), exports.lookups(spark),
+                                    Run(settings, WHOLE.run_date, incremental=False))
+    return raw.groupBy("platform").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@registered
+def whole_build(spark, sf_dir):
+    """Every table built and written, read from the last ones."""
+    w = build_all(spark, scratch_path(spark, "warehouse"), WHOLE, exports.lookups(spark),
+                  lambda session, run: exports.analytics_export(session, sf_dir),
+                  lambda session, run: exports.crash_export(session, sf_dir))
+    return w.read("events").groupBy("event_date", "platform").agg(F.sum("cnt").alias("cnt"))
+
+
 @registered
 def events_rollup(spark, sf_dir):
     return usage.build_events(events_raw_of(spark, sf_dir), WHOLE)

@@ -11,8 +11,8 @@ SETTINGS = Settings(
     analytics_source="analytics",
     crash_source="crashes",
     crash_shards="com_example*",
-    analytics_start="2023-12-01",
-    crash_start="2023-12-01",
+    analytics_start="1990-01-01",
+    crash_start="1990-01-01",
     custom_install_event="attributed_first_open",
     custom_event_parameters=(
         {"key_name": "quantity", "data_type": "int", "rollup_type": "metric"},
@@ -36,8 +36,8 @@ SETTINGS = Settings(
                               "custom_keys.call_state_string = 'duringCall'"},
     ),
 )
-# After the last event, so that the whole history is inside the window.
-RUN_DATE = dt.date(2024, 2, 5)
+# Far after any event, so that the whole history is inside the window.
+RUN_DATE = dt.date(2100, 1, 1)
 WHOLE = Run(SETTINGS, RUN_DATE, incremental=False)
 # A run in the middle of the data: the last days only.
 TRAILING = Run(SETTINGS, dt.date(2024, 1, 20), incremental=True)
