@@ -14,7 +14,7 @@ def _stars(edges: DataFrame) -> DataFrame:
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(
         "a", F.least("a", "m").alias("m"))
     large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-             .where("a <> b").distinct())
+             .where("a <> b"))
     least = large.groupBy("a").agg(F.min("b").alias("m"))
     joined = large.join(least, "a")
     return (joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))

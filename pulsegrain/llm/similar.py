@@ -243,22 +243,22 @@ def _may_link(a: str, b: str) -> str:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that share a prefix token under orders 2 and 3 and are similar."""
+    """The pairs (a, b, component, other) of which a and b share a prefix token under orders 2
+    and 3 and are similar."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            left, right = batch.column(2), batch.column(3)
+            left, right = batch.column(4), batch.column(5)
             keep = []
-            for i in range(len(a)):
+            for i in range(len(batch)):
                 x, y = (c.slice(i, 1).flatten().to_numpy().view(np.uint64) for c in (left, right))
                 if similar(x, y):
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+            yield batch.select(range(4)).take(pa.array(keep, pa.int64()))
 
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-            .mapInArrow(run, "a long, b long"))
+    return (pairs.join(left, "a").join(right, "b").select("a", "b", "component", "other", "x", "y")
+            .mapInArrow(run, "a long, b long, component long, other long"))
 
 
 def prefix_length(n: int) -> int:
@@ -282,6 +282,23 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
 
+def _relabelled(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """node, component after components took over the label of the one they were linked to.
+
+    Each component has one link at most, so two steps along the links are two small joins. Nodes
+    with the same label are connected; that some connected ones still differ only costs
+    comparisons.
+    """
+    step = found.select("component", "other")
+    jump = step.join(step.select(F.col("component").alias("other"), F.col("other").alias("beyond")),
+                     "other", "left").select("component", F.coalesce("beyond", "other").alias("root"))
+    new = jump.select(F.col("component").alias("node"), F.col("root").alias("component"))
+    if labels is None:
+        return written(new, "labels")
+    moved = labels.join(jump, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return written(moved.union(new.join(labels.select("node"), "node", "left_anti")), "labels")
+
+
 def links_between(sets: DataFrame, rounds: int = 3) -> DataFrame:
     """Links (a, b) that connect all sets which links connect; not each link in a component.
 
@@ -290,15 +307,14 @@ def links_between(sets: DataFrame, rounds: int = 3) -> DataFrame:
     tokens with: one comparison a component. Components that still share a token are then
     paired in full.
     """
-    spark = sets.sparkSession
     prefixes = written(rare_prefixes(sets), "prefixes")
-    links = tried = spark.createDataFrame([], "a long, b long")
-    component = None
+    links = tried = sets.sparkSession.createDataFrame([], "a long, b long")
+    labels = None
     for turn in range(rounds + 1):
-        if component is None:
+        if labels is None:
             open_ = prefixes.withColumn("component", F.col("node"))
         else:
-            rows = prefixes.join(component, "node", "left").withColumn(
+            rows = prefixes.join(labels, "node", "left").withColumn(
                 "component", F.coalesce("component", "node"))
             mixed = (rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                      .where("lo <> hi").select("token"))
@@ -316,19 +332,22 @@ def links_between(sets: DataFrame, rounds: int = 3) -> DataFrame:
         pairs = open_.join(other, "token").where("component <> p_component AND " + _may_link("", "p_"))
         if turn == rounds:
             pairs = pairs.where("node < p_node")
-        pairs = pairs.select("component", F.least("node", "p_node").alias("a"),
+        pairs = pairs.select("component", F.col("p_component").alias("other"), F.least("node", "p_node").alias("a"),
                              F.greatest("node", "p_node").alias("b"))
         if turn:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         if turn < rounds:
-            best = pairs.groupBy("component", "a", "b").count().groupBy("component").agg(
-                F.max(F.struct("count", (-F.col("a")).alias("x"), (-F.col("b")).alias("y"))).alias("m"))
-            pairs = best.select((-F.col("m.x")).alias("a"), (-F.col("m.y")).alias("b"))
-        pairs = written(pairs.select("a", "b").distinct(), "pairs")
+            best = F.struct("count", (-F.col("a")).alias("x"), (-F.col("b")).alias("y"), "other")
+            pairs = (pairs.groupBy("component", "other", "a", "b").count().groupBy("component")
+                     .agg(F.max(best).alias("m"))
+                     .select((-F.col("m.x")).alias("a"), (-F.col("m.y")).alias("b"), "component", "m.other"))
+        else:
+            pairs = pairs.dropDuplicates(["a", "b"])
+        pairs = written(pairs.select("a", "b", "component", "other"), "pairs")
         found = written(verified(pairs, sets), "verified")
-        links, tried = links.union(found), tried.union(pairs)
+        links, tried = links.union(found.select("a", "b")), tried.union(pairs.select("a", "b"))
         if turn < rounds:
-            component = written(smallest_reachable(links), "component")
+            labels = _relabelled(labels, found)
     return links
 
 
