@@ -8,7 +8,7 @@ from pulsegrain.llm.mixing import mixed
 from pulsegrain.llm.pieces import encoded
 from pulsegrain.llm.pii import masked
 from pulsegrain.llm.quality import filter_quality
-from pulsegrain.llm.shared import table, written
+from pulsegrain.llm.shared import table, tuned, written
 from pulsegrain.llm.similar import one_of_each_group
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -43,6 +43,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("similar", similar), ("private", private), ("mixing", mixing),
           ("tokens", tokens)]
+STAGES = [(name, tuned(stage)) for name, stage in STAGES]
 ORACLE_SQL = None
 
 

@@ -12,7 +12,7 @@ from pulsegrain.llm.neighbours import nearest
 from pulsegrain.llm.pieces import encoded
 from pulsegrain.llm.pii import pii_report
 from pulsegrain.llm.quality import quality_verdicts
-from pulsegrain.llm.shared import table
+from pulsegrain.llm.shared import table, tuned
 from pulsegrain.llm.similar import similar_documents
 from pulsegrain.llm.substrings import without_repeats
 
@@ -80,6 +80,7 @@ QUERIES = {
     "op9_substrings": op9_substrings,
     "op10_pii": op10_pii,
 }
+QUERIES = {name: tuned(query) for name, query in QUERIES.items()}
 ORACLE = {
     "op4_similar": """
 WITH RECURSIVE words AS (

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def tune(spark: SparkSession) -> None:
+    """Small Arrow batches: texts are long, and a batch is held by the JVM and by Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
+def tuned(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        tune(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -38,6 +38,8 @@ RIGHT_BLOCK, LEFT_BLOCK = 20, 17
 SEGMENT = 4 << 20  # a longer text is read in segments
 PLACE_BITS = np.uint64(24)
 FLUSH_ANCHORS = 1 << 18
+FLUSH_SIDES = 1 << 18  # about 44 MB of surroundings
+COMPARED_SIDES = 1 << 13  # anchors compared at once; more only for a single anchor
 
 
 @dataclass
@@ -99,14 +101,6 @@ def anchors_of(texts: Texts) -> Anchors:
                      for k in ("hashes", "rows", "places", "low", "high")])
 
 
-def _first_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first place of each distinct row of keys, and for each row whether it is not the first."""
-    _, first, counts = np.unique(keys, return_index=True, return_counts=True)
-    later = np.ones(len(keys), bool)
-    later[first] = False
-    return np.sort(first), later
-
-
 HITS = ["kind", "hashes", "docs", "places"]
 
 
@@ -184,11 +178,14 @@ def repeated_places(docs: DataFrame, n_parts: int) -> DataFrame:
 
 def _surroundings(texts: Texts, found: Anchors, at: np.ndarray) -> np.ndarray:
     """The REACH bytes before and WINDOW bytes from each chosen anchor on, 0 outside its text."""
-    row = found.rows[at] - texts.first
-    place = found.places[at] + texts.offsets[row]
-    index = place[:, None] + np.arange(-REACH, WINDOW)
-    inside = (index >= texts.offsets[row][:, None]) & (index < texts.offsets[row + 1][:, None])
-    return np.where(inside, texts.data[np.clip(index, 0, max(len(texts.data) - 1, 0))], 0).astype(np.uint8)
+    out = np.zeros((len(at), REACH + WINDOW), np.uint8)
+    for a in range(0, len(at), 4096):
+        row = found.rows[at[a:a + 4096]] - texts.first
+        place = found.places[at[a:a + 4096]] + texts.offsets[row]
+        index = place[:, None] + np.arange(-REACH, WINDOW)
+        inside = (index >= texts.offsets[row][:, None]) & (index < texts.offsets[row + 1][:, None])
+        out[a:a + 4096][inside] = texts.data[index[inside]]
+    return out
 
 
 def _rank_classes(sides: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,7 +221,6 @@ def later_windows(bytes_: np.ndarray, ids: np.ndarray, places: np.ndarray, low:
     """Document, start and end of the runs of windows that are not the first of their kind."""
     order = np.lexsort((places, ids))
     bytes_, ids, places, low, high = bytes_[order], ids[order], places[order], low[order], high[order]
-    # Anchors whose whole right side is alone, and so on, are all in the two arrays.
     right, right_common = _rank_classes(bytes_[:, REACH:], RIGHT_BLOCK)
     left, left_common = _rank_classes(bytes_[:, :REACH][:, ::-1], LEFT_BLOCK)
     flags = np.zeros((len(ids), REACH + 2), bool)
@@ -251,6 +247,35 @@ SIDES = ["kind", "docs", "places", "low", "high", "bytes"]
 SPANS = ["docs", "starts", "ends"]
 
 
+def _row_hashes(sides: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    words = sides.view(np.uint64)
+    out = mix((low << 8 | high).astype(np.uint64))
+    for k in range(words.shape[1]):
+        out = mix(out + words[:, k])
+    return out
+
+
+def _same_rows(sides: np.ndarray, origin: np.ndarray) -> np.ndarray:
+    same = np.empty(len(origin), bool)
+    for a in range(0, len(origin), 8192):
+        same[a:a + 8192] = (sides[a:a + 8192] == sides[origin[a:a + 8192]]).all(axis=1)
+    return same
+
+
+def _by_anchor(sides: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of whole anchors, COMPARED_SIDES or a few more at a time."""
+    grams = np.ascontiguousarray(sides[:, REACH:REACH + GRAM]).view(np.uint64)
+    key = mix(grams[:, 0] + mix(grams[:, 1] + mix(grams[:, 2] + mix(grams[:, 3]))))
+    order = np.argsort(key, kind="stable")
+    at, _ = runs(key[order])
+    begin = 0
+    while begin < len(order):
+        after = np.searchsorted(at, begin + COMPARED_SIDES)
+        end = int(at[after]) if after < len(at) else len(order)
+        yield order[begin:end]
+        begin = end
+
+
 def removed_spans(docs: DataFrame, hits: DataFrame, n_parts: int) -> DataFrame:
     """doc_id, starts, ends: the byte runs of each document that go."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,22 +286,22 @@ def removed_spans(docs: DataFrame, hits: DataFrame, n_parts: int) -> DataFrame:
             hashes, ids, places, low, high, sides = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
             order = np.lexsort((places, ids))
-            hashes, ids, places, low, high, sides = (
-                c[order] for c in (hashes, ids, places, low, high, sides))
-            whole = np.concatenate([sides, low[:, None].astype(np.uint8), high[:, None].astype(np.uint8)], axis=1)
-            first, later = _first_of(np.ascontiguousarray(whole).view(np.dtype((np.void, whole.shape[1]))).ravel())
+            keys = _row_hashes(sides, low, high)
+            _, first, index = np.unique(keys[order], return_index=True, return_inverse=True)
+            origin = np.empty(len(order), np.int64)
+            origin[order] = order[first[index]]
+            same = _same_rows(sides, origin) & (low == low[origin]) & (high == high[origin])
             rows, none = [], np.zeros(0, np.uint8)
-            mine = first[cut(part_of(hashes[first], n_parts))[0]]
-            for part, a, b in cut(part_of(hashes[mine], n_parts))[1]:
-                at = mine[a:b]
+            sent = np.flatnonzero((origin == np.arange(len(origin))) | ~same)
+            by_part, cuts = cut(part_of(hashes[sent], n_parts))
+            sent = sent[by_part]
+            for part, a, b in cuts:
+                at = sent[a:b]
                 rows.append((part, np.zeros(b - a, np.uint8), ids[at], places[at].astype(np.uint32),
                              low[at].astype(np.uint8), high[at].astype(np.uint8), sides[at]))
             # A later anchor with the same surroundings is settled here, unless it is the same
             # place of a repeated row.
-            keys = whole.view(np.dtype((np.void, whole.shape[1]))).ravel()
-            _, origin, index = np.unique(keys, return_index=True, return_inverse=True)
-            origin = origin[index]
-            gone = np.flatnonzero(later & ((ids != ids[origin]) | (places != places[origin])))
+            gone = np.flatnonzero(same & ((ids != ids[origin]) | (places != places[origin])))
             order, cuts = cut(part_of(mix(ids[gone].view(np.uint64)), n_parts))
             gone = gone[order]
             for part, a, b in cuts:
@@ -296,12 +321,12 @@ def removed_spans(docs: DataFrame, hits: DataFrame, n_parts: int) -> DataFrame:
                 chosen = np.isin((found.rows - texts.first) << 40 | found.places,
                                  keys << 40 | wanted.flatten().to_numpy())
                 at = np.flatnonzero(chosen)
-                for a in range(0, len(at), FLUSH_ANCHORS):
-                    some = at[a:a + FLUSH_ANCHORS]
+                for a in range(0, len(at), FLUSH_SIDES):
+                    some = at[a:a + FLUSH_SIDES]
                     held.append((found.hashes[some], ids[found.rows[some]], found.places[some],
                                  found.low[some], found.high[some], _surroundings(texts, found, some)))
                     n += len(some)
-                    if n >= FLUSH_ANCHORS:
+                    if n >= FLUSH_SIDES:
                         yield flush()
                         n = 0
         if n:
@@ -314,9 +339,11 @@ def removed_spans(docs: DataFrame, hits: DataFrame, n_parts: int) -> DataFrame:
             low = np.frombuffer(low, np.uint8).astype(np.int64)
             high = np.frombuffer(high, np.uint8).astype(np.int64)
             spans = [(ids[known], places[known] - high[known], places[known] - low[known] + WINDOW)]
-            if not known.all():
-                sides = np.frombuffer(sides, np.uint8).reshape(-1, REACH + WINDOW)
-                spans.append(later_windows(sides, ids[~known], places[~known], low[~known], high[~known]))
+            sides = np.frombuffer(sides, np.uint8).reshape(-1, REACH + WINDOW)
+            open_ = np.flatnonzero(~known)
+            for some in _by_anchor(sides):
+                at = open_[some]
+                spans.append(later_windows(sides[some], ids[at], places[at], low[at], high[at]))
             ids, starts, ends = (np.concatenate(c) for c in zip(*spans, strict=True))
             order, cuts = cut(part_of(mix(ids.view(np.uint64)), n_parts))
             ids, starts, ends = ids[order], starts[order], ends[order]
@@ -367,11 +394,16 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     known = rows.where("doc_id IS NOT NULL AND octet_length(text) >= " + str(WINDOW))
     hits = written(repeated_places(known, n_parts), "hits")
     gone = written(removed_spans(known, hits, n_parts), "gone")
-    joined = rows.join(gone.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", "text", "starts", "ends")
+    # The ids alone are a small table more often than with the runs; texts that lose nothing
+    # then need no shuffle.
+    changed = written(gone.select("doc_id"), "changed")
+    whole = rows.join(changed, "doc_id", "left_anti").select(
+        "doc_id", "text", *[F.lit(None).cast("array<long>").alias(c) for c in ("starts", "ends")])
+    cut_ = rows.join(changed, "doc_id", "left_semi").join(gone, "doc_id").select(*whole.columns)
+    joined = whole.unionAll(cut_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 500) for b in batches for i in range(0, len(b), 500)):
             out = {k: [] for k in ("kept", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
             for value, starts, ends in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 data = value.encode("utf-8", "surrogatepass")

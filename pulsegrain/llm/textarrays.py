@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # arrays of 64-bit values over it stay small
 _RANDOM = np.random.default_rng(20240601)
 BYTE_VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER_VALUES = BYTE_VALUES.copy()
@@ -70,10 +70,10 @@ def texts_of(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Texts
         column = column.combine_chunks()
     if column.null_count:
         column = column.fill_null("")
-    column = column.cast(pa.large_string())
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1] \
-        if len(column) else np.zeros(1, np.int64)
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(offsets, width)[column.offset:column.offset + len(column) + 1] \
+        .astype(np.int64) if len(column) else np.zeros(1, np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
