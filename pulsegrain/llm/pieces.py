@@ -30,7 +30,9 @@ MAX_LOCKSTEP = 32
 DROPOUT = 0.1
 SEED = 11
 VARIANTS = 8
-BATCH_WORDS = 400_000
+BATCH_WORDS = 250_000
+LOCKSTEP_ROWS = 8192  # words merged at once, so that arrays stay small
+TEXT_ROWS = 500  # texts made Python strings at once
 _M = 2**64 - 1
 _C = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _WORDS = re.compile(" *[^ ]+| +")
@@ -82,7 +84,7 @@ class Vocabulary:
         for b in range(256):
             self.bytes[byte0 + b] = bytes([b])
 
-    def _hash_pairs(self, bits: int = 21) -> None:
+    def _hash_pairs(self, bits: int = 19) -> None:
         keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
         self.shift = np.uint64(64 - bits)
         slots = ((keys.astype(np.uint64) * np.uint64(_C[0])) >> self.shift).astype(np.int64)
@@ -198,12 +200,13 @@ class Vocabulary:
         n_left = np.zeros(len(words), np.int64)
         merged = []
         for low, high in ((0, 8), (8, 16), (16, MAX_LOCKSTEP)):
-            rows = np.flatnonzero((lengths > low) & (lengths <= high))
-            if len(rows):
+            group = np.flatnonzero((lengths > low) & (lengths <= high))
+            for begin in range(0, len(group), LOCKSTEP_ROWS):
+                rows = group[begin:begin + LOCKSTEP_ROWS]
                 at = np.minimum(starts[rows, None] + np.arange(high), len(codes) - 1)
                 grid, left = self.merge_words(symbols[at], lengths[rows], keys[rows], limit)
                 n_left[rows] = left
-                merged.append((rows, grid, left))
+                merged.append((rows, grid.astype(np.int32), left))
         long = {}
         for row in np.flatnonzero(lengths > MAX_LOCKSTEP).tolist():
             long[row] = self.merge_word(symbols[starts[row]:ends[row]].tolist(), int(keys[row]), limit)
@@ -315,7 +318,7 @@ def encoded(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(model)
-        for batch in batches:
+        for batch in (b.slice(i, TEXT_ROWS) for b in batches for i in range(0, len(b), TEXT_ROWS)):
             texts, row = batch.column(2).to_pylist(), 0
             which = batch.column(1).to_numpy()
             for ids, bounds in encode_texts(vocabulary, texts, which, seed, dropout):

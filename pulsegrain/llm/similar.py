@@ -30,7 +30,7 @@ from pulsegrain.llm.textarrays import (
 
 SHINGLE = 5
 PERCENT = 75
-FLUSH_TOKENS = 1 << 21
+FLUSH_TOKENS = 1 << 20
 _EMPTY = np.zeros(0, np.uint64)
 
 
