@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from pulsegrain.llm.mixing import mixed
 from pulsegrain.llm.pieces import encoded
@@ -37,8 +38,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the mix."""
-    return encoded(docs, MODEL_FILE)
+    """Token ids of the mix; a document that is taken again is cut in its own way.
+
+    The rows that are numbered together are equal in id and text, so any order of them gives the
+    same result; the mix has no more than a few of each.
+    """
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    return encoded(docs.select("doc_id", "text", F.row_number().over(same).alias("take")), MODEL_FILE, take="take")
 
 
 STAGES = [("quality", quality), ("similar", similar), ("private", private), ("mixing", mixing),

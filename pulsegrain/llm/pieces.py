@@ -2,14 +2,16 @@
 
 A text is the pieces' alphabet after one leading space, spaces written as U+2581. Symbols
 start as characters; the agenda takes the adjacent pair whose joined piece has the highest
-score, leftmost first, and merges it, unless a keyed hash of (seed, variant, word, borders of
-the pair) says to skip it. Characters without a piece become byte pieces, and so does a
+score, leftmost first, and merges it, unless a keyed hash of (seed, document, the time it is
+taken, the word's place in the text, borders of the pair) says to skip it. Characters without a piece become byte pieces, and so does a
 U+2581 that stands in the text itself, so decoding always gives the text back.
 
 No piece has a space behind another character, so a text falls into words (spaces and what
-follows them) that are encoded apart. The distinct words of a batch are merged together, one
-merge of every word per numpy step; words over MAX_LOCKSTEP characters use a heap. Both give
-the same pieces.
+follows them) that are encoded apart. What a word can become is a tree: at each node the next
+pair of the agenda is merged or skipped. All occurrences go down their words' trees together,
+one decision of each per numpy step, and a node is made when the first occurrence gets there;
+so a cached node is no cut, every occurrence decides by its own key. Words over MAX_LOCKSTEP
+characters use a heap. Both give the same pieces.
 """
 
 from __future__ import annotations
@@ -29,9 +31,9 @@ SPACE = "▁"
 MAX_LOCKSTEP = 32
 DROPOUT = 0.1
 SEED = 11
-VARIANTS = 8
 BATCH_WORDS = 250_000
-LOCKSTEP_ROWS = 8192  # words merged at once, so that arrays stay small
+LOCKSTEP_ROWS = 32_768  # occurrences merged at once, so that arrays stay small
+TREE_NODES = 1 << 18  # nodes that the trees of a width keep from block to block
 TEXT_ROWS = 500  # texts made Python strings at once
 _M = 2**64 - 1
 _C = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -53,6 +55,103 @@ def _mix_one(x: int) -> int:
     return x ^ (x >> 31)
 
 
+class Trees:
+    """The trees of words of at most width characters."""
+
+    def __init__(self, vocabulary: Vocabulary, width: int) -> None:
+        self.vocabulary, self.width = vocabulary, width
+        self.clear()
+
+    def clear(self) -> None:
+        self.roots: dict[str, int] = {}
+        self.n = 0
+        self._grow(1024)
+
+    def _grow(self, room: int) -> None:
+        n, width = self.n, self.width
+        for name, shape, kind in (
+                ("symbols", (width,), np.int32), ("starts", (width + 1,), np.uint8),
+                ("barred", (width,), np.bool_), ("count", (), np.uint8), ("at", (), np.uint8),
+                ("piece", (), np.int32), ("borders", (), np.uint64), ("next", (2,), np.int32)):
+            new = np.zeros((room, *shape), kind)
+            if n:
+                new[:n] = getattr(self, name)[:n]
+            setattr(self, name, new)
+
+    def _add(self, symbols: np.ndarray, starts: np.ndarray, barred: np.ndarray,
+             count: np.ndarray) -> np.ndarray:
+        """New nodes; each finds its next pair, piece -1 where there is none."""
+        first, self_n = self.n, self.n + len(count)
+        if self_n > len(self.count):
+            self._grow(max(self_n, 2 * len(self.count)))
+        self.n = self_n
+        new = slice(first, self_n)
+        self.symbols[new], self.starts[new], self.barred[new], self.count[new] = symbols, starts, barred, count
+        self.next[new] = -1
+        wide = symbols.astype(np.int64)
+        piece = self.vocabulary.joined(wide[:, :-1], wide[:, 1:])
+        piece[np.arange(1, self.width) >= count[:, None]] = -1
+        score = np.where((piece >= 0) & ~barred[:, :-1], self.vocabulary.rank[piece], 0)
+        at, line = score.argmax(axis=1), np.arange(len(count))
+        self.at[new] = at
+        self.piece[new] = np.where(score[line, at] > 0, piece[line, at], -1)
+        i, j, stop = (starts[line, at + k].astype(np.uint64) for k in range(3))
+        self.borders[new] = i * np.uint64(_C[0]) + j * np.uint64(_C[1]) + stop * np.uint64(_C[2])
+        return np.arange(first, self_n)
+
+    def _children(self, nodes: np.ndarray, skip: np.ndarray) -> np.ndarray:
+        symbols, starts, barred = self.symbols[nodes], self.starts[nodes], self.barred[nodes]
+        count, at = self.count[nodes].astype(np.int64), self.at[nodes].astype(np.int64)
+        rows = np.flatnonzero(skip)
+        barred[rows, at[rows]] = True
+        rows = np.flatnonzero(~skip)
+        at, column = at[rows], np.arange(self.width)
+        symbols[rows, at] = self.piece[nodes[rows]]
+        source = np.minimum(column + (column > at[:, None]), self.width - 1)
+        symbols[rows] = np.take_along_axis(symbols[rows], source, axis=1)
+        barred[rows] = np.take_along_axis(barred[rows], source, axis=1)
+        # The pairs beside the new piece have new borders.
+        barred[rows, at] = False
+        barred[rows, np.maximum(at - 1, 0)] = False
+        column = np.arange(self.width + 1)
+        source = np.minimum(column + (column > at[:, None]), self.width)
+        starts[rows] = np.take_along_axis(starts[rows], source, axis=1)
+        count[rows] -= 1
+        return self._add(symbols, starts, barred, count)
+
+    def find(self, words: list[str]) -> np.ndarray:
+        """The roots of distinct words."""
+        new = [w for w in words if w not in self.roots]
+        if new:
+            lengths = np.fromiter(map(len, new), np.int64, len(new))
+            codes = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), np.uint32)
+            inside = np.arange(self.width) < lengths[:, None]
+            symbols = np.zeros(inside.shape, np.int64)
+            symbols[inside] = self.vocabulary.chars[codes]
+            starts = np.minimum(np.arange(self.width + 1), lengths[:, None])
+            nodes = self._add(symbols, starts, np.zeros(inside.shape, bool), lengths)
+            self.roots.update(zip(new, nodes.tolist(), strict=True))
+        return np.fromiter(map(self.roots.__getitem__, words), np.int64, len(words))
+
+    def leaves(self, nodes: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
+        """Where the occurrences that begin at nodes end by their keys."""
+        nodes = nodes.copy()
+        open_ = np.flatnonzero(self.piece[nodes] >= 0)
+        while len(open_):
+            here = nodes[open_]
+            side = ((mix(keys[open_] + self.borders[here]) >> np.uint64(11)) < np.uint64(limit)).astype(np.int64)
+            there = self.next[here, side].astype(np.int64)
+            missing = np.flatnonzero(there < 0)
+            if len(missing):
+                wanted, index = np.unique(here[missing] * 2 + side[missing], return_inverse=True)
+                made = self._children(wanted >> 1, wanted & 1 == 1)
+                self.next[wanted >> 1, wanted & 1] = made
+                there[missing] = made[index]
+            nodes[open_] = there
+            open_ = open_[self.piece[there] >= 0]
+        return nodes
+
+
 class Vocabulary:
     """Tables over the pieces of a model; built once in each worker."""
 
@@ -80,6 +179,7 @@ class Vocabulary:
                 if a is not None and b is not None:
                     self.pairs[a * self.n + b] = i
         self._hash_pairs()
+        self.trees = [Trees(self, width) for width in (8, 16, MAX_LOCKSTEP)]
         self.bytes = [p.replace(SPACE, " ").encode() for p in pieces]
         for b in range(256):
             self.bytes[byte0 + b] = bytes([b])
@@ -182,41 +282,44 @@ class Vocabulary:
             sym, start, column = sym[:, :width], start[:, :width + 1], np.arange(width)
         return out, left
 
-    def encode_words(self, words: list[str], variants: np.ndarray, seed: int,
+    def encode_words(self, words: list[str], sequence: np.ndarray, keys: np.ndarray,
                      dropout: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in one array, and where each word's ids begin."""
+        """Ids of all occurrences in one array, and where each one's ids begin.
+
+        words are distinct; sequence has the word of each occurrence and keys its key.
+        """
         limit = int(dropout * 2**53)
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        place = np.arange(int(lengths.max(initial=0)), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        value = mix(codes.astype(np.uint64) + np.uint64(1)) * place[
-            np.arange(len(codes)) - np.repeat(starts, lengths)]
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
-        keys = mix((total[ends] - total[starts]) + mix(
-            variants.astype(np.uint64) + np.uint64(_mix_one(seed & _M))))
-        symbols = self.chars[codes]
-        n_left = np.zeros(len(words), np.int64)
+        wide = lengths[sequence]
+        n_left = np.zeros(len(sequence), np.int64)
         merged = []
-        for low, high in ((0, 8), (8, 16), (16, MAX_LOCKSTEP)):
-            group = np.flatnonzero((lengths > low) & (lengths <= high))
+        low = 0
+        for trees in self.trees:
+            group = np.flatnonzero((wide > low) & (wide <= trees.width))
+            low = trees.width
             for begin in range(0, len(group), LOCKSTEP_ROWS):
                 rows = group[begin:begin + LOCKSTEP_ROWS]
-                at = np.minimum(starts[rows, None] + np.arange(high), len(codes) - 1)
-                grid, left = self.merge_words(symbols[at], lengths[rows], keys[rows], limit)
+                if trees.n > TREE_NODES:
+                    trees.clear()
+                some, index = np.unique(sequence[rows], return_inverse=True)
+                roots = trees.find([words[i] for i in some.tolist()])
+                ends = trees.leaves(roots[index], keys[rows], limit)
+                left = trees.count[ends].astype(np.int64)
                 n_left[rows] = left
-                merged.append((rows, grid.astype(np.int32), left))
-        long = {}
-        for row in np.flatnonzero(lengths > MAX_LOCKSTEP).tolist():
-            long[row] = self.merge_word(symbols[starts[row]:ends[row]].tolist(), int(keys[row]), limit)
-            n_left[row] = len(long[row])
+                inside = np.arange(trees.width) < left[:, None]
+                merged.append((rows, trees.symbols[ends][inside], left))
+        long = []
+        for row in np.flatnonzero(wide > MAX_LOCKSTEP).tolist():
+            word = np.frombuffer(words[sequence[row]].encode("utf-32-le", "surrogatepass"), np.uint32)
+            ids = np.array(self.merge_word(self.chars[word].tolist(), int(keys[row]), limit), np.int64)
+            n_left[row] = len(ids)
+            long.append((row, ids))
         begins = np.concatenate([[0], np.cumsum(n_left)])
         flat = np.zeros(begins[-1], np.int64)
-        for rows, grid, left in merged:
-            keep = np.arange(grid.shape[1]) < left[:, None]
-            flat[(begins[rows, None] + np.arange(grid.shape[1]))[keep]] = grid[keep]
-        for row, ids in long.items():
+        for rows, ids, left in merged:
+            ends = np.cumsum(left)
+            flat[np.repeat(begins[rows] - (ends - left), left) + np.arange(len(ids))] = ids
+        for row, ids in long:
             flat[begins[row]:begins[row + 1]] = ids
         return self._with_bytes(flat, begins)
 
@@ -257,40 +360,31 @@ def words_in(text: str) -> list[str]:
     return [" " + w for w in text.split(" ")]
 
 
-def encode_texts(vocabulary: Vocabulary, texts: list[str | None], variants: np.ndarray, seed: int,
+def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarray, seed: int,
                  dropout: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, bounds) of runs of texts in order; each distinct word of a run is merged once."""
-    index: dict[tuple[int, str], int] | dict[str, int] = {}
-    by_variant: list[dict[str, int]] = []
-    words: list[str] = []
-    whose: list[int] = []
+    """(ids, bounds) of runs of texts in order; keys has a number for each text."""
+    index: dict[str, int] = {}
     sequence: list[int] = []
     bounds = [0]
+    of_text: list[int] = []
+    own = mix(keys.astype(np.int64).view(np.uint64) + np.uint64(_mix_one(seed & _M)))
 
     def flush() -> tuple[np.ndarray, np.ndarray]:
-        ids, begins = vocabulary.encode_words(words, np.array(whose, np.int64), seed, dropout)
-        order = np.array(sequence, np.int64)
-        n = np.diff(begins)[order]
-        ends = np.cumsum(n)
-        flat = np.repeat(begins[order] - (ends - n), n) + np.arange(int(n.sum()))
-        return ids[flat], np.concatenate([[0], ends])[bounds]
-
-    for text, variant in zip(texts, variants.tolist(), strict=True):
-        while len(by_variant) <= variant:
-            by_variant.append({})
-        index = by_variant[variant]
+        n = np.diff(bounds)
+        place = np.arange(len(sequence)) - np.repeat(bounds[:-1], n)
+        each = mix(np.repeat(own[of_text], n) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(_C[0]))
+        ids, begins = vocabulary.encode_words(list(index), np.array(sequence, np.int64), each, dropout)
+        return ids, begins[bounds]
+
+    for i, text in enumerate(texts):
         for word in words_in(text or ""):
-            at = index.get(word)
-            if at is None:
-                at = index[word] = len(words)
-                words.append(word)
-                whose.append(variant)
-            sequence.append(at)
+            sequence.append(index.setdefault(word, len(index)))
         bounds.append(len(sequence))
+        of_text.append(i)
         if len(sequence) >= BATCH_WORDS:
             yield flush()
-            by_variant, words, whose, sequence, bounds = [], [], [], [], [0]
-    if len(bounds) > 1:
+            index, sequence, bounds, of_text = {}, [], [0], []
+    if of_text:
         yield flush()
 
 
@@ -306,13 +400,15 @@ def _vocabulary(model: tuple[list[str], list[float], int]) -> Vocabulary:
 
 
 def encoded(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text",
-            dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+            dropout: float = DROPOUT, seed: int = SEED, take: str | None = None) -> DataFrame:
     """doc_id, n_tokens, token_ids, round_trip of each row of docs.
 
-    A document's variant, a hash of its id, is part of the key of every merge, so the same word
-    is cut differently in different documents, and a rerun gives the same ids. round_trip:
-    decoding gives the text back (a null text: the empty one, without ids). Repeated rows get
-    the same ids; an empty table gives no rows; other columns are ignored whatever their names.
+    A document's id, its text and the number of the time it is taken, which the column take has
+    (without one: 0), are part of the key of every merge, as is the word's place. So the same
+    word is cut differently in different documents, places and times, and a rerun gives the same
+    ids. round_trip: decoding gives the text back (a null text: the empty one, without ids).
+    Repeated rows of the same take get the same ids; an empty table gives no rows; other columns
+    are ignored whatever their names.
     """
     model = read_pieces(model_file)
 
@@ -331,7 +427,8 @@ def encoded(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str
                      pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "token_ids", "round_trip"])
                 row += n
 
-    variant = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`").cast("long")), F.lit(variants))
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), variant.alias("variant"),
+    key = F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"),
+                     F.col(f"`{take}`").cast("long") if take else F.lit(0).cast("long"))
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), key.alias("key"),
                        F.col(f"`{text}`").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean")

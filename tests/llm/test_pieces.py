@@ -62,3 +62,40 @@ def test_rows(spark):
     assert sorted(r.doc_id for r in found) == sorted(r[0] for r in rows)
     assert all(r.round_trip and r.n_tokens == len(r.token_ids) for r in found)
     assert encoded(nothing(frame(spark, rows)), MODEL).count() == 0
+
+
+def test_every_occurrence_is_cut_by_its_own_key(spark):
+    """One word many times in a document, in many documents, and a document taken twice."""
+    text = " ".join(["international"] * 300)
+    rows = [(i, text, "en", "a", len(text)) for i in range(40)]
+    found = {r.doc_id: r.token_ids for r in encoded(frame(spark, rows), MODEL).collect()}
+    assert len({tuple(ids) for ids in found.values()}) == 40
+    from pyspark.sql import functions as F
+
+    docs = frame(spark, rows).withColumn("take", F.explode(F.array(F.lit(0), F.lit(1))))
+    twice = encoded(docs, MODEL, take="take").collect()
+    assert len({tuple(r.token_ids) for r in twice}) == 80
+    assert all(r.round_trip for r in twice)
+
+
+def test_places_of_a_text_are_cut_apart(vocabulary):
+    ids, = lists(vocabulary, [" ".join(["international"] * 300)], 0.3)
+    starts = [i for i, t in enumerate(ids) if vocabulary.bytes[t].startswith(b" ")]
+    words = {tuple(ids[a:b]) for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)}
+    assert len(words) > 8
+
+
+def test_trees_and_agenda_agree(vocabulary, monkeypatch):
+    """Each occurrence ends where the agenda ends with its key, also when trees are dropped."""
+    words = sorted({" " + w for w in prose(6, 120).split()} | {" international", " a", "xyxyxyxyxyxyxyxyxyxyxy", "  q"})
+    sequence = np.arange(4000) % len(words)
+    keys = pieces.mix(np.arange(4000, dtype=np.uint64))
+    limit = int(0.3 * 2**53)
+    expected = [vocabulary.merge_word(vocabulary.chars[np.frombuffer(
+        words[w].encode("utf-32-le"), np.uint32)].tolist(), int(k), limit) for w, k in zip(sequence, keys)]
+    for rows, nodes in ((32_768, 1 << 18), (97, 500)):
+        monkeypatch.setattr(pieces, "LOCKSTEP_ROWS", rows)
+        monkeypatch.setattr(pieces, "TREE_NODES", nodes)
+        ids, begins = vocabulary.encode_words(words, sequence, keys, 0.3)
+        got = [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])]
+        assert got == expected

@@ -41,3 +41,9 @@ def test_stages_stand_hard_rows_and_empty_tables(spark):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing(docs), SMALL).count() == 0, name
         assert stage(spark, docs, SMALL).count() >= 0, name
+
+
+def test_a_document_taken_twice_is_cut_twice(spark):
+    docs = frame(spark, [(7, "international conversations " * 100, "en", "a", 2800)] * 2)
+    one, two = dict(corpus_pipeline.STAGES)["tokens"](spark, docs, SMALL).collect()
+    assert one.round_trip and two.round_trip and one.token_ids != two.token_ids
