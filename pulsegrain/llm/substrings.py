@@ -9,6 +9,9 @@ blocks, and so are the left sides, read backwards. Two windows are equal where n
 common prefix lies between their anchors' sides in either array. Of equal windows all but the
 first are removed.
 
+An anchor with more than HOT_SIDES different surroundings would be too much for one task. Its
+windows go by 128-bit hashes of all their bytes instead, each task sending one place of each.
+
 A task keeps one entry of surroundings that it sees several times and settles the others
 itself, so copies, however many, cost one row for each task. All numbers between the steps are
 packed arrays. The suffix array (suffix_groups) is over blocks of 20 and 17 bytes, not single
@@ -39,19 +42,23 @@ SEGMENT = 4 << 20  # a longer text is read in segments
 PLACE_BITS = np.uint64(24)
 FLUSH_ANCHORS = 1 << 18
 FLUSH_SIDES = 1 << 18  # about 44 MB of surroundings
+SENT_SIDES = 1 << 14
+FLUSH_WINDOWS = 1 << 19
+HOT_SIDES = 1 << 16  # surroundings of an anchor, summed over the flushes of all tasks
 COMPARED_SIDES = 1 << 13  # anchors compared at once; more only for a single anchor
 
 
 @dataclass
 class Anchors:
-    """Hash, row, place in the row's bytes, and the least and greatest bytes before the anchor
-    in those windows that it is the anchor of."""
+    """Hash, row, place in the row's bytes, the least and greatest bytes before the anchor in
+    those windows that it is the anchor of, and a hash of the bytes around it, to count by."""
 
     hashes: np.ndarray
     rows: np.ndarray
     places: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    around: np.ndarray
 
 
 def _segments(texts: Texts) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -92,42 +99,54 @@ def anchors_of(texts: Texts) -> Anchors:
         place = chosen[at]
         first, last = starts[at], starts[at + lengths - 1]
         own = row[first]
+        a, b = np.maximum(place - REACH, offsets[own]), np.minimum(place + WINDOW, offsets[own + 1])
+        around = mix((total[b] - total[a]) * down[a] + (place - a).astype(np.uint64))
         parts.append(Anchors(hashes[place], own + texts.first, place - offsets[own] + begin,
-                             place - last, place - first))
+                             place - last, place - first, around))
     if not parts:
         empty = np.zeros(0, np.int64)
-        return Anchors(empty.astype(np.uint64), empty, empty, empty, empty)
+        return Anchors(empty.astype(np.uint64), empty, empty, empty, empty, empty.astype(np.uint64))
     return Anchors(*[np.concatenate([getattr(p, k) for p in parts])
-                     for k in ("hashes", "rows", "places", "low", "high")])
+                     for k in ("hashes", "rows", "places", "low", "high", "around")])
+
 
+HITS = ["kind", "hashes", "docs", "places", "counts"]
+FOUND = ["docs", "places", "hot"]
 
-HITS = ["kind", "hashes", "docs", "places"]
+
+def _codes(hashes: np.ndarray, n_parts: int) -> np.ndarray:
+    """Part and the lower half of each hash, which is what a part's task has of it."""
+    return part_of(hashes, n_parts).astype(np.int64) << 32 | (hashes & np.uint64(2**32 - 1)).astype(np.int64)
 
 
 def repeated_places(docs: DataFrame, n_parts: int) -> DataFrame:
-    """doc_id, places: the anchors of each document that occur elsewhere too."""
+    """doc_id, places: the anchors of each document that occur elsewhere too. Rows without
+    doc_id have the codes of the anchors with more than HOT_SIDES surroundings."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         n = 0
 
         def flush() -> pa.RecordBatch:
-            hashes, ids, places = (np.concatenate(c) for c in zip(*held, strict=True))
+            hashes, ids, places, around = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
-            order = np.argsort(hashes, kind="stable")
-            hashes, ids, places = hashes[order], ids[order], places[order]
+            order = np.lexsort((around, hashes))
+            hashes, ids, places, around = hashes[order], ids[order], places[order], around[order]
             at, lengths = runs(hashes)
+            new = np.ones(len(hashes), np.int64)
+            new[1:] = (hashes[1:] != hashes[:-1]) | (around[1:] != around[:-1])
+            counts = np.add.reduceat(new, at).astype(np.uint32)
             rows = []
             # Hashes seen several times here are repeated; one of each still tells other tasks.
             several = np.repeat(lengths > 1, lengths)
             for part, a, b in cut(part_of(hashes[at], n_parts))[1]:
                 one = at[a:b]
                 rows.append((part, np.zeros(b - a, np.uint8), hashes[one].astype(np.uint32), ids[one],
-                             places[one].astype(np.uint32)))
+                             places[one].astype(np.uint32), counts[a:b]))
             order, cuts = cut(part_of(mix(ids[several].view(np.uint64)), n_parts))
             mine, there = ids[several][order], places[several][order]
             for part, a, b in cuts:
                 rows.append((part, np.ones(b - a, np.uint8), np.zeros(b - a, np.uint32), mine[a:b],
-                             there[a:b].astype(np.uint32)))
+                             there[a:b].astype(np.uint32), np.zeros(0, np.uint32)))
             return binary(rows, HITS)
 
         for batch in batches:
@@ -135,7 +154,7 @@ def repeated_places(docs: DataFrame, n_parts: int) -> DataFrame:
             for texts in texts_of(batch.column(1)):
                 found = anchors_of(texts)
                 if len(found.rows):
-                    held.append((found.hashes, ids[found.rows], found.places))
+                    held.append((found.hashes, ids[found.rows], found.places, found.around))
                     n += len(found.rows)
                 if n >= FLUSH_ANCHORS:
                     yield flush()
@@ -144,20 +163,29 @@ def repeated_places(docs: DataFrame, n_parts: int) -> DataFrame:
             yield flush()
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (kind, hashes, ids, places) in by_parts(batches):
+        for own, (kind, hashes, ids, places, counts) in by_parts(batches):
             known = np.frombuffer(kind, np.uint8) == 1
             hashes, ids = np.frombuffer(hashes, np.uint32), np.frombuffer(ids, np.int64)
             places = np.frombuffer(places, np.uint32)
-            _, index, counts = np.unique(hashes[~known], return_inverse=True, return_counts=True)
-            several = counts[index] > 1
+            distinct, index, times = np.unique(hashes[~known], return_inverse=True, return_counts=True)
+            several = times[index] > 1
+            sides = np.bincount(index, np.frombuffer(counts, np.uint32), len(distinct))
+            hot = own << 32 | distinct[sides > HOT_SIDES].astype(np.int64)
             ids = np.concatenate([ids[known], ids[~known][several]])
             places = np.concatenate([places[known], places[~known][several]])
             order, cuts = cut(part_of(mix(ids.view(np.uint64)), n_parts))
             ids, places = ids[order], places[order]
-            yield binary([(part, ids[a:b], places[a:b]) for part, a, b in cuts], ["docs", "places"])
+            rows = [(part, ids[a:b], places[a:b], hot[:0]) for part, a, b in cuts]
+            if len(hot):
+                rows.append((own, ids[:0], places[:0], hot))
+            yield binary(rows, FOUND)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (ids, places) in by_parts(batches):
+        for _, (ids, places, hot) in by_parts(batches):
+            if hot:
+                hot = np.frombuffer(hot, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.ListArray.from_arrays(
+                    pa.array([0, len(hot)], pa.int32()), pa.array(hot))], ["doc_id", "places"])
             ids, places = np.frombuffer(ids, np.int64), np.frombuffer(places, np.uint32).astype(np.int64)
             order = np.lexsort((places, ids))
             ids, places = ids[order], places[order]
@@ -172,7 +200,7 @@ def repeated_places(docs: DataFrame, n_parts: int) -> DataFrame:
                     pa.array(np.append(at, len(ids)).astype(np.int32)), pa.array(places))], ["doc_id", "places"])
 
     hashed = docs.mapInArrow(split, schema(HITS)).repartitionById(n_parts, F.col("part"))
-    matched = hashed.mapInArrow(match, schema(["docs", "places"])).repartitionById(n_parts, F.col("part"))
+    matched = hashed.mapInArrow(match, schema(FOUND)).repartitionById(n_parts, F.col("part"))
     return matched.mapInArrow(gather, "doc_id long, places array<long>")
 
 
@@ -243,10 +271,38 @@ def later_windows(bytes_: np.ndarray, ids: np.ndarray, places: np.ndarray, low:
     return ids[row], places[row] - (end - 1), places[row] - begin + WINDOW
 
 
-SIDES = ["kind", "docs", "places", "low", "high", "bytes"]
+SIDES = ["kind", "docs", "places", "low", "high", "bytes", "marks"]
 SPANS = ["docs", "starts", "ends"]
 
 
+def _window_marks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """128-bit hashes of the WINDOW bytes at each start."""
+    out = np.empty((len(starts), 2), np.uint64)
+    windows = np.lib.stride_tricks.sliding_window_view(data, WINDOW)
+    for a in range(0, len(starts), 8192):
+        some = np.zeros((min(8192, len(starts) - a), -(-WINDOW // 8) * 8), np.uint8)
+        some[:, :WINDOW] = windows[starts[a:a + 8192]]
+        one = np.full(len(some), 1, np.uint64)
+        two = np.full(len(some), 2, np.uint64)
+        for word in some.view(np.uint64).T:
+            one = mix(one + word)
+            two = mix((two ^ word) * np.uint64(0x9E3779B97F4A7C15))
+        out[a:a + 8192, 0], out[a:a + 8192, 1] = one, two
+    return out
+
+
+def _later_marks(marks: np.ndarray, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that are the first of their mark, one of each, and rows that are later ones."""
+    order = np.lexsort((places, ids, marks[:, 1], marks[:, 0]))
+    ranked = marks[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
+    first = order[np.flatnonzero(new)]
+    origin = first[np.cumsum(new) - 1]
+    later = (ids[order] != ids[origin]) | (places[order] != places[origin])
+    return first, order[later]
+
+
 def _row_hashes(sides: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     words = sides.view(np.uint64)
     out = mix((low << 8 | high).astype(np.uint64))
@@ -278,11 +334,14 @@ def _by_anchor(sides: np.ndarray) -> Iterator[np.ndarray]:
 
 def removed_spans(docs: DataFrame, hits: DataFrame, n_parts: int) -> DataFrame:
     """doc_id, starts, ends: the byte runs of each document that go."""
+    # At most one for HOT_SIDES anchors.
+    hot = np.array([c for r in hits.where("doc_id IS NULL").select("places").collect() for c in r.places], np.int64)
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         n = 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             hashes, ids, places, low, high, sides = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
             order = np.lexsort((places, ids))
@@ -295,10 +354,15 @@ def removed_spans(docs: DataFrame, hits: DataFrame, n_parts: int) -> DataFrame:
             sent = np.flatnonzero((origin == np.arange(len(origin))) | ~same)
             by_part, cuts = cut(part_of(hashes[sent], n_parts))
             sent = sent[by_part]
+            size = 0
             for part, a, b in cuts:
+                if size > SENT_SIDES:  # copies of all surroundings at once would be the peak of a worker
+                    yield binary(rows, SIDES)
+                    rows, size = [], 0
+                size += b - a
                 at = sent[a:b]
                 rows.append((part, np.zeros(b - a, np.uint8), ids[at], places[at].astype(np.uint32),
-                             low[at].astype(np.uint8), high[at].astype(np.uint8), sides[at]))
+                             low[at].astype(np.uint8), high[at].astype(np.uint8), sides[at], none))
             # A later anchor with the same surroundings is settled here, unless it is the same
             # place of a repeated row.
             gone = np.flatnonzero(same & ((ids != ids[origin]) | (places != places[origin])))
@@ -307,7 +371,24 @@ def removed_spans(docs: DataFrame, hits: DataFrame, n_parts: int) -> DataFrame:
             for part, a, b in cuts:
                 at = gone[a:b]
                 rows.append((part, np.ones(b - a, np.uint8), ids[at], places[at].astype(np.uint32),
-                             low[at].astype(np.uint8), high[at].astype(np.uint8), none))
+                             low[at].astype(np.uint8), high[at].astype(np.uint8), none, none))
+            yield binary(rows, SIDES)
+
+        windows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        n_windows = 0
+
+        def flush_windows() -> pa.RecordBatch:
+            marks, ids, places = (np.concatenate(c) for c in zip(*windows, strict=True))
+            windows.clear()
+            rows, none = [], np.zeros(0, np.uint8)
+            sent, gone = _later_marks(marks, ids, places)
+            for kind, chosen, keys in ((2, sent, marks[sent, 0]), (1, gone, mix(ids[gone].view(np.uint64)))):
+                order, cuts = cut(part_of(keys, n_parts))
+                chosen = chosen[order]
+                for part, a, b in cuts:
+                    at, zero = chosen[a:b], np.zeros(b - a, np.uint8)
+                    rows.append((part, zero + np.uint8(kind), ids[at], places[at].astype(np.uint32), zero, zero,
+                                 none, marks[at] if kind == 2 else none))
             return binary(rows, SIDES)
 
         for batch in batches:
@@ -321,26 +402,48 @@ def removed_spans(docs: DataFrame, hits: DataFrame, n_parts: int) -> DataFrame:
                 chosen = np.isin((found.rows - texts.first) << 40 | found.places,
                                  keys << 40 | wanted.flatten().to_numpy())
                 at = np.flatnonzero(chosen)
+                if len(hot):
+                    is_hot = np.isin(_codes(found.hashes[at], n_parts), hot)
+                    at, split_up = at[~is_hot], at[is_hot]
+                    for a in range(0, len(split_up), 4096):
+                        some = split_up[a:a + 4096]
+                        times = found.high[some] - found.low[some] + 1
+                        every = np.repeat(some, times)
+                        before = found.low[every] + np.arange(len(every)) - np.repeat(np.cumsum(times) - times, times)
+                        row, start = found.rows[every], found.places[every] - before
+                        marks = _window_marks(texts.data, start + texts.offsets[row - texts.first])
+                        windows.append((marks, ids[row], start))
+                        n_windows += len(every)
+                        if n_windows >= FLUSH_WINDOWS:
+                            yield flush_windows()
+                            n_windows = 0
                 for a in range(0, len(at), FLUSH_SIDES):
                     some = at[a:a + FLUSH_SIDES]
                     held.append((found.hashes[some], ids[found.rows[some]], found.places[some],
                                  found.low[some], found.high[some], _surroundings(texts, found, some)))
                     n += len(some)
                     if n >= FLUSH_SIDES:
-                        yield flush()
+                        yield from flush()
                         n = 0
         if n:
-            yield flush()
+            yield from flush()
+        if n_windows:
+            yield flush_windows()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (kind, ids, places, low, high, sides) in by_parts(batches):
-            known = np.frombuffer(kind, np.uint8) == 1
+        for _, (kind, ids, places, low, high, sides, marks) in by_parts(batches):
+            kind = np.frombuffer(kind, np.uint8)
+            known = kind == 1
             ids, places = np.frombuffer(ids, np.int64), np.frombuffer(places, np.uint32).astype(np.int64)
             low = np.frombuffer(low, np.uint8).astype(np.int64)
             high = np.frombuffer(high, np.uint8).astype(np.int64)
             spans = [(ids[known], places[known] - high[known], places[known] - low[known] + WINDOW)]
             sides = np.frombuffer(sides, np.uint8).reshape(-1, REACH + WINDOW)
-            open_ = np.flatnonzero(~known)
+            single = np.flatnonzero(kind == 2)
+            _, later = _later_marks(np.frombuffer(marks, np.uint64).reshape(-1, 2), ids[single], places[single])
+            later = single[later]
+            spans.append((ids[later], places[later], places[later] + WINDOW))
+            open_ = np.flatnonzero(kind == 0)
             for some in _by_anchor(sides):
                 at = open_[some]
                 spans.append(later_windows(sides[some], ids[at], places[at], low[at], high[at]))

@@ -78,6 +78,37 @@ def test_long_text_in_segments_and_small_flushes(spark, monkeypatch):
     assert len(windows(whole)) == sum(len(t) - 99 for t in column.to_pylist())
 
 
+def results(spark, rows):
+    found: dict[int | None, list[tuple]] = {}
+    for r in without_repeats(frame(spark, rows)).collect():
+        found.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
+    return {k: sorted(v) for k, v in found.items()}
+
+
+def test_anchor_with_many_surroundings_is_split(spark, monkeypatch):
+    """A line that all documents hold, each with other text around it, is in no task whole."""
+    compared = substrings.later_windows
+
+    def few(bytes_, ids, *others):
+        assert len(ids) <= 250, len(ids)
+        return compared(bytes_, ids, *others)
+
+    monkeypatch.setattr(substrings, "later_windows", few)
+    monkeypatch.setattr(substrings, "COMPARED_SIDES", 50)
+    monkeypatch.setattr(substrings, "HOT_SIDES", 100, raising=False)
+    line = "all rights reserved by the owners of this page, whoever they are"
+    rows = [(i, f"{prose(9000 + i, 12)} {line} {prose(20000 + i, 12)}", "en", "a", 1) for i in range(400)]
+    rows += [(1000 + i, t, "en", "a", 1) for i, (_, t, *_) in enumerate(rows[:30])]
+    assert results(spark, rows) == {k: sorted(v) for k, v in brute(rows).items()}
+
+
+def test_all_anchors_split_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT_SIDES", 1, raising=False)
+    monkeypatch.setattr(substrings, "FLUSH_WINDOWS", 3000, raising=False)
+    rows = passages() + hard_documents()
+    assert results(spark, rows) == {k: sorted(v) for k, v in brute(rows).items()}
+
+
 def test_empty_table(spark):
     assert without_repeats(nothing(frame(spark, hard_documents()))).count() == 0
 
