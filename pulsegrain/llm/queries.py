@@ -15,6 +15,7 @@ from pulsegrain.llm.quality import quality_verdicts
 from pulsegrain.llm.shared import table, tuned
 from pulsegrain.llm.similar import similar_documents
 from pulsegrain.llm.substrings import without_repeats
+from pulsegrain.llm.whitening import whitened
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -68,6 +69,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_html": op2_html,
@@ -79,6 +84,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_substrings": op9_substrings,
     "op10_pii": op10_pii,
+    "op12_whitening": op12_whitening,
 }
 QUERIES = {name: tuned(query) for name, query in QUERIES.items()}
 ORACLE = {
