@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrain.llm import toxicity, warc
+from pulsegrain.llm.conversations import repair_report
 from pulsegrain.llm.html_text import main_text
 from pulsegrain.llm.mixing import mix_report
 from pulsegrain.llm.neighbours import nearest
@@ -73,6 +74,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_html": op2_html,
@@ -85,6 +90,7 @@ QUERIES = {
     "op9_substrings": op9_substrings,
     "op10_pii": op10_pii,
     "op12_whitening": op12_whitening,
+    "op13_conversations": op13_conversations,
 }
 QUERIES = {name: tuned(query) for name, query in QUERIES.items()}
 ORACLE = {
