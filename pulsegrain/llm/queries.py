@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrain.llm import toxicity, warc
 from pulsegrain.llm.conversations import repair_report
 from pulsegrain.llm.html_text import main_text
+from pulsegrain.llm.merkle import fingerprint_report
 from pulsegrain.llm.mixing import mix_report
 from pulsegrain.llm.neighbours import nearest
 from pulsegrain.llm.pieces import encoded
@@ -70,6 +71,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(table(spark, sf_dir, "documents")).drop("edit")
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_substrings": op9_substrings,
     "op10_pii": op10_pii,
+    "op11_merkle": op11_merkle,
     "op12_whitening": op12_whitening,
     "op13_conversations": op13_conversations,
 }
@@ -122,4 +128,50 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id <> original THEN original END AS refers_to
 FROM sized LEFT JOIN equal USING (digest)""",
+    "op11_merkle": r"""
+WITH following AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lead(coalesce(text, '')) OVER w,
+    first_value(coalesce(text, '')) OVER w) AS next_text,
+    coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id
+  FROM documents WINDOW w AS (ORDER BY doc_id DESC)
+), texts AS (
+  SELECT doc_id, false AS edited, text FROM following
+  UNION ALL SELECT doc_id, true, left(text, length(text) - length(text) // 3) || left(next_text, length(text) // 3)
+  FROM following
+), leaves AS (
+  SELECT doc_id, edited, text, list_transform(regexp_extract_all(text, '[^.!?\n]{1,128}[.!?\n]*|[.!?\n]+'),
+    lambda p: {'d': sha256(p), 'n': least(length(p), 1048575), 'closes': contains(p, chr(10)),
+               'blank': contains(p, chr(10) || chr(10))}) AS l FROM texts
+), paragraph_ends AS (
+  SELECT *, list_filter(generate_series(1, len(l)), lambda k: k = len(l) OR l[k].closes) AS e FROM leaves
+), paragraphs AS (
+  SELECT doc_id, edited, text, list_distinct(list_transform(l,
+      lambda x: ('0x' || substr(x.d, 1, 10))::BIGINT * 1048576 + x.n)) AS keys,
+    list_transform(list_transform(e, lambda k, i: l[CASE WHEN i = 1 THEN 1 ELSE e[i - 1] + 1 END:k]),
+      lambda g: {'d': sha256(array_to_string(list_transform(g, lambda x: x.d), '')),
+        'closes': g[len(g)].blank OR substr(g[len(g)].d, 1, 1) IN ('0', '1', '2', '3'),
+        'code': array_to_string(list_transform(g, lambda x: substr(x.d, 1, 10) || ':' || x.n), ' ')}) AS l
+  FROM paragraph_ends
+), section_ends AS (
+  SELECT *, list_filter(generate_series(1, len(l)), lambda k: k = len(l) OR l[k].closes) AS e FROM paragraphs
+), sections AS (
+  SELECT doc_id, edited, text, keys,
+    list_transform(list_transform(e, lambda k, i: l[CASE WHEN i = 1 THEN 1 ELSE e[i - 1] + 1 END:k]),
+      lambda g: {'d': sha256(array_to_string(list_transform(g, lambda x: x.d), '')),
+        'code': array_to_string(list_transform(g, lambda x: x.code), ',')}) AS l
+  FROM section_ends
+), trees AS (
+  SELECT doc_id, edited, text, keys, sha256(array_to_string(list_transform(l, lambda x: x.d), '')) AS root,
+    array_to_string(list_transform(l, lambda s: '|' || substr(s.d, 1, 16) || '(' || s.code || ')'), '') AS code,
+    coalesce(list_sum(list_transform(keys, lambda k: k & 1048575)), 0) AS weight
+  FROM sections
+)
+SELECT a.doc_id, length(a.text) AS n_chars, sha256(b.text) AS edited_sha256, a.root || a.code AS fingerprint,
+  b.root || b.code AS edited_fingerprint,
+  CASE WHEN a.root = b.root THEN 1.0::DOUBLE ELSE 2 * coalesce(list_sum(list_transform(
+    list_intersect(a.keys, b.keys), lambda k: k & 1048575)), 0)::DOUBLE / (a.weight + b.weight) END AS near_edited,
+  CASE WHEN a.root = c.root THEN 1.0::DOUBLE ELSE 2 * coalesce(list_sum(list_transform(
+    list_intersect(a.keys, c.keys), lambda k: k & 1048575)), 0)::DOUBLE / (a.weight + c.weight) END AS near_next
+FROM trees a JOIN trees b ON a.doc_id = b.doc_id AND b.edited JOIN following f ON a.doc_id = f.doc_id
+JOIN trees c ON c.doc_id = f.next_id AND NOT c.edited WHERE NOT a.edited""",
 }
