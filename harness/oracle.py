@@ -535,6 +535,13 @@ def oracle() -> dict[str, str]:
             platform, count(*) AS cnt, CASE WHEN event_date BETWEEN DATE '{window.start}'
             AND DATE '{window.end}' THEN 'second' ELSE 'first' END AS written_by
             FROM raw GROUP BY raw.event_date, platform""",
+        "atomic_refresh": f"""WITH {RAW} SELECT CAST(event_date AS VARCHAR) AS event_date,
+            platform, count(*) AS cnt, CASE WHEN event_date BETWEEN DATE '{window.start}'
+            AND DATE '{window.end}' THEN 'second' ELSE 'first' END AS written_by
+            FROM raw GROUP BY raw.event_date, platform""",
+        "clustered_write": f"""WITH {RAW} SELECT CAST(event_date AS VARCHAR) AS event_date,
+            count(*) AS cnt, 0 AS overlapping, min(event_name) AS first_name,
+            max(event_name) AS last_name FROM raw GROUP BY raw.event_date""",
         "events_raw": f"WITH {RAW} SELECT {RAW_OUT} FROM raw",
         "events_rollup": f"WITH {ROLLUPS} SELECT {DAY_OUT} FROM events_rollup",
         "metric_rollup": f"""WITH {RAW}, g AS ({rollup(False)})

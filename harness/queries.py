@@ -8,7 +8,8 @@ import functools
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,9 +72,9 @@ def registered(query: Query) -> Query:
 
 # Tables that several queries start from.
 
-def events_raw_of(spark, sf_dir, run: Run = WHOLE) -> DataFrame:
+def events_raw_of(spark, sf_dir, run: Run = WHOLE, in_file_order: bool = False) -> DataFrame:
     return raw_plan.build_events_raw(exports.analytics_export(spark, sf_dir),
-                                     exports.lookups(spark), run)
+                                     exports.lookups(spark), run, in_file_order)
 
 
 def installs_raw_of(spark, sf_dir, run: Run = WHOLE) -> DataFrame:
@@ -84,10 +85,10 @@ def crash_raw_of(spark, sf_dir) -> DataFrame:
     return crash_raw.build_crash_events_raw(exports.crash_export(spark, sf_dir), WHOLE)
 
 
-def stored(spark, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table with all its columns, as later steps of a build find it."""
-    path = scratch_path(spark, name)
-    write_days(df, path, fv.EVENT_CLUSTER_KEYS)
+def stored_events(spark, sf_dir) -> DataFrame:
+    """``events_raw`` as a written table with all its columns, as later steps of a build find it."""
+    path = scratch_path(spark, "events_raw")
+    write_days(events_raw_of(spark, sf_dir, in_file_order=True), path, fv.EVENT_CLUSTER_KEYS, in_place=True)
     return read_days(spark, path, WHOLE.analytics().start, WHOLE.analytics().end)
 
 
@@ -348,6 +349,36 @@ def incremental_overwrite(spark, sf_dir):
     return read_days(spark, path, WHOLE.analytics().start, WHOLE.analytics().end)
 
 
+@registered
+def atomic_refresh(spark, sf_dir):
+    """A refresh that stops half-way, between two that do not: its rows are never seen."""
+    daily = events_raw_of(spark, sf_dir).groupBy("event_date", "platform").agg(F.count(F.lit(1)).alias("cnt"))
+    path = scratch_path(spark, "refreshed")
+    write_days(daily.withColumn("written_by", F.lit("first")), path, ["platform"], full_refresh=True)
+    late = TRAILING.analytics().has_date("event_date")
+    stops = daily.withColumn("written_by", F.expr(f"if({late}, string(raise_error('stop')), 'half')"))
+    try:
+        write_days(stops, path, ["platform"], full_refresh=True)
+    except PySparkException:
+        pass
+    write_days(daily.where(late).withColumn("written_by", F.lit("second")), path, ["platform"])
+    return read_days(spark, path, WHOLE.analytics().start, WHOLE.analytics().end)
+
+
+@registered
+def clustered_write(spark, sf_dir):
+    """Per day of the written events: how many files begin before another one ends."""
+    stored = stored_events(spark, sf_dir)
+    key = F.struct(*fv.EVENT_CLUSTER_KEYS)
+    files = stored.groupBy("event_date", F.input_file_name().alias("file")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("cnt"))
+    in_order = Window.partitionBy("event_date").orderBy("low", "high")
+    files = files.withColumn("overlaps", F.col("low") < F.lag("high").over(in_order))
+    return files.groupBy("event_date").agg(F.sum("cnt").alias("cnt"), F.count_if("overlaps").alias("overlapping"),
+                                           F.min("low.event_name").alias("first_name"),
+                                           F.max("high.event_name").alias("last_name"))
+
+
 # Tables.
 
 @registered
@@ -440,20 +471,20 @@ def installs_rollup(spark, sf_dir):
 
 @registered
 def cohort_rollup(spark, sf_dir):
-    raw = stored(spark, events_raw_of(spark, sf_dir), "events_raw")
+    raw = stored_events(spark, sf_dir)
     return install_plan.build_events_wid(raw, install_plan.build_installs_raw(raw, WHOLE), WHOLE)
 
 
 @registered
 def cohort_forced_null(spark, sf_dir):
-    raw = stored(spark, events_raw_of(spark, sf_dir), "events_raw")
+    raw = stored_events(spark, sf_dir)
     return install_plan.build_events_wid_forced_nulls(
         raw, install_plan.build_installs_raw(raw, WHOLE), WHOLE)
 
 
 @registered
 def ui_union_cohort(spark, sf_dir):
-    raw = stored(spark, events_raw_of(spark, sf_dir), "events_raw")
+    raw = stored_events(spark, sf_dir)
     installs = install_plan.build_installs_raw(raw, WHOLE)
     return usage.ui_rows(install_plan.build_events_wid(raw, installs, WHOLE),
                          install_plan.build_events_wid_forced_nulls(raw, installs, WHOLE), WHOLE)
@@ -470,7 +501,7 @@ def crash_rollup(spark, sf_dir):
 
 
 def _health_inputs(spark, sf_dir):
-    raw = stored(spark, events_raw_of(spark, sf_dir), "events_raw")
+    raw = stored_events(spark, sf_dir)
     installs = install_plan.build_installs_raw(raw, WHOLE)
     return (usage.build_events(raw, WHOLE), usage.build_events_forced_nulls(raw, WHOLE),
             usage.build_installs(installs, WHOLE),

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.operators.lookups import Lookups
@@ -28,30 +27,24 @@ from pulsegrain.windows import DateWindow, Run
 
 @dataclass(frozen=True)
 class Warehouse:
-    """A folder with one subfolder per table.
-
-    Schemas of tables written in this run are kept: a table may have no rows.
-    """
+    """A folder with one subfolder per table. A table keeps its schema, so it may have no rows."""
 
     spark: SparkSession
     root: str
     run: Run
     table_format: str = "parquet"
     may_erase: bool = False
-    schemas: dict[str, T.StructType] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read(self, table: str, window: DateWindow | None = None) -> DataFrame:
         days = window or self.run.analytics()
-        return read_days(self.spark, self.path(table), days.start, days.end, self.table_format,
-                         self.schemas.get(table))
+        return read_days(self.spark, self.path(table), days.start, days.end, self.table_format)
 
-    def write(self, table: str, df: DataFrame, cluster_by=()) -> None:
+    def write(self, table: str, df: DataFrame, cluster_by=(), in_place: bool = False) -> None:
         write_days(df, self.path(table), cluster_by, not self.run.incremental,
-                   self.table_format, self.may_erase)
-        self.schemas[table] = df.schema
+                   self.table_format, self.may_erase, in_place)
 
 
 def build_all(spark: SparkSession, root: str, run: Run, lookups: Lookups,
@@ -69,8 +62,8 @@ def build_all(spark: SparkSession, root: str, run: Run, lookups: Lookups,
     w = Warehouse(tune(spark), root, run, may_erase=may_erase)
     by_event, by_app = fv.EVENT_CLUSTER_KEYS, fv.INSTALL_CLUSTER_KEYS
 
-    w.write("events_raw", with_comments(build_events_raw(analytics(spark, run), lookups, run),
-                                        EVENTS_RAW), by_event)
+    events_raw = build_events_raw(analytics(spark, run), lookups, run, in_file_order=True)
+    w.write("events_raw", with_comments(events_raw, EVENTS_RAW), by_event, in_place=True)
     w.write("crash_events_raw",
             with_comments(build_crash_events_raw(crashes(spark, run), run), CRASH_EVENTS_RAW))
 

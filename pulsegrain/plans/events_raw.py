@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import ANALYTICS_TYPES
@@ -15,6 +16,7 @@ from pulsegrain.functions.versions import (
     clean_version, version_parts, version_struct, version_without_os)
 from pulsegrain.operators.dedup import COUNT_COLUMN, keep_one_copy
 from pulsegrain.operators.lookups import Lookups, with_country, with_language
+from pulsegrain.sources.tables import in_ranges
 from pulsegrain.windows import Run
 
 # Source columns that are used, under the name they have until the final select.
@@ -121,11 +123,13 @@ COLUMNS = {
 }
 
 
-def build_events_raw(export: DataFrame, lookups: Lookups, run: Run) -> DataFrame:
+def build_events_raw(export: DataFrame, lookups: Lookups, run: Run,
+                     in_file_order: bool = False) -> DataFrame:
     """The ``events_raw`` table.
 
     Copies are removed first, so that only survivors are enriched and the wide
-    derived columns never go through the shuffle.
+    derived columns never go through the shuffle. Nor do they with ``in_file_order``, which
+    deals the survivors out by ranges of day and cluster keys, as the written table has them.
     """
     settings = run.settings
     user = extraction("user_properties", "user_properties_raw", settings.user_properties,
@@ -136,6 +140,10 @@ def build_events_raw(export: DataFrame, lookups: Lookups, run: Run) -> DataFrame
     rows = deduplicated(export, run)
     rows = with_country(rows, lookups, "src_country")
     rows = with_language(rows, lookups, "src_language")
+    if in_file_order:
+        day = F.expr(utc_date("timestamp_micros(event_timestamp)"))
+        keys = [COLUMNS[c] for c in fv.EVENT_CLUSTER_KEYS]
+        rows = in_ranges(rows, day, *keys, F.xxhash64(*fv.EVENT_COPY_KEYS), as_large_as=export)
     # What is used several times is computed once per row, in few steps: every
     # step copies the row.
     rows = rows.selectExpr("*", *expressions({

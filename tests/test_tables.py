@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import itertools
+import os
+import signal
+import subprocess
+import sys
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -12,6 +20,7 @@ from harness import exports
 from harness.queries import WHOLE, events_raw_of
 from harness.settings import SETTINGS
 from pulsegrain import Run, Settings
+from pulsegrain import fixed_values as fv
 from pulsegrain.plans import checks
 from pulsegrain.plans.build import build_all
 from pulsegrain.plans.crash_raw import build_crash_events_raw
@@ -19,9 +28,10 @@ from pulsegrain.plans.events_raw import build_events_raw
 from pulsegrain.plans.installs import build_cohorts, build_installs_raw
 from pulsegrain.plans.usage import build_events, build_events_forced_nulls
 from pulsegrain.sources.comments import EVENTS_RAW, comment_table, with_comments
+from pulsegrain.sources import tables
 from pulsegrain.sources.exports import scan_analytics, scan_crashes
 from pulsegrain.sources.seeds import read_lookups
-from pulsegrain.sources.tables import read_days, write_days
+from pulsegrain.sources.tables import current, read_days, remove_unused, write_days
 from tests.conftest import SMALL
 
 DAY = dt.date(2024, 1, 10)
@@ -82,6 +92,10 @@ def test_seeds(spark, tmp_path):
     assert lookups.language.first().alpha_3_en == "ger"
 
 
+def everything(spark, path):
+    return read_days(spark, path, dt.date(1970, 1, 1), dt.date(9999, 12, 31))
+
+
 def test_only_the_new_days_are_replaced(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-05')) AS event_date,"
@@ -94,32 +108,168 @@ def test_only_the_new_days_are_replaced(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in (
         days._jdf.queryExecution().executedPlan().toString())
     write_days(first.limit(1), path, full_refresh=True)
-    assert spark.read.parquet(path).count() == 1
+    assert everything(spark, path).count() == 1
     with pytest.raises(ValueError, match="erase"):
         write_days(first.limit(0), path, full_refresh=True)
-    assert spark.read.parquet(path).count() == 1
+    assert everything(spark, path).count() == 1
     write_days(first.limit(0), path, full_refresh=True, may_erase=True)
-    nothing = read_days(spark, path, dt.date(2024, 1, 2), dt.date(2024, 1, 5), schema=first.schema)
+    nothing = read_days(spark, path, dt.date(2024, 1, 2), dt.date(2024, 1, 5))
     assert nothing.count() == 0 and set(nothing.columns) == {"event_date", "v"}
     with pytest.raises(ValueError):
         read_days(spark, path, None, dt.date(2024, 1, 5))
 
 
-def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+SMALL_PARTS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+               "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB"}
+
+
+@contextlib.contextmanager
+def settings(spark, values):
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def parquet_files(folder):
+    return list(folder.glob("commit=*/event_date=*/*.parquet"))
+
+
+@pytest.mark.parametrize("keys", [[], ["v"], ["same"]])
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path, keys):
+    one_day = spark.range(0, 40000, 1, 8).selectExpr("DATE '2024-01-01' AS event_date", "'x' AS same",
+                                                     "sha2(string(id), 256) AS v")
+    with settings(spark, SMALL_PARTS):
+        write_days(one_day, str(tmp_path / "t"), keys)
+    assert len(parquet_files(tmp_path / "t")) > 1
+    assert everything(spark, str(tmp_path / "t")).select("v").distinct().count() == 40000
+
+
+def test_files_of_a_day_do_not_overlap(spark, tmp_path, raw):
+    path = str(tmp_path / "t")
+    names = spark.range(0, 60000, 1, 8).selectExpr(
+        "date_add(DATE '2024-01-01', int(id % 3)) AS event_date", "concat('name', pmod(xxhash64(id), 40)) AS event_name",
+        "if(id % 2 = 0, 'IOS', 'ANDROID') AS platform", "'app' AS app_id", "sha2(string(id), 256) AS v")
+    with settings(spark, {**SMALL_PARTS, "spark.sql.shuffle.partitions": "24"}):
+        write_days(names, path, fv.EVENT_CLUSTER_KEYS)
+    stored = everything(spark, path)
+    files = (stored.groupBy("event_date", F.input_file_name().alias("file"))
+             .agg(F.min("event_name").alias("low"), F.max("event_name").alias("high"), F.count("*").alias("n")).collect())
+    assert len(files) > 12 and sum(f.n for f in files) == 60000
+    for day in {f.event_date for f in files}:
+        spans = sorted((f.low, f.high) for f in files if f.event_date == day)
+        assert all(a[1] <= b[0] for a, b in itertools.pairwise(spans))
+    # A name is looked for in few files: of the others the statistics are read, no rows.
+    one = stored.where("event_name = 'name7' AND event_date = DATE '2024-01-02'")
+    assert one.select(F.input_file_name()).distinct().count() < sum(f.event_date == dt.date(2024, 1, 2) for f in files) / 2
+
+
+def test_a_write_that_stops_is_not_seen(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-05')) AS event_date")
+    write_days(days.withColumn("v", F.lit("old")), path, full_refresh=True)
+    reader = everything(spark, path)
+    broken = days.withColumn("v", F.expr("if(day(event_date) = 5, string(raise_error('stop')), 'new')"))
+    for full in (True, False):
+        with pytest.raises(Exception, match="stop"):
+            write_days(broken, path, full_refresh=full)
+        assert {r.v for r in everything(spark, path).collect()} == {"old"}
+    assert current(spark, path).number == 1
+    write_days(days.where("day(event_date) > 3").withColumn("v", F.lit("new")), path)
+    assert [r.v for r in everything(spark, path).orderBy("event_date").collect()] == ["old"] * 3 + ["new"] * 2
+    # Who began to read before goes on with what was there.
+    assert {r.v for r in reader.collect()} == {"old"}
+
+
+KILLED = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pulsegrain.sources.tables import write_days
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.adaptive.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate())
+
+def slow(batches):
+    import time
+    for batch in batches:
+        yield batch
+        if batch.num_rows and batch.column(0)[0].as_py().day == 5:
+            time.sleep(600)
+
+days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-05')) AS event_date").withColumn("v", F.lit("new"))
+spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+parts = days.repartition(5, "event_date").mapInArrow(slow, days.schema)
+write_days(parts, {path!r}, full_refresh=True, in_place=True)
+"""
+
+
+def test_a_killed_build_leaves_the_table_readable(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-05')) AS event_date")
+    write_days(days.withColumn("v", F.lit("old")), path, full_refresh=True)
+    root = str(Path(__file__).resolve().parent.parent)
+    child = subprocess.Popen([sys.executable, "-c", KILLED.format(root=root, path=path)], start_new_session=True,
+                             stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
     try:
-        one_day = spark.range(0, 40000, 1, 8).selectExpr("DATE '2024-01-01' AS event_date",
-                                                         "uuid() AS v")
-        write_days(one_day, str(tmp_path / "t"), ["v"])
+        def staged():
+            return [f for f in (tmp_path / "t").glob("commit=*/**/*.parquet") if "_temporary" in str(f)]
+
+        end = time.time() + 120
+        while not staged() and child.poll() is None and time.time() < end:
+            time.sleep(0.2)
+        assert staged() and child.poll() is None
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list((tmp_path / "t").glob("event_date=*/*.parquet"))) > 1
+        os.killpg(child.pid, signal.SIGKILL)
+        child.wait()
+    assert {r.v for r in everything(spark, path).collect()} == {"old"}
+    assert len(remove_unused(spark, path)) == 0  # it could still be going on
+    assert len(remove_unused(spark, path, older_than=dt.timedelta(0))) == 1
+    write_days(days.withColumn("v", F.lit("again")), path, full_refresh=True)
+    assert {r.v for r in everything(spark, path).collect()} == {"again"}
+    write_days(days.withColumn("v", F.lit("last")), path)
+    gone = remove_unused(spark, path, keep=1, older_than=dt.timedelta(0))
+    assert len(gone) == 2 and {r.v for r in everything(spark, path).collect()} == {"last"}
+
+
+def test_of_two_writes_at_once_one_is_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-02')) AS event_date")
+    write_days(days.withColumn("v", F.lit("first")), path)
+    before = current(spark, path)
+    write_days(days.withColumn("v", F.lit("second")), path)
+    monkeypatch.setattr(tables, "current", lambda *_: before)
+    with pytest.raises(tables.ConcurrentWrite):
+        write_days(days.withColumn("v", F.lit("third")), path)
+    monkeypatch.undo()
+    assert {r.v for r in everything(spark, path).collect()} == {"second"}
+    assert len([f for f in (tmp_path / "t" / "_manifests").iterdir() if "draft" in f.name and "crc" not in f.name]) == 0
+
+
+def test_a_table_keeps_its_schema_and_takes_new_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-02')) AS event_date, 1 AS a")
+    write_days(days, path)
+    write_days(days.where("day(event_date) = 2").withColumn("b", F.lit("x")), path)
+    assert [(r.a, r.b) for r in everything(spark, path).orderBy("event_date").collect()] == [(1, None), (1, "x")]
+    write_days(days.withColumn("event_date", F.lit(None).cast("date")), path)
+    assert everything(spark, path).count() == 2
+
+
+def test_plain_days_are_read_too(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("SELECT DATE '2024-01-01' AS event_date, 1 AS a").write.partitionBy("event_date").parquet(path)
+    assert everything(spark, path).first().a == 1
 
 
 def test_comments_are_kept_with_the_data(spark, tmp_path, raw):
     path = str(tmp_path / "raw")
     write_days(with_comments(raw.limit(5), EVENTS_RAW), path)
-    schema = spark.read.parquet(path).schema
+    schema = everything(spark, path).schema
     assert schema["install_age"].metadata["comment"].startswith("Whole days")
     assert schema["geo"].dataType["city"].metadata["comment"] == "City as exported"
     assert set(EVENTS_RAW) >= {f for f in raw.columns}
@@ -150,20 +300,14 @@ def test_hot_users_are_split(spark, raw, tmp_path):
     write_days(build_installs_raw(stored, WHOLE), f"{path}_installs")
     installs = read_days(spark, f"{path}_installs", dt.date(2023, 12, 1), dt.date(2024, 1, 31))
     plain = rows(build_cohorts(stored, installs, WHOLE))
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
-                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
-                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
+    skewed = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    with settings(spark, skewed):
         cohorts = build_cohorts(stored, installs, WHOLE)
         assert rows(cohorts) == plain
         assert "SortMergeJoin(skew=true)" in plan_of(cohorts)
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_checks(raw, spark):
@@ -193,10 +337,10 @@ def test_build_twice_changes_nothing(spark, tmp_path):
     full = Run(SETTINGS, dt.date(2024, 2, 5), incremental=False)
     trailing = Run(SETTINGS, dt.date(2024, 1, 8))
     root = str(tmp_path / "warehouse")
-    tables = ("events_raw", "installs_raw", "events", "events_wid", "ui_wid", "app_health")
+    names = ("events_raw", "installs_raw", "events", "events_wid", "ui_wid", "app_health")
 
     def content():
-        return {t: rows(spark.read.parquet(f"{root}/{t}")) for t in tables}
+        return {t: rows(everything(spark, f"{root}/{t}")) for t in names}
 
     build_all(spark, root, full, lookups, analytics, crashes)
     before = content()
