@@ -31,6 +31,7 @@ GUARD = 4  # further Ritz pairs that are corrected along, so that close eigenval
 INNER_STEPS = 8  # MINRES steps of a round at most
 RESTART_AT = 64  # columns of the subspace
 ROUNDS = 100
+BLOCK = 4096  # vectors packed into a row of the fit list
 EPS = np.finfo(np.float64).eps
 Product = Callable[[np.ndarray], np.ndarray]
 
@@ -168,37 +169,54 @@ def _matrix(column: pa.Array, d: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
 
-def _added(rows: DataFrame, partial: Callable[[np.ndarray], np.ndarray], d: int, n_out: int) -> np.ndarray:
+def packed(rows: DataFrame, d: int) -> DataFrame:
+    """The vectors x of rows as blocks of bytes, read in every pass without decoding each number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(0), d)
+            for i in range(0, len(x), BLOCK):
+                some = x[i:i + BLOCK]
+                wide = bool(np.abs(some).max() >= 1 << 31)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([wide]), pa.array([some.astype(np.int64 if wide else np.int32).tobytes()], pa.binary())],
+                    ["wide", "x"])
+
+    return rows.select("x").mapInArrow(run, "wide boolean, x binary")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for wide, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            yield np.frombuffer(x, np.int64 if wide else np.int32).reshape(-1, d)
+
+
+def _added(fit: DataFrame, partial: Callable[[np.ndarray], np.ndarray], d: int, n_out: int) -> np.ndarray:
     """Sums over all rows of what partial gives for some rows: n_out numbers, added by key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_out)
-        for batch in batches:
-            if len(batch):
-                total += partial(_matrix(batch.column(0), d).astype(np.float64)).ravel()
+        for x in _blocks(batches, d):
+            total += partial(x.astype(np.float64)).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_out, dtype=np.int32)), pa.array(total)], ["i", "v"])
 
     out = np.zeros(n_out)
-    for row in rows.select("x").mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+    for row in fit.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
         out[row.i] = row.v
     return out
 
 
-def _exact_sums(rows: DataFrame, d: int) -> tuple[int, list[int], int]:
+def _exact_sums(fit: DataFrame, d: int) -> tuple[int, list[int], int]:
     """Rows, sum of each dimension and sum of all squares, in whole numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [0] * (d + 2)
-        for batch in batches:
-            if len(batch):
-                x = _matrix(batch.column(0), d)
-                # Beyond these sizes a sum of longs could overflow.
-                if np.abs(x).max(initial=0) >= 1 << 24:
-                    x = x.astype(object)
-                for i, value in enumerate([*x.sum(axis=0), (x * x).sum(), len(x)]):
-                    total[i] += int(value)
+        for x in _blocks(batches, d):
+            # Beyond these sizes a sum of longs could overflow.
+            x = x.astype(np.int64 if np.abs(x).max() < 1 << 20 else object)
+            for i, value in enumerate([*x.sum(axis=0), (x * x).sum(), len(x)]):
+                total[i] += int(value)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(d + 2), pa.int32()), pa.array([Decimal(v) for v in total], pa.decimal128(38, 0))], ["i", "v"])
 
-    found = (rows.select("x").mapInArrow(run, "i int, v decimal(38,0)").groupBy("i")
+    found = (fit.mapInArrow(run, "i int, v decimal(38,0)").groupBy("i")
              .agg(F.sum("v").alias("v")).collect())
     total = {r.i: int(r.v) for r in found}
     return total.get(d + 1, 0), [total.get(i, 0) for i in range(d)], total.get(d, 0)
@@ -239,7 +257,7 @@ def whitened(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embed
         return spark.createDataFrame([], schema)
     d = commonest[0].d
     rows = rows.where(F.size("x") == d)
-    fit = written(rows.select("x").distinct(), "fit")
+    fit = written(packed(rows.select("x").distinct(), d), "fit")
     n, sums, squares = _exact_sums(fit, d)
     mean = np.array([s / n for s in sums])
     trace = (n * squares - sum(s * s for s in sums)) / n**2
