@@ -1,8 +1,8 @@
 """Typed struct fields out of key/value arrays.
 
-Every lookup works on ``entries.key`` and ``entries.value`` projections with
-built-in array functions, which stay inside generated code; lambda functions
-such as ``filter`` would not.
+An array is passed over once for its keys, in which repeated ones are refused; every lookup is a position in
+them, and the entry at that position is read in place. All of it is built-in array functions,
+which stay inside generated code; lambda functions such as ``filter`` would not, and are used only on the way to an error.
 """
 
 from __future__ import annotations
@@ -18,52 +18,48 @@ from pulsegrain.functions.sqltext import aliased, expressions, literal, name, st
 from pulsegrain.functions.text import in_name_list
 
 
-def has_repeats(entries: str) -> str:
-    """Whether any key occurs twice. Made a column, so that it is found once per row."""
-    keys = name(entries, "key")
-    return f"size(array_distinct({keys})) < size({keys})"
-
-
-def key_position(entries: str, key: str, on_duplicate: str = "error",
-                 repeats: str | None = None) -> str:
-    """1-based position of the key's entry, 0 if there is none.
+def checked_keys(entries: str, wanted: Sequence[str], on_duplicate: str = "error") -> str:
+    """The keys of an array, in order.
 
-    A key that occurs twice has no single value, which is an error unless
-    ``on_duplicate`` is ``"first"``. ``repeats`` is the column of
-    :func:`has_repeats`; entries of this key are counted only where it is true.
+    A wanted key that occurs twice has no single value, which is an error unless
+    ``on_duplicate`` is ``"first"``. Other keys may occur as often as they like.
     """
-    keys, wanted = name(entries, "key"), literal(key)
-    position = f"coalesce(array_position({keys}, {wanted}), 0)"
+    keys = name(entries, "key")
     if on_duplicate == "first":
-        return position
-    repeats = repeats or has_repeats(entries)
-    occurs = f"size({keys}) - size(array_remove({keys}, {wanted}))"
-    message = literal(f"key {key!r} occurs more than once in {entries}")
-    return (f"if({repeats} AND {occurs} > 1, bigint(raise_error({message})), {position})")
+        return keys
+    among = f"array({', '.join(literal(k) for k in dict.fromkeys(wanted))})"
+    twice = f"filter({among}, w -> size({keys}) - size(array_remove({keys}, w)) > 1)"
+    message = f"concat('key occurs more than once in {entries}: ', array_join({twice}, ', '))"
+    return (f"if(size(array_distinct({keys})) < size({keys}) AND size({twice}) > 0, "
+            f"CAST(raise_error({message}) AS array<string>), {keys})")
+
+
+def key_position(keys: str, key: str) -> str:
+    """1-based position of the key's entry, 0 if there is none."""
+    return f"coalesce(array_position({keys}, {literal(key)}), 0)"
 
 
 def value_at(entries: str, position: str, value_field: str | None) -> str:
-    path = (entries, "value") if value_field is None else (entries, "value", value_field)
-    return f"get({name(*path)}, int({position} - 1))"
+    path = "value" if value_field is None else f"value.{name(value_field)}"
+    return f"get({name(entries)}, int({position} - 1)).{path}"
 
 
 def key_value(entries: str, key: str, value_field: str | None = None,
               on_duplicate: str = "error") -> str:
     """The value of one key, NULL when absent."""
-    return value_at(entries, key_position(entries, key, on_duplicate), value_field)
+    return value_at(entries, key_position(checked_keys(entries, [key], on_duplicate), key), value_field)
 
 
 @dataclass(frozen=True)
 class Extraction:
-    """A parameter struct in four steps, each a set of columns over the one before.
+    """A parameter struct in three steps, each a set of columns over the one before.
 
-    The test for repeated keys, positions and values are columns of their own so that parameters with the
+    Keys and positions are columns of their own, so that parameters with the
     same key share them. Several extractions can share a step.
     """
 
-    flags: dict[str, str]
+    keys: dict[str, str]
     positions: dict[str, str]
-    values: dict[str, str]
     struct: str
 
 
@@ -72,29 +68,23 @@ def extraction(field: str, entries: str, specs: Sequence[ParamSpec],
                on_duplicate: str = "error") -> Extraction:
     """How to build struct ``field`` from the parameters found in ``entries``."""
     if not specs:
-        return Extraction({}, {}, {}, struct({"empty": literal(fv.NO_CUSTOM_KEYS)}))
-    at = {key: f"__{field}_at_{i}"
-          for i, key in enumerate(dict.fromkeys(p.key_name for p in specs))}
-    values = {pair: f"__{field}_value_{i}" for i, pair in enumerate(
-        dict.fromkeys((p.key_name, p.value_field(types)) for p in specs))}
+        return Extraction({}, {}, struct({"empty": literal(fv.NO_CUSTOM_KEYS)}))
+    wanted = list(dict.fromkeys(p.key_name for p in specs))
+    keys = f"__{field}_keys"
+    at = {key: f"__{field}_at_{i}" for i, key in enumerate(wanted)}
     fields = {}
     for spec in specs:
-        value = name(values[spec.key_name, spec.value_field(types)])
+        position = name(at[spec.key_name])
+        value = value_at(entries, position, spec.value_field(types))
         extracted = spec.extract_transformation.replace("##", value)
         # Without an entry there is no value, whatever the template makes of NULL.
-        present = f"{name(at[spec.key_name])} > 0"
+        present = f"{position} > 0"
         if spec.event_name_filter:
             present += f" AND {in_name_list('event_name', spec.event_name_filter)}"
         fields[spec.struct_field_name] = (
             f"if({present}, CAST({extracted} AS {spec.spark_type(types)}), NULL)")
-    repeats = f"__{field}_repeats"
-    return Extraction(
-        {} if on_duplicate == "first" else {repeats: has_repeats(entries)},
-        {column: key_position(entries, key, on_duplicate, name(repeats))
-         for key, column in at.items()},
-        {column: value_at(entries, name(at[key]), value_field)
-         for (key, value_field), column in values.items()},
-        struct(fields))
+    return Extraction({keys: checked_keys(entries, wanted, on_duplicate)},
+                      {column: key_position(name(keys), key) for key, column in at.items()}, struct(fields))
 
 
 def with_parameter_struct(df: DataFrame, field: str, entries: str, specs: Sequence[ParamSpec],
@@ -102,7 +92,6 @@ def with_parameter_struct(df: DataFrame, field: str, entries: str, specs: Sequen
                           on_duplicate: str = "error") -> DataFrame:
     """Add struct ``field`` with one field per parameter found in ``entries``."""
     steps = extraction(field, entries, specs, types, on_duplicate)
-    return (df.selectExpr("*", *expressions(steps.flags))
+    return (df.selectExpr("*", *expressions(steps.keys))
             .selectExpr("*", *expressions(steps.positions))
-            .selectExpr("*", *expressions(steps.values))
             .selectExpr(*[name(c) for c in df.columns], aliased(steps.struct, field)))

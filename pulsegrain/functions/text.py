@@ -9,7 +9,8 @@ from pulsegrain.functions.sqltext import literal
 
 def reverse_dotted(dotted: str) -> str:
     """``com.example.app`` -> ``app.example.com``."""
-    return f"array_join(reverse(split({dotted}, '[.]')), '.')"
+    # An escaped dot is split without a pattern matcher.
+    return f"array_join(reverse(split({dotted}, '\\\\.')), '.')"
 
 
 def null_if_empty(text: str) -> str:

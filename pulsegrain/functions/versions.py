@@ -14,7 +14,8 @@ def clean_version(version: str) -> str:
 
 
 def version_parts(cleaned: str) -> str:
-    return f"split({cleaned}, '[.]')"
+    # An escaped dot is split without a pattern matcher.
+    return f"split({cleaned}, '\\\\.')"
 
 
 def part(cleaned: str, index: int, parts: str | None = None) -> str:
@@ -68,9 +69,12 @@ def version_struct(original: str, version: str, cleaned: str,
     cleaned form and ``parts`` that form's parts, passed in so that a caller can
     compute them once per row.
     """
-    return struct({
-        "firebase_value": original,
-        **(extra or {}),
+    return struct({"firebase_value": original, **(extra or {}), **version_fields(cleaned, version, parts)})
+
+
+def version_fields(cleaned: str, version: str, parts: str | None = None) -> dict[str, str]:
+    """The fields that follow from the cleaned form, and the join value, by name."""
+    return {
         "major": part(cleaned, 0, parts),
         "minor": part(cleaned, 1, parts),
         "bugfix": part(cleaned, 2, parts),
@@ -78,7 +82,7 @@ def version_struct(original: str, version: str, cleaned: str,
         "major_minor_bugfix": cleaned,
         "normalized": normalized(cleaned, parts),
         "join_value": join_value(cleaned, version, parts),
-    })
+    }
 
 
 def version_without_os(os_version: str, os_name: str) -> str:

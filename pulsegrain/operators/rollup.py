@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsegrain.config import ParamSpec
 from pulsegrain.functions.sqltext import aliased, expressions, name, struct
+from pulsegrain.operators.determinants import Dimensions
 
 METRIC_INPUT = "__metric_input"
 
@@ -36,8 +37,10 @@ def aggregate(df: DataFrame, keys: Sequence[str], user: str,
           for m in metrics])
 
 
-def rollup(df: DataFrame, keys: Mapping[str, str], user: str,
+def rollup(df: DataFrame, keys: Mapping[str, str], dims: Dimensions, user: str,
            metrics: Sequence[ParamSpec] = ()) -> DataFrame:
-    """:func:`aggregate` by the given expressions."""
-    rows = df.selectExpr(*expressions({**keys, "__user": name(user)}), *metric_input(metrics))
-    return aggregate(rows, list(keys), "__user", metrics)
+    """:func:`aggregate` by the given expressions and dimensions."""
+    rows = df.selectExpr(*expressions({**keys, **dims.keys, "__user": name(user)}), *metric_input(metrics))
+    grouped = aggregate(rows, [*keys, *dims.keys], "__user", metrics)
+    measures = grouped.columns[len(keys) + len(dims.keys):]
+    return dims.finished(grouped, [*keys, *dims.outputs, *measures])

@@ -10,9 +10,10 @@ from pulsegrain.functions.params import key_value, with_parameter_struct
 from pulsegrain.functions.sqltext import aliased, expressions, struct
 from pulsegrain.functions.text import platform_of_shard, reverse_dotted
 from pulsegrain.functions.times import utc_date
-from pulsegrain.functions.versions import clean_version, version_struct
+from pulsegrain.functions.versions import clean_version, version_parts, version_struct
 from pulsegrain.operators.dedup import COUNT_COLUMN, keep_one_copy
-from pulsegrain.operators.dims import aligned_struct, dimension_columns
+from pulsegrain.operators.determinants import dimensions
+from pulsegrain.operators.dims import aligned_struct
 from pulsegrain.operators.rollup import rollup
 from pulsegrain.windows import DateWindow, Run
 
@@ -86,9 +87,9 @@ def _columns(on_duplicate: str) -> dict[str, str]:
         "orientation": struct({"app": "src_app_orientation",
                                "device": "src_device_orientation"}),
         "app_version": version_struct("src_app_version", "src_app_version", "__app_clean",
-                                      {"build_no": "src_app_build"}),
+                                      {"build_no": "src_app_build"}, "__app_parts"),
         "platform_version": version_struct("src_os_version", "src_os_version", "__os_clean",
-                                           {"name": "src_os_name"}),
+                                           {"name": "src_os_name"}, "__os_parts"),
         "jailbroken_state": "src_os_state",
         "device_hardware": struct({
             "type": "lower(src_os_device_type)", "manufacturer": "lower(src_device_maker)",
@@ -113,6 +114,8 @@ def build_crash_events_raw(export: DataFrame, run: Run) -> DataFrame:
                                  CRASH_TYPES, settings.duplicate_keys)
     rows = rows.selectExpr("*", aliased(clean_version("src_app_version"), "__app_clean"),
                            aliased(clean_version("src_os_version"), "__os_clean"))
+    rows = rows.selectExpr("*", aliased(version_parts("__app_clean"), "__app_parts"),
+                           aliased(version_parts("__os_clean"), "__os_parts"))
     return rows.selectExpr(*expressions(_columns(settings.duplicate_keys)))
 
 
@@ -120,5 +123,5 @@ def build_crash_events(crash_events_raw: DataFrame, run: Run,
                        window: DateWindow | None = None) -> DataFrame:
     """The ``crash_events`` rollup. Every custom key is a dimension, whatever its role."""
     rows = crash_events_raw.where((window or run.crash()).has_date("event_date"))
-    keys = {"event_date": "event_date", **dimension_columns(rows.schema, fv.CRASH_DIMENSIONS)}
-    return rollup(rows, keys, "crashlytics_user_pseudo_id")
+    dims = dimensions(rows.schema, fv.CRASH_DIMENSIONS)
+    return rollup(rows, {"event_date": "event_date"}, dims, "crashlytics_user_pseudo_id")

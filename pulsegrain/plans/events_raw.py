@@ -146,20 +146,19 @@ def build_events_raw(export: DataFrame, lookups: Lookups, run: Run,
         rows = in_ranges(rows, day, *keys, F.xxhash64(*fv.EVENT_COPY_KEYS), as_large_as=export)
     # What is used several times is computed once per row, in few steps: every
     # step copies the row.
+    os_version = version_without_os("src_os_version", "src_os_name")
     rows = rows.selectExpr("*", *expressions({
         "event_ts": "timestamp_micros(event_timestamp)",
         "install_ts": "timestamp_micros(user_first_touch_timestamp)",
         "__app_clean": clean_version("src_app_version"),
-        "__os_version": version_without_os("src_os_version", "src_os_name"),
-        **user.flags, **event.flags}))
+        "__os_version": os_version,
+        "__os_clean": clean_version(os_version),
+        **user.keys, **event.keys}))
     rows = rows.selectExpr("*", *expressions({
-        "__os_clean": clean_version("__os_version"),
         "__app_parts": version_parts("__app_clean"),
-        **user.positions, **event.positions}))
-    rows = rows.selectExpr("*", *expressions({
         "__os_parts": version_parts("__os_clean"),
         "__event_hour": hour_number("event_ts"),
         "__install_hour": hour_number("install_ts"),
-        **user.values, **event.values}))
+        **user.positions, **event.positions}))
     return rows.selectExpr(*expressions({
         **COLUMNS, "user_properties": user.struct, "event_parameters": event.struct}))

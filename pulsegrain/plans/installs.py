@@ -12,7 +12,7 @@ from pulsegrain.functions.text import in_name_list, reverse_dotted
 from pulsegrain.functions.times import (
     age_in_days, hour_number, utc_date, within_a_day_after, zone_dates)
 from pulsegrain.operators.dedup import COUNT_COLUMN
-from pulsegrain.operators.dims import dimension_columns
+from pulsegrain.operators.determinants import dimensions
 from pulsegrain.operators.rollup import aggregate, metric_input
 from pulsegrain.windows import Run
 
@@ -116,18 +116,21 @@ def build_cohorts(events_raw: DataFrame, installs_raw: DataFrame, run: Run,
 
     # Group columns are built before the join: less to shuffle, and the two
     # sides share no name but the user's.
-    event_dims = dimension_columns(events.schema, fv.EVENT_DIMENSIONS, left_out, sentinel)
-    install_dims = dimension_columns(installed.schema, fv.EVENT_DIMENSIONS, left_out, sentinel,
-                                     prefix="install_")
+    event_dims = dimensions(events.schema, fv.EVENT_DIMENSIONS, left_out, sentinel)
+    install_dims = dimensions(installed.schema, fv.EVENT_DIMENSIONS, left_out, sentinel,
+                              prefix="install_")
     left = events.selectExpr("user_pseudo_id", "event_ts", "event_date", "install_age",
-                             *expressions(event_dims), *metric_input(settings.metrics))
+                             *expressions(event_dims.keys), *metric_input(settings.metrics))
     right = installed.selectExpr("user_pseudo_id",
                                  aliased(utc_date("install_ts"), "install_date"),
-                                 *expressions(install_dims))
+                                 *expressions(install_dims.keys))
     joined = left.join(right, "user_pseudo_id")
     # An age group would follow from the age and add no rows, so it is no key.
-    keys = ["event_date", *event_dims, "install_age", "install_date", *install_dims]
-    return aggregate(joined, keys, "user_pseudo_id", settings.metrics)
+    keys = ["event_date", *event_dims.keys, "install_age", "install_date", *install_dims.keys]
+    grouped = aggregate(joined, keys, "user_pseudo_id", settings.metrics)
+    return (event_dims + install_dims).finished(grouped, [
+        "event_date", *event_dims.outputs, "install_age", "install_date", *install_dims.outputs,
+        *grouped.columns[len(keys):]])
 
 
 def build_events_wid(events_raw, installs_raw, run) -> DataFrame:

@@ -9,18 +9,16 @@ from pulsegrain import fixed_values as fv
 from pulsegrain.functions.sqltext import literal
 from pulsegrain.functions.text import in_name_list
 from pulsegrain.functions.times import age_group, utc_date
-from pulsegrain.operators.dims import dimension_columns
+from pulsegrain.operators.determinants import dimensions
 from pulsegrain.operators.rollup import rollup
 from pulsegrain.windows import Run
 
 
 def _events_rollup(rows: DataFrame, run: Run, sentinel: frozenset[str]) -> DataFrame:
     settings = run.settings
-    keys = {"event_date": "event_date",
-            "install_age_group": age_group("install_age"),
-            **dimension_columns(rows.schema, fv.EVENT_DIMENSIONS,
-                                settings.fields_left_out_of_rollups, sentinel)}
-    return rollup(rows, keys, "user_pseudo_id", settings.metrics)
+    keys = {"event_date": "event_date", "install_age_group": age_group("install_age")}
+    dims = dimensions(rows.schema, fv.EVENT_DIMENSIONS, settings.fields_left_out_of_rollups, sentinel)
+    return rollup(rows, keys, dims, "user_pseudo_id", settings.metrics)
 
 
 def build_events(events_raw: DataFrame, run: Run) -> DataFrame:
@@ -44,10 +42,9 @@ def build_installs(installs_raw: DataFrame, run: Run) -> DataFrame:
     """The ``installs`` rollup: day, install day, age and all dimensions."""
     rows = installs_raw.where(run.analytics().has_date("event_date"))
     keys = {"event_date": "event_date", "install_date": utc_date("install_ts"),
-            "install_age": "install_age",
-            **dimension_columns(rows.schema, fv.EVENT_DIMENSIONS,
-                                run.settings.fields_left_out_of_rollups)}
-    return rollup(rows, keys, "user_pseudo_id")
+            "install_age": "install_age"}
+    dims = dimensions(rows.schema, fv.EVENT_DIMENSIONS, run.settings.fields_left_out_of_rollups)
+    return rollup(rows, keys, dims, "user_pseudo_id")
 
 
 def build_events_count(events_raw: DataFrame, run: Run) -> DataFrame:
