@@ -7,37 +7,37 @@ taken, the word's place in the text, borders of the pair) says to skip it. Chara
 U+2581 that stands in the text itself, so decoding always gives the text back.
 
 No piece has a space behind another character, so a text falls into words (spaces and what
-follows them) that are encoded apart. What a word can become is a tree: at each node the next
-pair of the agenda is merged or skipped. All occurrences go down their words' trees together,
-one decision of each per numpy step, and a node is made when the first occurrence gets there;
-so a cached node is no cut, every occurrence decides by its own key. Words over MAX_LOCKSTEP
-characters use a heap. Both give the same pieces.
+follows them) that are encoded apart. The agenda runs over many words in lockstep, one decision of each
+per numpy step, symbols being linked lists in rows of equal width. Distinct words of a batch run
+without skips first; the borders of the pairs they merge tell for every occurrence, by its own key,
+whether one of these merges is skipped. Only such occurrences run through an agenda of their own.
+Nothing is kept from batch to batch. Words over MAX_LOCKSTEP characters use a heap. Both
+give the same pieces.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrain.llm.textarrays import mix
+from pulsegrain.llm.textarrays import Texts, mix, texts_of
 
 SPACE = "▁"
-MAX_LOCKSTEP = 32
+WIDTHS = (8, 16, 32)  # words of up to so many characters share an array
+MAX_LOCKSTEP = WIDTHS[-1]
 DROPOUT = 0.1
 SEED = 11
-BATCH_WORDS = 250_000
-LOCKSTEP_ROWS = 32_768  # occurrences merged at once, so that arrays stay small
-TREE_NODES = 1 << 18  # nodes that the trees of a width keep from block to block
-TEXT_ROWS = 500  # texts made Python strings at once
+BATCH_BYTES = 2 << 20  # of texts whose words are numbered together
+LOCKSTEP_ROWS = 16_384  # words merged at once, so that arrays stay small
 _M = 2**64 - 1
 _C = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-_WORDS = re.compile(" *[^ ]+| +")
+_C64 = tuple(np.uint64(c) for c in _C)
 
 
 def read_pieces(model_file: str) -> tuple[list[str], list[float], int]:
@@ -55,101 +55,27 @@ def _mix_one(x: int) -> int:
     return x ^ (x >> 31)
 
 
-class Trees:
-    """The trees of words of at most width characters."""
-
-    def __init__(self, vocabulary: Vocabulary, width: int) -> None:
-        self.vocabulary, self.width = vocabulary, width
-        self.clear()
-
-    def clear(self) -> None:
-        self.roots: dict[str, int] = {}
-        self.n = 0
-        self._grow(1024)
-
-    def _grow(self, room: int) -> None:
-        n, width = self.n, self.width
-        for name, shape, kind in (
-                ("symbols", (width,), np.int32), ("starts", (width + 1,), np.uint8),
-                ("barred", (width,), np.bool_), ("count", (), np.uint8), ("at", (), np.uint8),
-                ("piece", (), np.int32), ("borders", (), np.uint64), ("next", (2,), np.int32)):
-            new = np.zeros((room, *shape), kind)
-            if n:
-                new[:n] = getattr(self, name)[:n]
-            setattr(self, name, new)
-
-    def _add(self, symbols: np.ndarray, starts: np.ndarray, barred: np.ndarray,
-             count: np.ndarray) -> np.ndarray:
-        """New nodes; each finds its next pair, piece -1 where there is none."""
-        first, self_n = self.n, self.n + len(count)
-        if self_n > len(self.count):
-            self._grow(max(self_n, 2 * len(self.count)))
-        self.n = self_n
-        new = slice(first, self_n)
-        self.symbols[new], self.starts[new], self.barred[new], self.count[new] = symbols, starts, barred, count
-        self.next[new] = -1
-        wide = symbols.astype(np.int64)
-        piece = self.vocabulary.joined(wide[:, :-1], wide[:, 1:])
-        piece[np.arange(1, self.width) >= count[:, None]] = -1
-        score = np.where((piece >= 0) & ~barred[:, :-1], self.vocabulary.rank[piece], 0)
-        at, line = score.argmax(axis=1), np.arange(len(count))
-        self.at[new] = at
-        self.piece[new] = np.where(score[line, at] > 0, piece[line, at], -1)
-        i, j, stop = (starts[line, at + k].astype(np.uint64) for k in range(3))
-        self.borders[new] = i * np.uint64(_C[0]) + j * np.uint64(_C[1]) + stop * np.uint64(_C[2])
-        return np.arange(first, self_n)
-
-    def _children(self, nodes: np.ndarray, skip: np.ndarray) -> np.ndarray:
-        symbols, starts, barred = self.symbols[nodes], self.starts[nodes], self.barred[nodes]
-        count, at = self.count[nodes].astype(np.int64), self.at[nodes].astype(np.int64)
-        rows = np.flatnonzero(skip)
-        barred[rows, at[rows]] = True
-        rows = np.flatnonzero(~skip)
-        at, column = at[rows], np.arange(self.width)
-        symbols[rows, at] = self.piece[nodes[rows]]
-        source = np.minimum(column + (column > at[:, None]), self.width - 1)
-        symbols[rows] = np.take_along_axis(symbols[rows], source, axis=1)
-        barred[rows] = np.take_along_axis(barred[rows], source, axis=1)
-        # The pairs beside the new piece have new borders.
-        barred[rows, at] = False
-        barred[rows, np.maximum(at - 1, 0)] = False
-        column = np.arange(self.width + 1)
-        source = np.minimum(column + (column > at[:, None]), self.width)
-        starts[rows] = np.take_along_axis(starts[rows], source, axis=1)
-        count[rows] -= 1
-        return self._add(symbols, starts, barred, count)
-
-    def find(self, words: list[str]) -> np.ndarray:
-        """The roots of distinct words."""
-        new = [w for w in words if w not in self.roots]
-        if new:
-            lengths = np.fromiter(map(len, new), np.int64, len(new))
-            codes = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), np.uint32)
-            inside = np.arange(self.width) < lengths[:, None]
-            symbols = np.zeros(inside.shape, np.int64)
-            symbols[inside] = self.vocabulary.chars[codes]
-            starts = np.minimum(np.arange(self.width + 1), lengths[:, None])
-            nodes = self._add(symbols, starts, np.zeros(inside.shape, bool), lengths)
-            self.roots.update(zip(new, nodes.tolist(), strict=True))
-        return np.fromiter(map(self.roots.__getitem__, words), np.int64, len(words))
-
-    def leaves(self, nodes: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
-        """Where the occurrences that begin at nodes end by their keys."""
-        nodes = nodes.copy()
-        open_ = np.flatnonzero(self.piece[nodes] >= 0)
-        while len(open_):
-            here = nodes[open_]
-            side = ((mix(keys[open_] + self.borders[here]) >> np.uint64(11)) < np.uint64(limit)).astype(np.int64)
-            there = self.next[here, side].astype(np.int64)
-            missing = np.flatnonzero(there < 0)
-            if len(missing):
-                wanted, index = np.unique(here[missing] * 2 + side[missing], return_inverse=True)
-                made = self._children(wanted >> 1, wanted & 1 == 1)
-                self.next[wanted >> 1, wanted & 1] = made
-                there[missing] = made[index]
-            nodes[open_] = there
-            open_ = open_[self.piece[there] >= 0]
-        return nodes
+@dataclass
+class Lists:
+    """Rows of numbers one after the other; row i is flat[begins[i]:begins[i + 1]]."""
+
+    flat: np.ndarray
+    begins: np.ndarray
+
+    @classmethod
+    def of(cls, rows: np.ndarray, values: np.ndarray, n: int) -> Lists:
+        """Values by the row they belong to, in the order given."""
+        order = np.argsort(rows, kind="stable")
+        return cls(values[order], np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]))
+
+    def lengths(self) -> np.ndarray:
+        return np.diff(self.begins)
+
+    def places(self, rows: np.ndarray) -> np.ndarray:
+        """Where the values of the given rows, one after the other, lie in flat."""
+        n = self.lengths()[rows]
+        ends = np.cumsum(n)
+        return np.repeat(self.begins[rows] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Vocabulary:
@@ -157,13 +83,13 @@ class Vocabulary:
 
     def __init__(self, pieces: list[str], scores: list[float], byte0: int) -> None:
         self.byte0 = byte0
-        special = {i for i in range(byte0 + 256) if i < byte0 or i >= byte0}
+        special = set(range(byte0 + 256))
         ids = {p: i for i, p in enumerate(pieces) if i not in special}
         extra = sorted({c for p in ids for c in p} - set(ids))
         symbols = ids | {c: len(pieces) + i for i, c in enumerate(extra)}
         self.n_pieces, self.n = len(pieces), len(pieces) + len(extra)
         # Characters: the symbol, or -2 - code where there is none.
-        self.chars = -2 - np.arange(0x110000, dtype=np.int64)
+        self.chars = -2 - np.arange(0x110000, dtype=np.int32)
         for c, i in symbols.items():
             if len(c) == 1:
                 self.chars[ord(c)] = i
@@ -171,7 +97,7 @@ class Vocabulary:
         self.extra = {len(pieces) + i: ord(c) for i, c in enumerate(extra)}
         # Scores as ranks: the higher, the earlier.
         _, self.rank = np.unique(np.array(scores), return_inverse=True)
-        self.rank = self.rank.astype(np.int64) + 1
+        self.rank = self.rank.astype(np.int32) + 1
         self.pairs = {}
         for piece, i in ids.items():
             for cut in range(1, len(piece)):
@@ -179,34 +105,45 @@ class Vocabulary:
                 if a is not None and b is not None:
                     self.pairs[a * self.n + b] = i
         self._hash_pairs()
-        self.trees = [Trees(self, width) for width in (8, 16, MAX_LOCKSTEP)]
         self.bytes = [p.replace(SPACE, " ").encode() for p in pieces]
         for b in range(256):
             self.bytes[byte0 + b] = bytes([b])
 
-    def _hash_pairs(self, bits: int = 19) -> None:
+    def _hash_pairs(self) -> None:
+        """Hash tables with one pair a slot; what does not fit into one goes to the next."""
         keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
-        self.shift = np.uint64(64 - bits)
-        slots = ((keys.astype(np.uint64) * np.uint64(_C[0])) >> self.shift).astype(np.int64)
-        order = np.argsort(slots, kind="stable")
-        first = np.searchsorted(slots[order], slots[order])
-        depth = np.arange(len(keys)) - first
-        self.layers = []
-        values = np.fromiter(self.pairs.values(), np.int64, len(keys))
-        for d in range(int(depth.max(initial=0)) + 1):
-            key, value = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
-            at = order[depth == d]
-            key[slots[at]], value[slots[at]] = keys[at], values[at]
-            self.layers.append((key, value))
+        values = np.fromiter(self.pairs.values(), np.int32, len(keys))
+        self.tables = []
+        while len(keys) or not self.tables:
+            bits = max(4, int(4 * len(keys)).bit_length())
+            shift = np.uint64(64 - bits)
+            slots = ((keys.astype(np.uint64) * _C64[len(self.tables) % 3]) >> shift).astype(np.int64)
+            at, first = np.unique(slots, return_index=True)
+            key, value, more = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32), np.zeros(1 << bits, bool)
+            key[at], value[at] = keys[first], values[first]
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            more[slots[left]] = True
+            self.tables.append((shift, key, value, more))
+            keys, values = keys[left], values[left]
 
     def joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The piece of each two symbols joined, or -1."""
-        key = np.where((a >= 0) & (b >= 0), a * self.n + b, -2)
-        slot = ((key.astype(np.uint64) * np.uint64(_C[0])) >> self.shift).astype(np.int64)
-        out = np.full(key.shape, -1, np.int64)
-        for keys, values in self.layers:
-            hit = keys[slot] == key
-            out[hit] = values[slot[hit]]
+        wanted = np.where((a >= 0) & (b >= 0), a.astype(np.int64) * self.n + b, -2)
+        out = np.full(len(wanted), -1, np.int32)
+        rows = None
+        for i, (shift, keys, values, more) in enumerate(self.tables):
+            slots = ((wanted.astype(np.uint64) * _C64[i % 3]) >> shift).astype(np.int64)
+            found = np.where(keys[slots] == wanted, values[slots], -1)
+            if rows is None:
+                out[:] = found
+            else:
+                out[rows] = found
+            on = np.flatnonzero(more[slots] & (found < 0))
+            if not len(on):
+                break
+            wanted = wanted[on]
+            rows = on if rows is None else rows[on]
         return out
 
     def merge_word(self, symbols: list[int], key: int, limit: int) -> list[int]:
@@ -239,95 +176,127 @@ class Vocabulary:
             offer(i)
         return [s for s, out in zip(symbols, gone, strict=True) if not out]
 
-    def merge_words(self, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray,
-                    limit: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of symbols (padded) merged in lockstep: symbols and how many are left of each."""
-        n, width = symbols.shape
-        out, left = symbols.copy(), lengths.copy()
-        column = np.arange(width)
-        rows = np.flatnonzero(lengths > 1)
-        sym, count, key = symbols[rows], lengths[rows].copy(), keys[rows]
-        start = np.tile(np.append(column, width), (len(rows), 1))
-        start[np.arange(len(rows))[:, None], np.arange(width + 1)] = np.minimum(
-            start, count[:, None])
+    def _lockstep(self, words: Lists, width: int, keys: np.ndarray | None,
+                  limit: int) -> tuple[Lists, Lists]:
+        """The symbols that are left of each word, and the borders of the pairs it merged.
+
+        words have at most width characters each. Without keys no merge is skipped; borders are
+        told only then.
+        """
+        n, row = len(words.begins) - 1, width + 1
+        lengths = words.lengths()
+        base = np.arange(n) * row
+        inside = (np.arange(row) < lengths[:, None]).ravel()
+        symbols = np.full(n * row, -1, np.int32)
+        symbols[inside] = words.flat
+        # The column behind a word has no symbol and ends its list; column width stands before it.
+        right = np.tile(np.arange(1, row + 1, dtype=np.int64), n)
+        left = np.tile(np.concatenate([[width], np.arange(width)]), n)
+        piece = np.full(n * row, -1, np.int32)
+        pairs = np.flatnonzero((np.arange(row) + 1 < lengths[:, None]).ravel())
+        piece[pairs] = self.joined(symbols[pairs], symbols[pairs + 1])
+        score = np.where(piece >= 0, self.rank[piece], 0)
+        rows, steps = np.arange(n), []
         while len(rows):
-            piece = self.joined(sym[:, :-1], sym[:, 1:])
-            piece[column[1:] >= count[:, None]] = -1
-            score = np.where(piece >= 0, self.rank[piece], 0)
-            if limit:
-                r, c = np.nonzero(piece >= 0)
-                value = mix(key[r] + start[r, c].astype(np.uint64) * np.uint64(_C[0])
-                            + start[r, c + 1].astype(np.uint64) * np.uint64(_C[1])
-                            + start[r, c + 2].astype(np.uint64) * np.uint64(_C[2]))
-                skip = (value >> np.uint64(11)) < np.uint64(limit)
-                score[r[skip], c[skip]] = 0
-            at = score.argmax(axis=1)
-            line = np.arange(len(rows))
-            go = score[line, at] > 0
-            done = ~go
-            out[rows[done], :sym.shape[1]], left[rows[done]] = sym[done], count[done]
-            rows, sym, count, key, start = rows[go], sym[go], count[go], key[go], start[go]
-            at, piece = at[go], piece[go]
+            table = score.reshape(n, row)
+            at = (table if len(rows) == n else table[rows]).argmax(axis=1)
+            i = base[rows] + at
+            go = score[i] > 0
+            rows, at, i = rows[go], at[go], i[go]
             if not len(rows):
                 break
-            line = np.arange(len(rows))
-            sym[line, at] = piece[line, at]
-            width = sym.shape[1]
-            source = np.minimum(column[:width] + (column[:width] > at[:, None]), width - 1)
-            sym = np.take_along_axis(sym, source, axis=1)
-            source = np.minimum(np.arange(width + 1) + (np.arange(width + 1) > at[:, None]), width)
-            start = np.take_along_axis(start, source, axis=1)
-            count -= 1
-            width = max(int(count.max()), 2)
-            sym, start, column = sym[:, :width], start[:, :width + 1], np.arange(width)
-        return out, left
-
-    def encode_words(self, words: list[str], sequence: np.ndarray, keys: np.ndarray,
+            j = right[i]
+            stop = right[base[rows] + j]
+            borders = at.astype(np.uint64) * _C64[0] + j.astype(np.uint64) * _C64[1] + stop.astype(np.uint64) * _C64[2]
+            merged = rows
+            if keys is None:
+                steps.append((rows, borders))
+            else:
+                skip = (mix(keys[rows] + borders) >> np.uint64(11)) < np.uint64(limit)
+                score[i[skip]] = 0
+                merged, at, i, j, stop = rows[~skip], at[~skip], i[~skip], j[~skip], stop[~skip]
+            here = base[merged]
+            symbols[i], right[i], left[here + stop] = piece[i], stop, at
+            inside[here + j], score[here + j] = False, 0
+            # The pairs beside the new piece have new borders.
+            before = here + left[i]
+            both = np.concatenate([i, before])
+            piece[both] = self.joined(symbols[both], np.concatenate([symbols[here + stop], symbols[i]]))
+            score[both] = np.where(piece[both] >= 0, self.rank[piece[both]], 0)
+        alive = inside.reshape(n, row)
+        left_over = Lists(symbols[inside], np.concatenate([[0], np.cumsum(alive.sum(axis=1))]))
+        if keys is not None or not steps:
+            return left_over, Lists(np.zeros(0, np.uint64), np.zeros(n + 1, np.int64))
+        return left_over, Lists.of(*(np.concatenate(c) for c in zip(*steps, strict=True)), n)
+
+    def _merged(self, words: Lists, keys: np.ndarray | None, limit: int) -> tuple[Lists, Lists]:
+        """_lockstep for words of any length, in the order given. Long ones are left as they are."""
+        n, lengths = len(words.begins) - 1, words.lengths()
+        parts, low = [], 0
+        for width in WIDTHS:
+            group = np.flatnonzero((lengths > low) & (lengths <= width))
+            low = width
+            for k in range(0, len(group), LOCKSTEP_ROWS):
+                rows = group[k:k + LOCKSTEP_ROWS]
+                some = Lists(words.flat[words.places(rows)], np.concatenate([[0], np.cumsum(lengths[rows])]))
+                parts.append((rows, *self._lockstep(some, width, None if keys is None else keys[rows], limit)))
+
+        def together(which: int, kind: type) -> Lists:
+            own = [np.repeat(p[0], p[which].lengths()) for p in parts]
+            values = [p[which].flat for p in parts]
+            return Lists.of(np.concatenate([np.zeros(0, np.int64), *own]),
+                            np.concatenate([np.zeros(0, kind), *values]), n)
+
+        return together(1, np.int32), together(2, np.uint64)
+
+    def _characters(self, words: pa.Array) -> Lists:
+        """The symbols that words begin as."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        codes = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+        first = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        return Lists(self.chars[codes], first[offsets - offsets[0]])
+
+    def encode_words(self, words: pa.Array, sequence: np.ndarray, keys: np.ndarray,
                      dropout: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all occurrences in one array, and where each one's ids begin.
 
-        words are distinct; sequence has the word of each occurrence and keys its key.
+        words are distinct, as UTF-8 bytes; sequence has the word of each occurrence and keys its key.
         """
         limit = int(dropout * 2**53)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        wide = lengths[sequence]
-        n_left = np.zeros(len(sequence), np.int64)
-        merged = []
-        low = 0
-        for trees in self.trees:
-            group = np.flatnonzero((wide > low) & (wide <= trees.width))
-            low = trees.width
-            for begin in range(0, len(group), LOCKSTEP_ROWS):
-                rows = group[begin:begin + LOCKSTEP_ROWS]
-                if trees.n > TREE_NODES:
-                    trees.clear()
-                some, index = np.unique(sequence[rows], return_inverse=True)
-                roots = trees.find([words[i] for i in some.tolist()])
-                ends = trees.leaves(roots[index], keys[rows], limit)
-                left = trees.count[ends].astype(np.int64)
-                n_left[rows] = left
-                inside = np.arange(trees.width) < left[:, None]
-                merged.append((rows, trees.symbols[ends][inside], left))
-        long = []
-        for row in np.flatnonzero(wide > MAX_LOCKSTEP).tolist():
-            word = np.frombuffer(words[sequence[row]].encode("utf-32-le", "surrogatepass"), np.uint32)
-            ids = np.array(self.merge_word(self.chars[word].tolist(), int(keys[row]), limit), np.int64)
-            n_left[row] = len(ids)
-            long.append((row, ids))
-        begins = np.concatenate([[0], np.cumsum(n_left)])
-        flat = np.zeros(begins[-1], np.int64)
-        for rows, ids, left in merged:
-            ends = np.cumsum(left)
-            flat[np.repeat(begins[rows] - (ends - left), left) + np.arange(len(ids))] = ids
-        for row, ids in long:
-            flat[begins[row]:begins[row + 1]] = ids
+        symbols = self._characters(words)
+        plain, borders = self._merged(symbols, None, 0)
+        own = np.zeros(len(sequence), bool)  # whether the occurrence skips a merge
+        for k in range(0, len(sequence) if limit else 0, 8 * LOCKSTEP_ROWS):
+            some = sequence[k:k + 8 * LOCKSTEP_ROWS]
+            rows = np.repeat(np.arange(k, k + len(some)), borders.lengths()[some])
+            value = mix(keys[rows] + borders.flat[borders.places(some)])
+            own[rows[(value >> np.uint64(11)) < np.uint64(limit)]] = True
+        long = symbols.lengths() > MAX_LOCKSTEP
+        apart, heaped = np.flatnonzero(own), np.flatnonzero(long[sequence])
+        some = sequence[apart]
+        cut, _ = self._merged(Lists(symbols.flat[symbols.places(some)],
+                                    np.concatenate([[0], np.cumsum(symbols.lengths()[some])])), keys[apart], limit)
+        heap = [np.array(self.merge_word(symbols.flat[symbols.begins[w]:symbols.begins[w + 1]].tolist(), int(keys[row]),
+                                         limit), np.int32) for row, w in zip(heaped.tolist(), sequence[heaped].tolist(), strict=True)]
+        left = plain.lengths()[sequence]
+        left[apart] = cut.lengths()
+        left[heaped] = [len(h) for h in heap]
+        begins = np.concatenate([[0], np.cumsum(left)])
+        flat = np.zeros(begins[-1], np.int32)
+        out = Lists(flat, begins)
+        usual = np.flatnonzero(~own & ~long[sequence])
+        flat[out.places(usual)] = plain.flat[plain.places(sequence[usual])]
+        flat[out.places(apart)] = cut.flat
+        if heap:
+            flat[out.places(heaped)] = np.concatenate(heap)
         return self._with_bytes(flat, begins)
 
     def _with_bytes(self, flat: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Put byte pieces where a symbol has no piece."""
         odd = np.flatnonzero((flat < 0) | (flat >= self.n_pieces))
         if not len(odd):
-            return flat.astype(np.int32), begins
+            return flat, begins
         codes, place = np.unique(flat[odd], return_inverse=True)
         spelled = [chr(self.extra[c] if c >= 0 else -2 - c).encode("utf-8", "surrogatepass")
                    for c in codes.tolist()]
@@ -346,53 +315,57 @@ class Vocabulary:
             out[new[odd[has]] + k] = self.byte0 + table[place[has], k]
         return out, new[begins]
 
+    def decoded(self, ids: np.ndarray) -> bytes:
+        """What the ids spell, with the space before the text."""
+        return b"".join([self.bytes[i] for i in ids.tolist()])
+
     def decode(self, ids: np.ndarray) -> str:
-        text = b"".join([self.bytes[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")
+        text = self.decoded(ids).decode("utf-8", "surrogatepass")
         return text[1:] if text.startswith(" ") else text
 
 
-def words_in(text: str) -> list[str]:
-    """The words of a text, each with its spaces before it; the text has one space put first."""
-    if not text:
-        return []
-    if "  " in text or text[0] == " " or text[-1] == " ":
-        return _WORDS.findall(" " + text)
-    return [" " + w for w in text.split(" ")]
+def words_in(texts: Texts) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of texts that each have one space put first, the word of each occurrence, bounds of texts.
 
-
-def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarray, seed: int,
-                 dropout: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, bounds) of runs of texts in order; keys has a number for each text."""
-    index: dict[str, int] = {}
-    sequence: list[int] = []
-    bounds = [0]
-    of_text: list[int] = []
+    A word is a run of spaces and what follows it up to the next space. An empty text has none.
+    """
+    n = np.diff(texts.offsets)
+    filled = n > 0
+    starts = (texts.offsets[:-1] + np.cumsum(filled) - filled)[filled]
+    data = np.full(len(texts.data) + int(filled.sum()), 32, np.uint8)
+    taken = np.ones(len(data), bool)
+    taken[starts] = False
+    data[taken] = texts.data
+    space = data == 32
+    begin = space.copy()
+    begin[1:] &= ~space[:-1]
+    begin[starts] = True
+    at = np.flatnonzero(begin)
+    offsets = np.append(at, len(data)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    numbered = words.dictionary_encode()
+    ends = texts.offsets + np.concatenate([[0], np.cumsum(filled)])
+    return numbered.dictionary, numbered.indices.to_numpy().astype(np.int64), np.searchsorted(at, ends)
+
+
+def encode_texts(vocabulary: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int,
+                 dropout: float) -> Iterator[tuple[Texts, np.ndarray, np.ndarray]]:
+    """(texts, ids, bounds) of runs of texts in order; keys has a number for each text."""
     own = mix(keys.astype(np.int64).view(np.uint64) + np.uint64(_mix_one(seed & _M)))
-
-    def flush() -> tuple[np.ndarray, np.ndarray]:
+    for some in texts_of(texts, BATCH_BYTES):
+        words, sequence, bounds = words_in(some)
         n = np.diff(bounds)
         place = np.arange(len(sequence)) - np.repeat(bounds[:-1], n)
-        each = mix(np.repeat(own[of_text], n) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(_C[0]))
-        ids, begins = vocabulary.encode_words(list(index), np.array(sequence, np.int64), each, dropout)
-        return ids, begins[bounds]
-
-    for i, text in enumerate(texts):
-        for word in words_in(text or ""):
-            sequence.append(index.setdefault(word, len(index)))
-        bounds.append(len(sequence))
-        of_text.append(i)
-        if len(sequence) >= BATCH_WORDS:
-            yield flush()
-            index, sequence, bounds, of_text = {}, [], [0], []
-    if of_text:
-        yield flush()
+        each = mix(np.repeat(own[some.first:some.first + len(some)], n) + (place.astype(np.uint64) + np.uint64(1)) * _C64[0])
+        ids, begins = vocabulary.encode_words(words, sequence, each, dropout)
+        yield some, ids, begins[bounds]
 
 
 _BUILT: dict[int, Vocabulary] = {}
 
 
 def _vocabulary(model: tuple[list[str], list[float], int]) -> Vocabulary:
-    key = hash((tuple(model[0]), model[2]))
+    key = hash((tuple(model[0]), tuple(model[1]), model[2]))
     if key not in _BUILT:
         _BUILT.clear()
         _BUILT[key] = Vocabulary(*model)
@@ -414,18 +387,17 @@ def encoded(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(model)
-        for batch in (b.slice(i, TEXT_ROWS) for b in batches for i in range(0, len(b), TEXT_ROWS)):
-            texts, row = batch.column(2).to_pylist(), 0
+        for batch in batches:
             which = batch.column(1).to_numpy()
-            for ids, bounds in encode_texts(vocabulary, texts, which, seed, dropout):
-                n = len(bounds) - 1
-                same = [vocabulary.decode(ids[a:b]) == (t or "") for a, b, t in zip(
-                    bounds[:-1].tolist(), bounds[1:].tolist(), texts[row:row + n], strict=True)]
+            for some, ids, bounds in encode_texts(vocabulary, batch.column(2), which, seed, dropout):
+                data = some.data.tobytes()
+                same = [vocabulary.decoded(ids[a:b])[1:] == data[begin:end] for a, b, begin, end in zip(
+                    bounds[:-1].tolist(), bounds[1:].tolist(), some.offsets[:-1].tolist(), some.offsets[1:].tolist(),
+                    strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, n), pa.array(np.diff(bounds)),
+                    [batch.column(0).slice(some.first, len(some)), pa.array(np.diff(bounds)),
                      pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids)),
                      pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "token_ids", "round_trip"])
-                row += n
 
     key = F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"),
                      F.col(f"`{take}`").cast("long") if take else F.lit(0).cast("long"))

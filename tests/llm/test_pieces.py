@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulsegrain.llm import pieces
@@ -19,7 +20,7 @@ def vocabulary():
 
 def lists(vocabulary, texts, dropout, variant=0):
     out = []
-    for ids, bounds in encode_texts(vocabulary, texts, np.full(len(texts), variant), 11, dropout):
+    for _, ids, bounds in encode_texts(vocabulary, pa.array(texts, pa.string()), np.full(len(texts), variant), 11, dropout):
         out += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
     return out
 
@@ -44,18 +45,48 @@ def test_segmentations_vary_with_variant_and_repeat_with_seed(vocabulary):
     assert sum(map(len, one)) > sum(map(len, lists(vocabulary, TEXTS, 0.0)))
 
 
-def test_lockstep_and_agenda_agree(vocabulary, monkeypatch):
-    words = prose(5, 300).split()
-    limit = int(0.2 * 2**53)
-    for word in words:
-        symbols = vocabulary.chars[np.frombuffer((" " + word).encode("utf-32-le"), np.uint32)]
-        out, left = vocabulary.merge_words(symbols[None, :], np.array([len(symbols)]), np.array([99], np.uint64), limit)
-        assert out[0, :left[0]].tolist() == vocabulary.merge_word(symbols.tolist(), 99, limit)
+def agenda(vocabulary, word, key, limit):
+    codes = np.frombuffer(word.encode("utf-32-le"), np.uint32)
+    return vocabulary.merge_word(vocabulary.chars[codes].tolist(), int(key), limit)
+
+
+@pytest.mark.parametrize("rows", [16_384, 97, 1])
+def test_lockstep_and_agenda_agree(vocabulary, monkeypatch, rows):
+    """Each occurrence ends where the agenda ends with its key, however they are put together."""
+    words = sorted({" " + w for w in prose(6, 120).split()} | {
+        " international", " a", " ", "  q", "x", "xyxyxyxyxyxyxyxyxyxyxy", " " + "ab" * 16, "é" * 40, " 日本語日本語日本"})
+    n = 4000 if rows > 1 else 150
+    sequence = np.arange(n) % len(words)
+    keys = pieces.mix(np.arange(n, dtype=np.uint64))
+    monkeypatch.setattr(pieces, "LOCKSTEP_ROWS", rows)
+    for dropout in (0.0, 0.1, 0.4, 1.0):
+        expected = [agenda(vocabulary, words[w], k, int(dropout * 2**53)) for w, k in zip(sequence, keys)]
+        expected = [vocabulary._with_bytes(np.array(e, np.int32), np.array([0, len(e)]))[0].tolist() for e in expected]
+        ids, begins = vocabulary.encode_words(pa.array([w.encode() for w in words], pa.binary()), sequence, keys, dropout)
+        assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == expected
+
+
+def test_batches_do_not_matter(vocabulary, monkeypatch):
     whole = lists(vocabulary, TEXTS, 0.2)
-    monkeypatch.setattr(pieces, "BATCH_WORDS", 1)
+    monkeypatch.setattr(pieces, "BATCH_BYTES", 1)
     assert lists(vocabulary, TEXTS, 0.2) == whole
 
 
+def test_words_of_texts():
+    texts = ["hello  world ", "", " a", " ", None, "é  \n b", "   "]
+    some, = pieces.texts_of(pa.array(texts, pa.string()))
+    words, sequence, bounds = pieces.words_in(some)
+    found = [[words[int(w)].as_py().decode() for w in sequence[a:b]] for a, b in zip(bounds[:-1], bounds[1:])]
+    assert found == [[" hello", "  world", " "], [], ["  a"], ["  "], [], [" é", "  \n", " b"], ["    "]]
+
+
+def test_many_pairs_in_one_slot_are_found(vocabulary):
+    for pair, piece in list(vocabulary.pairs.items())[::37]:
+        a, b = np.array([pair // vocabulary.n]), np.array([pair % vocabulary.n])
+        assert vocabulary.joined(a, b)[0] == piece
+    assert vocabulary.joined(np.array([-1, 5]), np.array([3, -7])).tolist() == [-1, -1]
+
+
 def test_rows(spark):
     rows = hard_documents()
     found = encoded(clashing(frame(spark, rows)), MODEL).collect()
@@ -83,19 +114,3 @@ def test_places_of_a_text_are_cut_apart(vocabulary):
     starts = [i for i, t in enumerate(ids) if vocabulary.bytes[t].startswith(b" ")]
     words = {tuple(ids[a:b]) for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)}
     assert len(words) > 8
-
-
-def test_trees_and_agenda_agree(vocabulary, monkeypatch):
-    """Each occurrence ends where the agenda ends with its key, also when trees are dropped."""
-    words = sorted({" " + w for w in prose(6, 120).split()} | {" international", " a", "xyxyxyxyxyxyxyxyxyxyxy", "  q"})
-    sequence = np.arange(4000) % len(words)
-    keys = pieces.mix(np.arange(4000, dtype=np.uint64))
-    limit = int(0.3 * 2**53)
-    expected = [vocabulary.merge_word(vocabulary.chars[np.frombuffer(
-        words[w].encode("utf-32-le"), np.uint32)].tolist(), int(k), limit) for w, k in zip(sequence, keys)]
-    for rows, nodes in ((32_768, 1 << 18), (97, 500)):
-        monkeypatch.setattr(pieces, "LOCKSTEP_ROWS", rows)
-        monkeypatch.setattr(pieces, "TREE_NODES", nodes)
-        ids, begins = vocabulary.encode_words(words, sequence, keys, 0.3)
-        got = [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])]
-        assert got == expected
