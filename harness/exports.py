@@ -215,7 +215,13 @@ ANALYTICS_NESTED = {
     "user_properties": _entries(_entry("ob_ui_dark_mode", "string_value", "dark_mode")),
     "table_suffix": "table_suffix",
 }
-NO_LIST = "CAST(array() AS array<string>)"
+
+
+def _list_of(when: str, fields: dict[str, str], types: str) -> str:
+    """A list of one record, or an empty one."""
+    return f"if({when}, array({struct(fields)}), CAST(array() AS array<struct<{types}>>))"
+
+
 CRASH_NESTED = {
     "event_timestamp": "timestamp(event_ts)",
     "received_timestamp": "timestamp(received_ts)",
@@ -243,12 +249,25 @@ CRASH_NESTED = {
     "custom_keys": _entries(_crash_key("fb_user_pseudo_id", "key_pseudo_id"),
                             _crash_key("app_user_id", "key_user_id"),
                             _crash_key("call_state", "call_state")),
-    "logs": NO_LIST,
-    "breadcrumbs": NO_LIST,
-    "blame_frame": TEXT,
-    "exceptions": NO_LIST,
-    "errors": NO_LIST,
-    "threads": NO_LIST,
+    "logs": _list_of("source_id % 2 = 0", {"timestamp": "timestamp(event_ts)", "message": "concat('log ', event_id)"},
+                     "timestamp:timestamp,message:string"),
+    "breadcrumbs": _list_of("source_id % 3 = 0", {
+        "timestamp": "timestamp(received_ts)", "name": "concat('crumb', variant_id)",
+        "params": f"array({struct({'key': repr('id'), 'value': 'event_id'})})"},
+        "timestamp:timestamp,name:string,params:array<struct<key:string,value:string>>"),
+    "blame_frame": struct({"line": "source_id % 100", "file": "concat('file', variant_id)", "symbol": TEXT,
+                           "library": "'app'", "owner": "'DEVELOPER'", "blamed": "source_id % 2 = 1"}),
+    "exceptions": _list_of("error_type = 'NON_FATAL'", {
+        "type": "'Broken'", "exception_message": "concat('broke ', event_id)", "nested": "false", "title": TEXT,
+        "subtitle": TEXT, "blamed": "true"},
+        "type:string,exception_message:string,nested:boolean,title:string,subtitle:string,blamed:boolean"),
+    "errors": _list_of("error_type = 'ANR'", {
+        "queue": "'main'", "code": "source_id % 7", "title": "'slow'", "subtitle": TEXT, "blamed": "false"},
+        "queue:string,code:bigint,title:string,subtitle:string,blamed:boolean"),
+    "threads": _list_of("error_type = 'FATAL'", {
+        "crashed": "true", "thread_name": "concat('thread', variant_id)", "queue_name": TEXT, "title": TEXT,
+        "subtitle": TEXT, "blamed": "true"},
+        "crashed:boolean,thread_name:string,queue_name:string,title:string,subtitle:string,blamed:boolean"),
     "unity_metadata": struct({c: c for c in ("unity_version", "processor_count",
                                              "processor_frequency_mhz")}),
     "table_suffix": "table_suffix",

@@ -8,7 +8,7 @@ formulations are checked against them.
 from __future__ import annotations
 
 from harness.exports import ANALYTICS_FLAT, COUNTRIES, CRASH_FLAT, LANGUAGES
-from harness.queries import NAMES, PROFILE_DAY
+from harness.queries import BUILT, NAMES, PROFILE_DAY
 from harness.settings import FIRST_WEEK, TRAILING
 from pulsegrain import fixed_values as fv
 
@@ -135,6 +135,23 @@ USER_PROPERTIES = """
   dark_mode AS user_properties_ob_ui_dark_mode_string,
   CAST(NULL AS VARCHAR) AS user_properties_ob_ui_font_size_string"""
 
+
+
+def entries(*pairs: tuple[str, str, str]) -> str:
+    """Key/value entries of those columns that have a value, as JSON text."""
+    kinds = {"string_value": "VARCHAR", "int_value": "BIGINT", "double_value": "DOUBLE"}
+    made = ", ".join(
+        f"CASE WHEN {column} IS NOT NULL THEN {{'key': '{key}', 'value': {{"
+        + ", ".join(f"'{k}': CAST({column if k == kind else 'NULL'} AS {t})" for k, t in kinds.items()) + "}} END"
+        for key, kind, column in pairs)
+    return f"CAST(to_json(list_filter([{made}], lambda x: x IS NOT NULL)) AS VARCHAR)"
+
+
+EVENT_ENTRIES = entries(("view_name", "string_value", "view_name"), ("view_type", "string_value", "view_type"),
+                        ("status_code", "int_value", "status_code"), ("quantity", "int_value", "quantity"),
+                        ("price", "double_value", "price"))
+USER_ENTRIES = entries(("ob_ui_dark_mode", "string_value", "dark_mode"))
+
 RAW = f"""
 export AS ({EXPORT}), {SEEDS},
 survivor AS (
@@ -149,6 +166,7 @@ raw AS (
   {version_columns('app_version', 'app_version', 'app_version')},
   {version_columns('platform_version', 'os_version', OS_BARE)},
   {USER_PROPERTIES}, {EVENT_PARAMETERS},
+  {USER_ENTRIES} AS user_properties_raw, {EVENT_ENTRIES} AS event_parameters_raw,
   city AS geo_city, x.country AS geo_country_firebase_value, g.name AS geo_iso_country_name,
   g.alpha_2 AS geo_iso_country_alpha_2, 'Europe' AS geo_continent,
   CAST(NULL AS VARCHAR) AS geo_subcontinent, CAST(NULL AS VARCHAR) AS geo_region,
@@ -227,6 +245,7 @@ STRUCT_FIELDS = [
     *[f"app_version_{f}" for f in VERSION], *[f"platform_version_{f}" for f in VERSION],
     "user_properties_ob_ui_dark_mode_string", "user_properties_ob_ui_font_size_string",
     *PARAMETERS, "event_parameters_quantity_int", "event_parameters_price_double",
+    "user_properties_raw", "event_parameters_raw",
     *[f"geo_{f}" for f in ("city", "country_firebase_value", "iso_country_name",
                            "iso_country_alpha_2", "continent", "subcontinent", "region",
                            "metro")],
@@ -293,6 +312,28 @@ UNITY = ", ".join(
 NO_TEXT = "CAST(NULL AS VARCHAR)"
 CRASH_PLATFORM = ("CASE WHEN table_suffix LIKE '%ANDROID%' THEN 'ANDROID' "
                   "WHEN table_suffix LIKE '%IOS%' THEN 'IOS' ELSE 'UNKNOWN' END")
+def one_record(when: str, record: str) -> str:
+    return f"CASE WHEN {when} THEN CAST(to_json([{record}]) AS VARCHAR) ELSE '[]' END"
+
+
+CRASH_ENTRIES = "CAST(to_json(list_filter([" + ", ".join(
+    f"CASE WHEN {column} IS NOT NULL THEN {{'key': '{key}', 'value': {column}}} END" for key, column in (
+        ("fb_user_pseudo_id", "key_pseudo_id"), ("app_user_id", "key_user_id"), ("call_state", "call_state"))) \
+    + "], lambda x: x IS NOT NULL)) AS VARCHAR)"
+CRASH_LISTS = {
+    "logs": one_record("source_id % 2 = 0", "{'timestamp': epoch_us(event_ts), 'message': 'log ' || event_id}"),
+    "breadcrumbs": one_record("source_id % 3 = 0", "{'timestamp': epoch_us(received_ts), 'name': 'crumb' || variant_id, "
+                              "'params': [{'key': 'id', 'value': event_id}]}"),
+    "exceptions": one_record("error_type = 'NON_FATAL'", "{'type': 'Broken', 'exception_message': 'broke ' || event_id, "
+                             "'nested': false, 'title': NULL, 'subtitle': NULL, 'blamed': true}"),
+    "errors": one_record("error_type = 'ANR'", "{'queue': 'main', 'code': source_id % 7, 'title': 'slow', "
+                         "'subtitle': NULL, 'blamed': false}"),
+    "threads": one_record("error_type = 'FATAL'", "{'crashed': true, 'thread_name': 'thread' || variant_id, "
+                          "'queue_name': NULL, 'title': NULL, 'subtitle': NULL, 'blamed': true}"),
+}
+BLAME = f"""source_id % 100 AS blame_frame_line, 'file' || variant_id AS blame_frame_file,
+  {NO_TEXT} AS blame_frame_symbol, 'app' AS blame_frame_library, 'DEVELOPER' AS blame_frame_owner,
+  source_id % 2 = 1 AS blame_frame_blamed"""
 CRASH_RAW = f"""
 crash_export AS ({CRASHES}),
 crash_survivor AS (
@@ -319,7 +360,10 @@ crash_raw AS (
   source_id AS memory_used_bytes, CAST(7 AS BIGINT) AS memory_free_bytes,
   source_id AS storage_used_bytes, CAST(9 AS BIGINT) AS storage_free_bytes,
   {NO_TEXT} AS user_name, {NO_TEXT} AS user_email, '18.2' AS crashlytics_sdk_version_string,
-  {UNITY.format(p='unity_metadata')}, duplicates_cnt
+  {UNITY.format(p='unity_metadata')}, {CRASH_ENTRIES} AS custom_keys_raw, {BLAME},
+  {CRASH_LISTS['logs']} AS logs, {CRASH_LISTS['breadcrumbs']} AS breadcrumbs,
+  {CRASH_LISTS['exceptions']} AS android_exceptions, {CRASH_LISTS['errors']} AS ios_non_fatal,
+  {CRASH_LISTS['threads']} AS threads, duplicates_cnt
   FROM crash_survivor
 )"""
 CRASH_DIMS = [
@@ -405,6 +449,59 @@ PROFILED = ["event_dates_minus_12", "event_dates_plus_12", "install_dates_minus_
             "install_dates_plus_12", *[d for d in DIMS if d != "reverse_app_id"]]
 
 
+EXPORT_ROW = f"""epoch_us(event_ts) AS event_timestamp, epoch_us(install_ts) AS user_first_touch_timestamp,
+  epoch_us(previous_ts) AS event_previous_timestamp, event_bundle_sequence_id, event_name, platform, user_pseudo_id,
+  user_id, upper('stream-' || platform) AS stream_id, app_id AS app_info_id, app_version AS app_info_version,
+  install_source AS app_info_install_source, '1:' || upper(app_id) AS app_info_firebase_app_id,
+  device_type AS device_category, device_brand AS device_mobile_brand_name,
+  device_os_model AS device_mobile_model_name, {NO_TEXT} AS device_mobile_marketing_name,
+  device_os_model AS device_mobile_os_hardware_model, os_name AS device_operating_system,
+  os_version AS device_operating_system_version, language AS device_language, advertising_id AS device_advertising_id,
+  CAST(tz_offset_s AS BIGINT) AS device_time_zone_offset_seconds, city AS geo_city, country AS geo_country,
+  'Europe' AS geo_continent, {NO_TEXT} AS geo_sub_continent, {NO_TEXT} AS geo_region, {NO_TEXT} AS geo_metro,
+  {NO_TEXT} AS traffic_source_name, traffic_medium AS traffic_source_medium, {NO_TEXT} AS traffic_source_source,
+  price AS user_ltv_revenue, 'EUR' AS user_ltv_currency, {EVENT_ENTRIES} AS event_params,
+  {USER_ENTRIES} AS user_properties, table_suffix"""
+
+
+def crash_export_row(unity: str) -> str:
+    return f"""epoch_us(event_ts) AS event_timestamp, epoch_us(received_ts) AS received_timestamp, installation_uuid,
+  event_id, variant_id, app_id AS bundle_identifier, 'issue' || variant_id AS issue_id, {NO_TEXT} AS issue_title,
+  {NO_TEXT} AS issue_subtitle, error_type, process_state, 'PORTRAIT' AS app_orientation,
+  {NO_TEXT} AS device_orientation, '18.2' AS crashlytics_sdk_version, app_version AS application_display_version,
+  variant_id AS application_build_version, os_version AS operating_system_display_version,
+  {NO_TEXT} AS operating_system_name, 'UNMODIFIED' AS operating_system_modification_state,
+  device_type AS operating_system_device_type, device_brand AS device_manufacturer,
+  device_os_model AS device_model, 'arm64' AS device_architecture, source_id AS memory_used,
+  CAST(7 AS BIGINT) AS memory_free, source_id AS storage_used, CAST(9 AS BIGINT) AS storage_free,
+  report_user_id AS user_id, {NO_TEXT} AS user_name, {NO_TEXT} AS user_email, {CRASH_ENTRIES} AS custom_keys,
+  {BLAME}, {', '.join(f'{value} AS {column}' for column, value in CRASH_LISTS.items())}, {unity}, table_suffix"""
+
+
+UNITY_GIVEN = ("unity_version", "processor_count", "processor_frequency_mhz")
+UNITY_READ = ", ".join(
+    f"CAST({column if column in UNITY_GIVEN else 'NULL'} AS {'VARCHAR' if kind == 'string' else kind.upper()}) "
+    f"AS unity_metadata_{column}" for column, kind, filled in fv.UNITY_METADATA if filled)
+
+
+def built() -> str:
+    """Rows and two measures by day of every table of a build."""
+    sources = {
+        "events_raw": "raw", "crash_events_raw": "crash_raw", "events": "events_rollup", "events_forced_nulls": "forced",
+        "crash_events": "crash_rollup", "installs": "installs_rollup", "events_wid": "wid",
+        "events_wid_forced_nulls": "wid_forced", "installs_raw": "installs_raw", "app_health": "joined",
+        "errors": "(SELECT * FROM events_rollup WHERE event_name LIKE 'error_%' OR event_name LIKE 'ob_error_%')",
+        "ui": f"(SELECT * FROM events_rollup WHERE {UI} UNION ALL SELECT * FROM forced WHERE {UI})",
+        "ui_wid": f"(SELECT * FROM wid WHERE {UI} UNION ALL SELECT * FROM wid_forced WHERE {UI})",
+        "events_count": "(SELECT event_date, platform, user_id, count(*) AS user_engagement FROM raw "
+                        "WHERE event_name = 'user_engagement' GROUP BY ALL)",
+    }
+    return f"""WITH {HEALTH}, wid AS ({cohort(False)}), wid_forced AS ({cohort(True)}) """ + " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {TEXT_DAY}, count(*) AS n_rows, CAST({first} AS BIGINT) AS first_measure, "
+        f"CAST({second} AS BIGINT) AS second_measure FROM {sources[table]} AS t GROUP BY t.event_date"
+        for table, (first, second) in BUILT.items())
+
+
 def with_export(select: str, more: str = "") -> str:
     return f"WITH export AS ({EXPORT}){more} {select}"
 
@@ -462,9 +559,7 @@ def oracle() -> dict[str, str]:
             f"{rows} lower(CASE WHEN length(advertising_id) > 0 THEN advertising_id END) "
             "AS advertising_id FROM export"),
         "crash_shard_scan":
-            f"WITH crash_export AS ({CRASHES}) SELECT table_suffix, count(*) AS cnt, "
-            "count(DISTINCT installation_uuid) AS users, epoch_us(max(event_ts)) AS last_crash "
-            "FROM crash_export GROUP BY 1",
+            f"WITH crash_export AS ({CRASHES}) SELECT {crash_export_row(UNITY_READ)} FROM crash_export",
         "crash_trailing_window":
             f"WITH crash_export AS ({CRASHES}), kept AS (SELECT * FROM crash_export "
             f"WHERE event_ts BETWEEN DATE '{crash.start}' AND DATE '{crash.end}' "
@@ -476,8 +571,7 @@ def oracle() -> dict[str, str]:
             f"r.alpha_2 AS iso_language_country_alpha_2 FROM export x {GEO_JOINS}",
         "platform_expression": f"WITH {RAW} SELECT CASE WHEN app_version LIKE '1%' THEN 'one' "
             "ELSE lower(platform) END AS platform, count(*) AS cnt FROM survivor GROUP BY 1",
-        "whole_build": f"WITH {RAW} SELECT CAST(event_date AS VARCHAR) AS event_date, platform, "
-            "count(*) AS cnt FROM raw GROUP BY 1, 2",
+        "whole_build": built(),
         "platform_from_suffix":
             f"WITH crash_export AS ({CRASHES}) SELECT event_id, copy_no, table_suffix, "
             f"{CRASH_PLATFORM} AS platform FROM crash_export",
@@ -511,13 +605,10 @@ def oracle() -> dict[str, str]:
             "l.alpha_2 AS iso_language_alpha_2, r.alpha_2 AS iso_language_country_alpha_2 "
             f"FROM export x {GEO_JOINS}", f", {SEEDS}"),
         "dedup_events": with_export(
-            f"""SELECT user_pseudo_id, event_bundle_sequence_id, event_name,
-            epoch_us(event_ts) AS event_timestamp, epoch_us(previous_ts) AS
-            event_previous_timestamp, table_suffix, user_id,
-            count(*) OVER (PARTITION BY {COPY_KEYS}) AS duplicates_cnt FROM export
+            f"""SELECT {EXPORT_ROW}, count(*) OVER (PARTITION BY {COPY_KEYS}) AS duplicates_cnt FROM export
             QUALIFY row_number() OVER (PARTITION BY {COPY_KEYS} ORDER BY table_suffix) = 1"""),
-        "dedup_crashes": f"""WITH crash_export AS ({CRASHES})
-            SELECT {CRASH_KEYS}, epoch_us(received_ts) AS received_timestamp, error_type,
+        "dedup_crashes": f"""WITH crash_export AS ({CRASHES}) SELECT
+            {crash_export_row(', '.join(f'{c} AS unity_metadata_{c}' for c in UNITY_GIVEN))},
             count(*) OVER (PARTITION BY {CRASH_KEYS}) AS duplicates_cnt FROM crash_export
             QUALIFY row_number() OVER (PARTITION BY {CRASH_KEYS} ORDER BY received_ts) = 1""",
         "window_filter": with_export(

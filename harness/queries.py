@@ -20,7 +20,7 @@ from pulsegrain import fixed_values as fv
 from pulsegrain.config import ANALYTICS_TYPES, CRASH_TYPES
 from pulsegrain.functions import text, times, versions
 from pulsegrain.functions.params import key_value, with_parameter_struct
-from pulsegrain.functions.sqltext import expressions
+from pulsegrain.functions.sqltext import expressions, name, struct
 from pulsegrain.operators.dedup import keep_one_copy
 from pulsegrain.operators.dims import (
     aligned_struct, dimension_columns, flat_columns, pack)
@@ -41,8 +41,17 @@ PROFILE_DAY = dt.date(2024, 1, 10)
 NAMES = ("first_open", "user_engagement", "LIKE 'error_%'", "like 'ui_view%'")
 
 
+def _as_json(value: str, kind: T.DataType) -> str:
+    """A value with instants as microseconds, as they are compared."""
+    if isinstance(kind, T.ArrayType):
+        return f"transform({value}, x -> {_as_json('x', kind.elementType)})"
+    if isinstance(kind, T.StructType):
+        return struct({f.name: _as_json(f"{value}.{name(f.name)}", f.dataType) for f in kind.fields})
+    return f"unix_micros({value})" if isinstance(kind, T.TimestampType) else value
+
+
 def plain(df: DataFrame) -> DataFrame:
-    """Flat scalar columns only: days as text, instants as microseconds."""
+    """Flat scalar columns: days as text, instants as microseconds, lists as JSON text."""
     types = {}
     for field in df.schema.fields:
         inner = field.dataType
@@ -56,8 +65,9 @@ def plain(df: DataFrame) -> DataFrame:
             value = f"string({value})"
         elif isinstance(types[column], T.TimestampType):
             value = f"unix_micros({value})"
-        if not isinstance(types[column], T.ArrayType):
-            columns[column] = value
+        elif isinstance(types[column], T.ArrayType):
+            value = f"to_json({_as_json(value, types[column])}, map('ignoreNullFields', 'false'))"
+        columns[column] = value
     return df.selectExpr(*expressions(columns))
 
 
@@ -255,16 +265,12 @@ def language_lookup(spark, sf_dir):
 
 @registered
 def dedup_events(spark, sf_dir):
-    rows = exports.analytics_export(spark, sf_dir).select(*fv.EVENT_COPY_KEYS, "table_suffix",
-                                                          "user_id")
-    return keep_one_copy(rows, fv.EVENT_COPY_KEYS, ["table_suffix"])
+    return keep_one_copy(exports.analytics_export(spark, sf_dir), fv.EVENT_COPY_KEYS, ["table_suffix"])
 
 
 @registered
 def dedup_crashes(spark, sf_dir):
-    rows = exports.crash_export(spark, sf_dir).select(*fv.CRASH_COPY_KEYS, "received_timestamp",
-                                                      "error_type")
-    return keep_one_copy(rows, fv.CRASH_COPY_KEYS, ["received_timestamp"])
+    return keep_one_copy(exports.crash_export(spark, sf_dir), fv.CRASH_COPY_KEYS, ["received_timestamp"])
 
 
 # Windows, shards, writes.
@@ -306,14 +312,10 @@ def shard_scan(spark, sf_dir):
 def crash_shard_scan(spark, sf_dir):
     """Write the crash feed as one folder per shard, then read all of them."""
     root = scratch_path(spark, "crash_shards")
-    # Lists that are always empty here have no type to be written with.
-    lists = ("logs", "breadcrumbs", "blame_frame", "exceptions", "errors", "threads")
-    (exports.crash_export(spark, sf_dir).drop(*lists)
+    (exports.crash_export(spark, sf_dir)
      .withColumnRenamed("table_suffix", "shard").write.partitionBy("shard").parquet(root))
     run = Run(type(SETTINGS)(crash_source=root, crash_shards="shard=*"), TRAILING.run_date)
-    return scan_crashes(spark, run).groupBy("table_suffix").agg(
-        F.count(F.lit(1)).alias("cnt"), F.countDistinct("installation_uuid").alias("users"),
-        F.max("event_timestamp").alias("last_crash"))
+    return scan_crashes(spark, run)
 
 
 @registered
@@ -396,13 +398,30 @@ def platform_expression(spark, sf_dir):
     return raw.groupBy("platform").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+# Tables of a build, with two measures of each.
+BUILT = {
+    "events_raw": ("sum(duplicates_cnt)", "count(DISTINCT user_pseudo_id)"),
+    "crash_events_raw": ("sum(duplicates_cnt)", "count(DISTINCT crashlytics_user_pseudo_id)"),
+    **{t: ("sum(cnt)", "sum(users)") for t in (
+        "events", "events_forced_nulls", "crash_events", "installs", "events_wid", "events_wid_forced_nulls",
+        "errors", "ui", "ui_wid")},
+    "events_count": ("sum(user_engagement)", "count(DISTINCT user_id)"),
+    "installs_raw": ("sum(install_age)", "count(DISTINCT user_pseudo_id)"),
+    "app_health": ("sum(installs)", "sum(crashlytics_all_errors_cnt)"),
+}
+
+
 @registered
 def whole_build(spark, sf_dir):
-    """Every table built and written, read from the last ones."""
+    """Every table built and written, and each of them read again."""
     w = build_all(spark, scratch_path(spark, "warehouse"), WHOLE, exports.lookups(spark),
                   lambda session, run: exports.analytics_export(session, sf_dir),
                   lambda session, run: exports.crash_export(session, sf_dir))
-    return w.read("events").groupBy("event_date", "platform").agg(F.sum("cnt").alias("cnt"))
+    days = [w.read(table, WHOLE.crash() if table.startswith("crash") else None)
+            .groupBy(F.lit(table).alias("table_name"), "event_date")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.expr(first).alias("first_measure"),
+                 F.expr(second).alias("second_measure")) for table, (first, second) in BUILT.items()]
+    return functools.reduce(DataFrame.unionByName, days)
 
 
 @registered
@@ -492,7 +511,7 @@ def ui_union_cohort(spark, sf_dir):
 
 @registered
 def crash_events_raw(spark, sf_dir):
-    return crash_raw_of(spark, sf_dir).drop("blame_frame")
+    return crash_raw_of(spark, sf_dir)
 
 
 @registered
