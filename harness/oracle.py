@@ -11,6 +11,7 @@ from harness.exports import ANALYTICS_FLAT, COUNTRIES, CRASH_FLAT, LANGUAGES
 from harness.queries import BUILT, NAMES, PROFILE_DAY
 from harness.settings import FIRST_WEEK, TRAILING
 from pulsegrain import fixed_values as fv
+from pulsegrain.sources.comments import EVENTS_RAW
 
 EXPORT = ANALYTICS_FLAT.replace("{events}", "events")
 CRASHES = CRASH_FLAT.replace("{events}", "events")
@@ -256,7 +257,7 @@ STRUCT_FIELDS = [
 ]
 
 
-def installs(start: str, end: str, lookback: int) -> str:
+def installs(start: str, end: str, lookback: int, custom: str = "attributed_first_open") -> str:
     """The chain of outer joins, each against the any-event row's user."""
     first = ("QUALIFY row_number() OVER (PARTITION BY user_pseudo_id ORDER BY event_ts) = 1")
     scope = f"event_date BETWEEN DATE '{start}' - {lookback} AND DATE '{end}'"
@@ -270,7 +271,7 @@ def installs(start: str, end: str, lookback: int) -> str:
         f"CASE WHEN c.event_ts IS NOT NULL THEN c.{s} WHEN o.event_ts IS NOT NULL THEN o.{s} "
         f"WHEN f.event_ts IS NOT NULL THEN f.{s} ELSE a.{s} END AS {s}" for s in STRUCT_FIELDS)
     return f"""
-c AS ({kind('attributed_first_open')}), o AS ({kind('ob_first_open')}),
+c AS ({kind(custom)}), o AS ({kind('ob_first_open')}),
 f AS ({kind('first_open')}), a AS (SELECT * FROM raw WHERE {near} {first}),
 known AS (SELECT user_pseudo_id, user_id FROM raw WHERE user_id IS NOT NULL AND {scope} {first}),
 picked AS (
@@ -525,6 +526,10 @@ def shard_window() -> str:
             f"AND '{window.end:%Y%m%d}'")
 
 
+# Columns of the event table that are no record and no list.
+FLAT = (*SCALARS, "user_id", "duplicates_cnt")
+
+
 def oracle() -> dict[str, str]:
     window, week, crash = TRAILING.analytics(), FIRST_WEEK.analytics(), TRAILING.crash()
     exact = ", ".join(f"'{n}'" for n in NAMES if not n.lower().startswith("like "))
@@ -673,6 +678,24 @@ def oracle() -> dict[str, str]:
         "health_join": f"WITH {HEALTH} SELECT {DAY_OUT} FROM joined",
         "app_health_table": f"WITH {HEALTH} {HEALTH_OUT}",
         "app_health_merged_keys": f"WITH {HEALTH_MERGED} {HEALTH_OUT}",
+        "install_without_custom_event":
+            f"WITH {RAW}, {installs('2023-12-01', '2024-02-06', 0, custom='')} SELECT {RAW_OUT} FROM installs_raw",
+        "health_without_forced_measures":
+            "WITH " + HEALTH.replace("FROM forced WHERE event_name = 'ui_view_shown'", "FROM forced WHERE false")
+            + f" SELECT * EXCLUDE (view_zero_cnt, view_zero_users) REPLACE ({TEXT_DAY}) FROM joined",
+        "day_filter_required": f"""WITH {RAW} SELECT CAST(event_date AS VARCHAR) AS event_date, count(*) AS cnt,
+            true AS refused FROM raw WHERE event_date BETWEEN DATE '{week.start}' AND DATE '{week.end}'
+            GROUP BY raw.event_date""",
+        "commented_columns": f"WITH {RAW} " + " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count({c if c in FLAT else '*'}) AS n_values, "
+            f"'{text.replace(chr(39), chr(39) * 2)}' AS description FROM raw"
+            for c, text in EVENTS_RAW.items() if "." not in c),
+        "version_kinds": with_export(
+            f"{rows} {part('app_version', 1)} AS as_major, {part('app_version', 2)} AS as_minor, "
+            f"{part('app_version', 3)} AS as_bugfix, {major_minor('app_version')} AS as_major_minor, "
+            f"{clean('app_version')} AS as_major_minor_bugfix, {normalized('app_version')} AS as_normalized, "
+            "true AS refused FROM export"),
+        "mandatory_settings": f"WITH {RAW} SELECT platform, count(*) AS cnt, 4 AS refused FROM raw GROUP BY 1",
         "dimension_cardinality": f"WITH {RAW} " + " UNION ALL ".join(
             f"SELECT '{d}' AS dim_name, count(DISTINCT {d}) AS dist_cnt FROM raw "
             f"WHERE event_date = DATE '{PROFILE_DAY}'" for d in PROFILED),

@@ -29,6 +29,7 @@ from pulsegrain.plans import app_health, checks, crash_raw, usage
 from pulsegrain.plans import events_raw as raw_plan
 from pulsegrain.plans import installs as install_plan
 from pulsegrain.plans.build import build_all
+from pulsegrain.sources.comments import EVENTS_RAW, with_comments
 from pulsegrain.sources.exports import ANALYTICS_EXPORT, scan_analytics, scan_crashes
 from pulsegrain.sources.scratch import scratch_path
 from pulsegrain.sources.seeds import COUNTRY, LANGUAGE, read_lookups
@@ -550,6 +551,79 @@ def app_health_merged_keys(spark, sf_dir):
     return app_health.build_app_health(*_health_inputs(spark, sf_dir), WHOLE, merge_keys=True)
 
 
+# Branches that are never taken, and what is refused.
+
+def _refused(attempt: Callable[[], object]) -> bool:
+    try:
+        attempt()
+    except ValueError:
+        return True
+    return False
+
+
+@registered
+def install_without_custom_event(spark, sf_dir):
+    """No event of the app stands for an install: its branch is none."""
+    settings = dataclasses.replace(SETTINGS, custom_install_event=None)
+    run = Run(settings, WHOLE.run_date, incremental=False)
+    return install_plan.build_installs_raw(events_raw_of(spark, sf_dir), run)
+
+
+@registered
+def health_without_forced_measures(spark, sf_dir):
+    """No measure reads the collapsed rollup: it adds no keys."""
+    kept = tuple(m for m in SETTINGS.custom_measures if m.get("model") != "analytics_forced_nulls")
+    run = Run(dataclasses.replace(SETTINGS, custom_measures=kept), WHOLE.run_date, incremental=False)
+    return app_health.combine(app_health.health_inputs(*_health_inputs(spark, sf_dir), run))
+
+
+@registered
+def day_filter_required(spark, sf_dir):
+    """A written table cannot be read without its days."""
+    path = scratch_path(spark, "filtered")
+    write_days(events_raw_of(spark, sf_dir, in_file_order=True), path, in_place=True)
+    days = FIRST_WEEK.analytics()
+    refused = [_refused(lambda a=a, b=b: read_days(spark, path, a, b))
+               for a, b in ((None, days.end), (days.start, None), (None, None))]
+    return (read_days(spark, path, days.start, days.end).groupBy("event_date")
+            .agg(F.count(F.lit(1)).alias("cnt")).withColumn("refused", F.lit(all(refused))))
+
+
+@registered
+def commented_columns(spark, sf_dir):
+    """Descriptions of a written table's columns, with how many rows have a value."""
+    path = scratch_path(spark, "commented")
+    raw = with_comments(events_raw_of(spark, sf_dir, in_file_order=True), EVENTS_RAW)
+    write_days(raw, path, in_place=True)
+    stored = read_days(spark, path, WHOLE.analytics().start, WHOLE.analytics().end)
+    columns = [f.name for f in stored.schema.fields if "comment" in f.metadata]
+    counts = stored.agg(*[F.count(name(c)).alias(c) for c in columns])
+    counts = counts.unpivot([], columns, "column_name", "n_values")
+    comment = F.create_map(*[F.lit(x) for c in columns for x in (c, stored.schema[c].metadata["comment"])])
+    return counts.withColumn("description", comment[F.col("column_name")])
+
+
+@registered
+def version_kinds(spark, sf_dir):
+    """A version in each form it can be asked for, and in one that it cannot."""
+    refused = _refused(lambda: versions.version_as("app_version", "codename"))
+    return identified(exports.analytics_flat(spark, sf_dir), {
+        **{f"as_{kind.replace('.', '_')}": versions.version_as("app_version", kind) for kind in versions.KINDS},
+        "refused": str(refused).lower()})
+
+
+@registered
+def mandatory_settings(spark, sf_dir):
+    """Events by platform, and whether a build without the mandatory settings is refused."""
+    unset = {"project": "", "analytics_source": "", "analytics_start": fv.FULL_REFRESH_START,
+             "crash_start": fv.FULL_REFRESH_START}
+    refused = [_refused(dataclasses.replace(SETTINGS, **{k: v}).require_mandatory) for k, v in unset.items()]
+    SETTINGS.require_mandatory()
+    raw = events_raw_of(spark, sf_dir)
+    return (raw.groupBy("platform").agg(F.count(F.lit(1)).alias("cnt"))
+            .withColumn("refused", F.lit(sum(refused))))
+
+
 # Checks.
 
 @registered

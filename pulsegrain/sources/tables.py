@@ -163,7 +163,11 @@ def read_days(spark: SparkSession, path: str, start: dt.date | None, end: dt.dat
         return spark.createDataFrame([], shape)
     rows = (spark.read.format(manifest.table_format).option("basePath", path)
             .schema(shape).load(wanted).where(in_window))
-    return rows.drop(COMMIT) if COMMIT not in shape.names else rows
+    if COMMIT not in shape.names:
+        rows = rows.drop(COMMIT)
+    # What a partition column says about itself is not in its files.
+    about = shape[DAY].metadata if DAY in shape.names else None
+    return rows.withMetadata(DAY, about) if about else rows
 
 
 def remove_unused(spark: SparkSession, path: str, keep: int = 2,
