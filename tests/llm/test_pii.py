@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 from pulsegrain.llm.pii import masked, pii_report, reliabilities
 from tests.llm.cases import clashing, frame, hard_documents, nothing, prose
@@ -73,6 +74,54 @@ def test_masked_text_has_none_left(spark):
     assert not re.search("AKIA|password=[0-9a-f]", " ".join(r.text or "" for r in texts.values()))
 
 
+def brute_mask(text: str, spans: list[tuple[int, int, str]]) -> str:
+    out, pos = [], 0
+    for i, (start, end, kind) in enumerate(spans):
+        if i == 0 or start >= pos:
+            out += [text[pos:start], f"[{kind.upper()}]"]
+        pos = max(pos, end)
+    return "".join(out) + text[pos:]
+
+
+def test_masking_is_exact_in_long_texts_of_any_characters(spark):
+    texts = [("é😀x" * 400 + " a.b@c.de 10.1.2.3 +49 (30) 123456789 ") * 9 + "tail", "a@b.cd" + "😀" * 5000,
+             "x" * 1023 + " q@r.st", "x" * 1024 + "q@r.st", " ".join(["1.2.3.4", "u@v.wx"] * 3000), "u@1.2.3.4 z"]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    docs = frame(spark, rows)
+    spans = {r.doc_id: [(int(a), int(b), k) for k, a, b in (s.split(":") for s in r.spans.split(",") if s)]
+             for r in pii_report(docs).collect()}
+    for r in masked(docs).collect():
+        assert r.text == brute_mask(texts[r.doc_id], spans[r.doc_id])
+        assert r.n_chars == len(r.text)
+
+
+def test_very_many_matches_in_one_text_take_seconds(spark):
+    text = "u@v.wx 1.2.3.4 password=4f9a1c77b2e04d " * 50_000
+    docs = frame(spark, [(1, text, "en", "a", len(text))], 1)
+    begin = time.time()
+    found = pii_report(docs).first()
+    assert (found.n_email, found.n_ip) == (50_000, 50_000)
+    assert found.base_sha256 == hashlib.sha256(",".join(base(text)).encode()).hexdigest()
+    assert masked(docs).first().text.startswith("[EMAIL] [IP] ")
+    assert time.time() - begin < 90
+
+
+def test_words_that_announce_a_secret(spark):
+    words = re.sub("[0-9]", "", prose(9, 400)).split()
+    filler = [f"the key {words[i]} of chapter {1000000 + i * 37} in version20{i:02d} has account holders" for i in range(80)]
+    secret = ["my password is hunter", "login pin: 4821 thanks", 'api_key = "zqk" or token: xkcdcorrecthorse',
+              "pay to DE89 3704 0044 0532 0130 00 today", "ssn 078-05-1120 on file"]
+    known = [f"password={hashlib.md5(str(i).encode()).hexdigest()} and pin: {1000 + 7 * i} or the password is {words[i]} "
+             f"and ssn {100 + i}-{10 + i % 80}-{2000 + i} kept" for i in range(80)]
+    texts = [*secret, *filler, *known]
+    found = {r.doc_id: r for r in pii_report(frame(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)])).collect()}
+    def values(i):
+        return {texts[i][int(a):int(b)] for k, a, b in (s.split(":") for s in found[i].spans.split(",") if s)}
+    got = set().union(*map(values, range(len(secret))))
+    assert got >= {"4821", "xkcdcorrecthorse"}, got
+    assert all(not found[len(secret) + i].n_added for i in range(len(filler)))
+
+
 def test_empty_table(spark):
     docs = nothing(frame(spark, documents()))
     assert pii_report(docs).count() == masked(docs).count() == 0
