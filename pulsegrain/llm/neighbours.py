@@ -6,6 +6,9 @@ TABLES tables cuts HASHES random Gaussian projections into steps of WIDTH; a vec
 bucket of a table. A query visits its own bucket and then neighbouring ones in the order of the
 estimated chance of success: the sum of squared distances to the borders that are crossed.
 
+A query that has found fewer than it can have goes on to every bucket of one table, so an answer is
+short only where there are no more vectors.
+
 The candidates of a visited bucket are scored exactly in the task of the bucket, the best of
 each visit are kept, and a query's visits are merged. Buckets of more than BLOCK vectors or
 visits are dealt out as blocks against blocks. Equal vectors are one entry that carries its
@@ -130,12 +133,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
         .where(F.col("place") <= k + 1).groupBy("hash", "vector")
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min(_norm()).alias("norm"))
         .withColumn("entry", F.col("ids")[0]), "entries")
+    # Copies beyond k + 1 of a vector can be in no answer, so these counts tell what an answer can have.
     asked = written(_usable(queries, vec_id, vector).dropDuplicates(["vec_id"])
                     .withColumn("hash", F.xxhash64("vector")), "asked")
     wanted = asked.select("hash", "vector").distinct()
-    sizes = [(r["d"], r["largest"]) for r in entries.groupBy(F.size("vector").alias("d")).agg(
-        F.max("norm").alias("largest")).collect()]
-    tables = {d: (d, largest, n_tables, n_hashes, width, seed) for d, largest in sizes}
+    sizes = [(r["d"], r["largest"], r["n"]) for r in entries.groupBy(F.size("vector").alias("d")).agg(
+        F.max("norm").alias("largest"), F.sum(F.size("ids")).alias("n")).collect()]
+    tables = {d: (d, largest, n_tables, n_hashes, width, seed) for d, largest, _ in sizes}
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = {d: _Tables(*args) for d, args in tables.items()}
@@ -177,18 +181,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
     placed = entries.select("entry", "vector", "ids").mapInArrow(
         index, f"tab int, bucket long, entry long, vector {kind}, ids array<long>")
     visits = written(wanted.mapInArrow(visit, f"tab int, bucket long, hash long, vector {kind}"), "visits")
-    # Only buckets that are visited, and how many blocks either side is dealt into.
-    key = ["tab", "bucket"]
-    sides = (placed.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_rows"))
-             .join(visits.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_visits")), key))
-    sides = written(sides, "sides")
-    blocks = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = (placed.join(sides, key).withColumn("row_block", F.pmod(F.xxhash64("entry"), "n_rows").cast("int"))
-            .withColumn("visit_block", blocks("n_visits"))
-            .select(*key, "row_block", "visit_block", "entry", "vector", "ids"))
-    right = (visits.join(sides, key).withColumn("visit_block", F.pmod("hash", "n_visits").cast("int"))
-             .withColumn("row_block", blocks("n_rows")).select(*key, "row_block", "visit_block", "hash", "vector"))
-
     def score(rows: pa.Table, visited: pa.Table) -> pa.Table:
         out = {"ids": [], "scores": []}
         if not len(rows) or not len(visited):
@@ -216,9 +208,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
         return pa.table({"hash": visited["hash"], "vector": visited["vector"],
                          "ids": _lists(out["ids"], pa.int64()), "scores": _lists(out["scores"], pa.float64())})
 
+    key = ["tab", "bucket"]
     groups = [*key, "row_block", "visit_block"]
-    found = left.groupBy(*groups).cogroup(right.groupBy(*groups)).applyInArrow(
-        score, f"hash long, vector {kind}, ids array<long>, scores array<double>")
+    blocks = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def scored(visits: DataFrame) -> DataFrame:
+        """hash, ids, scores: the best of each visit."""
+        # Only buckets that are visited, and how many blocks either side is dealt into.
+        sides = (placed.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_rows"))
+                 .join(visits.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_visits")), key))
+        sides = written(sides, "sides")
+        left = (placed.join(sides, key).withColumn("row_block", F.pmod(F.xxhash64("entry"), "n_rows").cast("int"))
+                .withColumn("visit_block", blocks("n_visits"))
+                .select(*key, "row_block", "visit_block", "entry", "vector", "ids"))
+        right = (visits.join(sides, key).withColumn("visit_block", F.pmod("hash", "n_visits").cast("int"))
+                 .withColumn("row_block", blocks("n_rows")).select(*key, "row_block", "visit_block", "hash", "vector"))
+        return left.groupBy(*groups).cogroup(right.groupBy(*groups)).applyInArrow(
+            score, f"hash long, vector {kind}, ids array<long>, scores array<double>").select("hash", "ids", "scores")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, dict[int, float]] = {}
@@ -234,8 +240,20 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
              pa.array([r[2] for r in rows], pa.list_(pa.float64()))], ["hash", "ids", "scores"])
 
-    merged = found.select("hash", "ids", "scores").repartition(partitions(spark), "hash").mapInArrow(
-        merge, "hash long, ids array<long>, scores array<double>")
+    def best(found: DataFrame) -> DataFrame:
+        return found.repartition(partitions(spark), "hash").mapInArrow(
+            merge, "hash long, ids array<long>, scores array<double>")
+
+    merged = written(best(scored(visits)), "merged")
+    # A query needs k ids beside its own, or all there are of its length.
+    most = F.create_map(*[F.lit(x) for d, _, n in sizes for x in (d, int(n))]) if sizes else F.lit(None).cast("map<int,int>")
+    have = wanted.join(merged.select("hash", F.size("ids").alias("n_found")), "hash", "left")
+    short = have.where(F.coalesce("n_found", F.lit(0)) < F.least(F.lit(k + 1), most[F.size("vector")]))
+    short = written(short.select("hash", "vector"), "short")
+    if not short.isEmpty():
+        every = placed.where("tab = 0").select(*key, F.size("vector").alias("d")).distinct()
+        more = written(short.join(every, F.size(short["vector"]) == every["d"]).select(*key, "hash", "vector"), "more")
+        merged = best(merged.unionByName(scored(more)))
     answers = (asked.select(F.col("vec_id").alias("query_id"), "hash").join(merged, "hash")
                .select("query_id", F.arrays_zip("ids", "scores").alias("found"))
                .select("query_id", F.slice(F.filter("found", lambda f: f["ids"] != F.col("query_id")), 1, k).alias("found"))

@@ -69,3 +69,21 @@ def test_probes_come_in_order_of_their_score():
     assert len({tuple(s) for s in steps}) == 27
     cost = [sum((f if x < 0 else 1 - f) ** 2 for f, x in zip(fractions, s, strict=True) if x) for s in steps]
     assert cost == sorted(cost) and cost[0] == 0
+
+
+def test_answers_are_full_with_the_registered_parameters(spark):
+    """One vector of very large norm, few rows, opposite vectors, copies: nothing is missing."""
+    random = np.random.default_rng(4)
+    many = [(i, [float(x) for x in v]) for i, v in enumerate(random.standard_normal((400, 16)).astype(np.float32))]
+    many[7] = (7, [50.0 * x for x in many[7][1]])
+    few = many[:3]
+    opposite = [(0, [1.0, 0.0, 0.5]), (1, [-1.0, 0.0, -0.5]), (20, [-1.0, 0.25, -0.5]), (3, [0.0, -1.0, 0.0])]
+    copies = [(i, [1.0, 2.0]) for i in range(50)] + [(i, [float(i), -1.0]) for i in range(60, 64)]
+    for rows in (many, few, opposite, copies):
+        df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+        found, truth = answers(nearest(df, df.where("vec_id % 20 = 0"))), exact(rows)
+        for q, nearest_found in found.items():
+            assert len(nearest_found) == min(20, len(rows) - 1), (len(rows), q)
+            if len(rows) <= 21:
+                assert nearest_found == truth[q]
+        assert set(found) == {i for i, _ in rows if i % 20 == 0}
