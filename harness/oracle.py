@@ -8,7 +8,7 @@ formulations are checked against them.
 from __future__ import annotations
 
 from harness.exports import ANALYTICS_FLAT, COUNTRIES, CRASH_FLAT, LANGUAGES
-from harness.queries import BUILT, NAMES, PROFILE_DAY
+from harness.queries import BUILT, NAMES, OVER, PROFILE_DAY
 from harness.settings import FIRST_WEEK, TRAILING
 from pulsegrain import fixed_values as fv
 from pulsegrain.sources.comments import EVENTS_RAW
@@ -699,6 +699,17 @@ def oracle() -> dict[str, str]:
         "dimension_cardinality": f"WITH {RAW} " + " UNION ALL ".join(
             f"SELECT '{d}' AS dim_name, count(DISTINCT {d}) AS dist_cnt FROM raw "
             f"WHERE event_date = DATE '{PROFILE_DAY}'" for d in PROFILED),
+        "dimensions_over_limit": f"WITH {RAW}, "
+            f"week AS (SELECT * FROM raw WHERE event_date BETWEEN DATE '{week.start}' AND DATE '{week.end}') "
+            + " UNION ALL ".join(f"SELECT '{d}' AS dim_name, count(DISTINCT {d}) > {limit} AS over, {limit} AS value_limit "
+                                 "FROM week" for d in PROFILED for limit in OVER),
+        "health_key_matches": f"WITH {HEALTH_INPUTS} " + " UNION ALL ".join(
+            f"SELECT '{source}' AS source, CAST(x.event_date AS VARCHAR) AS event_date, count(*) AS n_keys, "
+            f"count(*) FILTER (WHERE {' OR '.join(f'x.{k} IS NULL' for k in HEALTH_KEYS)}) AS n_incomplete, "
+            f"count(*) FILTER (WHERE {' AND '.join(f'x.{k} IS NOT NULL' for k in HEALTH_KEYS)} AND an.platform IS NULL) "
+            f"AS n_unmatched FROM {table} x LEFT JOIN an ON {' AND '.join(f'an.{k} = x.{k}' for k in HEALTH_KEYS)} "
+            "GROUP BY x.event_date" for source, table in (
+                ("analytics", "an"), ("analytics_forced_nulls", "fo"), ("installs", "ins"), ("crashlytics", "cr"))),
         "raw_day_counts":
             f"WITH {trailing_counts('CAST(sum(duplicates_cnt) AS BIGINT)')} "
             f"SELECT {DAY_OUT} FROM counts",

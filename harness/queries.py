@@ -39,6 +39,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 PROFILE_DAY = dt.date(2024, 1, 10)
+OVER = (2, 5, 12, 39, 40)
 NAMES = ("first_open", "user_engagement", "LIKE 'error_%'", "like 'ui_view%'")
 
 
@@ -541,6 +542,11 @@ def health_join(spark, sf_dir):
     return app_health.combine(inputs)
 
 
+@registered
+def health_key_matches(spark, sf_dir):
+    return app_health.key_matches(app_health.health_inputs(*_health_inputs(spark, sf_dir), WHOLE))
+
+
 @registered
 def app_health_table(spark, sf_dir):
     return app_health.build_app_health(*_health_inputs(spark, sf_dir), WHOLE)
@@ -631,6 +637,19 @@ def dimension_cardinality(spark, sf_dir):
     return checks.dimension_cardinality(events_raw_of(spark, sf_dir), WHOLE, PROFILE_DAY)
 
 
+@registered
+def dimensions_over_limit(spark, sf_dir):
+    """Dimensions with more distinct values than a limit, by merged sketches of the days."""
+    raw = stored_events(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    write_days(checks.profile_sketches(raw, WHOLE), path)
+    week = FIRST_WEEK.analytics()
+    kept = read_days(spark, path, week.start, week.end)
+    found = [checks.dimensions_over(raw, WHOLE, week, limit, kept).withColumn("value_limit", F.lit(limit))
+             for limit in OVER]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 @registered
 def raw_day_counts(spark, sf_dir):
     return checks.raw_counts(events_raw_of(spark, sf_dir),

@@ -95,6 +95,24 @@ def combine(inputs: dict[str, DataFrame], merge_keys: bool = False) -> DataFrame
         for source, names in columns.items() for c in names])
 
 
+def key_matches(inputs: dict[str, DataFrame]) -> DataFrame:
+    """source, event_date, n_keys, n_incomplete, n_unmatched: keys that :func:`combine` leaves alone.
+
+    Incomplete keys have a NULL part and match nothing; unmatched ones are complete, but usage does not have them.
+    Rows of an input that disagree with usage in one key show here before they show as extra rows of the
+    table. Only the keys are read, and grouped once.
+    """
+    stacked = reduce(DataFrame.unionAll, [df.selectExpr(*KEYS, f"'{source}' AS source")
+                                          for source, df in inputs.items()])
+    complete = " AND ".join(f"{key} IS NOT NULL" for key in KEYS)
+    met = stacked.groupBy(*KEYS).agg(F.collect_set("source").alias("sources"))
+    each = met.selectExpr("event_date", f"({complete}) AS complete", "explode(sources) AS source",
+                          f"array_contains(sources, '{SOURCES[0]}') AS used")
+    return each.groupBy("source", "event_date").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.count_if(F.expr("NOT complete")).alias("n_incomplete"),
+        F.count_if(F.expr("complete AND NOT used")).alias("n_unmatched"))
+
+
 def build_app_health(events: DataFrame, events_forced_nulls: DataFrame, installs: DataFrame,
                      crash_events: DataFrame, run: Run, merge_keys: bool = False) -> DataFrame:
     """The ``app_health`` table.

@@ -22,6 +22,7 @@ from harness.settings import SETTINGS
 from pulsegrain import Run, Settings
 from pulsegrain import fixed_values as fv
 from pulsegrain.plans import checks
+from pulsegrain.plans.app_health import key_matches
 from pulsegrain.plans.build import build_all
 from pulsegrain.plans.crash_raw import build_crash_events_raw
 from pulsegrain.plans.events_raw import build_events_raw
@@ -32,6 +33,7 @@ from pulsegrain.sources import tables
 from pulsegrain.sources.exports import scan_analytics, scan_crashes
 from pulsegrain.sources.seeds import read_lookups
 from pulsegrain.sources.tables import current, read_days, remove_unused, write_days
+from pulsegrain.windows import DateWindow
 from tests.conftest import SMALL
 
 DAY = dt.date(2024, 1, 10)
@@ -412,3 +414,33 @@ def test_rollups_and_cohorts_shuffle_as_little_as_possible(raw, spark, tmp_path)
     # Exact distinct users: by keys and user, then by keys.
     assert plan_of(build_events(stored, WHOLE)).count("Exchange hashpartitioning") == 2
     assert plan_of(build_installs_raw(stored, WHOLE)).count("Exchange hashpartitioning") == 1
+
+
+def test_sketches_are_close_and_decide_as_exact_counts_do(spark, raw):
+    days = DateWindow(dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    many = raw.withColumn("app_id", F.concat("user_pseudo_id", F.lit("."), F.col("event_ts").cast("string")))
+    counts = {r.dim_name: r.dist_cnt for r in many.where(days.has_date("event_date")).agg(*[
+        F.countDistinct(c).alias(c) for c in ("app_id", "event_name", "platform")]).unpivot(
+            [], ["app_id", "event_name", "platform"], "dim_name", "dist_cnt").collect()}
+    sketches = checks.profile_sketches(many, WHOLE).cache()
+    merged = sketches.where(days.has_date("event_date")).agg(*[
+        F.expr(f"hll_sketch_estimate(hll_union_agg({c}))").alias(c) for c in counts]).first()
+    assert counts["app_id"] > 500
+    assert all(abs(merged[c] - n) <= checks.SKETCH_ERROR * n + 1 for c, n in counts.items())
+    # At the very limit only an exact count can tell.
+    for limit in (counts["app_id"] - 1, counts["app_id"], 1):
+        over = {r.dim_name: r.over for r in checks.dimensions_over(many, WHOLE, days, limit, sketches).collect()}
+        assert {c: over[c] for c in counts} == {c: n > limit for c, n in counts.items()}
+
+
+def test_key_matches_tell_what_does_not_meet(spark):
+    keys = list(fv.HEALTH_DIMENSIONS)
+
+    def keyed(*rows):
+        return spark.createDataFrame([(dt.date(2024, 1, 1), *r) for r in rows], "event_date date, " + ", ".join(
+            f"{k} string" for k in keys[1:]))
+
+    full, other, gap = ("p",) * 8, ("q",) * 8, (None, *("p",) * 7)
+    found = {r.source: (r.n_keys, r.n_incomplete, r.n_unmatched) for r in key_matches({
+        "analytics": keyed(full, gap), "installs": keyed(full, other, gap), "crashlytics": keyed(other)}).collect()}
+    assert found == {"analytics": (2, 1, 0), "installs": (3, 1, 1), "crashlytics": (1, 0, 1)}
