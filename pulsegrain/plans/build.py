@@ -59,6 +59,8 @@ def build_all(spark: SparkSession, root: str, run: Run, lookups: Lookups,
     each step reads what earlier steps wrote.
     """
     run.settings.require_mandatory()
+    # A repeated code would multiply events.
+    lookups = Lookups.checked(lookups.country, lookups.language)
     w = Warehouse(tune(spark), root, run, may_erase=may_erase)
     by_event, by_app = fv.EVENT_CLUSTER_KEYS, fv.INSTALL_CLUSTER_KEYS
 

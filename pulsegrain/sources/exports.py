@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrain import fixed_values as fv
+from pulsegrain.sources.files import Files
 from pulsegrain.windows import DateWindow, Run
 
 # Input schemas. Given to the reader, so that no footers have to be merged and
@@ -85,34 +85,32 @@ def _without_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
         *schema.fields, T.StructField("table_suffix", T.StringType())]))
 
 
-def _read(spark: SparkSession, root: str, stem: str, wanted: str | None,
+def _read(spark: SparkSession, root: str, stem: str, wanted: list[str] | None,
           schema: T.StructType | str, source_format: str) -> DataFrame:
     """Read shards and add ``table_suffix``, the part of the folder name after ``stem``.
 
-    ``wanted`` is a path pattern for some shards. None of them may exist, but a
+    ``wanted`` are the folders of some shards. None of them may exist, but a
     root without any shard is an error, not an empty feed.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     reader = spark.read.format(source_format).schema(schema)
-    every = f"{root.rstrip('/')}/{stem}*"
-    try:
-        rows = reader.load(wanted or every)
-    except AnalysisException as error:
-        if wanted is None or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        reader.load(every)
-        return _without_rows(spark, schema)
+    rows = reader.load(f"{root.rstrip('/')}/{stem}*" if wanted is None else wanted)
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return rows.select(*schema.names,
-                       F.substr(folder, F.lit(len(stem) + 1)).alias("table_suffix"))
+                       F.substr(folder, F.lit(len(stem.rpartition("/")[2]) + 1)).alias("table_suffix"))
 
 
-def date_shards(root: str, stem: str, window: DateWindow) -> str:
-    """One path pattern for the daily and intraday shards of the window's days."""
-    days = [d.strftime(fv.SHARD_DATE_FORMAT) for d in window.days()]
-    names = [prefix + day for day in days for prefix in ("", fv.INTRADAY_PREFIX)]
-    return f"{root.rstrip('/')}/{stem}{{{','.join(names)}}}"
+def date_shards(spark: SparkSession, root: str, stem: str, window: DateWindow) -> tuple[list[str], bool]:
+    """Folders of the daily and intraday shards of the window's days, and whether there are any shards.
+
+    The root is listed once, whatever the length of the window.
+    """
+    inside, _, prefix = stem.rpartition("/")
+    folder = "/".join(filter(None, [root.rstrip("/"), inside]))
+    suffixes = [n.removeprefix(prefix) for n in Files(spark, folder).names(folder) if n.startswith(prefix)]
+    wanted = [f"{folder}/{prefix}{s}" for s in sorted(suffixes) if window.covers_shard(s)]
+    return wanted, bool(suffixes)
 
 
 def scan_analytics(spark: SparkSession, run: Run, extend: int = 0,
@@ -121,8 +119,11 @@ def scan_analytics(spark: SparkSession, run: Run, extend: int = 0,
     """Analytics shards of the run's days; no other folder is listed or opened."""
     settings = run.settings
     stem = _stem(settings.analytics_shards)
-    pattern = date_shards(settings.analytics_source, stem, run.shards(extend))
-    return _read(spark, settings.analytics_source, stem, pattern, schema, source_format)
+    wanted, any_shard = date_shards(spark, settings.analytics_source, stem, run.shards(extend))
+    if any_shard and not wanted:
+        return _without_rows(spark, T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+    # Without any shard the pattern is not found either: an error.
+    return _read(spark, settings.analytics_source, stem, wanted or None, schema, source_format)
 
 
 def scan_crashes(spark: SparkSession, run: Run, schema: T.StructType | str = CRASH_EXPORT,

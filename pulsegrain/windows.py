@@ -41,8 +41,10 @@ class DateWindow:
         first, last = (d.strftime(fv.SHARD_DATE_FORMAT) for d in (self.start, self.end))
         return f"replace({suffix}, '{fv.INTRADAY_PREFIX}', '') BETWEEN '{first}' AND '{last}'"
 
-    def days(self) -> list[dt.date]:
-        return [self.start + dt.timedelta(days=n) for n in range((self.end - self.start).days + 1)]
+    def covers_shard(self, suffix: str) -> bool:
+        """:meth:`has_shard` of the name of a folder."""
+        first, last = (d.strftime(fv.SHARD_DATE_FORMAT) for d in (self.start, self.end))
+        return first <= suffix.replace(fv.INTRADAY_PREFIX, "") <= last
 
 
 @dataclass(frozen=True)

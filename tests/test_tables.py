@@ -356,6 +356,13 @@ def test_build_twice_changes_nothing(spark, tmp_path):
         build_all(spark, root, Run(Settings(), DAY), lookups, analytics, crashes)
 
 
+def test_a_build_refuses_code_tables_with_a_repeated_code(spark, tmp_path):
+    lookups = exports.lookups(spark)
+    twice = type(lookups)(lookups.country.union(lookups.country.limit(1)), lookups.language)
+    with pytest.raises(ValueError, match="not unique"):
+        build_all(spark, str(tmp_path / "w"), WHOLE, twice, lambda s, _: exports.analytics_export(s, SMALL))
+
+
 def test_build_of_an_app_without_crashes_views_or_installs(spark, tmp_path):
     def analytics(session, run):
         return exports.analytics_export(session, SMALL).where(
