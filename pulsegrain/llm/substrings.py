@@ -101,7 +101,8 @@ def anchors_of(texts: Texts) -> Anchors:
         own = row[first]
         a, b = np.maximum(place - REACH, offsets[own]), np.minimum(place + WINDOW, offsets[own + 1])
         around = mix((total[b] - total[a]) * down[a] + (place - a).astype(np.uint64))
-        parts.append(Anchors(hashes[place], own + texts.first, place - offsets[own] + begin,
+        # Least hashes are small numbers; mixed again, they fall evenly into the parts.
+        parts.append(Anchors(mix(hashes[place]), own + texts.first, place - offsets[own] + begin,
                              place - last, place - first, around))
     if not parts:
         empty = np.zeros(0, np.int64)

@@ -7,8 +7,10 @@ import numpy as np
 import pytest
 
 from pulsegrain.llm import substrings
+from pulsegrain.llm.packed import part_of
 from pulsegrain.llm.substrings import without_repeats
 from pulsegrain.llm.suffix_groups import suffix_array
+from pulsegrain.llm.textarrays import Texts
 from tests.llm.cases import clashing, frame, hard_documents, nothing, prose
 
 
@@ -119,3 +121,10 @@ def test_suffix_array_is_sorted(alphabet):
     for n in range(120):
         text = random_.integers(0, alphabet, n).tolist() * (1 + n % 3)
         assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_anchors_fall_evenly_into_parts():
+    data = np.random.default_rng(7).integers(32, 127, 1 << 17, dtype=np.uint8)
+    found = substrings.anchors_of(Texts(0, data, np.array([0, len(data)])))
+    times = np.bincount(part_of(found.hashes, 16), minlength=16)
+    assert len(found.hashes) > 2000 and times.max() < 1.5 * times.mean()
