@@ -21,6 +21,7 @@ from pulsegrain.operators.dims import (
     aligned_struct, dimension_columns, flat_columns, pack, selected)
 from pulsegrain.operators.lookups import Lookups, checked_codes, with_country, with_language
 from pulsegrain.plans import app_health
+from pulsegrain.session import tune
 
 
 def rows(df):
@@ -219,3 +220,17 @@ def test_health_inputs_are_grouped_without_another_shuffle(spark):
               for s in app_health.SOURCES}
     text = app_health.combine(inputs)._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == len(inputs)
+
+
+def test_tasks_read_few_bytes_but_lower_limits_stay(spark):
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for given, wanted in (("64MB", {16 << 20, 32 << 20}), ("1g", {16 << 20, 32 << 20}), ("64k", {"64k"})):
+            for n in names:
+                spark.conf.set(n, given)
+            tune(spark)
+            assert {spark.conf.get(n) for n in names} == {str(w) for w in wanted}
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
