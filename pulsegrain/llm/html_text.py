@@ -1,12 +1,14 @@
 """Main text of web pages.
 
-The parser cuts a page into blocks and leaves out what its markup names: menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, reader comments. Where a page
-marks its article, the text is the blocks of the article. Where it does not, the rest is
-decided by nearest-URL differencing: pages of a host are sorted by URL path, each is paired
-with the nearer of its two neighbours, their lines are aligned by longest common subsequence,
-and the shared lines go. Query, fragment, a trailing slash and a .html ending do not make
-another page, and a page with the same lines as its pair is a copy of it, of which nothing goes.
+Every page goes through nearest-URL differencing: pages of a host are sorted by URL path, each
+is paired with the nearer of its two neighbours, their whole lines, those of menus and footers
+too, are aligned by longest common subsequence, and the shared lines are the template. Query,
+fragment, a trailing slash and a .html ending do not make another page, and a page whose main
+lines are those of its pair is a copy of it, of which nothing is template.
+
+The markup then checks this line by line. What it names as menu, header, footer, sidebar, notice,
+advert, form or reader comments goes, shared or not; scripts and styles are no lines at all. A shared
+line inside the page's own article stays, because two articles may share a sentence.
 
 Names of classes and ids count as wholes: a compound names a page part if all its words do, or
 describe its place. An element that holds the article or main part is a wrapper and stays, whatever its name
@@ -31,6 +33,7 @@ from pulsegrain.llm.shared import partitions, written
 _DROPPED = frozenset("nav footer aside form menu dialog button select textarea script style noscript "
                      "template svg iframe object canvas head title audio video".split())
 _RAW = frozenset("script style textarea title noscript template iframe svg".split())
+_UNREAD = _RAW | {"head", "object", "canvas", "audio", "video"}
 _BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset "
                     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main "
                     "menu nav ol option p pre section summary table tbody tfoot thead tr ul caption".split())
@@ -90,19 +93,28 @@ def _part(tag: str, attributes: str, in_article: bool) -> str | None:
     return "wrapper" if any(_names_a_part(n, parts) for n in names) else None
 
 
-def blocks_of(page: str) -> tuple[list[str], bool]:
-    """Blocks of a page in order, and whether its markup says that they are the article."""
+def _line(text: list[str]) -> str:
+    return _SPACE.sub(" ", html.unescape("".join(text))).strip()
+
+
+def lines_of(page: str) -> tuple[list[str], list[int], bool]:
+    """All lines of a page, the places of those its markup leaves in, and whether it says that these are the
+    article."""
     tokens = list(_TOKEN.finditer(page))
     blocks: list[tuple[str, int, int]] = []  # text, inside article, inside main
+    lines: list[str] = []
+    places: list[int] = []  # of the blocks
     text: list[str] = []
     article = main = 0
     at = i = 0
 
     def flush() -> None:
         if text:
-            joined = _SPACE.sub(" ", html.unescape("".join(text))).strip()
+            joined = _line(text)
             if joined:
                 blocks.append((joined, article, main))
+                places.append(len(lines))
+                lines.append(joined)
             text.clear()
 
     while i < len(tokens):
@@ -128,6 +140,8 @@ def blocks_of(page: str) -> tuple[list[str], bool]:
         if part and tag not in _VOID and not attributes.endswith("/>"):
             behind, end = _after(page, tokens, i, tag)
             if part == "surely" or article or not _holds_text(tokens, i, behind):
+                if tag not in _UNREAD:
+                    lines += _part_lines(page, tokens, i, behind, at, end)
                 i, at = behind, end
                 continue
         if tag in ("article", "main"):
@@ -138,10 +152,34 @@ def blocks_of(page: str) -> tuple[list[str], bool]:
     marked = any(m for _, _, m in blocks)
     inside = sum(len(t) for t, a, _ in blocks if a)
     if inside and 2 * inside >= sum(len(t) for t, a, m in blocks if a or m or not marked):
-        return [t for t, a, _ in blocks if a], True
+        return lines, [k for k, (_, a, _) in zip(places, blocks, strict=True) if a], True
     if marked:
-        return [t for t, _, m in blocks if m], False
-    return [t for t, _, _ in blocks], False
+        return lines, [k for k, (_, _, m) in zip(places, blocks, strict=True) if m], False
+    return lines, places, False
+
+
+def blocks_of(page: str) -> tuple[list[str], bool]:
+    """Lines of a page that its markup leaves in, in order, and whether it says that they are the article."""
+    lines, kept, sure = lines_of(page)
+    return [lines[k] for k in kept], sure
+
+
+def _part_lines(page: str, tokens: list[re.Match], i: int, behind: int, at: int, end: int) -> list[str]:
+    """Lines of a page part: tokens i to behind, text from at to end."""
+    lines: list[list[str]] = [[]]
+    while i < behind:
+        token = tokens[i]
+        lines[-1].append(page[at:token.start()])
+        at, i = token.end(), i + 1
+        tag = (token[2] or "").lower()
+        if tag in _UNREAD and not token[1] and not token[3].endswith("/>"):
+            i, at = _after(page, tokens, i, tag)
+        elif tag in _BLOCKS:
+            lines.append([])
+        elif tag in _SPACED:
+            lines[-1].append(" ")
+    lines[-1].append(page[at:end])
+    return [line for line in map(_line, lines) if line]
 
 
 def _holds_text(tokens: list[re.Match], i: int, end: int) -> bool:
@@ -220,17 +258,14 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
 
 
 def _lines(pages: DataFrame, page_id: str, url: str, html_column: str) -> DataFrame:
-    """page_id, hash of the page, host, path, decided, hash of each block."""
+    """page_id, hash of the page, host, path, places of the lines that the markup leaves in, hash of each line."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            decided, lines = [], []
-            for page in batch.column(4).to_pylist():
-                blocks, sure = blocks_of(page or "")
-                decided.append(sure)
-                lines.append(blocks)
+            found = [lines_of(page or "") for page in batch.column(4).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(decided, pa.bool_()), pa.array(lines, pa.list_(pa.string()))],
-                ["page_id", "page", "host", "path", "decided", "lines"])
+                [*batch.columns[:4], pa.array([kept for _, kept, _ in found], pa.list_(pa.int32())),
+                 pa.array([lines for lines, _, _ in found], pa.list_(pa.string()))],
+                ["page_id", "page", "host", "path", "main", "lines"])
 
     u = F.coalesce(F.col(f"`{url}`"), F.lit(""))
     host = F.lower(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
@@ -239,7 +274,7 @@ def _lines(pages: DataFrame, page_id: str, url: str, html_column: str) -> DataFr
         F.col(f"`{page_id}`").cast("long").alias("page_id"), F.xxhash64(F.col(f"`{html_column}`")).alias("page"),
         host.alias("host"), F.regexp_replace(path, r"(?:/|\.html?)+$", "").alias("path"),
         F.col(f"`{html_column}`").alias("html"))
-    parsed = rows.mapInArrow(run, "page_id long, page long, host string, path string, decided boolean, "
+    parsed = rows.mapInArrow(run, "page_id long, page long, host string, path string, main array<int>, "
                              "lines array<string>")
     return parsed.withColumn("lines", F.transform("lines", lambda x: F.xxhash64(x)))
 
@@ -268,26 +303,26 @@ def _partners(lines: DataFrame) -> DataFrame:
 
 
 def shared_lines(lines: DataFrame) -> DataFrame:
-    """page_id, page, shared: places of the lines of undecided pages that go."""
+    """page_id, page, shared: places of the lines that the pair of a page has too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # Equal lines: a copy.
-            out = [[] if a == b else common_lines(a, b)
-                   for a, b in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
+            # Equal main lines: a copy.
+            out = [[] if [a[k] for k in main] == [b[k] for k in theirs] else common_lines(a, b)
+                   for a, main, b, theirs in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.list_(pa.int32()))],
                                              ["page_id", "page", "shared"])
 
-    open_ = lines.where("NOT decided AND size(lines) > 0").dropDuplicates(["page_id", "page"])
-    other = lines.dropDuplicates(["page_id", "page"]).select(
-        F.struct("page_id", "page").alias("partner"), F.col("lines").alias("others"))
-    paired = open_.join(_partners(lines), ["host", "path"]).join(other, "partner")
-    found = paired.select("page_id", "page", "lines", "others").mapInArrow(
+    pages = lines.dropDuplicates(["page_id", "page"])
+    other = pages.select(F.struct("page_id", "page").alias("partner"), F.col("lines").alias("others"),
+                         F.col("main").alias("theirs"))
+    paired = pages.where("size(lines) > 0").join(_partners(lines), ["host", "path"]).join(other, "partner")
+    found = paired.select("page_id", "page", "lines", "main", "others", "theirs").mapInArrow(
         run, "page_id long, page long, shared array<int>")
     return found.where("size(shared) > 0")
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html_column: str = "html") -> DataFrame:
-    """page_id, url, text, n_chars of each row of pages.
+    """page_id, url, text, n_chars of each row of pages, and n_shared, how many of its lines its pair has too.
 
     Character references are decoded, white space in a block becomes one space, blocks are
     joined by a line break. A null or empty page has an empty text. Rows without url are pages
@@ -297,22 +332,22 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     lines = written(_lines(pages, page_id, url, html_column), "lines")
     rows = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"),
                         F.col(f"`{html_column}`").alias("html"))
-    if lines.where("NOT decided AND size(lines) > 0").isEmpty():
-        rows = rows.withColumn("shared", F.lit(None).cast("array<int>"))
-    else:
-        gone = written(shared_lines(lines), "shared").withColumnsRenamed({"page_id": "id", "page": "of"})
-        rows = rows.join(gone, rows.page_id.eqNullSafe(gone.id) & (F.xxhash64("html") == gone.of), "left").select(
-            "page_id", "url", "html", "shared")
+    gone = written(shared_lines(lines), "shared").withColumnsRenamed({"page_id": "id", "page": "of"})
+    rows = rows.join(gone, rows.page_id.eqNullSafe(gone.id) & (F.xxhash64("html") == gone.of), "left").select(
+        "page_id", "url", "html", "shared")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
+            texts, n_shared = [], []
             for page, shared in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                blocks, _ = blocks_of(page or "")
-                gone = set(shared or ())
-                texts.append("\n".join(b for i, b in enumerate(blocks) if i not in gone))
+                lines, kept, sure = lines_of(page or "")
+                template = set(shared or ())
+                # Lines of a marked article stay though another article has them too.
+                texts.append("\n".join(lines[k] for k in kept if sure or k not in template))
+                n_shared.append(len(template))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
-                 pa.array(np.array([len(t) for t in texts], np.int64))], ["page_id", "url", "text", "n_chars"])
+                 pa.array(np.array([len(t) for t in texts], np.int64)), pa.array(n_shared, pa.int64())],
+                ["page_id", "url", "text", "n_chars", "n_shared"])
 
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long, n_shared long")

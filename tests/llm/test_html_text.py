@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import functions as F
 
-from pulsegrain.llm.html_text import blocks_of, common_lines, main_text
+from pulsegrain.llm.html_text import blocks_of, common_lines, lines_of, main_text
 from tests.conftest import SMALL
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
@@ -79,6 +79,20 @@ def test_shared_lines_of_neighbours_go(spark):
     assert all(r.n_chars == len(r.text) for r in found)
 
 
+def test_marked_pages_are_differenced_too(spark):
+    """Menu, advert and footer are what a page shares with its pair; a sentence of both articles stays."""
+    def page(i: int) -> str:
+        return (f"<head><title>Site</title></head><nav><ul><li>Home</li><li>News<script>var a = 1</script></li></ul></nav>"
+                f"<div class='ad'>Buy {i}</div><article><p>Article {i}</p><p>In both.</p><aside>See also</aside></article>"
+                "<footer>Imprint <p>All rights</footer>")
+    rows = [(i, f"https://d.org/{i}", page(i)) for i in range(6)] + [(9, "https://e.org/9", page(9))]
+    assert lines_of(page(1)) == (["Home", "News", "Buy 1", "Article 1", "In both.", "See also", "Imprint",
+                                  "All rights"], [3, 4], True)
+    found = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {i: f"Article {i}\nIn both." for i, *_ in rows}
+    assert {r.page_id: r.n_shared for r in found} == {i: 6 if i < 6 else 0 for i, *_ in rows}
+
+
 def test_copies_of_a_page_stay_whole(spark):
     page = "<p>" + "</p><p>".join(f"line {i}" for i in range(30)) + "</p>"
     rows = [(1, "http://a.org/x", page), (2, "http://a.org/y", page)]
