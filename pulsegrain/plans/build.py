@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrain import fixed_values as fv
@@ -24,6 +26,8 @@ from pulsegrain.sources.exports import scan_analytics, scan_crashes
 from pulsegrain.sources.tables import read_days, write_days
 from pulsegrain.windows import DateWindow, Run
 
+WRITES_AT_ONCE = 4  # as many models as the reference builds at once
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -46,6 +50,16 @@ class Warehouse:
         write_days(df, self.path(table), cluster_by, not self.run.incremental,
                    self.table_format, self.may_erase, in_place)
 
+    def write_all(self, *writes: Callable[[], None]) -> None:
+        """Writes that do not need each other, some at a time: the last tasks of one leave cores to the next.
+
+        All of them end before the first error is raised.
+        """
+        with ThreadPoolExecutor(WRITES_AT_ONCE) as pool:
+            started = [pool.submit(inheritable_thread_target(self.spark)(write)) for write in writes]
+        for write in started:
+            write.result()
+
 
 def build_all(spark: SparkSession, root: str, run: Run, lookups: Lookups,
               analytics: Callable[[SparkSession, Run], DataFrame] = scan_analytics,
@@ -65,30 +79,34 @@ def build_all(spark: SparkSession, root: str, run: Run, lookups: Lookups,
     by_event, by_app = fv.EVENT_CLUSTER_KEYS, fv.INSTALL_CLUSTER_KEYS
 
     events_raw = build_events_raw(analytics(spark, run), lookups, run, in_file_order=True)
-    w.write("events_raw", with_comments(events_raw, EVENTS_RAW), by_event, in_place=True)
-    w.write("crash_events_raw",
-            with_comments(build_crash_events_raw(crashes(spark, run), run), CRASH_EVENTS_RAW))
-
-    events_raw = w.read("events_raw")
-    w.write("events", build_events(events_raw, run), by_event)
-    w.write("events_forced_nulls", build_events_forced_nulls(events_raw, run), by_event)
-    w.write("events_count", build_events_count(events_raw, run))
+    crash_events_raw = build_crash_events_raw(crashes(spark, run), run)
+    w.write_all(
+        lambda: w.write("events_raw", with_comments(events_raw, EVENTS_RAW), by_event, in_place=True),
+        lambda: w.write("crash_events_raw", with_comments(crash_events_raw, CRASH_EVENTS_RAW)))
+
+    stored = w.read("events_raw")
     lookback = run.analytics(extend=fv.INSTALL_LOOKBACK_DAYS)
-    w.write("installs_raw", build_installs_raw(w.read("events_raw", lookback), run), by_app)
-    w.write("crash_events", build_crash_events(w.read("crash_events_raw", run.crash()), run))
+    w.write_all(
+        lambda: w.write("events", build_events(stored, run), by_event),
+        lambda: w.write("installs_raw", build_installs_raw(w.read("events_raw", lookback), run), by_app),
+        lambda: w.write("events_forced_nulls", build_events_forced_nulls(stored, run), by_event),
+        lambda: w.write("crash_events", build_crash_events(w.read("crash_events_raw", run.crash()), run)),
+        lambda: w.write("events_count", build_events_count(stored, run)))
 
-    w.write("installs", build_installs(w.read("installs_raw"), run), by_event)
     every_install = w.read("installs_raw", DateWindow(
         dt.date.fromisoformat(fv.FIRST_COHORT_DATE), run.analytics().end))
-    w.write("events_wid", build_events_wid(events_raw, every_install, run), by_event)
-    w.write("events_wid_forced_nulls",
-            build_events_wid_forced_nulls(events_raw, every_install, run), by_event)
-
     events, forced = w.read("events"), w.read("events_forced_nulls")
-    w.write("errors", build_errors(events, run))
-    w.write("ui", ui_rows(events, forced, run), by_event)
-    w.write("ui_wid", ui_rows(w.read("events_wid"), w.read("events_wid_forced_nulls"), run),
-            by_event)
-    w.write("app_health", build_app_health(events, forced, w.read("installs"),
-                                           w.read("crash_events", run.crash()), run))
+    w.write_all(
+        lambda: w.write("events_wid", build_events_wid(stored, every_install, run), by_event),
+        lambda: w.write("events_wid_forced_nulls",
+                        build_events_wid_forced_nulls(stored, every_install, run), by_event),
+        lambda: w.write("installs", build_installs(w.read("installs_raw"), run), by_event),
+        lambda: w.write("errors", build_errors(events, run)),
+        lambda: w.write("ui", ui_rows(events, forced, run), by_event))
+
+    w.write_all(
+        lambda: w.write("ui_wid", ui_rows(w.read("events_wid"), w.read("events_wid_forced_nulls"), run),
+                        by_event),
+        lambda: w.write("app_health", build_app_health(events, forced, w.read("installs"),
+                                                       w.read("crash_events", run.crash()), run)))
     return w

@@ -9,6 +9,7 @@ import os
 import signal
 import subprocess
 import sys
+import threading
 import time
 from pathlib import Path
 
@@ -23,7 +24,7 @@ from pulsegrain import Run, Settings
 from pulsegrain import fixed_values as fv
 from pulsegrain.plans import checks
 from pulsegrain.plans.app_health import key_matches
-from pulsegrain.plans.build import build_all
+from pulsegrain.plans.build import Warehouse, build_all
 from pulsegrain.plans.crash_raw import build_crash_events_raw
 from pulsegrain.plans.events_raw import build_events_raw
 from pulsegrain.plans.installs import build_cohorts, build_installs_raw
@@ -189,6 +190,7 @@ def test_a_write_that_stops_is_not_seen(spark, tmp_path):
 
 KILLED = """
 import sys
+import threading
 sys.path.insert(0, {root!r})
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -451,3 +453,21 @@ def test_key_matches_tell_what_does_not_meet(spark):
     found = {r.source: (r.n_keys, r.n_incomplete, r.n_unmatched) for r in key_matches({
         "analytics": keyed(full, gap), "installs": keyed(full, other, gap), "crashlytics": keyed(other)}).collect()}
     assert found == {"analytics": (2, 1, 0), "installs": (3, 1, 1), "crashlytics": (1, 0, 1)}
+
+
+def test_independent_writes_run_at_once_and_end_before_an_error(spark, tmp_path):
+    both, ended = threading.Barrier(2, timeout=60), []
+    w = Warehouse(spark, str(tmp_path), WHOLE)
+
+    def one():
+        both.wait()
+        w.write("one", spark.range(3).selectExpr("id", "DATE '2024-01-02' AS event_date"))
+        ended.append("one")
+
+    def other():
+        both.wait()
+        raise ValueError("broken")
+
+    with pytest.raises(ValueError, match="broken"):
+        w.write_all(other, one)
+    assert ended == ["one"] and w.read("one").count() == 3
