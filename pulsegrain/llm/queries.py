@@ -34,7 +34,7 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_text(table(spark, sf_dir, "pages"))
+    return main_text(table(spark, sf_dir, "pages")).drop("n_shared")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
