@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 from functools import reduce
 
 import pytest
@@ -11,6 +12,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from harness.exports import lookups
+from harness.settings import WHOLE
 from pulsegrain import ParamSpec
 from pulsegrain import fixed_values as fv
 from pulsegrain.config import ANALYTICS_TYPES, CRASH_TYPES
@@ -21,7 +24,9 @@ from pulsegrain.operators.dims import (
     aligned_struct, dimension_columns, flat_columns, pack, selected)
 from pulsegrain.operators.lookups import Lookups, checked_codes, with_country, with_language
 from pulsegrain.plans import app_health
+from pulsegrain.plans.events_raw import build_events_raw
 from pulsegrain.session import tune
+from pulsegrain.sources.exports import ANALYTICS_EXPORT
 
 
 def rows(df):
@@ -234,3 +239,32 @@ def test_tasks_read_few_bytes_but_lower_limits_stay(spark):
     finally:
         for n, value in before.items():
             spark.conf.set(n, value)
+
+
+def test_the_raw_table_copies_rows_few_times_and_samples_them_before_the_codes(spark):
+    tune(spark)
+    export = spark.createDataFrame([], f"{ANALYTICS_EXPORT}, table_suffix string")
+    raw = build_events_raw(export, lookups(spark), WHOLE, in_file_order=True)
+    text = raw._jdf.queryExecution().executedPlan().toString()
+    after, found, before = text.partition("rangepartitioning")
+    assert found
+    # Borders are found in rows without their codes: those are joined once, where the rows lie.
+    assert after.count("BroadcastHashJoin") == 3 and "Join" not in before
+    # Parts, positions and hours take one step, the columns another.
+    assert len(re.findall(r"^[ :+-]*Project ", after.partition("BroadcastHashJoin")[0], re.MULTILINE)) == 2
+
+
+def test_the_rest_of_a_row_is_one_value_before_the_sort_of_a_dedup(spark):
+    df = spark.range(10).selectExpr("string(id % 2) AS k", "id % 3 AS n", "id AS v", "'x' AS w")
+    text = keep_one_copy(df, ["k", "n"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(__row" in text
+    # The number is the first key: the sort compares it without reading rows.
+    assert re.search(r"Sort \[n#\d+L ASC", text)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3])
+def test_a_repeated_key_is_found_in_lists_of_any_length(spark, n):
+    others = [(f"x{i}", None, i, None) for i in range(n)]
+    assert extracted(entries(spark, *others, ("n", None, 1, None))).n_int == 1
+    with pytest.raises(PySparkException, match="more than once"):
+        extracted(entries(spark, ("n", None, 1, None), *others, ("n", None, 2, None)))
